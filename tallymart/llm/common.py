@@ -41,7 +41,7 @@ def written(df: DataFrame, path: str) -> DataFrame:
 
 def drop(spark: SparkSession, path: str) -> None:
     """Delete an intermediate that no later step reads."""
-    jvm, conf = spark._jvm, spark._jsc.sparkContext().hadoopConfiguration()
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(conf).delete(at, True)
 

@@ -4,16 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import quality
+from tallymart.llm import language, quality, toxicity
 from tallymart.llm.common import table
 
 
+def op3_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.query(table(spark, sf_dir, "documents"))
+
+
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {"op5_line_quality": op5_line_quality}
+    return {f.__name__: f for f in (op3_toxicity_grammar, op4_compression_language, op5_line_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
