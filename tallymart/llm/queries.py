@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import language, quality, toxicity
+from tallymart.llm import bpe, language, quality, toxicity
 from tallymart.llm.common import table
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -20,8 +26,12 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    return bpe.query(table(spark, sf_dir, "documents"), path or tokenizer_file("byte_bpe_50k.json"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_toxicity_grammar, op4_compression_language, op5_line_quality)}
+    return {f.__name__: f for f in (op3_toxicity_grammar, op4_compression_language, op5_line_quality, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
