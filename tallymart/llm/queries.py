@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, language, quality, toxicity
+from tallymart.llm import bpe, language, packing, quality, tokenfile, toxicity
 from tallymart.llm.common import table
 
 
@@ -14,6 +14,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_packed_token_ids(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    return tokenfile.query(table(spark, sf_dir, "documents"), path or tokenizer_file("word_bpe_49k.json"))
+
+
 def op3_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -26,12 +30,16 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"))
 
 
+def op8_dominance_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), path or tokenizer_file("word_bpe_49k.json"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     return bpe.query(table(spark, sf_dir, "documents"), path or tokenizer_file("byte_bpe_50k.json"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_toxicity_grammar, op4_compression_language, op5_line_quality, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_packed_token_ids, op3_toxicity_grammar, op4_compression_language, op5_line_quality, op8_dominance_packing, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
