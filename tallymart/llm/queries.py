@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, language, packing, quality, tokenfile, toxicity
+from tallymart.llm import bpe, jaccard, language, packing, quality, tokenfile, toxicity
 from tallymart.llm.common import table
 
 
@@ -34,12 +34,16 @@ def op8_dominance_packing(spark: SparkSession, sf_dir: str, path: str | None = N
     return packing.packed(table(spark, sf_dir, "documents"), path or tokenizer_file("word_bpe_49k.json"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     return bpe.query(table(spark, sf_dir, "documents"), path or tokenizer_file("byte_bpe_50k.json"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_packed_token_ids, op3_toxicity_grammar, op4_compression_language, op5_line_quality, op8_dominance_packing, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_packed_token_ids, op3_toxicity_grammar, op4_compression_language, op5_line_quality, op8_dominance_packing, op9_ngram_jaccard, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
