@@ -7,7 +7,10 @@
    summed into signatures; rows that share none are below the bound and are discarded without a product.
 3. In each signature group the row that meets most others is the pivot. Overlap counts of pivots with their groups come
    from sparse products over batches of pairs, each row of the matrix against all its partners at once.
-4. Links give components. Where a group still spans several components, the pairs across them are counted too, so that no
+4. Links give components. Where a pivot's group still spans several components, its rows are written as differences from
+   the pivot's row. Two rows of the group that link, at least one of them not linked to the pivot, share an element of
+   these differences (the few pairs so close to the pivot that they need not are listed apart). So a second, far sparser
+   product over the differences, rare elements first, finds the pairs across components that have to be counted, and no
    link between components is lost, while pairs inside one component are never listed.
 
 A row that appears in a large group of copies costs one class; a hot signature is aggregated before it is shuffled and its
@@ -20,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.common import drop, shared_dir, text_steps, written
@@ -152,6 +155,13 @@ def _links(percent: int):
     return rows
 
 
+def _differences(batches):
+    """The columns in which a row and its pivot's row differ."""
+    for b in batches:
+        of = [np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True).view(np.int64) for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(of, pa.list_(pa.int64()))], ["a", "b", "diff"])
+
+
 def components(links: DataFrame, folder: str) -> DataFrame:
     """id, label: the smallest id reachable, for every id in links (a, b). Labels spread to neighbours, then jump to their label's label."""
     spark = links.sparkSession
@@ -198,8 +208,8 @@ def joined(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHIN
     shared = member.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("sig", "n")
     members = written(member.join(shared, "sig").distinct(), f"{folder}/members")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), f"{folder}/{name}-ids")
+    def incidence(ids: DataFrame, name: str) -> DataFrame:
+        ids = written(ids, f"{folder}/{name}-ids")
         few = ids.count() <= BROADCAST_IDS
         texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
@@ -208,30 +218,47 @@ def joined(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHIN
                 with np.errstate(over="ignore"):
                     yield pa.RecordBatch.from_pydict({"id": pa.array(keys, pa.int64()), "s": pa.array([x.tobytes() for x in shingle_rows(ts, k)], pa.binary())})
 
-        incidence = written(texts.mapInArrow(sets, "id long, s binary").distinct(), f"{folder}/{name}-sets")
-        full = pairs.join(incidence.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").join(incidence.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-        # sizes settle most pairs before a product
-        la, lb = F.octet_length("sa"), F.octet_length("sb")
-        full = full.where((F.least(la, lb) * 100 >= percent * F.greatest(la, lb)) & (la > 0))
-        out = written(full.select("a", "b", "sa", "sb").mapInArrow(_links(percent), "a long, b long").distinct(), f"{folder}/{name}-links")
-        drop(spark, f"{folder}/{name}-sets")
-        return out
+        return written(texts.mapInArrow(sets, "id long, s binary").distinct(), f"{folder}/{name}-sets")
 
     degree = members.groupBy("id").agg(F.sum(F.col("n") - 1).alias("met"))
     pivots = members.join(degree, "id").groupBy("sig").agg(F.max_by("id", "met").alias("a"))
-    star = members.join(pivots, "sig").where("id != a").select(F.least("id", "a").alias("a"), F.greatest("id", "a").alias("b")).distinct()
-    star = written(star, f"{folder}/star")
+    star = written(members.join(pivots, "sig").where("id != a").select("a", F.col("id").alias("b")).distinct(), f"{folder}/star")
+    sets = incidence(star.select(F.col("a").alias("doc_id")).union(star.select("b")).distinct(), "star")
+
+    def both_rows(pairs: DataFrame) -> DataFrame:
+        right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
+        return pairs.join(right, "b").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        la, lb = F.octet_length("sa"), F.octet_length("sb")  # sizes settle many pairs before a product
+        full = both_rows(pairs).where((F.least(la, lb) * 100 >= percent * F.greatest(la, lb)) & (la > 0))
+        return written(full.select("a", "b", "sa", "sb").mapInArrow(_links(percent), "a long, b long").distinct(), f"{folder}/{name}-links")
+
     links = verified(star, "star")
     labels = components(links, f"{folder}/first")
-    tagged = members.join(labels, "id", "left").select("sig", "id", F.coalesce("label", "id").alias("label"))
-    open_ = tagged.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("sig")
-    rest = written(tagged.join(open_, "sig"), f"{folder}/open")
-    other = rest.select("sig", F.col("id").alias("id2"), F.col("label").alias("label2"))
-    across = rest.join(other, "sig").where("label < label2").select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
-    across = written(across.join(star, ["a", "b"], "left_anti"), f"{folder}/across")
+    named = star.join(labels.select(F.col("id").alias("b"), "label"), "b", "left").join(labels.select(F.col("id").alias("a"), F.col("label").alias("of_a")), "a", "left")
+    named = named.select("a", "b", F.coalesce("label", "b").alias("label"), F.coalesce("of_a", "a").alias("of_a"))
+    spans = named.groupBy("a").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("a")
+    rest = written(named.join(spans, "a"), f"{folder}/rest")
+    apart = both_rows(rest.select("a", "b")).select("a", "b", "sa", "sb")
+    diffs = apart.mapInArrow(_differences, "a long, b long, diff array<long>")
+    size = sets.select(F.col("id").alias("b"), (F.octet_length("s") / 8 * (100 - percent) / percent).cast("long").alias("d"))
+    diffs = written(diffs.join(size, "b").join(rest, ["a", "b"]).select("a", "b", "label", "of_a", "d", F.size("diff").cast("long").alias("far"), "diff"), f"{folder}/diffs")
+    element = diffs.select("a", "b", "label", "d", "far", F.explode("diff").alias("e"))
+    counts = element.groupBy("a", "e").agg(F.count("*").alias("f"))
+    rare_first = Window.partitionBy("a", "b").orderBy("f", "e")
+    prefix = element.join(counts, ["a", "e"]).withColumn("at", F.row_number().over(rare_first)).where(F.col("at") <= F.least(F.col("far"), F.col("d") + 1))
+    prefix = written(prefix.where("f > 1").select("a", "e", "b", "label"), f"{folder}/prefix")
+    pair = (F.least("b", "b2").alias("a"), F.greatest("b", "b2").alias("b"))
+    sharing = prefix.join(prefix.select("a", "e", F.col("b").alias("b2"), F.col("label").alias("label2")), ["a", "e"]).where("label < label2").select(*pair)
+    near = diffs.where("label != of_a AND far <= d").select("a", "b", "label", (F.col("d") - F.col("far")).alias("room"))
+    close = near.join(diffs.select("a", F.col("b").alias("b2"), F.col("label").alias("label2"), F.col("far").alias("far2")), "a").where("label != label2 AND far2 <= room").select(*pair)
+    across = written(sharing.union(close).distinct(), f"{folder}/across")
     more = verified(across, "across")
     if more.limit(1).count():
         labels = components(links.union(more), f"{folder}/second")
+    for name in ("star-sets", "diffs", "prefix"):
+        drop(spark, f"{folder}/{name}")
     drop(spark, f"{folder}/members")
     by_class = classes.join(labels, classes["rep"] == labels["id"], "left").select("cls", F.coalesce("label", "rep").alias("component"))
     plain = table.select("doc_id", "n_shingles", "cls").join(by_class, "cls", "left")
