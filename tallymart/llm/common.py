@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,6 +71,13 @@ def text_steps(batches: Iterator[pa.RecordBatch], *columns: str, text: str = "te
             yield (*(c[start:] for c in rest), held)
 
 
-def scratch_file() -> "tempfile._TemporaryFileWrapper":
-    """A file in the task's own temporary folder that vanishes when it is closed."""
-    return tempfile.TemporaryFile(dir=os.environ.get("TMPDIR") if os.path.isdir(os.environ.get("TMPDIR", "")) else None)
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m"):
+    """Arrow batches of about `size` for the jobs run inside, where a task needs its memory for something else."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)

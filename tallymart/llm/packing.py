@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.llm.common import shared_dir, text_steps, written
+from tallymart.llm.common import shared_dir, small_batches, text_steps, written
 from tallymart.llm.tokens import END_ID, coder
 
 CAPACITY = 4096
@@ -182,6 +182,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
             names = ("doc_id", "piece", "start", "length", "ids_crc32", "bucket", "local")
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_pydict({n: pa.array(x, t) for n, t, x in zip(names, kinds, zip(*out))})
+        c.trim()
 
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, piece int, start long, length long, ids_crc32 long, bucket long, local long")
 
@@ -189,7 +190,8 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
 def packed(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for each piece of each document."""
     spark = documents.sparkSession
-    cut = written(pieces(documents, path, capacity), shared_dir(spark))
+    with small_batches(spark):
+        cut = written(pieces(documents, path, capacity), shared_dir(spark))
     by_task = cut.groupBy("bucket", "length").agg(F.count("*").alias("n"))
     by_length = by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()  # one row for each length: at most `capacity`
     counts = np.zeros(capacity + 1, dtype=np.int64)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm.common import shared_dir, text_steps
+from tallymart.llm.common import shared_dir, small_batches, text_steps
 from tallymart.llm.tokens import END_ID, coder, vocabulary_size
 
 MAGIC, VERSION, FOOTER = b"TKBP", 1, struct.Struct("<4sHHIQQQ12x")
@@ -161,13 +161,15 @@ def write(df: DataFrame, folder: str, path: str, key: str = "doc_id", text: str
                 for k, raw in zip(keys, c.encode(texts)):
                     w.add(k, np.concatenate([np.frombuffer(raw, dtype="<u4"), end]))
             w.close()
+        c.trim()
         if store.get_file_info(final).is_file:
             store.delete_file(final)
         store.move(temporary, final)
         yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "n": pa.array([w.n_ids], pa.int64())})
 
     dealt = df.select(F.col(key).cast("long").alias(key), text).repartitionByRange(F.col(key)).sortWithinPartitions(key, text)
-    sizes = {r["part"]: r["n"] for r in dealt.mapInArrow(rows, "part long, n long").collect()}
+    with small_batches(df.sparkSession):
+        sizes = {r["part"]: r["n"] for r in dealt.mapInArrow(rows, "part long, n long").collect()}
     return [sizes[p] for p in sorted(sizes)]
 
 

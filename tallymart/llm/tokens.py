@@ -8,15 +8,18 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 
-#: Words whose ids a worker keeps, the longest of them, and words in one call of the library.
-CACHE_WORDS, CACHE_BYTES, CALL_WORDS = 400_000, 24, 4_000
+#: Words whose ids a task keeps, and a worker between tasks; the longest of them; words in one call of the library.
+CACHE_WORDS, STAY_WORDS, CACHE_BYTES, CALL_WORDS = 300_000, 60_000, 24, 4_000
 END_ID = 1
 #: ASCII marks other than the apostrophe: a run of them after letters is a unit of its own.
 MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != 39)
 #: Letters of ASCII and Latin-1, which case folding and normalisation map one to one.
+FOLDS = re.compile("[^\x00-\xff]").search
 PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
 
 
@@ -45,7 +48,7 @@ class WordCoder:
     def _plain(self, stems: list[bytes]) -> list[bytes]:
         """Ids of words of plain letters. Each is one unit of the merges, so its last id, and no other, stands for a word's end."""
         out: list[bytes] = []
-        for at in range(0, len(stems), CALL_WORDS):
+        for at in range(0, len(stems), CALL_WORDS):  # letters of either case: the library folds them
             part = stems[at : at + CALL_WORDS]
             ids = np.array(self.library.encode(b" ".join(part).decode(), add_special_tokens=False).ids, dtype="<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
@@ -56,28 +59,24 @@ class WordCoder:
         return out
 
     def _fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words outside the cache. A plain word is its lower-case letters followed by its marks, which are tokens apart."""
-        core: dict[bytes, bytes] = {}
+        """Ids of words outside the cache. A plain word is its letters followed by its marks, which are tokens apart."""
+        cut: list[tuple[bytes, bytes, bytes]] = []
         whole: list[bytes] = []
-        stems: dict[bytes, None] = {}
-        tails: dict[bytes, None] = {}
+        cache = self.cache
         for w in words:
             stem = w.rstrip(MARKS)
             if PLAIN(stem):
-                low = stem.decode().lower().encode()
-                core[w] = low
-                if low not in self.cache:
-                    stems[low] = None
-                if len(stem) < len(w) and w[len(stem) :] not in self.cache:
-                    tails[w[len(stem) :]] = None
+                cut.append((w, stem, w[len(stem) :]))
             else:
                 whole.append(w)
-        got = dict(zip(stems, self._plain(list(stems)))) | dict(zip(tails, self._raw([w.decode() for w in tails])))
+        stems = [x for x in {c[1] for c in cut} if x not in cache]
+        tails = [x for x in {c[2] for c in cut} if x not in cache]
+        got = dict(zip(stems, self._plain(stems)))
+        got |= zip(tails, self._raw([x.decode() for x in tails]))
         self._keep(got)
         out = dict(zip(whole, self._raw([w.decode() for w in whole])))
-        find = lambda k: got[k] if k in got else self.cache[k]
-        for w, low in core.items():
-            out[w] = find(low) + (find(w[len(low) :]) if len(low) < len(w) else b"")
+        for w, stem, tail in cut:
+            out[w] = (got.get(stem) or cache[stem]) + (got.get(tail) or cache[tail] if tail else b"")
         return out
 
     def _keep(self, new: dict[bytes, bytes]) -> None:
@@ -91,15 +90,26 @@ class WordCoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, without the end id."""
-        split = [t.encode().split() for t in texts]
+        # below U+0100 lower case maps one character to one, as the library's does, so variants fold before they are looked up
+        split = [(t.lower() if FOLDS(t) is None else t).encode().split() for t in texts]
         cache = self.cache
-        found = {w: cache.get(w) for ws in split for w in ws}
-        fresh = self._fresh([w for w, ids in found.items() if ids is None])
+        distinct: set[bytes] = set()
+        for ws in split:
+            distinct.update(ws)
+        found = {w: cache[w] for w in distinct if w in cache}
+        fresh = self._fresh([w for w in distinct if w not in found])
         found |= fresh
         self._keep(fresh)
         return [b"".join(map(found.__getitem__, ws)) for ws in split]
 
 
+    def trim(self) -> None:
+        """After a task: keep the words met first, which are the common ones, and give the memory of the others back."""
+        if len(self.cache) > STAY_WORDS:
+            self.cache = dict(islice(self.cache.items(), STAY_WORDS))
+        pa.default_memory_pool().release_unused()
+
+
 @lru_cache(2)
 def coder(path: str) -> WordCoder:
     return WordCoder(path)
