@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.llm.common import fold, text_steps
 
@@ -70,35 +71,44 @@ def encoded_sizes(texts: list[str], compressors) -> np.ndarray:
     return out
 
 
-def labelled(df: DataFrame, languages: Languages, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, lang_pred, score, margin and rejected for every row of df."""
+def _verdicts(texts: list[str], names: np.ndarray, compressors) -> dict[str, pa.Array]:
+    n = len(compressors)
+    spoken = np.array([any(map(str.isalpha, t)) for t in texts], dtype=bool) & bool(n)
+    sizes = np.full((len(texts), max(2, n)), 1.0e18)
+    sizes[:, :n] = encoded_sizes([t if s else "" for t, s in zip(texts, spoken)], compressors)
+    best = sizes.argmin(axis=1)
+    two = np.sort(sizes, axis=1)[:, :2]
+    margin = np.where(spoken, np.minimum(1.0, (two[:, 1] - two[:, 0]) / np.maximum(two[:, 0], 1.0)), 0.0)
+    long = np.array([len(t) >= LONG_ENOUGH for t in texts], dtype=bool)
+    return {
+        "lang_pred": pa.array(names[np.where(spoken, best, n)].tolist(), pa.string()),
+        "score": pa.array(np.where(spoken, 1 / (1 + np.exp(-50 * margin)), 0.0)),
+        "margin": pa.array(margin),
+        "rejected": pa.array(~spoken | (long & (margin < MIN_MARGIN))),
+    }
+
+
+def labelled(df: DataFrame, languages: Languages, text: str = "text") -> DataFrame:
+    """df with lang_pred, score, margin and rejected; columns of these names in df are replaced."""
+    made = T.StructType().add("lang_pred", "string").add("score", "double").add("margin", "double").add("rejected", "boolean")
+    names = made.names
+    df = df.drop(*(c for c in names if c in df.columns and c != text))
 
     def rows(batches):
-        cs = languages.compressors()
-        names = np.array([*languages.names, "und"], dtype=object)
-        for ids, texts in text_steps(batches, key, text=text):
-            spoken = np.array([any(map(str.isalpha, t)) for t in texts]) & bool(cs)
-            sizes = np.full((len(texts), max(2, len(cs))), 1.0e18)
-            sizes[:, : len(cs)] = encoded_sizes([t if s else "" for t, s in zip(texts, spoken)], cs)
-            best = sizes.argmin(axis=1)
-            two = np.sort(sizes, axis=1)[:, :2]
-            margin = np.where(spoken, np.minimum(1.0, (two[:, 1] - two[:, 0]) / np.maximum(two[:, 0], 1.0)), 0.0)
-            long = np.array([len(t) >= LONG_ENOUGH for t in texts])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    key: pa.array(ids, pa.int64()),
-                    "lang_pred": pa.array(names[np.where(spoken, best, len(cs))].tolist(), pa.string()),
-                    "score": pa.array(np.where(spoken, 1 / (1 + np.exp(-50 * margin)), 0.0)),
-                    "margin": pa.array(margin),
-                    "rejected": pa.array(~spoken | (long & (margin < MIN_MARGIN))),
-                }
-            )
-
-    return df.select(F.col(key).cast("long"), text).mapInArrow(rows, f"{key} long, lang_pred string, score double, margin double, rejected boolean")
+        compressors, tags = languages.compressors(), np.array([*languages.names, "und"], dtype=object)
+        for batch in batches:
+            at = 0
+            for (texts,) in text_steps([batch], text=text):
+                found = _verdicts(texts, tags, compressors)
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                yield pa.RecordBatch.from_arrays([*part.columns, *(found[n] for n in names)], [*part.schema.names, *names])
+
+    return df.mapInArrow(rows, T.StructType([*df.schema.fields, *made.fields]))
 
 
 def query(documents: DataFrame) -> DataFrame:
     held = fold("doc_id", 4) == 2
     languages = fit(documents.where(~held).select("doc_id", "text", "lang"))
-    out = labelled(documents, languages)
+    out = labelled(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), languages)
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "margin", "rejected")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, forest, jaccard, language, packing, quality, tokenfile, toxicity
+from tallymart.llm import bpe, forest, jaccard, language, packing, quality, rollup, tokenfile, toxicity
 from tallymart.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"))
 
 
+def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.query(table(spark, sf_dir, "documents"))
+
+
 def op7_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.query(table(spark, sf_dir, "embeddings"))
 
@@ -47,8 +51,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) ->
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_packed_token_ids, op3_toxicity_grammar, op4_compression_language, op5_line_quality, op7_projection_forest, op8_dominance_packing, op9_ngram_jaccard, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_packed_token_ids, op3_toxicity_grammar, op4_compression_language, op5_line_quality, op6_token_rollup, op7_projection_forest, op8_dominance_packing, op9_ngram_jaccard, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_quality": quality.SQL}
+    return {"op5_line_quality": quality.SQL, "op6_token_rollup": rollup.SQL}
