@@ -17,7 +17,9 @@ from tallymart.llm.queries import tokenizer_file
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; of the others the failing lines go, and n_chars follows."""
     judged = quality.judged(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text")))
-    kept = judged.where("kept").select(*(F.col(f"row.{c}").alias(c) for c in docs.columns if c != "text"), F.col("clean_text").alias("text"))
+    # the id keeps the optimizer from moving the filter, and with it a copy of every rule, below the projection
+    held = judged.withColumn("at", F.monotonically_increasing_id()).where("kept AND at >= 0")
+    kept = held.select(*(F.col(f"row.{c}").alias(c) for c in docs.columns if c != "text"), F.col("clean_text").alias("text"))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
