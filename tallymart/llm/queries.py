@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, forest, jaccard, language, packing, quality, rollup, tokenfile, toxicity
+from tallymart.llm import bpe, forest, jaccard, language, packing, quality, rollup, tokenfile, toxicity, trie
 from tallymart.llm.common import table
 
 
@@ -14,6 +14,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.query(table(spark, sf_dir, "documents"))
+
+
 def op2_packed_token_ids(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     return tokenfile.query(table(spark, sf_dir, "documents"), path or tokenizer_file("word_bpe_49k.json"))
 
@@ -51,7 +55,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) ->
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_packed_token_ids, op3_toxicity_grammar, op4_compression_language, op5_line_quality, op6_token_rollup, op7_projection_forest, op8_dominance_packing, op9_ngram_jaccard, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_elias_fano_lm, op2_packed_token_ids, op3_toxicity_grammar, op4_compression_language, op5_line_quality, op6_token_rollup, op7_projection_forest, op8_dominance_packing, op9_ngram_jaccard, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
