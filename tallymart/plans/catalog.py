@@ -20,13 +20,19 @@ def register(name: str, sql: str | None = None):
     return put
 
 
+def _all() -> None:
+    from tallymart.plans import offer_queries, run_queries, text_queries  # noqa: F401  (they register themselves)
+
+
 def queries() -> dict:
+    _all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(_SQL)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count()
+    return queries()["price_range_derived"](spark, sf_dir)
