@@ -89,3 +89,13 @@ def test_stream_merge_survives_late_and_repeated_rows(spark, tmp_path):
     run()
     got = {(r.product_id, r.price) for r in spark.read.parquet(str(tmp_path / "out" / "1")).collect()}
     assert got == {(1, 10.0), (2, 3.0)}
+
+
+def test_rules_and_folding(spark):
+    from tallymart.functions import identity_text, rules
+
+    assert one(spark, rules.product_type, "Apple iPad Air with iPhone case") == "tablet"
+    assert one(spark, rules.product_type, "Galaxy S24 phone") == "phone" and one(spark, rules.product_type, "Mug") is None
+    assert one(spark, rules.brand, "New SONY headphones") == "sony" and one(spark, rules.brand, "one two three four sony") is None
+    assert [identity_text.fold(x) for x in ("Café  & Co.", "أحمة", "--", None)] == ["cafe and co", "احمه", None, None]
+    assert one(spark, identity_text.identity_text, "É-b") == "e b"
