@@ -30,3 +30,23 @@ def near_pairs(left, right, metres: float, degrees: float):
     cells = right.select(F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"), y.alias("y"), x.alias("x"))
     pairs = around.join(cells, ["x", "y"]).withColumn("metres", distance_m(F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2")))
     return pairs.where(F.col("metres") <= metres).select("id1", "id2", "metres")
+
+
+BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
+
+
+def geohash(lat: Column, lng: Column, length: int = 6) -> Column:
+    """Bits of longitude and latitude in turn, five to a character."""
+    bits = 5 * length
+    of_lng, of_lat = (bits + 1) // 2, bits // 2
+    x = F.least(F.floor((lng + 180) / 360 * (1 << of_lng)), F.lit((1 << of_lng) - 1)).cast("long")
+    y = F.least(F.floor((lat + 90) / 180 * (1 << of_lat)), F.lit((1 << of_lat) - 1)).cast("long")
+
+    def bit(i: int) -> Column:
+        return F.shiftright(y, of_lat - 1 - i // 2).bitwiseAND(1) if i % 2 else F.shiftright(x, of_lng - 1 - i // 2).bitwiseAND(1)
+
+    def character(k: int) -> Column:
+        code = sum((bit(5 * k + j) * (1 << (4 - j)) for j in range(1, 5)), bit(5 * k) * 16)
+        return F.substring(F.lit(BASE32), (code + 1).cast("int"), F.lit(1))
+
+    return F.concat(*[character(k) for k in range(length)])

@@ -147,3 +147,15 @@ def event_windows(spark, sf):
     from tallymart.streaming.windows import hourly
 
     return hourly(table(spark, sf, "events")).selectExpr("window.start AS starts", "event_type", "n", "floor(v * 100 + 0.5) AS cents")
+
+
+@register(
+    "geohash_cells",
+    """WITH p AS (SELECT c_custkey AS id, 24.0 + (c_custkey * 7919 % 5000) / 10000.0 AS lat, 54.0 + (c_custkey * 104729 % 5000) / 10000.0 AS lng FROM customer),
+ b AS (SELECT id, list_reduce(list_transform(range(30), lambda i: CASE WHEN i % 2 = 0 THEN (floor((lng + 180) / 360 * 32768)::BIGINT >> (14 - i // 2)) & 1 ELSE (floor((lat + 90) / 180 * 32768)::BIGINT >> (14 - i // 2)) & 1 END), lambda a, x: a * 2 + x) AS code FROM p)
+ SELECT array_to_string(list_transform(range(6), lambda k: substr('0123456789bcdefghjkmnpqrstuvwxyz', ((code >> (25 - 5 * k)) & 31)::INT + 1, 1)), '') AS cell, count(*) AS n FROM b GROUP BY 1""",
+)
+def geohash_cells(spark, sf):
+    """Customers by geohash cell of six characters."""
+    c = branches(spark, sf, "customer", "c")
+    return c.groupBy(geo.geohash(F.col("lat"), F.col("lng")).alias("cell")).agg(F.count("*").alias("n"))
