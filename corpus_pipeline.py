@@ -17,9 +17,7 @@ from tallymart.llm.queries import tokenizer_file
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; of the others the failing lines go, and n_chars follows."""
     judged = quality.judged(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text")))
-    # the id keeps the optimizer from moving the filter, and with it a copy of every rule, below the projection
-    held = judged.withColumn("at", F.monotonically_increasing_id()).where("kept AND at >= 0")
-    kept = held.select(*(F.col(f"row.{c}").alias(c) for c in docs.columns if c != "text"), F.col("clean_text").alias("text"))
+    kept = judged.where("kept").select(*(F.col(f"row.{c}").alias(c) for c in docs.columns if c != "text"), F.col("clean_text").alias("text"))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
@@ -36,11 +34,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies the document of the smallest id stays. Rows without an id stay too."""
     groups = written(jaccard.joined(docs), shared_dir(spark))
-    stay = groups.where("doc_id = component_id").select("doc_id")
-    kept = docs.join(stay, "doc_id", "left_semi")
-    if stay.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    # texts stay where they are as long as the ids that go are few enough to be sent around
+    kept = docs.join(F.broadcast(gone) if gone.count() <= jaccard.BROADCAST_IDS else gone, "doc_id", "left_anti")
+    if groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        kept = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
+    return kept.select(*docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

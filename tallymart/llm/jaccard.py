@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tallymart.llm.common import drop, shared_dir, text_steps, written
 
 SHINGLE, PERCENT = 3, 90
-#: Ids that may be broadcast to pick out texts; more are joined by shuffle.
+#: Ids or signatures that may be broadcast to pick out rows (16 MB); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 _P = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0x27D4EB2F165667C5), np.uint64(0x85EBCA77C2B2AE63)]
 
@@ -205,8 +205,10 @@ def joined(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHIN
     classes = written(table.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("rep")), f"{folder}/classes")
     reps = classes.where("rep IS NOT NULL").select(F.col("rep").alias("doc_id"))
     member = table.join(reps, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.explode("sigs").alias("sig"))
-    shared = member.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("sig", "n")
-    members = written(member.join(shared, "sig").distinct(), f"{folder}/members")
+    shared = written(member.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1"), f"{folder}/shared")
+    few_shared = shared.count() <= BROADCAST_IDS  # then the signatures, most of which are alone, need no second shuffle
+    members = written(member.join(F.broadcast(shared) if few_shared else shared, "sig").distinct(), f"{folder}/members")
+    drop(spark, f"{folder}/shared")
 
     def incidence(ids: DataFrame, name: str) -> DataFrame:
         ids = written(ids, f"{folder}/{name}-ids")
