@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zlib
@@ -23,14 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which the driver and all executors reach."""
+    """A new folder under spark.checkpoint.dir, which the driver and all executors reach, as a full URI."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"  # one machine: a temporary folder is shared by all
+    at = spark._jvm.org.apache.hadoop.fs.Path(base)
+    full = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    return f"{re.sub('^file:/+', 'file:///', full).rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
