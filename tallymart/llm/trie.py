@@ -70,6 +70,12 @@ def _pack(x: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+_POPCOUNT = _BITS.sum(axis=1).astype(np.uint8)
+#: Position of the k-th set bit of each byte; 8 where there are fewer.
+_SELECT = np.array([[int(np.flatnonzero(b)[k]) if k < b.sum() else 8 for k in range(8)] for b in _BITS], dtype=np.int64)
+
+
 class EliasFano:
     """Random access and successor search on a mapped sequence. `ones` counts the set bits before each 64-bit word."""
 
@@ -80,12 +86,14 @@ class EliasFano:
 
     def _within(self, word: np.ndarray, k: np.ndarray, bit: int) -> np.ndarray:
         """Position of the k-th (from 0) set or clear bit of each word."""
-        out = np.empty(len(word), dtype=np.int64)
-        for i in range(0, len(word), 1 << 16):
-            bits = np.unpackbits(self.unary[word[i : i + (1 << 16)]], axis=1, bitorder="little")
-            run = np.cumsum(bits if bit else 1 - bits, axis=1, dtype=np.uint8)
-            out[i : i + (1 << 16)] = (run <= k[i : i + (1 << 16), None]).sum(axis=1)
-        return word * 64 + out
+        octets = self.unary[word]
+        if not bit:
+            octets = ~octets
+        run = np.cumsum(_POPCOUNT[octets], axis=1, dtype=np.uint8)
+        at = np.minimum((run <= k[:, None]).sum(axis=1), 7)
+        row = np.arange(len(word))
+        rest = k - np.where(at > 0, run[row, at - 1], 0)
+        return word * 64 + at * 8 + _SELECT[octets[row, at], np.minimum(rest, 7)]
 
     def _select(self, i: np.ndarray) -> np.ndarray:
         word = np.searchsorted(self.ones, i, side="right") - 1
@@ -312,16 +320,26 @@ class Model:
         with_begin = np.r_[number, self.vocabulary]
         out = {"lengths": lengths, "number": number[code], "count": count[code], "context": with_begin[previous]}
         per_word = self.contexts(2, with_begin)
-        ranges = {k: v[previous] for k, v in per_word.items()}
-        out["node2"], out["prob2"] = self.children(2, ranges, out["number"])
-        out["backoff2"] = ranges["backoff"]
+        out["backoff2"] = per_word["backoff"][previous]
+        out["node2"], out["prob2"] = self._distinct(2, out["context"], out["number"])
         before = np.where(first, -1, np.r_[-1, out["node2"][:-1]])
         distinct, back = np.unique(before, return_inverse=True)
-        ranges = {k: v[back] for k, v in self.contexts(3, distinct).items()}
-        out["node3"], out["prob3"] = self.children(3, ranges, out["number"])
-        out["backoff3"], out["before"] = ranges["backoff"], before
+        out["backoff3"], out["before"] = self.contexts(3, distinct)["backoff"][back], before
+        out["node3"], out["prob3"] = self._distinct(3, before, out["number"])
         return out
 
+    def _distinct(self, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """children() of each token, every pair looked up once and in order, which keeps the searches close together."""
+        node, prob = np.full(len(word), -1, dtype=np.int64), np.zeros(len(word))
+        ok = np.flatnonzero((context >= 0) & (word >= 0))
+        if len(ok) and level in self.level_at:
+            pair, back = np.unique((context[ok] << 31) | word[ok], return_inverse=True)
+            contexts, of = np.unique(pair >> 31, return_inverse=True)
+            ranges = {k: v[of] for k, v in self.contexts(level, contexts).items()}
+            found, p = self.children(level, ranges, pair & ((1 << 31) - 1))
+            node[ok], prob[ok] = found[back], p[back]
+        return node, prob
+
     def scores(self, texts: list[str]) -> dict[str, np.ndarray]:
         w = self.walk(texts)
         base = self.unigram(w["count"])
