@@ -120,23 +120,39 @@ class EliasFano:
 
     def successor(self, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """First position in [lo, hi) whose value is at least x, else hi."""
+        return self.find(x, lo, hi)[0]
+
+    def find(self, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """successor(), and whether the value there is x itself. Equal high parts are few, so it steps first and halves only if that is not enough."""
         lo, hi = np.array(lo, dtype=np.int64), np.array(hi, dtype=np.int64)
+        equal = np.zeros(len(lo), dtype=bool)
         if not self.n or not len(lo):
-            return hi
+            return hi, equal
         last = self.top >> self.low_bits
-        part = np.minimum(np.asarray(x, np.uint64) >> np.uint64(self.low_bits), np.uint64(last + 1)).astype(np.int64)
-        end = np.where(part > last, self.n, self._ones_before_zero(np.minimum(part, last)))
-        begin = np.where(part == 0, 0, self._ones_before_zero(np.maximum(part - 1, 0)))
-        lo = np.clip(begin, lo, hi)
-        hi = np.clip(end, lo, hi)
-        while True:  # binary search over the low bits of the equal high parts
-            open_ = np.flatnonzero(lo < hi)
+        x = np.asarray(x, np.uint64)
+        part = np.minimum(x >> np.uint64(self.low_bits), np.uint64(last + 1)).astype(np.int64)
+        pos = np.clip(np.where(part == 0, 0, self._ones_before_zero(np.maximum(part - 1, 0))), lo, hi)
+        open_ = np.flatnonzero(pos < hi)
+        for _ in range(4):
+            value = self.get(pos[open_])
+            less = value < x[open_]
+            equal[open_[~less]] = value[~less] == x[open_[~less]]
+            open_ = open_[less]
+            pos[open_] += 1
+            open_ = open_[pos[open_] < hi[open_]]
             if not len(open_):
-                return lo
-            mid = (lo[open_] + hi[open_]) >> 1
-            less = self.get(mid) < x[open_]
-            lo[open_[less]] = mid[less] + 1
-            hi[open_[~less]] = mid[~less]
+                return pos, equal
+        low, high, left = pos[open_], hi[open_].copy(), np.arange(len(open_))
+        while len(left):
+            mid = (low[left] + high[left]) >> 1
+            less = self.get(mid) < x[open_[left]]
+            low[left[less]] = mid[less] + 1
+            high[left[~less]] = mid[~less]
+            left = left[low[left] < high[left]]
+        pos[open_] = low
+        inside = open_[low < hi[open_]]
+        equal[inside] = self.get(pos[inside]) == x[inside]
+        return pos, equal
 
 
 # --- files --------------------------------------------------------------------------------------------------------
@@ -241,9 +257,7 @@ class Model:
                 continue
             arrays = _load(self.folder, f"words-{f:06d}")
             ef = _sequence(arrays, "hash")
-            pos = ef.successor(hashes[at], np.zeros(len(at)), np.full(len(at), ef.n))
-            hit = pos < ef.n
-            hit[hit] = ef.get(pos[hit]) == hashes[at][hit]
+            pos, hit = ef.find(hashes[at], np.zeros(len(at)), np.full(len(at), ef.n))
             number[at[hit]] = self.word_at[f] + pos[hit]
             count[at[hit]] = arrays["count"][pos[hit]]
         return number, count
@@ -272,9 +286,7 @@ class Model:
             arrays = _load(self.folder, f"level{level}-{f:06d}")
             ctx = _sequence(arrays, "ctx")
             want = context[rows].astype(np.uint64)
-            pos = ctx.successor(want, np.zeros(len(rows)), np.full(len(rows), ctx.n))
-            hit = pos < ctx.n
-            hit[hit] = ctx.get(pos[hit]) == want[hit]
+            pos, hit = ctx.find(want, np.zeros(len(rows)), np.full(len(rows), ctx.n))
             rows, pos = rows[hit], pos[hit]
             ptr, child = _sequence(arrays, "ptr"), _sequence(arrays, "child")
             lo, hi = ptr.get(pos).astype(np.int64), ptr.get(pos + 1).astype(np.int64)
@@ -294,9 +306,7 @@ class Model:
             arrays = _load(self.folder, f"level{level}-{f:06d}")
             child = _sequence(arrays, "child")
             want = ranges["base"][rows] + word[rows].astype(np.uint64)
-            pos = child.successor(want, ranges["lo"][rows], ranges["hi"][rows])
-            hit = pos < ranges["hi"][rows]
-            hit[hit] = child.get(pos[hit]) == want[hit]
+            pos, hit = child.find(want, ranges["lo"][rows], ranges["hi"][rows])
             node[rows[hit]] = self.level_at[level]["node"][f] + pos[hit]
             prob[rows[hit]] = arrays["prob.table"][arrays["prob.code"][pos[hit]]]
         return node, prob
