@@ -7,9 +7,9 @@ number added to the last value before the context's range, which makes the whole
 the ranges are monotone too. Both are Elias-Fano coded. A child is found by one successor search inside its context's
 range. Probabilities and back-off weights are eight-bit codes into a table per file.
 
-Smoothing is interpolated absolute discounting down to the unigram estimate (c + 1/2) / (N + (V + 1)/2). An n-gram of two
-words or more enters the trie from MIN_COUNT occurrences on; the mass of the others goes to the shorter context, so the
-probabilities of all words after a context still add up to one. Counting covers every training text.
+Smoothing is interpolated absolute discounting down to the unigram estimate (c + 1/2) / (N + (V + 1)/2). Every n-gram of the
+training texts enters the trie (MIN_COUNT is 1); what the discount takes goes to the shorter context, so the probabilities
+of all words after a context add up to one.
 
 Building is Spark's: words and n-grams are counted per task, dealt out by hash, summed, and written as one file for each
 range of words or contexts into the shared folder, where all executors map them into memory. No level passes the driver.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tallymart.llm.common import drop, fold, shared_dir, small_batches, text_steps, written
 from tallymart.llm.tokenfile import file_system
 
-ORDER, MIN_COUNT, DISCOUNT = 3, 2, 0.5
+ORDER, MIN_COUNT, DISCOUNT = 3, 1, 0.5
 #: Hashes of the end of a text and of what stands before its first word; no word has them, being kept apart by a bit.
 END, BEGIN = np.uint64(0), np.uint64(1)
 
