@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,18 +12,31 @@ from tallymart.functions.geo import near_pairs
 NEAR_M, FAR_M = 75, 500
 
 
+def unpinned_pairs(sources: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of which a pin is missing, which is no conflict: equal names, or equal brands whose cities do not differ."""
+    pinned = F.col("lat").isNotNull() & F.col("lng").isNotNull()
+    s = sources.select(F.col("id").alias("id1"), "name", "brand", "city", pinned.alias("pinned"))
+    k = known.select(F.col("id").alias("id2"), "name", "brand", "city", pinned.alias("pinned"))
+    found = []
+    for a, b in ((s.where("NOT pinned"), k), (s.where("pinned"), k.where("NOT pinned"))):
+        found += [a.join(b, ["name"]), a.join(b, ["brand", "city"]), a.where("city IS NULL").join(b, ["brand"]), a.join(b.where("city IS NULL"), ["brand"])]
+    return reduce(DataFrame.union, [x.select("id1", "id2") for x in found]).distinct()
+
+
 def candidate_verdicts(sources: DataFrame, known: DataFrame, degrees: float = 0.006) -> DataFrame:
-    """E4/E5 for pinned rows (id, name, brand, city, platform, lat, lng): one row per candidate that is not ruled out.
+    """E4/E5 (id, name, brand, city, platform, lat, lng): one row per candidate that is not ruled out.
 
-    Pins farther apart than FAR_M exclude each other, so the join on cells meets every candidate; names are compared after it."""
+    Pins farther apart than FAR_M exclude each other, so the join on cells meets every candidate of which both have pins;
+    names are compared after it. The others meet by name and brand."""
     pairs = near_pairs(sources, known, FAR_M, degrees)
+    pairs = pairs.union(unpinned_pairs(sources, known).withColumn("metres", F.lit(None).cast("double")))
     s = sources.select(F.col("id").alias("id1"), F.col("name").alias("n1"), F.col("brand").alias("b1"), F.col("city").alias("c1"), F.col("platform").alias("p1"))
     k = known.select(F.col("id").alias("id2"), F.col("name").alias("n2"), F.col("brand").alias("b2"), F.col("city").alias("c2"), F.col("platform").alias("p2"))
     j = pairs.join(s, "id1").join(k, "id2")
     name, brand = F.coalesce(F.col("n1") == F.col("n2"), F.lit(False)), F.coalesce(F.col("b1") == F.col("b2"), F.lit(False))
     metres = F.floor(F.col("metres") + 0.5)
     j = j.where((name | brand) & ~F.coalesce(F.col("c1") != F.col("c2"), F.lit(False)))
-    strong = name & (metres <= NEAR_M)
+    strong = name & F.coalesce(metres <= NEAR_M, F.lit(False))
     same = F.col("p1") == F.col("p2")
     verdict = F.when(strong & ~same, "match").otherwise("review")
     city = F.coalesce(F.col("c1") == F.col("c2"), F.lit(False))
