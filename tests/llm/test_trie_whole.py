@@ -9,14 +9,17 @@ from tallymart.llm import trie
 def test_ngrams_seen_once_are_stored(spark):
     docs = spark.createDataFrame([("a b c d",), ("a b e",)], "text string")
     model = trie.learn(docs)
-    w = model.walk(["a b c d", "a b e", "c a"])
-    assert (w["node2"][:9] >= 0).all()  # every bigram of the training texts, ends and beginnings included
+    tokens = trie.Tokens()
+    code, lengths = tokens.of(["a b c d", "a b e", "c a"])
+    number, count = model.words(tokens.hashes)
+    w = model.walk(number[code], count[code], lengths)
+    assert w["two"][:9].all()  # every bigram of the training texts, ends and beginnings included
     first = np.array([True, False, False, False, False, True, False, False, False])
-    assert ((w["node3"][:9] >= 0) == ~first).all()  # the first token of a text has no trigram
-    assert (w["node2"][9:] == -1).all() and (w["node3"][9:] == -1).all()
+    assert (w["three"][:9] == ~first).all()  # the first token of a text has no trigram
+    assert not w["two"][9:].any() and not w["three"][9:].any()
 
     n, v, d = 9, 6, trie.DISCOUNT
     p1 = lambda c: (c + 0.5) / (n + 0.5 * (v + 1))
     p_bc = (1 - d) / 2 + (1 - 2 * (1 - d) / 2) * p1(1)
     p_abc = (1 - d) / 2 + (1 - 2 * (1 - d) / 2) * p_bc
-    assert w["prob2"][2] == pytest.approx(np.log10(p_bc), abs=1e-6) and w["prob3"][2] == pytest.approx(np.log10(p_abc), abs=1e-6)
+    assert w["p"][2] == pytest.approx(np.log10(p_abc), abs=1e-6)
