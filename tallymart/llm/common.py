@@ -57,14 +57,14 @@ def fold_of(key: int, parts: int) -> int:
     return zlib.crc32(str(key).encode()) % parts
 
 
-def text_steps(batches: Iterator[pa.RecordBatch], *columns: str, text: str = "text") -> Iterator[tuple]:
-    """(columns..., texts) as lists, at most STEP_BYTES of text at once; a null text is empty."""
+def text_steps(batches: Iterator[pa.RecordBatch], *columns: str, text: str = "text", step: int = STEP_BYTES) -> Iterator[tuple]:
+    """(columns..., texts) as lists, at most `step` characters of text at once; a null text is empty."""
     for batch in batches:
         rest = [batch.column(c).to_pylist() for c in columns]
         held, start, size = [], 0, 0
         for i, t in enumerate(batch.column(text)):
             t = t.as_py() or ""
-            if held and size + len(t) > STEP_BYTES:
+            if held and size + len(t) > step:
                 yield (*(c[start:i] for c in rest), held)
                 held, start, size = [], i, 0
             held.append(t)

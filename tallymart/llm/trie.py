@@ -19,7 +19,7 @@ Each part becomes one file of levels 2 and 3 in the shared folder, where all exe
 the bounds of the parts (one for each PART_TOKENS tokens) reach the driver.
 
 A null or empty text is its end token. Repeated rows count and score each. Without training texts the model is uniform
-over one unknown word. Words are told apart by 63 bits of their xxh3 hash; two words that share them count as one.
+over one unknown word. Words are told apart by 63 bits of a hash; two words that share them count as one.
 """
 
 from __future__ import annotations
@@ -41,10 +41,12 @@ from tallymart.llm.common import drop, fold, shared_dir, small_batches, text_ste
 from tallymart.llm.tokenfile import file_system
 
 DISCOUNT = 0.5
-#: Tokens whose trigrams share a part, words in a file of level 1, tokens that a task counts at once (their distinct words fit 21 bits).
-PART_TOKENS, FILE_WORDS, COUNT_TOKENS = 2_000_000, 500_000, 2_000_000
-#: Bytes of files that a worker keeps open (of copies in full, of mapped files their directories), and words whose numbers a task keeps.
-OPEN_BYTES, KEEP_WORDS = 512 << 20, 400_000
+#: Tokens whose trigrams share a part, words in a file of level 1, tokens that a task counts at once (so that three of their words fit 63 bits) and characters of them.
+PART_TOKENS, FILE_WORDS, COUNT_TOKENS, COUNT_CHARS = 2_000_000, 500_000, 2_000_000, 10 << 20
+#: Bytes of files that a worker keeps open: of copies in full, of mapped files their directories.
+OPEN_BYTES = 512 << 20
+#: Searches that one vectorised step handles together.
+CHUNK = 1 << 14
 #: Hash of the end of a text; no word has it, being kept apart by a bit.
 END = np.uint64(0)
 
@@ -117,6 +119,8 @@ class EliasFano:
 
     def get(self, i: np.ndarray) -> np.ndarray:
         i = np.asarray(i, dtype=np.int64)
+        if len(i) > CHUNK:
+            return np.concatenate([self.get(i[a : a + CHUNK]) for a in range(0, len(i), CHUNK)])
         word = np.searchsorted(self.ones, i.astype(np.uint32), side="right") - 1
         inside = _select_in(self.high[word], i.astype(np.uint64) - self.ones[word])
         high = (word.astype(np.uint64) << 6) + inside - i.astype(np.uint64)
@@ -142,11 +146,13 @@ class EliasFano:
 
         All values before lo must be smaller than x. Values of x's high part stand in one run of set bits, which is
         stepped through, and halved where it is long."""
-        lo, hi = np.asarray(lo, dtype=np.int64), np.asarray(hi, dtype=np.int64)
+        x, lo, hi = np.asarray(x, np.uint64), np.asarray(lo, dtype=np.int64), np.asarray(hi, dtype=np.int64)
         equal = np.zeros(len(lo), dtype=bool)
         if not self.n or not len(lo):
             return hi.copy(), equal
-        x = np.asarray(x, np.uint64)
+        if len(x) > CHUNK:  # so that what a chunk needs stays in the processor's cache
+            found = [self.find(x[i : i + CHUNK], lo[i : i + CHUNK], hi[i : i + CHUNK]) for i in range(0, len(x), CHUNK)]
+            return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
         part = np.minimum(x >> np.uint64(self.low_bits), np.uint64((self.top >> self.low_bits) + 1)).astype(np.int64)
         want = x & np.uint64((1 << self.low_bits) - 1)
         pos = np.minimum(np.maximum(self._below(part), lo), hi)
@@ -264,32 +270,45 @@ def _load(folder: str, name: str, keep: bool = True) -> _Parts:
 # --- tokens -------------------------------------------------------------------------------------------------------
 
 
-class Tokens:
-    """Codes of a task's words in order of appearance, 0 the end of a text. Starts anew when it holds too many."""
-
-    def __init__(self):
-        self.clear()
-
-    def clear(self) -> None:
-        self.codes: defaultdict[bytes, int] = defaultdict()
-        self.codes.default_factory = lambda: len(self.codes) + 1
-        self.hashes = np.array([END])
-
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of all tokens, each text with its end, and lengths; `hashes` covers all codes then."""
-        if len(self.codes) > KEEP_WORDS:
-            self.clear()
-        split = [t.encode().lower().split() for t in texts]
-        lengths = np.fromiter(map(len, split), dtype=np.int64, count=len(split)) + 1
-        code = np.zeros(int(lengths.sum()), dtype=np.int64)
-        known, at = len(self.codes), 0
-        get = self.codes.__getitem__
-        for ws in split:
-            code[at : at + len(ws)] = np.fromiter(map(get, ws), dtype=np.int64, count=len(ws))
-            at += len(ws) + 1
-        new = list(self.codes)[known:] if len(self.codes) > known else []
-        self.hashes = np.r_[self.hashes, np.fromiter((xxhash.xxh3_64_intdigest(w) | 2 for w in new), dtype=np.uint64, count=len(new))]
-        return code, lengths
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+#: Words are hashed eight bytes at a time, all words at once; a longer one by the library.
+LONG_WORD = 64
+
+
+def _hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of raw begin, and their hashes: two bits of them are set apart for the end of a text."""
+    flat = np.frombuffer(raw, dtype=np.uint8)
+    edge = np.flatnonzero(np.diff(_SPACE[flat], prepend=True, append=True))
+    at, size = edge[::2], edge[1::2] - edge[::2]
+    eights = np.ndarray(len(raw) + 1, dtype="<u8", buffer=raw + bytes(8), strides=(1,))
+    h = size.astype(np.uint64) * _ODD[0]
+    rest = np.arange(len(at))
+    for k in range(0, LONG_WORD, 8):
+        left = np.minimum(size[rest] - k, 8)
+        part = eights[at[rest] + k] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (64 - 8 * left).astype(np.uint64))
+        x = (h[rest] ^ part) * _ODD[1]
+        x = (x ^ (x >> 32)) * _ODD[2]
+        h[rest] = x ^ (x >> 29)
+        rest = rest[size[rest] > k + 8]
+        if not len(rest):
+            break
+    for i in rest.tolist():
+        h[i] = xxhash.xxh3_64_intdigest(raw[at[i] : at[i] + size[i]])
+    return at, h | 2
+
+
+def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, each text with its end, and their numbers by text."""
+    parts = [t.encode() for t in texts]
+    at, h = _hashes(b" ".join(parts).lower())
+    begins = np.cumsum([0, *(len(p) + 1 for p in parts)])
+    text = np.searchsorted(begins, at, side="right") - 1
+    lengths = np.bincount(text, minlength=len(texts)) + 1
+    out = np.full(len(h) + len(texts), END)
+    out[np.arange(len(h)) + text] = h
+    return out, lengths
 
 
 def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -329,13 +348,11 @@ class Model:
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.vocabulary + 1)))
 
-    def words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers (-1: unknown) and training counts."""
-        number, count = np.full(len(hashes), -1, dtype=np.int64), np.zeros(len(hashes), dtype=np.int64)
-        if not self.vocabulary or not len(hashes):
+    def words(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers (-1: unknown) and training counts of ascending hashes."""
+        number, count = np.full(len(h), -1, dtype=np.int64), np.zeros(len(h), dtype=np.int64)
+        if not self.vocabulary or not len(h):
             return number, count
-        order = np.argsort(hashes)
-        h = hashes[order]
         file = (h >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(h), np.int64)
         for f, run in _runs(file):
             if self.word_at[f] == self.word_at[f + 1]:
@@ -343,7 +360,7 @@ class Model:
             level = _load(self.folder, f"words-{f:06d}")
             ef = level["hash"]
             pos, hit = ef.find(h[run], np.zeros(len(h[run]), np.int64), np.full(len(h[run]), ef.n))
-            at = order[run][hit]
+            at = np.arange(run.start, run.stop)[hit]
             number[at] = self.word_at[f] + pos[hit]
             count[at] = level["count"][pos[hit]]
         return number, count
@@ -423,23 +440,18 @@ class Model:
         back = np.where(under, found["back2"][context], 0.0)
         three, p3 = np.zeros(len(number), dtype=bool), np.zeros(len(number))
         ok = np.flatnonzero(under & (number >= 0))
+        ok = ok[np.argsort((pair[context[ok]] << 32) | number[ok])]
         if len(ok):
             at = context[ok]
-            key, one, of = np.unique((pair[at] << 32) | number[ok], return_index=True, return_inverse=True)
-            hit, prob = self.triples(found["part"][at[one]], found["node"][at[one]], key & 0xFFFFFFFF)
-            three[ok], p3[ok] = hit[of], prob[of]
+            three[ok], p3[ok] = self.triples(found["part"][at], found["node"][at], number[ok])
         return {"two": two, "three": three, "p": np.where(three, p3, back + p2)}
 
 
-def score(model: Model, tokens: Tokens, texts: list[str], numbers: dict) -> dict[str, np.ndarray]:
-    """n_tokens, n_known, base_score and score of each text. `numbers` keeps what is known of the task's words."""
-    code, lengths = tokens.of(texts)
-    known = numbers.get("n", 0) if numbers.get("of") is tokens.codes else 0
-    number, count = model.words(tokens.hashes[known:])
-    if known:
-        number, count = np.r_[numbers["number"], number], np.r_[numbers["count"], count]
-    numbers.update(of=tokens.codes, n=len(number), number=number, count=count)
-    number, count = number[code], count[code]
+def score(model: Model, texts: list[str]) -> dict[str, np.ndarray]:
+    """n_tokens, n_known, base_score and score of each text."""
+    hashes, lengths = tokens(texts)
+    distinct, code = np.unique(hashes, return_inverse=True)
+    number, count = (x[code] for x in model.words(distinct))
     p = model.walk(number, count, lengths)["p"]
     heads = np.cumsum(lengths) - lengths
     total = lambda x: np.add.reduceat(x, heads)
@@ -470,23 +482,28 @@ def _unblob(raw: bytes) -> tuple[np.ndarray, ...]:
     return x0 + np.cumsum(dx), y[np.flatnonzero(new)[np.cumsum(new) - 1]], z, c
 
 
-def _trigrams(number: np.ndarray, lengths: np.ndarray, begin: int, piece: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Distinct (first, second, third + 1 or 0 where the text ends) and counts of at most `piece` tokens at once, in order."""
-    first = np.zeros(len(number), dtype=bool)
-    first[np.cumsum(lengths) - lengths] = True
-    for a in range(0, len(number), piece):
-        b = min(len(number), a + piece)
-        words, of = np.unique(np.r_[-1, begin, number[max(0, a - 1) : b + 1]], return_inverse=True)
-        none, start, inner = of[0], of[1], of[2:]
+def _trigrams(code: np.ndarray, words: np.ndarray, lengths: np.ndarray, begin: int, piece: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Distinct (first, second, third + 1 or 0 where the text ends) and counts of at most `piece` tokens at once, in order.
+
+    code: places in `words`, ascending word numbers, so that codes are small and in their order."""
+    first = np.zeros(len(code) + 1, dtype=bool)
+    first[np.cumsum(lengths) - lengths] = first[-1] = True
+    for a in range(0, len(code), piece):
+        b = min(len(code), a + piece)
+        inner, of = code[max(0, a - 1) : b + 1], words
+        if len(words) + 1 >= 1 << 21:
+            seen, inner = np.unique(inner, return_inverse=True)
+            of = words[seen]
+        of = np.r_[-1, of, begin]
+        inner = inner + 1
         here = inner[a - max(0, a - 1) :]
-        x = np.where(first[a:b], start, np.r_[inner[:1], inner][a - max(0, a - 1) :][: b - a])
-        last = np.r_[first, True][a + 1 : b + 1]
-        z = np.where(last, none, np.r_[here[1:], none][: b - a])
-        bits = np.uint64(max(1, (len(words) - 1).bit_length()))
+        x = np.where(first[a:b], len(of) - 1, (inner if a else np.r_[0, inner])[: b - a])
+        z = np.where(first[a + 1 : b + 1], 0, np.r_[here[1:], 0][: b - a])
+        bits = np.uint64((len(of) - 1).bit_length())
         key = ((x.astype(np.uint64) << bits | here[: b - a].astype(np.uint64)) << bits) | z.astype(np.uint64)
         key, c = np.unique(key, return_counts=True)
         mask = np.uint64((1 << int(bits)) - 1)
-        yield words[(key >> (bits + bits)).astype(np.int64)], words[((key >> bits) & mask).astype(np.int64)], words[(key & mask).astype(np.int64)] + 1, c
+        yield of[(key >> (bits + bits)).astype(np.int64)], of[((key >> bits) & mask).astype(np.int64)], of[(key & mask).astype(np.int64)] + 1, c
 
 
 def _relative(word: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -511,20 +528,19 @@ def learn(docs: DataFrame, part_tokens: int = PART_TOKENS, file_words: int = FIL
     docs = docs.select("text")
 
     def word_counts(batches):
-        tokens, held = Tokens(), []
+        held, size = [], 0
 
         def out():
-            h, c = _sums(np.concatenate([h for h, _ in held]), np.concatenate([c for _, c in held]))
+            h, c = _sums(*(np.concatenate(x) for x in zip(*held)))
             held.clear()
             return pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "c": pa.array(c)})
 
         for (texts,) in text_steps(batches):
-            code, _ = tokens.of(texts)
-            counts = np.bincount(code, minlength=len(tokens.hashes))
-            seen = np.flatnonzero(counts)
-            held.append((tokens.hashes[seen], counts[seen]))
-            if sum(len(h) for h, _ in held) > 3_000_000:
+            held.append(np.unique(tokens(texts)[0], return_counts=True))
+            size += len(held[-1][0])
+            if size > 3_000_000:
                 yield out()
+                size = 0
         if held:
             yield out()
 
@@ -569,28 +585,13 @@ def learn(docs: DataFrame, part_tokens: int = PART_TOKENS, file_words: int = FIL
     model.sizes = np.zeros(len(model.bounds), dtype=np.int64)
 
     def counts(batches):
-        tokens, numbers = Tokens(), {}
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def out():
-            number, lengths = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            for x, y, z, c in _trigrams(number, lengths, begin, count_tokens):
+        for (texts,) in text_steps(batches, step=COUNT_CHARS):
+            hashes, lengths = tokens(texts)
+            distinct, code = np.unique(hashes, return_inverse=True)
+            for x, y, z, c in _trigrams(code, model.words(distinct)[0], lengths, begin, count_tokens):
                 for p, run in _runs(np.searchsorted(model.bounds, (x << 32) | y, side="right") - 1):
                     yield pa.RecordBatch.from_pydict({"p": pa.array([p], pa.int64()), "grams": pa.array([_blob(x[run], y[run], z[run], c[run])], pa.binary())})
 
-        for (texts,) in text_steps(batches):
-            code, lengths = tokens.of(texts)
-            known = numbers.get("n", 0) if numbers.get("of") is tokens.codes else 0
-            fresh = model.words(tokens.hashes[known:])[0]
-            number = np.r_[numbers["number"], fresh] if known else fresh
-            numbers.update(of=tokens.codes, n=len(number), number=number)
-            held.append((number[code], lengths))
-            if sum(len(x) for x, _ in held) > count_tokens:
-                yield from out()
-        if held:
-            yield from out()
-
     def part_file(key, rows):
         p = key[0].as_py()
         x, y, z, c = (np.concatenate(a) for a in zip(*(_unblob(r.as_py()) for r in rows.column("grams"))))
@@ -667,9 +668,8 @@ def scored(df: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """key, n_tokens, n_known, train_tokens, base_score, score for every row."""
 
     def rows(batches):
-        tokens, numbers = Tokens(), {}
         for keys, texts in text_steps(batches, key):
-            found = score(model, tokens, texts, numbers)
+            found = score(model, texts)
             yield pa.RecordBatch.from_pydict({key: pa.array(keys, pa.int64()), "train_tokens": pa.array([model.tokens] * len(keys), pa.int64())} | {k: pa.array(v) for k, v in found.items()})
 
     return df.select(F.col(key).cast("long").alias(key), "text").mapInArrow(rows, f"{key} long, train_tokens long, n_tokens long, n_known long, base_score double, score double")
