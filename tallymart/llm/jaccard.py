@@ -1,21 +1,24 @@
 """Jaccard join on word n-grams by a blocked sparse product of the document by n-gram incidence matrix.
 
-1. Each document becomes a row of the incidence matrix: the sorted 64-bit hashes of its distinct shingles. Equal rows
-   fall into one class, found by grouping on a 128-bit fingerprint; only one row of each class goes on.
-2. Two linked rows differ in at most a/9 columns, a the smaller size (the size-derived bound at 90 %). For a range of
-   sizes the columns are dealt into more blocks than that, so a linked pair agrees on a whole block. A row's blocks are
-   summed into signatures; rows that share none are below the bound and are discarded without a product.
-3. In each signature group the row that meets most others is the pivot. Overlap counts of pivots with their groups come
-   from sparse products over batches of pairs, each row of the matrix against all its partners at once.
-4. Links give components. Where a pivot's group still spans several components, its rows are written as differences from
-   the pivot's row. Two rows of the group that link, at least one of them not linked to the pivot, share an element of
-   these differences (the few pairs so close to the pivot that they need not are listed apart). So a second, far sparser
-   product over the differences, rare elements first, finds the pairs across components that have to be counted, and no
-   link between components is lost, while pairs inside one component are never listed.
-
-A row that appears in a large group of copies costs one class; a hot signature is aggregated before it is shuffled and its
-join is split by the adaptive planner. Documents without words have the empty set and link with nothing. Rows of one
-doc_id are one node. A row with a null doc_id takes the component of its class, null if no member has an id.
+1. Each text becomes a row of the incidence matrix: the sorted 64-bit hashes of its distinct shingles. Rows are written
+   once. Equal rows fall into one class, found by grouping on a 128-bit fingerprint; one row of each class goes on, the
+   class's node. Classes that share a doc_id are linked, as rows of one doc_id are one document.
+2. Two linked rows of sizes a <= b share at least PERCENT % of b's columns, so they share one of the first
+   b - ceil(PERCENT % of b) + 1 columns of either, in any order of the columns that is the same for all rows: the
+   size-derived bound that discards all other pairs. Columns go in order of how often they occur, by a histogram of hashed
+   columns of fixed size, so columns that many documents share are hardly ever among the first.
+3. Of each column and range of sizes one row is the pivot. Overlap counts of pivots with their groups come from sparse products over
+   batches of pairs, and what the row and its pivot differ in is written beside each count.
+4. Links give components. Where a pivot's group spans several components, two of its rows that link share an element of
+   their differences from the pivot, by the same bound on the differences (the few pairs so close to the pivot that they
+   need not are listed apart). These groups are met by pivots again; only what is then still apart is counted pair by
+   pair. So no link between components is lost, while pairs inside one component are never listed.
+
+A large group of copies costs one class. A hot column is aggregated before it is shuffled and its join is split by the
+adaptive planner. Documents without words (null, empty or blank text) have the empty set and link with nothing. A row with
+a null doc_id links like any other and takes the component of its class; null if no member of the component has an id.
+Repeated rows each get the component of their doc_id. Columns of df other than key and text play no part. An empty table
+yields no rows.
 """
 
 from __future__ import annotations
@@ -23,14 +26,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.common import drop, shared_dir, text_steps, written
 
 SHINGLE, PERCENT = 3, 90
-#: Ids or signatures that may be broadcast to pick out rows (16 MB); more are joined by shuffle.
-BROADCAST_IDS = 1_000_000
+#: Ids that may be broadcast to pick out rows (8 MB as numbers); more are joined by shuffle.
+BROADCAST_IDS = 500_000
+#: Cells of the histogram that orders columns (1 MB); it need only tell frequent ones from rare ones.
+CELLS = 1 << 18
 _P = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0x27D4EB2F165667C5), np.uint64(0x85EBCA77C2B2AE63)]
 
 
@@ -64,49 +69,34 @@ def shingle_rows(texts: list[str], k: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def bound(size: int, percent: int = PERCENT) -> int:
+def bound(size, percent: int = PERCENT):
     """Columns in which two linked rows can differ at most, the smaller of which has `size`."""
     return size * (100 - percent) // percent
 
 
-def size_ranges(percent: int = PERCENT, top: int = 1 << 40) -> list[tuple[int, int]]:
-    """(least, largest) size of each range; smaller rows link with equal rows alone."""
-    least = -(-percent // (100 - percent))
-    out = []
-    while least < top:
-        largest = least * 3 // 2
-        out.append((least, largest))
-        least = largest + 1
-    return out
+def first_columns(row: np.ndarray, cells: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The columns of which any linked row shares one: the rarest, one more than a linked row can lack."""
+    n = len(row) - -(-percent * len(row) // 100) + 1 if len(row) else 0
+    if n >= len(row):
+        return row
+    often = cells[(row % np.uint64(CELLS)).astype(np.int64)]
+    if n < len(row) // 2:  # a row of its own rank apart: ties by the column itself
+        least = np.partition(often, n - 1)[n - 1]
+        some = np.flatnonzero(often <= least)
+        row, often = row[some], often[some]
+    return row[np.lexsort((row, often))[:n]]
 
 
-def signatures(row: np.ndarray, ranges: list[tuple[int, int]], percent: int = PERCENT) -> np.ndarray:
-    """Hashes of the row's column blocks, for its own range of sizes and for the one below if it reaches that."""
-    n = len(row)
-    at = next((i for i, (lo, hi) in enumerate(ranges) if lo <= n <= hi), None)
-    if at is None:
-        return np.zeros(0, dtype=np.int64)
-    schemes = [at] + ([at - 1] if at and n * percent <= 100 * ranges[at - 1][1] else [])
-    out = []
-    with np.errstate(over="ignore"):
-        mixed = _mix(row + _P[0])
-        for i in schemes:
-            d = bound(ranges[i][1], percent)
-            spare = 0 if d < 3 else 1 + d // 24  # so many empty blocks are no loss
-            blocks = d + 1 + spare
-            block = ((row >> np.uint64(20)) % np.uint64(blocks)).astype(np.int64)
-            order = np.argsort(block, kind="stable")
-            sizes = np.bincount(block, minlength=blocks)
-            heads = np.cumsum(sizes) - sizes
-            full = np.flatnonzero(sizes)
-            sums = np.add.reduceat(mixed[order], heads[full])
-            tag = np.uint64(i * 1_000_003) * _P[1]
-            sig = _mix(sums + tag + full.astype(np.uint64) * _P[2])
-            out.append(sig)
-            if blocks - len(full) > spare:
-                empty = np.flatnonzero(sizes == 0).astype(np.uint64)
-                out.append(_mix(tag + empty * _P[2] + _P[3]))
-    return np.concatenate(out).view(np.int64)
+def ranges_of(size: int, percent: int = PERCENT) -> list[int]:
+    """Ranges of sizes, each half as wide again as the one below, in which a row meets others: its own, and the one below if linked rows can be there."""
+    if bound(size, percent) == 0 and bound(size - 1, percent) == 0:
+        return []  # links with equal rows alone
+    at, top = 0, 1
+    tops = []
+    while top < size:
+        tops.append(top)
+        at, top = at + 1, top * 3 // 2 + 1
+    return [at] + ([at - 1] if tops and size * percent <= 100 * tops[-1] else [])
 
 
 def products(pairs: list[tuple[int, int]], rows: list[np.ndarray]) -> np.ndarray:
@@ -130,36 +120,66 @@ def products(pairs: list[tuple[int, int]], rows: list[np.ndarray]) -> np.ndarray
     return count
 
 
-def _links(percent: int):
+def _block(left, right) -> tuple[list[tuple[int, int]], list[np.ndarray]]:
+    """Pairs of places and the distinct rows at them, of two columns of packed rows."""
+    index: dict[bytes, int] = {}
+    held: list[np.ndarray] = []
+
+    def at(raw: bytes) -> int:
+        if raw not in index:
+            index[raw] = len(held)
+            held.append(np.frombuffer(raw, dtype=np.uint64))
+        return index[raw]
+
+    return [(at(a), at(b)) for a, b in zip(left.to_pylist(), right.to_pylist())], held
+
+
+def _pivot_products(percent: int):
+    """Pairs with both rows: whether they link, and the columns in which they differ."""
+
     def rows(batches):
         for b in batches:
-            a, c = b.column("a").to_pylist(), b.column("b").to_pylist()
-            index: dict[bytes, int] = {}
-            held: list[np.ndarray] = []
-
-            def at(raw: bytes) -> int:
-                if raw not in index:
-                    index[raw] = len(held)
-                    held.append(np.frombuffer(raw, dtype=np.uint64))
-                return index[raw]
-
-            left = [at(x) for x in b.column("sa").to_pylist()]
-            right = [at(x) for x in b.column("sb").to_pylist()]
-            size = np.array([len(r) for r in held] or [0])
-            x, y = size[left], size[right]
-            near = np.flatnonzero((np.minimum(x, y) * 100 >= percent * np.maximum(x, y)) & (x > 0))
-            both = products([(left[k], right[k]) for k in near], held) if len(near) else np.zeros(0, np.int64)
-            good = near[100 * both >= percent * (x[near] + y[near] - both)]
-            yield pa.RecordBatch.from_pydict({"a": pa.array([a[k] for k in good], pa.int64()), "b": pa.array([c[k] for k in good], pa.int64())})
+            pairs, held = _block(b.column("sa"), b.column("sb"))
+            both = products(pairs, held) if pairs else np.zeros(0, np.int64)
+            linked = [100 * int(n) >= percent * (len(held[i]) + len(held[j]) - int(n)) for n, (i, j) in zip(both, pairs)]
+            diffs = [np.setxor1d(held[i], held[j], assume_unique=True).tobytes() for i, j in pairs]
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), b.column("n"), pa.array(linked, pa.bool_()), pa.array([len(d) // 8 for d in diffs], pa.int64()), pa.array(diffs, pa.binary())], ["a", "b", "n", "linked", "far", "diff"])
 
     return rows
 
 
-def _differences(batches):
-    """The columns in which a row and its pivot's row differ."""
+def _difference_products(percent: int):
+    """Pairs with their differences from one pivot: columns in which the two rows differ are those in one difference alone."""
+
+    def rows(batches):
+        for b in batches:
+            pairs, held = _block(b.column("da"), b.column("db"))
+            shared = products(pairs, held) if pairs else np.zeros(0, np.int64)
+            size = np.array([len(h) for h in held] or [0])
+            apart = np.array([size[i] + size[j] for i, j in pairs], dtype=np.int64) - 2 * shared
+            total = b.column("na").to_numpy() + b.column("nb").to_numpy()
+            both, union = total - apart, total + apart  # twice the sizes of the intersection and the union
+            good = np.flatnonzero((100 * both >= percent * union) & (both > 0))
+            yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(good)), b.column("b").take(pa.array(good))], ["a", "b"])
+
+    return rows
+
+
+def _histogram(batches):
+    cells = np.zeros(CELLS, dtype=np.int64)
     for b in batches:
-        of = [np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True).view(np.int64) for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist())]
-        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(of, pa.list_(pa.int64()))], ["a", "b", "diff"])
+        flat = np.frombuffer(b"".join(b.column("s").to_pylist()), dtype=np.uint64)
+        cells += np.bincount((flat % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+    some = np.flatnonzero(cells)
+    yield pa.RecordBatch.from_pydict({"cell": pa.array(some), "n": pa.array(cells[some])})
+
+
+def histogram(rows: DataFrame, column: str) -> np.ndarray:
+    """How often the columns of each cell occur in packed rows: CELLS numbers, whatever the size of the table."""
+    counts = rows.select(F.col(column).alias("s")).mapInArrow(_histogram, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells = np.zeros(CELLS, dtype=np.int64)
+    cells[counts.column("cell").to_numpy()] = counts.column("n").to_numpy()
+    return cells
 
 
 def components(links: DataFrame, folder: str) -> DataFrame:
@@ -182,86 +202,194 @@ def components(links: DataFrame, folder: str) -> DataFrame:
             return labels
 
 
-def joined(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of df."""
-    spark, folder = df.sparkSession, shared_dir(df.sparkSession)
-    docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+class _Work:
+    """One run of the join: its rows (doc_id, h: hash of the text, n, cls, row) and for each class its component."""
 
-    def rows(batches):
-        ranges = size_ranges(percent)
-        for ids, texts in text_steps(batches, "doc_id"):
-            with np.errstate(over="ignore"):
-                sets = shingle_rows(texts, k)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": pa.array(ids, pa.int64()),
-                    "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                    "cls": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    "sigs": pa.array([signatures(s, ranges, percent) for s in sets], pa.list_(pa.int64())),
-                }
-            )
-
-    table = written(docs.mapInArrow(rows, "doc_id long, n_shingles long, cls binary, sigs array<long>"), f"{folder}/rows")
-    classes = written(table.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("rep")), f"{folder}/classes")
-    reps = classes.where("rep IS NOT NULL").select(F.col("rep").alias("doc_id"))
-    member = table.join(reps, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.explode("sigs").alias("sig"))
-    shared = written(member.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1"), f"{folder}/shared")
-    few_shared = shared.count() <= BROADCAST_IDS  # then the signatures, most of which are alone, need no second shuffle
-    members = written(member.join(F.broadcast(shared) if few_shared else shared, "sig").distinct(), f"{folder}/members")
-    drop(spark, f"{folder}/shared")
-
-    def incidence(ids: DataFrame, name: str) -> DataFrame:
-        ids = written(ids, f"{folder}/{name}-ids")
-        few = ids.count() <= BROADCAST_IDS
-        texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-
-        def sets(batches):
-            for keys, ts in text_steps(batches, "doc_id"):
+    def __init__(self, df: DataFrame, key: str, text: str, k: int, percent: int, by_id: bool):
+        self.spark, self.folder, self.percent = df.sparkSession, shared_dir(df.sparkSession), percent
+        docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+
+        def incidence(batches):
+            for ids, hs, texts in text_steps(batches, "doc_id", "h"):
                 with np.errstate(over="ignore"):
-                    yield pa.RecordBatch.from_pydict({"id": pa.array(keys, pa.int64()), "s": pa.array([x.tobytes() for x in shingle_rows(ts, k)], pa.binary())})
-
-        return written(texts.mapInArrow(sets, "id long, s binary").distinct(), f"{folder}/{name}-sets")
-
-    degree = members.groupBy("id").agg(F.sum(F.col("n") - 1).alias("met"))
-    pivots = members.join(degree, "id").groupBy("sig").agg(F.max_by("id", "met").alias("a"))
-    star = written(members.join(pivots, "sig").where("id != a").select("a", F.col("id").alias("b")).distinct(), f"{folder}/star")
-    sets = incidence(star.select(F.col("a").alias("doc_id")).union(star.select("b")).distinct(), "star")
-
-    def both_rows(pairs: DataFrame) -> DataFrame:
-        right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-        return pairs.join(right, "b").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        la, lb = F.octet_length("sa"), F.octet_length("sb")  # sizes settle many pairs before a product
-        full = both_rows(pairs).where((F.least(la, lb) * 100 >= percent * F.greatest(la, lb)) & (la > 0))
-        return written(full.select("a", "b", "sa", "sb").mapInArrow(_links(percent), "a long, b long").distinct(), f"{folder}/{name}-links")
-
-    links = verified(star, "star")
-    labels = components(links, f"{folder}/first")
-    named = star.join(labels.select(F.col("id").alias("b"), "label"), "b", "left").join(labels.select(F.col("id").alias("a"), F.col("label").alias("of_a")), "a", "left")
-    named = named.select("a", "b", F.coalesce("label", "b").alias("label"), F.coalesce("of_a", "a").alias("of_a"))
-    spans = named.groupBy("a").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("a")
-    rest = written(named.join(spans, "a"), f"{folder}/rest")
-    apart = both_rows(rest.select("a", "b")).select("a", "b", "sa", "sb")
-    diffs = apart.mapInArrow(_differences, "a long, b long, diff array<long>")
-    size = sets.select(F.col("id").alias("b"), (F.octet_length("s") / 8 * (100 - percent) / percent).cast("long").alias("d"))
-    diffs = written(diffs.join(size, "b").join(rest, ["a", "b"]).select("a", "b", "label", "of_a", "d", F.size("diff").cast("long").alias("far"), "diff"), f"{folder}/diffs")
-    element = diffs.select("a", "b", "label", "d", "far", F.explode("diff").alias("e"))
-    counts = element.groupBy("a", "e").agg(F.count("*").alias("f"))
-    rare_first = Window.partitionBy("a", "b").orderBy("f", "e")
-    prefix = element.join(counts, ["a", "e"]).withColumn("at", F.row_number().over(rare_first)).where(F.col("at") <= F.least(F.col("far"), F.col("d") + 1))
-    prefix = written(prefix.where("f > 1").select("a", "e", "b", "label"), f"{folder}/prefix")
-    pair = (F.least("b", "b2").alias("a"), F.greatest("b", "b2").alias("b"))
-    sharing = prefix.join(prefix.select("a", "e", F.col("b").alias("b2"), F.col("label").alias("label2")), ["a", "e"]).where("label < label2").select(*pair)
-    near = diffs.where("label != of_a AND far <= d").select("a", "b", "label", (F.col("d") - F.col("far")).alias("room"))
-    close = near.join(diffs.select("a", F.col("b").alias("b2"), F.col("label").alias("label2"), F.col("far").alias("far2")), "a").where("label != label2 AND far2 <= room").select(*pair)
-    across = written(sharing.union(close).distinct(), f"{folder}/across")
-    more = verified(across, "across")
-    if more.limit(1).count():
-        labels = components(links.union(more), f"{folder}/second")
-    for name in ("star-sets", "diffs", "prefix"):
-        drop(spark, f"{folder}/{name}")
-    drop(spark, f"{folder}/members")
-    by_class = classes.join(labels, classes["rep"] == labels["id"], "left").select("cls", F.coalesce("label", "rep").alias("component"))
-    plain = table.select("doc_id", "n_shingles", "cls").join(by_class, "cls", "left")
-    return plain.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+                    sets = [s.tobytes() for s in shingle_rows(texts, k)]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": pa.array(ids, pa.int64()),
+                        "h": pa.array(hs, pa.int64()),
+                        "n": pa.array([len(s) // 8 for s in sets], pa.int64()),
+                        "cls": pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()),
+                        "s": pa.array(sets, pa.binary()),
+                    }
+                )
+
+        rows = docs.mapInArrow(incidence, "doc_id long, h long, n long, cls binary, s binary").withColumn("row", F.monotonically_increasing_id())
+        self.rows = self.put(rows, "rows")
+        classes = self.rows.where("n > 0").groupBy("cls").agg(F.min("row").alias("node"))
+        self.classes = self.put(classes, "classes")
+        met = self.stars()
+        links = met.where("linked").select("a", "b")
+        if by_id:
+            links = links.union(self.put(self.ties(), "ties"))
+        self.components = self.named(self.settled(met, links))
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        return written(df, f"{self.folder}/{name}")
+
+    def few(self, ids: DataFrame) -> DataFrame:
+        """A written table of ids, to be broadcast if it is small."""
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            drop(self.spark, f"{self.folder}/{name}")
+
+    def ties(self) -> DataFrame:
+        """Classes that share an id: each of its classes with the first of them."""
+        of_class = self.rows.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "cls").join(self.few(self.classes), "cls").select("doc_id", "node")
+        shared = of_class.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("doc_id", "a")
+        return of_class.join(shared, "doc_id").where("a < node").select("a", F.col("node").alias("b")).distinct()
+
+    def stars(self) -> DataFrame:
+        """Pivots with the rows that share a first column with them: a, b, n (columns of b), linked, far and diff."""
+        percent = self.percent
+        nodes = self.rows.join(self.few(self.classes.select(F.col("node").alias("row"))), "row", "left_semi").select(F.col("row").alias("node"), "n", "s")
+        cells = histogram(nodes, "s")
+
+        def first(batches):
+            for b in batches:
+                held = [first_columns(np.frombuffer(s, np.uint64), cells, percent).view(np.int64) for s in b.column("s").to_pylist()]
+                ranges = [ranges_of(n, percent) for n in b.column("n").to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(ranges, pa.list_(pa.int32())), pa.array(held, pa.list_(pa.int64()))], ["node", "n", "ranges", "columns"])
+
+        heads = self.put(nodes.mapInArrow(first, "node long, n long, ranges array<int>, columns array<long>").where(F.size("ranges") > 0), "first")
+        column = heads.select("node", "n", "columns", F.explode("ranges").alias("range")).select("node", "n", "range", F.explode("columns").alias("column"))
+        # the pivot of a column is its longest row, so that a group's columns choose alike
+        pivots = column.groupBy("column", "range").agg(F.max(F.struct("n", "node")).alias("top"), F.count("*").alias("members")).where("members > 1")
+        pivots = self.put(pivots.select("column", "range", F.col("top.node").alias("a")), "pivots")
+        star = column.join(self.few(pivots), ["column", "range"]).where("node <> a").select("a", F.col("node").alias("b"), "n").distinct()
+        star = self.put(star, "star")
+        self.drop("first", "pivots")
+        # each member's row goes once to each of its pivots, and each pivot's row is added there
+        side = self.rows.select(F.col("row").alias("b"), F.col("s").alias("sb")).join(self.few(star), "b").select("a", "b", "n", "sb")
+        centers = self.put(star.select(F.col("a").alias("row")).distinct(), "centers")
+        center = self.rows.join(self.few(centers), "row", "left_semi").select(F.col("row").alias("a"), F.col("s").alias("sa"))
+        return self.put(side.join(center, "a").mapInArrow(_pivot_products(percent), "a long, b long, n long, linked boolean, far long, diff binary"), "met")
+
+    def label_of(self, rows: DataFrame, key: str, name: str, labels: DataFrame) -> DataFrame:
+        found = rows.join(self.few(labels).select(F.col("id").alias(key), F.col("label").alias("_label")), key, "left")
+        return found.withColumn(name, F.coalesce("_label", key)).drop("_label")
+
+    def spanning(self, met: DataFrame, labels: DataFrame) -> DataFrame:
+        """a, b, of_a, label: groups that lie in several components, with the components of pivot and member."""
+        ends = self.label_of(self.label_of(met.select("a", "b"), "a", "of_a", labels), "b", "label", labels)
+        wide = ends.groupBy("a").agg(F.min(F.least("label", "of_a")).alias("x"), F.max(F.greatest("label", "of_a")).alias("y")).where("x < y").select("a")
+        return ends.join(wide, "a")
+
+    def counted(self, diffs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+        """Links among pairs (a: pivot, x, y) of rows of one group."""
+        one = diffs.select("a", F.col("b").alias("x"), F.col("n").alias("na"), F.col("diff").alias("da"))
+        two = diffs.select("a", F.col("b").alias("y"), F.col("n").alias("nb"), F.col("diff").alias("db"))
+        pairs = self.put(pairs.distinct(), f"{name}-pairs")
+        full = one.join(self.few(pairs), ["a", "x"]).join(two, ["a", "y"]).where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
+        made = full.select(F.col("x").alias("a"), F.col("y").alias("b"), "na", "nb", "da", "db").mapInArrow(_difference_products(self.percent), "a long, b long")
+        return self.put(made.distinct(), f"{name}-links")
+
+    def settled(self, met: DataFrame, links: DataFrame) -> DataFrame:
+        """id, label: components of all links, those between two members of a pivot's group included."""
+        percent = self.percent
+        labels = components(links, f"{self.folder}/first-components")
+        rest = self.put(self.spanning(met, labels), "rest")
+        diffs = self.put(met.select("a", "b", "n", "far", "diff").join(self.few(rest), ["a", "b"]), "diffs")
+        cells = histogram(diffs, "diff")
+
+        def first(batches):
+            """The rarest elements of a difference. Of two linked rows, one element is shared by the first half bound of the shorter difference and the first bound of the longer."""
+            for b in batches:
+                out = []
+                for raw, n in zip(b.column("diff").to_pylist(), b.column("n").to_pylist()):
+                    d = np.frombuffer(raw, np.uint64)
+                    often = cells[(d % np.uint64(CELLS)).astype(np.int64)]
+                    out.append(d[np.lexsort((d, often))[: bound(n, percent) + 1]].view(np.int64))
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("a", "b", "n", "far", "label")), pa.array(out, pa.list_(pa.int64()))], ["a", "b", "n", "far", "label", "elements"])
+
+        room = F.floor(F.col("n") * (100 - percent) / percent)
+        heads = diffs.mapInArrow(first, "a long, b long, n long, far long, label long, elements array<long>")
+        element = heads.select("a", "b", "far", "label", room.alias("room"), F.posexplode("elements").alias("at", "e"))
+        element = self.put(element.select("a", "e", "b", "far", "label", (F.col("at") <= F.floor(F.col("room") / 2)).alias("short")), "elements")
+        # elements that only one component has join nothing
+        top = F.min(F.struct("far", "b", "label"))
+        group = element.groupBy("a", "e").agg(F.min("label").alias("x"), F.max("label").alias("y"), top.alias("top")).where("x < y")
+        group = self.put(group.select("a", "e", F.col("top.b").alias("x"), F.col("top.label").alias("label_x")), "groups")
+        element = self.put(element.join(self.few(group), ["a", "e"]), "apart")
+        pairs = element.where("b <> x AND label <> label_x").select("a", "x", F.col("b").alias("y"))
+        again = self.counted(diffs, pairs, "again")
+        element = element.drop("x", "label_x")
+        if again.limit(1).count():
+            links = links.union(again)
+            labels = components(links, f"{self.folder}/second-components")
+            element = self.put(self.label_of(element.drop("label"), "b", "label", labels), "still")
+            rest = self.put(self.spanning(met, labels), "still-rest")
+        # a group's main component need not be joined with itself: of each pair one row is outside it
+        sizes = element.groupBy("a", "e", "label").agg(F.count("*").alias("members"))
+        main = sizes.groupBy("a", "e").agg(F.max_by("label", F.struct("members", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").drop("labels")
+        element = self.put(element.join(main, ["a", "e"]), "open")
+        x = element.where("short").select("a", "e", F.col("b").alias("x"), "far", "label", F.col("main"))
+        y = element.select("a", "e", F.col("b").alias("y"), F.col("far").alias("far2"), F.col("label").alias("label2"), (F.col("label") == F.col("main")).alias("in_main"))
+        pair = ("a", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        outside = x.where("label <> main").join(y, ["a", "e"]).where("label <> label2 AND far <= far2").select(*pair)
+        inside = x.where("label = main").join(y.where("NOT in_main"), ["a", "e"]).where("far <= far2").select(*pair)
+        # pairs so close to the pivot that their differences need share nothing
+        with_labels = diffs.select("a", "b", "far", room.alias("room")).join(self.few(rest), ["a", "b"])
+        near = with_labels.where("label <> of_a AND far <= room").select("a", F.col("b").alias("x"), "label", (F.col("room") - F.col("far")).alias("room"))
+        most = near.groupBy("a").agg(F.max("room").alias("most"))
+        around = with_labels.join(most, "a").where("far <= most").select("a", F.col("b").alias("y"), F.col("far").alias("far2"), F.col("label").alias("label2"))
+        close = near.join(around, "a").where("label <> label2 AND far2 <= room").select(*pair)
+        across = self.counted(diffs, outside.union(inside).union(close), "across")
+        if across.limit(1).count():
+            labels = components(links.union(across), f"{self.folder}/last-components")
+        self.drop("met", "rest", "diffs", "elements", "groups", "apart", "still", "still-rest", "open")
+        return labels
+
+    def named(self, labels: DataFrame) -> DataFrame:
+        """cls, label."""
+        return self.put(self.label_of(self.classes, "node", "label", labels).select("cls", "label"), "components")
+
+    def labelled(self) -> DataFrame:
+        """doc_id, h, n, row and label (null without words) of every row."""
+        return self.rows.select("doc_id", "h", "n", "row", "cls").join(self.few(self.components), "cls", "left").drop("cls")
+
+
+def joined(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of df. Rows of one doc_id are one document."""
+    work = _Work(df, key, text, k, percent, True)
+    rows = work.put(work.labelled(), "labelled")
+    work.drop("rows")
+    least = work.put(rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id")), "least")
+    named = rows.join(work.few(least), "label", "left")
+    return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of df without near copies: of each component the row of the smallest key, a null key last. Each row is a
+    document of its own here, whatever its key, so a text that is nobody's copy stays. Rows without words stay too."""
+    work = _Work(df, key, text, k, percent, False)
+    rows = work.put(work.labelled().where("label IS NOT NULL"), "labelled")
+    work.drop("rows")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    best = work.put(rows.groupBy("label").agg(F.min(order).alias("best"), F.count("*").alias("members")).select("label", F.col("best.row").alias("row"), "members"), "best")
+    of_many = rows.join(work.few(work.put(best.where("members > 1").select("label", F.col("row").alias("best")), "many")), "label")
+    # a text is told by its key and hash; one that stands in several equal rows is thinned to one row
+    marked = of_many.groupBy("doc_id", "h").agg(F.max((F.col("row") == F.col("best")).cast("int")).alias("stays"), F.count("*").alias("n"))
+    marked = work.put(marked.where("stays = 0 OR n > 1"), "marked")
+    held = df.withColumn("_h", F.xxhash64(text))
+
+    def at(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        keys = keys.select(F.col("doc_id").alias("_k"), F.col("h").alias("_h2"))
+        return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys, F.col(key).cast("long").eqNullSafe(F.col("_k")) & (F.col("_h") == F.col("_h2")), how)
+
+    out = at(marked, "left_anti", held)
+    repeated = marked.where("stays = 1")
+    if repeated.limit(1).count():
+        out = out.unionByName(at(repeated, "left_semi", held).dropDuplicates([key, "_h"]))
+    return out.select(*df.columns)

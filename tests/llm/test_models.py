@@ -169,15 +169,58 @@ def test_jaccard(spark, sf_dir, odd, none):
     assert jaccard.joined(none).collect() == []
 
 
-def test_block_signatures_never_miss():
-    rng = np.random.default_rng(5)
-    ranges = jaccard.size_ranges()
-    with np.errstate(over="ignore"):
-        for _ in range(400):
-            n = int(rng.integers(9, 400))
-            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-            d = int(rng.integers(1, max(2, len(a) // 8)))
-            b = np.unique(np.r_[rng.permutation(a)[d // 2 :], rng.integers(0, 2**63, d - d // 2).astype(np.uint64)])
-            both = len(np.intersect1d(a, b))
-            if 100 * both >= 90 * (len(a) + len(b) - both):
-                assert np.intersect1d(jaccard.signatures(a, ranges), jaccard.signatures(b, ranges)).size
+@pytest.mark.parametrize("percent", [80, 90])
+def test_first_columns_never_miss(percent):
+    rng, linked = np.random.default_rng(5), 0
+    cells = rng.integers(0, 9, jaccard.CELLS)
+    for _ in range(800):
+        n = int(rng.integers(4, 400))
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        d = int(rng.integers(1, max(2, len(a) // 4)))
+        b = np.unique(np.r_[rng.permutation(a)[d // 2 :], rng.integers(0, 2**63, d - d // 2).astype(np.uint64)])
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= percent * (len(a) + len(b) - both) and len(both := np.intersect1d(a, b)) < max(len(a), len(b)):
+            linked += 1
+            assert np.intersect1d(jaccard.first_columns(a, cells, percent), jaccard.first_columns(b, cells, percent)).size
+            assert set(jaccard.ranges_of(len(a), percent)) & set(jaccard.ranges_of(len(b), percent))
+    assert linked > 100
+
+
+def test_jaccard_odd_ids(spark):
+    """Ids with several texts tie their texts' groups; rows without an id link like others; a hot group hangs together by members alone."""
+    rows = [(2, "a a2 a3 a4"), (3, "b b2 b3 b4"), (7, "a a2 a3 a4"), (7, "b b2 b3 b4"), (8, "c c2 c3")]
+    base = [f"w{i}" for i in range(60)]
+    near = [*base[:-1], "tail"]
+    rows += [(None, " ".join(near)), (20, " ".join(base)), (21, " ".join(["head", *near[1:]])), (None, "no one else"), (None, None), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.joined(df).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id is not None) == [(2, 2), (3, 2), (7, 2), (7, 2), (8, 8), (9, 9), (20, 20), (21, 20)]
+    assert sorted(str(r.component_id) for r in got if r.doc_id is None) == ["20", "None", "None"]
+    left = jaccard.representatives(spark.createDataFrame([(3, "b x y z"), (7, "b x y z"), (7, "c x y z"), (7, "c x y z"), (None, "c x y z")], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(3, "b x y z"), (7, "c x y z")]
+
+
+@pytest.mark.parametrize("percent, edits", [(90, 3), (80, 7)])
+def test_jaccard_hot_group(spark, percent, edits):
+    """Many edits of one text at and around the threshold, so that most links are between members and not with the pivot."""
+    rng = np.random.default_rng(percent)
+    base = [f"w{i}" for i in range(120)]
+    texts = {}
+    for i in range(220):
+        t = list(base)
+        for at in rng.choice(120, size=1 + int(rng.integers(0, edits)), replace=False):
+            t[at] = f"x{rng.integers(0, 40)}"
+        texts[i] = " ".join(t)
+    sets = {i: {tuple(t.split()[j : j + 3]) for j in range(118)} for i, t in texts.items()}
+    label = {i: i for i in texts}
+    changed = True
+    while changed:
+        changed = False
+        for a in texts:
+            for b in range(a):
+                if label[a] != label[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                    label[a] = label[b] = min(label[a], label[b])
+                    changed = True
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.joined(df, percent=percent).collect()} == label
+    assert len(set(label.values())) > 2

@@ -55,19 +55,3 @@ def test_stage(spark, texts):
     want = components(texts)
     assert {r.doc_id: r.component_id for r in jaccard.joined(docs, k=K, percent=PERCENT).collect()} == want
     assert sorted(r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()) == sorted(set(want.values()))
-
-
-def test_block_signatures_never_miss():
-    rng = np.random.default_rng(6)
-    ranges, linked = jaccard.size_ranges(PERCENT), 0
-    with np.errstate(over="ignore"):
-        for _ in range(600):
-            n = int(rng.integers(4, 400))
-            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-            d = int(rng.integers(1, max(2, len(a) // 4 + 1)))
-            b = np.unique(np.r_[rng.permutation(a)[d // 2 :], rng.integers(0, 2**63, d - d // 2).astype(np.uint64)])
-            both = len(np.intersect1d(a, b))
-            if 100 * both >= PERCENT * (len(a) + len(b) - both):
-                linked += 1
-                assert np.intersect1d(jaccard.signatures(a, ranges, PERCENT), jaccard.signatures(b, ranges, PERCENT)).size
-    assert linked > 100

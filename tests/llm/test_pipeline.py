@@ -1,7 +1,7 @@
 """The pipeline's stages against plain versions of their decisions, each on its own input."""
 
 import corpus_pipeline
-from tests.llm.test_models import components_by_hand
+from tests.llm.test_near_copies import components
 from tests.llm.test_tokens import check_packed, wanted
 from tallymart.llm import language, quality
 
@@ -27,7 +27,7 @@ def test_stages(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spoken.collect()}
     single = stages["n-gram Jaccard join"](spark, spoken, sf_dir).cache()
     assert single.schema.names == docs.schema.names
-    assert sorted(r.doc_id for r in single.collect()) == sorted({c for _, c in components_by_hand(texts).values()})
+    assert sorted(r.doc_id for r in single.collect()) == sorted(set(components(texts).values()))
 
     rows = [(r.doc_id, r.text) for r in single.collect()]
     n, least = check_packed(stages["best-fit packing"](spark, single, sf_dir).collect(), wanted(rows))
