@@ -15,7 +15,7 @@ from tallymart.llm.queries import tokenizer_file
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; of the others the failing lines go, and n_chars follows."""
+    """Rejected documents go, null and empty texts among them; of the others the failing lines go, and n_chars follows. Repeated rows are judged alike."""
     judged = quality.judged(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text")))
     kept = judged.where("kept").select(*(F.col(f"row.{c}").alias(c) for c in docs.columns if c != "text"), F.col("clean_text").alias("text"))
     if "n_chars" in docs.columns:
@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters or with a narrow margin go; the others carry the language that was found."""
+    """Documents without letters (null and empty texts too) or with a narrow margin go; the others carry the language that was found."""
     languages = language.fit(docs.where(fold("doc_id", 4) != 2).select("doc_id", "text", "lang"))
     row = docs.select(F.struct(*docs.columns).alias("row"), "text")
     found = language.labelled(row, languages).where(~F.col("rejected"))
@@ -36,17 +36,12 @@ NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document of the smallest id stays. Rows without an id stay too."""
-    groups = written(jaccard.joined(docs, k=NEAR_SHINGLE, percent=NEAR_PERCENT), shared_dir(spark))
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    # texts stay where they are as long as the ids that go are few enough to be sent around
-    kept = docs.join(F.broadcast(gone) if gone.count() <= jaccard.BROADCAST_IDS else gone, "doc_id", "left_anti")
-    if groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
-    return kept.select(*docs.columns)
+    """Of each component of near copies the row of the smallest id stays, one without an id last. Rows without words stay; of equal rows one stays."""
+    return jaccard.representatives(docs, k=NEAR_SHINGLE, percent=NEAR_PERCENT)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each piece of each document, repeated rows and null or empty texts (one end id) included; other columns go."""
     return packing.packed(docs, tokenizer_file("word_bpe_49k.json"))
 
 
