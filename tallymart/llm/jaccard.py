@@ -7,12 +7,15 @@
    b - ceil(PERCENT % of b) + 1 columns of either, in any order of the columns that is the same for all rows: the
    size-derived bound that discards all other pairs. Columns go in order of how often they occur, by a histogram of hashed
    columns of fixed size, so columns that many documents share are hardly ever among the first.
-3. Of each column and range of sizes one row is the pivot. Overlap counts of pivots with their groups come from sparse products over
-   batches of pairs, and what the row and its pivot differ in is written beside each count.
-4. Links give components. Where a pivot's group spans several components, two of its rows that link share an element of
-   their differences from the pivot, by the same bound on the differences (the few pairs so close to the pivot that they
-   need not are listed apart). These groups are met by pivots again; only what is then still apart is counted pair by
-   pair. So no link between components is lost, while pairs inside one component are never listed.
+3. Of each column and range of sizes one row is the pivot. A row first meets the pivot that most of its columns have, then,
+   where a column's rows still lie in several components, that column's pivot. Pairs whose sizes, or whose numbers of
+   columns by bucket, differ by more than linked rows can are discarded; the overlap counts of the others come from
+   sparse products over batches of pairs.
+4. Links give components. Where a column's rows still lie in several, the other pairs between components are met too. In a
+   column of few rows they are listed. In a larger one rows are written as differences from the pivot: two rows that link
+   share an element of them, by the same bound on the differences (the few pairs so close to the pivot that they need not
+   are listed apart). These groups are met by pivots again; only what is then still apart is counted pair by pair. So no
+   link between components is lost, while pairs inside one component are never listed.
 
 A large group of copies costs one class. A hot column is aggregated before it is shuffled and its join is split by the
 adaptive planner. Documents without words (null, empty or blank text) have the empty set and link with nothing. A row with
@@ -34,8 +37,10 @@ from tallymart.llm.common import drop, shared_dir, text_steps, written
 SHINGLE, PERCENT = 3, 90
 #: Ids that may be broadcast to pick out rows (8 MB as numbers); more are joined by shuffle.
 BROADCAST_IDS = 500_000
-#: Cells of the histogram that orders columns (1 MB); it need only tell frequent ones from rare ones.
-CELLS = 1 << 18
+#: Cells of the histogram that orders columns (4 MB), dealt out in slices; it need only tell frequent ones from rare ones.
+CELLS, SLICES = 1 << 22, 64
+#: Rows of a column, besides its pivot, whose pairs are listed: at most so many for each row; larger groups go by differences.
+LISTED = 8
 _P = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0x27D4EB2F165667C5), np.uint64(0x85EBCA77C2B2AE63)]
 
 
@@ -134,20 +139,50 @@ def _block(left, right) -> tuple[list[tuple[int, int]], list[np.ndarray]]:
     return [(at(a), at(b)) for a, b in zip(left.to_pylist(), right.to_pylist())], held
 
 
-def _pivot_products(percent: int):
-    """Pairs with both rows: whether they link, and the columns in which they differ."""
+def sketch(row: np.ndarray) -> bytes:
+    """Numbers of columns by bucket, about eight to a bucket, at most 255."""
+    buckets = 1 << max(3, len(row).bit_length() - 3)
+    return np.minimum(np.bincount(((row >> np.uint64(40)) & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets), 255).astype(np.uint8).tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """A lower bound, from their sketches, of the number of columns in which two rows differ."""
+    x, y = (np.frombuffer(s, np.uint8).astype(np.int64) for s in sorted((a, b), key=len))
+    if len(y) > len(x):  # buckets of the finer one fall together
+        y = np.minimum(y.reshape(-1, len(x)).sum(axis=0), 255)
+    return int(np.abs(x - y).sum())
+
+
+def _may_link(percent: int):
+    def rows(batches):
+        for b in batches:
+            room = bound(np.minimum(b.column("na").to_numpy(), b.column("nb").to_numpy()), percent).tolist()
+            good = [i for i, (x, y, r) in enumerate(zip(b.column("ka").to_pylist(), b.column("kb").to_pylist(), room)) if apart(x, y) <= r]
+            yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(good, pa.int64())) for c in ("a", "b")], ["a", "b"])
+
+    return rows
+
+
+def _products(percent: int):
+    """Pairs with both rows to those that link."""
 
     def rows(batches):
         for b in batches:
             pairs, held = _block(b.column("sa"), b.column("sb"))
             both = products(pairs, held) if pairs else np.zeros(0, np.int64)
-            linked = [100 * int(n) >= percent * (len(held[i]) + len(held[j]) - int(n)) for n, (i, j) in zip(both, pairs)]
-            diffs = [np.setxor1d(held[i], held[j], assume_unique=True).tobytes() for i, j in pairs]
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), b.column("n"), pa.array(linked, pa.bool_()), pa.array([len(d) // 8 for d in diffs], pa.int64()), pa.array(diffs, pa.binary())], ["a", "b", "n", "linked", "far", "diff"])
+            good = [m for m, (n, (i, j)) in enumerate(zip(both.tolist(), pairs)) if n and 100 * n >= percent * (len(held[i]) + len(held[j]) - n)]
+            yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(good, pa.int64())) for c in ("a", "b")], ["a", "b"])
 
     return rows
 
 
+def _differences(batches):
+    """The columns in which a row and its pivot's row differ."""
+    for b in batches:
+        diffs = [np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True).tobytes() for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), b.column("n"), pa.array([len(d) // 8 for d in diffs], pa.int64()), pa.array(diffs, pa.binary())], ["a", "b", "n", "far", "diff"])
+
+
 def _difference_products(percent: int):
     """Pairs with their differences from one pivot: columns in which the two rows differ are those in one difference alone."""
 
@@ -166,20 +201,35 @@ def _difference_products(percent: int):
 
 
 def _histogram(batches):
+    import zstandard
+
     cells = np.zeros(CELLS, dtype=np.int64)
     for b in batches:
         flat = np.frombuffer(b"".join(b.column("s").to_pylist()), dtype=np.uint64)
         cells += np.bincount((flat % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
-    some = np.flatnonzero(cells)
-    yield pa.RecordBatch.from_pydict({"cell": pa.array(some), "n": pa.array(cells[some])})
+    if cells.any():
+        small = cells.astype(np.uint8) if cells.max() < 256 else cells
+        raw = [zstandard.ZstdCompressor(level=1).compress(x.tobytes()) for x in np.split(small, SLICES)]
+        yield pa.RecordBatch.from_pydict({"slice": pa.array(range(SLICES), pa.int32()), "width": pa.array([small.itemsize] * SLICES, pa.int32()), "cells": pa.array(raw, pa.binary())})
+
+
+def _slice_sum(key, rows):
+    import zstandard
+
+    total = np.zeros(CELLS // SLICES, dtype=np.int64)
+    for raw, width in zip(rows.column("cells").to_pylist(), rows.column("width").to_pylist()):
+        total += np.frombuffer(zstandard.ZstdDecompressor().decompress(raw, max_output_size=width * len(total)), dtype=f"<u{width}").astype(np.int64)
+    steps = np.minimum(255, np.log2(total + 1) * 8).astype(np.uint8)
+    return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "steps": pa.array([steps.tobytes()], pa.binary())})
 
 
 def histogram(rows: DataFrame, column: str) -> np.ndarray:
-    """How often the columns of each cell occur in packed rows: CELLS numbers, whatever the size of the table."""
-    counts = rows.select(F.col(column).alias("s")).mapInArrow(_histogram, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    cells = np.zeros(CELLS, dtype=np.int64)
-    cells[counts.column("cell").to_numpy()] = counts.column("n").to_numpy()
-    return cells
+    """How often the columns of each cell occur in packed rows, in steps of an eighth of a doubling: CELLS bytes, whatever the size of the table."""
+    counts = rows.select(F.col(column).alias("s")).mapInArrow(_histogram, "slice int, width int, cells binary")
+    cells = np.zeros((SLICES, CELLS // SLICES), dtype=np.uint8)
+    for r in counts.groupBy("slice").applyInArrow(_slice_sum, "slice int, steps binary").collect():
+        cells[r["slice"]] = np.frombuffer(r["steps"], np.uint8)
+    return cells.ravel()
 
 
 def components(links: DataFrame, folder: str) -> DataFrame:
@@ -227,11 +277,10 @@ class _Work:
         self.rows = self.put(rows, "rows")
         classes = self.rows.where("n > 0").groupBy("cls").agg(F.min("row").alias("node"))
         self.classes = self.put(classes, "classes")
-        met = self.stars()
-        links = met.where("linked").select("a", "b")
+        members, links = self.stars()
         if by_id:
             links = links.union(self.put(self.ties(), "ties"))
-        self.components = self.named(self.settled(met, links))
+        self.components = self.named(self.settled(members, links))
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         return written(df, f"{self.folder}/{name}")
@@ -250,41 +299,61 @@ class _Work:
         shared = of_class.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("doc_id", "a")
         return of_class.join(shared, "doc_id").where("a < node").select("a", F.col("node").alias("b")).distinct()
 
-    def stars(self) -> DataFrame:
-        """Pivots with the rows that share a first column with them: a, b, n (columns of b), linked, far and diff."""
+    def stars(self) -> tuple[DataFrame, DataFrame]:
+        """Columns that rows share, with their pivots (column, range, a, na, b, n; no row for the pivot itself), and the links (a, b) of rows with pivots."""
         percent = self.percent
         nodes = self.rows.join(self.few(self.classes.select(F.col("node").alias("row"))), "row", "left_semi").select(F.col("row").alias("node"), "n", "s")
-        cells = histogram(nodes, "s")
+        cells = self.spark.sparkContext.broadcast(histogram(nodes, "s"))
 
         def first(batches):
             for b in batches:
-                held = [first_columns(np.frombuffer(s, np.uint64), cells, percent).view(np.int64) for s in b.column("s").to_pylist()]
+                sets = [np.frombuffer(s, np.uint64) for s in b.column("s").to_pylist()]
+                held = [first_columns(s, cells.value, percent).view(np.int64) for s in sets]
                 ranges = [ranges_of(n, percent) for n in b.column("n").to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(ranges, pa.list_(pa.int32())), pa.array(held, pa.list_(pa.int64()))], ["node", "n", "ranges", "columns"])
+                yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(ranges, pa.list_(pa.int32())), pa.array(held, pa.list_(pa.int64())), pa.array([sketch(s) for s in sets], pa.binary())], ["node", "n", "ranges", "columns", "sketch"])
 
-        heads = self.put(nodes.mapInArrow(first, "node long, n long, ranges array<int>, columns array<long>").where(F.size("ranges") > 0), "first")
+        heads = self.put(nodes.mapInArrow(first, "node long, n long, ranges array<int>, columns array<long>, sketch binary").where(F.size("ranges") > 0), "first")
+        self.sketches = heads.select("node", "n", "sketch")
         column = heads.select("node", "n", "columns", F.explode("ranges").alias("range")).select("node", "n", "range", F.explode("columns").alias("column"))
         # the pivot of a column is its longest row, so that a group's columns choose alike
         pivots = column.groupBy("column", "range").agg(F.max(F.struct("n", "node")).alias("top"), F.count("*").alias("members")).where("members > 1")
-        pivots = self.put(pivots.select("column", "range", F.col("top.node").alias("a")), "pivots")
-        star = column.join(self.few(pivots), ["column", "range"]).where("node <> a").select("a", F.col("node").alias("b"), "n").distinct()
-        star = self.put(star, "star")
-        self.drop("first", "pivots")
-        # each member's row goes once to each of its pivots, and each pivot's row is added there
-        side = self.rows.select(F.col("row").alias("b"), F.col("s").alias("sb")).join(self.few(star), "b").select("a", "b", "n", "sb")
-        centers = self.put(star.select(F.col("a").alias("row")).distinct(), "centers")
+        pivots = self.put(pivots.select("column", "range", F.col("top.node").alias("a"), F.col("top.n").alias("na")), "pivots")
+        members = column.join(self.few(pivots), ["column", "range"]).where("node <> a").select("column", "range", "a", "na", F.col("node").alias("b"), "n")
+        members = self.put(members, "members")
+        self.drop("pivots")
+        # a row meets first the pivot that most of its columns have
+        fits = members.where(F.col("n") * 100 >= F.col("na") * percent)
+        often = fits.groupBy("b", "a").agg(F.count("*").alias("times"))
+        star = self.put(often.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b"), "star")
+        links = self.linked(star, "star")
+        wide = self.spanning(members, components(links, f"{self.folder}/star-components"), "wide")
+        pairs = self.put(fits.join(self.few(wide), ["column", "range"]).select("a", "b").distinct(), "pairs")
+        return members, links.union(self.linked(pairs.join(self.few(star), ["a", "b"], "left_anti"), "new"))
+
+    def linked(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Those of the pairs (a, b) that link. Sketches go around first; of what may link, each row goes once to each partner."""
+        one = self.sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
+        two = self.sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
+        sized = pairs.join(one, "a").join(two, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
+        may = self.put(sized.select("a", "b", "na", "nb", "ka", "kb").mapInArrow(_may_link(self.percent), "a long, b long"), f"{name}-may")
+        return self.put(self.with_rows(may, name).select("a", "b", "sa", "sb").mapInArrow(_products(self.percent), "a long, b long"), f"{name}-links")
+
+    def with_rows(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs (a, b, ...), a written table, with their rows sa and sb, and n, the columns of b."""
+        side = self.rows.select(F.col("row").alias("b"), "n", F.col("s").alias("sb")).join(self.few(pairs), "b")
+        centers = self.put(pairs.select(F.col("a").alias("row")).distinct(), f"{name}-centers")
         center = self.rows.join(self.few(centers), "row", "left_semi").select(F.col("row").alias("a"), F.col("s").alias("sa"))
-        return self.put(side.join(center, "a").mapInArrow(_pivot_products(percent), "a long, b long, n long, linked boolean, far long, diff binary"), "met")
+        return side.join(center, "a")
 
     def label_of(self, rows: DataFrame, key: str, name: str, labels: DataFrame) -> DataFrame:
         found = rows.join(self.few(labels).select(F.col("id").alias(key), F.col("label").alias("_label")), key, "left")
         return found.withColumn(name, F.coalesce("_label", key)).drop("_label")
 
-    def spanning(self, met: DataFrame, labels: DataFrame) -> DataFrame:
-        """a, b, of_a, label: groups that lie in several components, with the components of pivot and member."""
-        ends = self.label_of(self.label_of(met.select("a", "b"), "a", "of_a", labels), "b", "label", labels)
-        wide = ends.groupBy("a").agg(F.min(F.least("label", "of_a")).alias("x"), F.max(F.greatest("label", "of_a")).alias("y")).where("x < y").select("a")
-        return ends.join(wide, "a")
+    def spanning(self, members: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+        """Columns whose rows lie in several components, and how many rows they have besides their pivots."""
+        ends = self.label_of(self.label_of(members, "a", "of_a", labels), "b", "label", labels)
+        wide = ends.groupBy("column", "range").agg(F.min(F.least("label", "of_a")).alias("x"), F.max(F.greatest("label", "of_a")).alias("y"), F.count("*").alias("others"))
+        return self.put(wide.where("x < y").select("column", "range", "others"), name)
 
     def counted(self, diffs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
         """Links among pairs (a: pivot, x, y) of rows of one group."""
@@ -295,16 +364,36 @@ class _Work:
         made = full.select(F.col("x").alias("a"), F.col("y").alias("b"), "na", "nb", "da", "db").mapInArrow(_difference_products(self.percent), "a long, b long")
         return self.put(made.distinct(), f"{name}-links")
 
-    def settled(self, met: DataFrame, links: DataFrame) -> DataFrame:
+    def settled(self, members: DataFrame, links: DataFrame) -> DataFrame:
         """id, label: components of all links, those between two members of a pivot's group included."""
         percent = self.percent
         labels = components(links, f"{self.folder}/first-components")
-        rest = self.put(self.spanning(met, labels), "rest")
-        diffs = self.put(met.select("a", "b", "n", "far", "diff").join(self.few(rest), ["a", "b"]), "diffs")
-        cells = histogram(diffs, "diff")
+        wide = self.spanning(members, labels, "first-wide")
+        small = self.put(members.join(self.few(wide.where(F.col("others").between(2, LISTED))), ["column", "range"]).select("column", "range", "b", "n"), "small")
+        small = self.put(self.label_of(small, "b", "label", labels), "small-labels")
+        two = small.select("column", "range", F.col("b").alias("b2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
+        fits = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
+        listed = small.join(two, ["column", "range"]).where((F.col("b") < F.col("b2")) & (F.col("label") != F.col("label2")) & fits)
+        more = self.linked(self.put(listed.select(F.col("b").alias("a"), F.col("b2").alias("b")).distinct(), "listed"), "listed")
+        if more.limit(1).count():
+            links = links.union(more)
+            labels = components(links, f"{self.folder}/listed-components")
+        wide = self.spanning(members, labels, "second-wide").where(F.col("others") > LISTED)
+        large = self.put(members.join(self.few(wide), ["column", "range"]).select("a", "b").distinct(), "large")
+        if not large.limit(1).count():
+            return labels
+
+        def placed(labels: DataFrame, name: str) -> DataFrame:
+            """a, b, of_a, label: the pairs of large groups with the components of pivot and member."""
+            return self.put(self.label_of(self.label_of(large, "a", "of_a", labels), "b", "label", labels), name)
+
+        rest = placed(labels, "rest")
+        diffs = self.put(self.with_rows(large, "large").select("a", "b", "n", "sa", "sb").mapInArrow(_differences, "a long, b long, n long, far long, diff binary").join(self.few(rest), ["a", "b"]), "diffs")
+        held = self.spark.sparkContext.broadcast(histogram(diffs, "diff"))
 
         def first(batches):
             """The rarest elements of a difference. Of two linked rows, one element is shared by the first half bound of the shorter difference and the first bound of the longer."""
+            cells = held.value
             for b in batches:
                 out = []
                 for raw, n in zip(b.column("diff").to_pylist(), b.column("n").to_pylist()):
@@ -329,7 +418,7 @@ class _Work:
             links = links.union(again)
             labels = components(links, f"{self.folder}/second-components")
             element = self.put(self.label_of(element.drop("label"), "b", "label", labels), "still")
-            rest = self.put(self.spanning(met, labels), "still-rest")
+            rest = placed(labels, "still-rest")
         # a group's main component need not be joined with itself: of each pair one row is outside it
         sizes = element.groupBy("a", "e", "label").agg(F.count("*").alias("members"))
         main = sizes.groupBy("a", "e").agg(F.max_by("label", F.struct("members", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").drop("labels")
@@ -348,7 +437,7 @@ class _Work:
         across = self.counted(diffs, outside.union(inside).union(close), "across")
         if across.limit(1).count():
             labels = components(links.union(across), f"{self.folder}/last-components")
-        self.drop("met", "rest", "diffs", "elements", "groups", "apart", "still", "still-rest", "open")
+        self.drop("rest", "diffs", "elements", "groups", "apart", "still", "still-rest", "open")
         return labels
 
     def named(self, labels: DataFrame) -> DataFrame:

@@ -172,7 +172,7 @@ def test_jaccard(spark, sf_dir, odd, none):
 @pytest.mark.parametrize("percent", [80, 90])
 def test_first_columns_never_miss(percent):
     rng, linked = np.random.default_rng(5), 0
-    cells = rng.integers(0, 9, jaccard.CELLS)
+    cells = rng.integers(0, 9, jaccard.CELLS).astype(np.uint8)
     for _ in range(800):
         n = int(rng.integers(4, 400))
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
@@ -183,6 +183,7 @@ def test_first_columns_never_miss(percent):
             linked += 1
             assert np.intersect1d(jaccard.first_columns(a, cells, percent), jaccard.first_columns(b, cells, percent)).size
             assert set(jaccard.ranges_of(len(a), percent)) & set(jaccard.ranges_of(len(b), percent))
+            assert jaccard.apart(jaccard.sketch(a), jaccard.sketch(b)) <= len(np.setxor1d(a, b))
     assert linked > 100
 
 
@@ -200,9 +201,10 @@ def test_jaccard_odd_ids(spark):
     assert sorted((r.doc_id, r.text) for r in left) == [(3, "b x y z"), (7, "c x y z")]
 
 
-@pytest.mark.parametrize("percent, edits", [(90, 3), (80, 7)])
-def test_jaccard_hot_group(spark, percent, edits):
+@pytest.mark.parametrize("percent, edits, listed", [(90, 3, 0), (80, 7, 0), (80, 7, 8)])
+def test_jaccard_hot_group(spark, monkeypatch, percent, edits, listed):
     """Many edits of one text at and around the threshold, so that most links are between members and not with the pivot."""
+    monkeypatch.setattr(jaccard, "LISTED", listed)
     rng = np.random.default_rng(percent)
     base = [f"w{i}" for i in range(120)]
     texts = {}
