@@ -14,13 +14,14 @@ import numpy as np
 import pyarrow as pa
 
 #: Words whose ids a task keeps, and a worker between tasks; the longest of them; words in one call of the library.
-CACHE_WORDS, STAY_WORDS, CACHE_BYTES, CALL_WORDS = 300_000, 60_000, 24, 4_000
+CACHE_WORDS, STAY_WORDS, CACHE_BYTES, CALL_WORDS = 450_000, 150_000, 24, 4_000
 END_ID = 1
 #: ASCII marks other than the apostrophe: a run of them after letters is a unit of its own.
 MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != 39)
 #: Letters of ASCII and Latin-1, which case folding and normalisation map one to one.
 FOLDS = re.compile("[^\x00-\xff]").search
-PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
+#: A word of such letters and the marks behind it, or any other word, each with the blank after it.
+PARTS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([" + re.escape(MARKS) + rb"]*) |([^ ]+) ")
 
 
 class WordCoder:
@@ -60,34 +61,21 @@ class WordCoder:
 
     def _fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words outside the cache. A plain word is its letters followed by its marks, which are tokens apart."""
-        cut: list[tuple[bytes, bytes, bytes]] = []
-        whole: list[bytes] = []
         cache = self.cache
-        for w in words:
-            stem = w.rstrip(MARKS)
-            if PLAIN(stem):
-                cut.append((w, stem, w[len(stem) :]))
-            else:
-                whole.append(w)
-        stems = [x for x in {c[1] for c in cut} if x not in cache]
-        tails = [x for x in {c[2] for c in cut} if x not in cache]
+        parts = PARTS.findall(b" ".join([*words, b""]))
+        stems = [x for x in dict.fromkeys([p[0] for p in parts]) if x and x not in cache]
+        tails = [x for x in dict.fromkeys([p[1] for p in parts]) if x and x not in cache]
+        whole = [p[2] for p in parts if p[2]]
         got = dict(zip(stems, self._plain(stems)))
         got |= zip(tails, self._raw([x.decode() for x in tails]))
-        self._keep(got)
-        out = dict(zip(whole, self._raw([w.decode() for w in whole])))
-        for w, stem, tail in cut:
-            out[w] = (got.get(stem) or cache[stem]) + (got.get(tail) or cache[tail] if tail else b"")
+        got |= zip(whole, self._raw([w.decode() for w in whole]))
+        at = lambda x: got[x] if x in got else cache[x]
+        out = {w: (at(stem) + at(tail) if tail else at(stem)) if stem else got[w] for w, (stem, tail, _) in zip(words, parts)}
+        room = CACHE_WORDS - len(cache)
+        if room > 0:  # letters and marks apart serve many words
+            cache.update(islice(((k, v) for k, v in got.items() if len(k) <= CACHE_BYTES), room))
         return out
 
-    def _keep(self, new: dict[bytes, bytes]) -> None:
-        room = CACHE_WORDS - len(self.cache)
-        for k, v in new.items():
-            if room <= 0:
-                return
-            if len(k) <= CACHE_BYTES and k not in self.cache:
-                self.cache[k] = v
-                room -= 1
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, without the end id."""
         # below U+0100 lower case maps one character to one, as the library's does, so variants fold before they are looked up
@@ -96,12 +84,16 @@ class WordCoder:
         distinct: set[bytes] = set()
         for ws in split:
             distinct.update(ws)
-        found = {w: cache[w] for w in distinct if w in cache}
-        fresh = self._fresh([w for w in distinct if w not in found])
-        found |= fresh
-        self._keep(fresh)
-        return [b"".join(map(found.__getitem__, ws)) for ws in split]
-
+        fresh = self._fresh([*distinct.difference(cache)])
+        room = max(0, CACHE_WORDS - len(cache))
+        cache.update(fresh)  # for this step all of them; then only what there is room for stays
+        out = [b"".join(map(cache.__getitem__, ws)) for ws in split]
+        for w in fresh:
+            if room > 0 and len(w) <= CACHE_BYTES:
+                room -= 1
+            else:
+                del cache[w]
+        return out
 
     def trim(self) -> None:
         """After a task: keep the words met first, which are the common ones, and give the memory of the others back."""
