@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.common import drop, shared_dir, text_steps, written
+from tallymart.llm.common import drop, shared_dir, small_batches, text_steps, written
 
 SHINGLE, PERCENT = 3, 90
 #: Ids that may be broadcast to pick out rows (8 MB as numbers); more are joined by shuffle.
@@ -203,10 +203,12 @@ def _difference_products(percent: int):
 def _histogram(batches):
     import zstandard
 
-    cells = np.zeros(CELLS, dtype=np.int64)
+    cells = np.zeros(CELLS, dtype=np.uint32)
     for b in batches:
-        flat = np.frombuffer(b"".join(b.column("s").to_pylist()), dtype=np.uint64)
-        cells += np.bincount((flat % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        held = b.column("s")
+        flat = held.to_numpy().view(np.uint64) if pa.types.is_integer(held.type) else np.frombuffer(b"".join(held.to_pylist()), dtype=np.uint64)
+        at, n = np.unique((flat % np.uint64(CELLS)).astype(np.uint32), return_counts=True)
+        cells[at] += n.astype(np.uint32)
     if cells.any():
         small = cells.astype(np.uint8) if cells.max() < 256 else cells
         raw = [zstandard.ZstdCompressor(level=1).compress(x.tobytes()) for x in np.split(small, SLICES)]
@@ -224,7 +226,7 @@ def _slice_sum(key, rows):
 
 
 def histogram(rows: DataFrame, column: str) -> np.ndarray:
-    """How often the columns of each cell occur in packed rows, in steps of an eighth of a doubling: CELLS bytes, whatever the size of the table."""
+    """How often the columns of each cell occur in numbers or packed rows, in steps of an eighth of a doubling: CELLS bytes, whatever the size of the table."""
     counts = rows.select(F.col(column).alias("s")).mapInArrow(_histogram, "slice int, width int, cells binary")
     cells = np.zeros((SLICES, CELLS // SLICES), dtype=np.uint8)
     for r in counts.groupBy("slice").applyInArrow(_slice_sum, "slice int, steps binary").collect():
@@ -274,6 +276,11 @@ class _Work:
                 )
 
         rows = docs.mapInArrow(incidence, "doc_id long, h long, n long, cls binary, s binary").withColumn("row", F.monotonically_increasing_id())
+        # tasks keep whole rows of several documents at once, so they take them in small batches
+        with small_batches(self.spark, "6m"):
+            self.work(rows, by_id)
+
+    def work(self, rows: DataFrame, by_id: bool) -> None:
         self.rows = self.put(rows, "rows")
         classes = self.rows.where("n > 0").groupBy("cls").agg(F.min("row").alias("node"))
         self.classes = self.put(classes, "classes")
@@ -315,10 +322,23 @@ class _Work:
         heads = self.put(nodes.mapInArrow(first, "node long, n long, ranges array<int>, columns array<long>, sketch binary").where(F.size("ranges") > 0), "first")
         self.sketches = heads.select("node", "n", "sketch")
         column = heads.select("node", "n", "columns", F.explode("ranges").alias("range")).select("node", "n", "range", F.explode("columns").alias("column"))
-        # the pivot of a column is its longest row, so that a group's columns choose alike
-        pivots = column.groupBy("column", "range").agg(F.max(F.struct("n", "node")).alias("top"), F.count("*").alias("members")).where("members > 1")
-        pivots = self.put(pivots.select("column", "range", F.col("top.node").alias("a"), F.col("top.n").alias("na")), "pivots")
-        members = column.join(self.few(pivots), ["column", "range"]).where("node <> a").select("column", "range", "a", "na", F.col("node").alias("b"), "n")
+        # the pivot of a column is its longest row, ties by a hash, so that a group's columns choose alike
+        order = F.col("n") + F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / (1 << 20)
+        pivots = column.groupBy("column", "range").agg(F.max_by("node", order).alias("a"), F.max("n").alias("na"), F.count("*").alias("members")).where("members > 1")
+        pivots = self.put(pivots.drop("members"), "pivots")
+        # most columns are one row's alone: those whose cell no pivot's column has go no further
+        shared = self.spark.sparkContext.broadcast(histogram(pivots, "column") > 0)
+
+        def met(batches):
+            for b in batches:
+                flat, width = b.column("columns").flatten().to_numpy().view(np.uint64), np.diff(b.column("columns").offsets.to_numpy())
+                of = np.repeat(np.arange(len(width)), width)
+                good = np.flatnonzero(shared.value[(flat % np.uint64(CELLS)).astype(np.int64)])
+                of = pa.array(of[good])
+                yield pa.RecordBatch.from_arrays([b.column("node").take(of), b.column("n").take(of), b.column("ranges").take(of), pa.array(flat[good].view(np.int64))], ["node", "n", "ranges", "column"])
+
+        some = heads.select("node", "n", "ranges", "columns").mapInArrow(met, "node long, n long, ranges array<int>, column long").select("node", "n", F.explode("ranges").alias("range"), "column")
+        members = some.join(pivots, ["column", "range"]).where("node <> a").select("column", "range", "a", "na", F.col("node").alias("b"), "n")
         members = self.put(members, "members")
         self.drop("pivots")
         # a row meets first the pivot that most of its columns have
