@@ -1,12 +1,15 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-An Aho-Corasick automaton finds insult and threat stems in the text. Each clause with a hit is rewritten by the lexicon
-transducer as a string over {insult, threat, target, negation, report}; the clause transducer then composes these symbols
-into one weight: an insult counts more with a target near it, little behind a negation and half inside reported speech.
+An Aho-Corasick automaton finds insult and threat stems in the text. Each clause with a hit is rewritten as a string over
+{insult, threat, target, negation, report}, and five weighted transducers read it: an insult counts more where a target was
+seen before it, and gains when one follows; a threat counts whole only with a target; a hit counts little behind a negation
+and less inside reported speech. They are composed into one machine, whose states are the reachable tuples of theirs and
+whose weights are the products of theirs, so negated and reported, or reported and targeted, are states of their own.
 A document's score is a logistic function of its clause weights. Stems, their weights and the logistic coefficients are
 learned from labelled rows only; the function words (targets, negations, reports, threats) are a fixed list.
 
-A null or empty text has no clause and scores what a text without hits scores. Repeated rows score alike. Without any
+A null or empty text has no clause and scores what a text without hits scores. Repeated rows score alike; of several texts
+under one labelled id the largest is learned from. A null id is not held out and nothing is learned from it. Without any
 labelled row the lexicon holds the threat stems alone and the default coefficients stand.
 """
 
@@ -33,15 +36,76 @@ NEGATIONS = frozenset("not no never n't don't isn't wasn't aren't nor without ni
 REPORTS = frozenset("said says say claimed claims wrote called quoted reported alleged sagte sagt nannte behauptete schrieb dit disait appelait écrit rapporté dijo dice llamó escribió".split())
 THREATS = frozenset("kill murder hurt shoot stab strangle destroy töten umbringen erschießen tuer assassiner frapper matar asesinar golpear".split())
 
-#: Stems of this many characters are tried; a longer word also counts whole.
+#: Beginnings of words of this many characters are tried as stems; a word that is shorter, only whole.
 STEM_MIN, STEM_MAX = 4, 9
 #: A stem enters the lexicon with this many toxic documents, and at most this share of clean ones among its documents.
 MIN_SUPPORT, MAX_CLEAN = 6, 0.02
-#: Bounds of what is learned: lexicon entries, and labelled rows (the first by hash of the id) to learn from.
-MAX_STEMS, MAX_FIT_ROWS = 4000, 40_000
+#: Bound of what is learned from: labelled rows (the first by hash of the id).
+MAX_FIT_ROWS = 40_000
 CLAUSE = re.compile(r"[.!?;:\n,|]")
 TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 FEATURES = 6
+INSULT, THREAT, TARGET, NEGATION, REPORT = "itTNR"
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """arcs: (state, symbol) -> (next state, factor of the symbol's own weight, factor of the last hit's weight that is added).
+    A symbol without an arc changes nothing: it stays in the state with factors 1 and 0."""
+
+    arcs: dict
+
+    def step(self, state, symbol: str) -> tuple:
+        return self.arcs.get((state, symbol), (state, 1.0, 0.0))
+
+
+#: An insult behind a target is aimed at it; a target that follows a free insult adds half of it, once.
+INSULTS = Transducer({("", INSULT): ("free", 1.0, 0.0), ("free", INSULT): ("free", 1.0, 0.0), ("aimed", INSULT): ("aimed", 1.5, 0.0), ("", TARGET): ("aimed", 1.0, 0.0), ("free", TARGET): ("aimed", 1.0, 0.5)})
+#: A threat that is aimed at no one counts half.
+THREATENED = Transducer({("", THREAT): ("free", 0.5, 0.0), ("free", THREAT): ("free", 0.5, 0.0), ("aimed", THREAT): ("aimed", 1.5, 0.0), ("", TARGET): ("aimed", 1.0, 0.0), ("free", TARGET): ("aimed", 1.0, 0.5)})
+#: Counts whether hits have a target, whatever their kind.
+AIMED = Transducer({("", TARGET): ("aimed", 1.0, 0.0)})
+NEGATED = Transducer({("", NEGATION): ("negated", 1.0, 0.0), ("negated", INSULT): ("negated", 0.3, 0.0), ("negated", THREAT): ("negated", 0.3, 0.0)})
+REPORTED = Transducer({("", REPORT): ("reported", 1.0, 0.0), ("reported", INSULT): ("reported", 0.6, 0.0), ("reported", THREAT): ("reported", 0.6, 0.0)})
+GRAMMAR = (INSULTS, THREATENED, AIMED, NEGATED, REPORTED)
+
+
+def composed(parts: tuple[Transducer, ...]) -> Transducer:
+    """The machine that runs all parts at once: tuples of states, own factors multiplied, of later gains the largest."""
+    start = ("",) * len(parts)
+    arcs, todo = {}, [start]
+    seen = {start}
+    while todo:
+        state = todo.pop()
+        for symbol in (INSULT, THREAT, TARGET, NEGATION, REPORT):
+            steps = [t.step(s, symbol) for t, s in zip(parts, state)]
+            after = tuple(s[0] for s in steps)
+            arcs[state, symbol] = (after, math.prod(s[1] for s in steps), max(s[2] for s in steps))
+            if after not in seen:
+                seen.add(after)
+                todo.append(after)
+    return Transducer(arcs)
+
+
+MACHINE = composed(GRAMMAR)
+START = ("",) * len(GRAMMAR)
+
+
+def clause_weight(symbols: list[tuple[str, float]], machine: Transducer = MACHINE) -> tuple[float, int, int]:
+    """Weight of one clause, and its hits that had a target, and that were negated or reported."""
+    state, total, targeted, softened, last = START, 0.0, 0, 0, 0.0
+    for symbol, weight in symbols:
+        after, own, later = machine.arcs[state, symbol]
+        if symbol in (INSULT, THREAT):
+            last = weight * own
+            total += last
+            targeted += state[2] == "aimed"
+            softened += state[3] == "negated" or state[4] == "reported"
+        elif later:
+            total += later * last
+            targeted += last > 0
+        state = after
+    return total, targeted, softened
 
 
 @dataclass
@@ -50,53 +114,28 @@ class Grammar:
     coef: list[float] = field(default_factory=lambda: [-3.0, 2.0, 1.0, 0.5, 1.5, -0.5])
 
     def automaton(self):
+        """Stems to (length, weight, symbol, whole word only)."""
         import ahocorasick
 
         a = ahocorasick.Automaton()
         for s, w in self.stems.items():
-            a.add_word(s, (len(s), w, "i"))
+            a.add_word(s, (len(s), w, INSULT, len(s) < STEM_MIN))
         for s in THREATS:
             if s not in self.stems:
-                a.add_word(s, (len(s), 1.0, "t"))
+                a.add_word(s, (len(s), 1.0, THREAT, True))
         a.make_automaton()
         return a
 
 
-# The clause transducer: state x symbol -> (state, factor on the next hit). States: 0 plain, 1 target seen, 2 negated, 3 reported.
-STEP = {
-    (0, "T"): 1, (1, "T"): 1, (2, "T"): 2, (3, "T"): 3,
-    (0, "N"): 2, (1, "N"): 2, (2, "N"): 2, (3, "N"): 2,
-    (0, "R"): 3, (1, "R"): 3, (2, "R"): 2, (3, "R"): 3,
-}
-FACTOR = {0: 1.0, 1: 1.5, 2: 0.3, 3: 0.6}
-
-
-def clause_weight(symbols: list[tuple[str, float]]) -> tuple[float, int, int]:
-    """Weight of one clause, and its hits that had a target, and that were negated or reported. A target after a hit adds its share too."""
-    state, total, targeted, softened, after = 0, 0.0, 0, 0, 0.0
-    for kind, w in symbols:
-        if kind in "it":
-            f = FACTOR[state] * (0.5 if kind == "t" and state != 1 else 1.0)
-            total += w * f
-            after = w * f if state == 0 else 0.0
-            targeted += state == 1
-            softened += state in (2, 3)
-        else:
-            if kind == "T" and after:
-                total, targeted, after = total + 0.5 * after, targeted + 1, 0.0
-            state = STEP[state, kind]
-    return total, targeted, softened
-
-
 def features(text: str, automaton) -> list[float]:
     """Intercept, strongest clause, number of hits, total weight, targeted hits and softened hits (the last four damped by log)."""
     low = text.lower()
     hits: dict[int, tuple[float, str]] = {}
-    for end, (n, w, kind) in automaton.iter(low):
+    for end, (n, w, symbol, whole) in automaton.iter(low):
         at = end - n + 1
-        if (at == 0 or not low[at - 1].isalnum()) and (kind == "i" or end + 1 == len(low) or not low[end + 1].isalnum()):
+        if (at == 0 or not low[at - 1].isalnum()) and (not whole or end + 1 == len(low) or not low[end + 1].isalnum()):
             if at not in hits or hits[at][0] < w:
-                hits[at] = (w, kind)
+                hits[at] = (w, symbol)
     if not hits:
         return [1.0] + [0.0] * (FEATURES - 1)
     top = total = 0.0
@@ -109,21 +148,30 @@ def features(text: str, automaton) -> list[float]:
         symbols = []
         for t in TOKEN.finditer(low, begin, end):
             if t.start() in hits:
-                w, kind = hits[t.start()]
-                symbols.append((kind, w))
+                w, symbol = hits[t.start()]
+                symbols.append((symbol, w))
             elif (word := t.group()) in TARGETS:
-                symbols.append(("T", 0.0))
+                symbols.append((TARGET, 0.0))
             elif word in NEGATIONS:
-                symbols.append(("N", 0.0))
+                symbols.append((NEGATION, 0.0))
             elif word in REPORTS:
-                symbols.append(("R", 0.0))
+                symbols.append((REPORT, 0.0))
         w, a, b = clause_weight(symbols)
         top, total, targeted, softened = max(top, w), total + w, targeted + a, softened + b
     return [1.0, min(top, 8.0), math.log1p(n), math.log1p(total), math.log1p(targeted), math.log1p(softened)]
 
 
+def stems_of(text: str) -> set[str]:
+    """Beginnings of the words of a text that may become stems; words too short for one stand whole."""
+    found = set()
+    for w in set(TOKEN.findall(text.lower())):
+        if not w.isdigit():
+            found.update([w[:k] for k in range(STEM_MIN, min(len(w), STEM_MAX) + 1)] or [w])
+    return found
+
+
 def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of either label that hold a word beginning with the stem, or the word itself."""
+    """Documents of either label that hold each stem."""
     toxic, clean = Counter(), Counter()
 
     def out():
@@ -132,11 +180,7 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for labels, texts in text_steps(batches, "label"):
         for y, t in zip(labels, texts):
-            found = set()
-            for w in set(TOKEN.findall(t.lower())):
-                if len(w) >= STEM_MIN and not w.isdigit():
-                    found.update(w[:k] for k in range(STEM_MIN, min(len(w), STEM_MAX) + 1))
-            (toxic if y else clean).update(found)
+            (toxic if y else clean).update(stems_of(t))
         if len(toxic) + len(clean) > 400_000:
             yield out()
             toxic.clear(), clean.clear()
@@ -166,7 +210,7 @@ def fit(labelled: DataFrame) -> Grammar:
     rows = labelled.join(F.broadcast(once.select("doc_id")), "doc_id", "left_semi").select("text", "label")
     counts = rows.mapInArrow(_stem_counts, "stem string, toxic long, clean long").groupBy("stem").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     good = counts.where((F.col("a") >= MIN_SUPPORT) & (F.col("b") <= MAX_CLEAN * (F.col("a") + F.col("b"))))
-    found = {r["stem"]: (r["a"], r["b"]) for r in good.orderBy(F.desc("a"), "stem").limit(MAX_STEMS).collect()}
+    found = {r["stem"]: (r["a"], r["b"]) for r in good.collect()}  # each has MIN_SUPPORT of the bounded rows
     grammar = Grammar({s: min(4.0, math.log((a + 0.5) / (b + 0.5))) for s, (a, b) in found.items() if not any(s[:k] in found for k in range(STEM_MIN, len(s)))})
 
     def features_of(batches):
@@ -200,7 +244,9 @@ def query(documents: DataFrame, labels: DataFrame) -> DataFrame:
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", 5) != 0)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     sample = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT_ROWS)
     at = shared_dir(spark)
-    grammar = fit(written(documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id"), at))
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    grammar = fit(written(texts.groupBy("doc_id", "label").agg(F.max("text").alias("text")), at))
     drop(spark, at)
     out = scored(documents, grammar)
-    return out.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_hits")
+    held = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_hits")
