@@ -5,7 +5,8 @@ dictionary, and the language with the smallest sum wins; short pieces keep a lon
 A label is rejected when the winner's margin over the runner-up is narrow.
 
 A null text, or one without a letter, is `und`, score 0 and rejected. Ties go to the language with more training texts,
-then to the smaller name. Without any training row every text is `und`. Repeated rows are labelled alike.
+then to the smaller name. Without any training row every text is `und`. Repeated rows are labelled alike. A null id is not
+held out, and nothing is learned from it. The languages are few: each has its dictionary in every task.
 """
 
 from __future__ import annotations
@@ -20,11 +21,11 @@ from pyspark.sql import types as T
 
 from tallymart.llm.common import fold, text_steps
 
-#: Bounds of what is learned: bytes of a dictionary, training texts per language (the first by hash of the id), characters taken from each, from a hashed place on.
-DICT_BYTES, FIT_TEXTS, TEXT_CHARS = 98_304, 200, 2_000
+#: Bound of what is learned from: training texts of each language, the first by hash of the id, each of them whole.
+FIT_TEXTS = 60
 LEVEL, PIECE = 6, 2_000
-#: A margin below this share of the winner's size is narrow, once a text is long enough to show one.
-MIN_MARGIN, LONG_ENOUGH = 0.01, 200
+#: A margin below this share of the winner's size is narrow; what is asked grows with the text, to half at HALF characters, as a short one can show little.
+MIN_MARGIN, HALF = 0.01, 200
 
 
 @dataclass
@@ -44,19 +45,18 @@ class Languages:
 
 
 def fit(labelled: DataFrame, key: str = "doc_id") -> Languages:
-    """labelled: key, text, lang. Takes the FIT_TEXTS texts of each language whose ids hash lowest, and a piece of each."""
+    """labelled: key, text, lang. Takes the FIT_TEXTS texts of each language whose ids hash lowest; of several texts of one id the largest."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col(key).isNotNull())
     order = Window.partitionBy("lang").orderBy(F.xxhash64(key), key)
-    picked = rows.select(key, "lang").withColumn("at", F.row_number().over(order)).where(F.col("at") <= FIT_TEXTS)
-    start = F.pmod(F.xxhash64(key), F.greatest(F.length("text") - TEXT_CHARS, F.lit(1))) + 1
-    piece = F.substring("text", start.cast("int"), F.lit(TEXT_CHARS))
-    found = rows.select(key, "text").join(F.broadcast(picked), key).select("lang", "at", piece.alias("piece")).collect()
+    ids = rows.select(key, "lang").groupBy("lang", key).agg(F.count("*").alias("texts"))
+    picked = ids.withColumn("at", F.row_number().over(order)).where(F.col("at") <= FIT_TEXTS).drop("texts")
+    found = rows.select(key, "lang", "text").join(F.broadcast(picked), [key, "lang"]).groupBy("lang", "at").agg(F.max("text").alias("text")).collect()
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     parts: dict[str, dict[bytes, None]] = {}
-    for r in sorted(found, key=lambda r: (r["lang"], r["at"], r["piece"])):
-        parts.setdefault(r["lang"], {})[r["piece"].lower().encode()] = None
+    for r in sorted(found, key=lambda r: (r["lang"], r["at"])):
+        parts.setdefault(r["lang"], {})[r["text"].lower().encode()] = None
     names = sorted(parts, key=lambda n: (-counts[n], n))
-    return Languages(names, [(b"\n".join(parts[n]) + b"        ")[-DICT_BYTES:] for n in names])
+    return Languages(names, [b"\n".join(parts[n]) + b"        " for n in names])
 
 
 def encoded_sizes(texts: list[str], compressors) -> np.ndarray:
@@ -79,12 +79,12 @@ def _verdicts(texts: list[str], names: np.ndarray, compressors) -> dict[str, pa.
     best = sizes.argmin(axis=1)
     two = np.sort(sizes, axis=1)[:, :2]
     margin = np.where(spoken, np.minimum(1.0, (two[:, 1] - two[:, 0]) / np.maximum(two[:, 0], 1.0)), 0.0)
-    long = np.array([len(t) >= LONG_ENOUGH for t in texts], dtype=bool)
+    chars = np.array([len(t) for t in texts], dtype=np.int64)
     return {
         "lang_pred": pa.array(names[np.where(spoken, best, n)].tolist(), pa.string()),
         "score": pa.array(np.where(spoken, 1 / (1 + np.exp(-50 * margin)), 0.0)),
         "margin": pa.array(margin),
-        "rejected": pa.array(~spoken | (long & (margin < MIN_MARGIN))),
+        "rejected": pa.array(~spoken | (margin < MIN_MARGIN * chars / (chars + HALF))),
     }
 
 
@@ -111,4 +111,4 @@ def query(documents: DataFrame) -> DataFrame:
     held = fold("doc_id", 4) == 2
     languages = fit(documents.where(~held).select("doc_id", "text", "lang"))
     out = labelled(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), languages)
-    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+    return out.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score", "margin", "rejected")
