@@ -34,8 +34,8 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"))
 
 
-def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.query(table(spark, sf_dir, "documents"))
+def op6_token_rollup(spark: SparkSession, sf_dir: str, word_path: str | None = None, byte_path: str | None = None) -> DataFrame:
+    return rollup.query(table(spark, sf_dir, "documents"), word_path or tokenizer_file("word_bpe_49k.json"), byte_path or tokenizer_file("byte_bpe_50k.json"))
 
 
 def op7_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,4 +59,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_quality": quality.SQL, "op6_token_rollup": rollup.SQL}
+    return {"op5_line_quality": quality.SQL}
