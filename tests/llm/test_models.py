@@ -124,6 +124,29 @@ def test_forest(spark):
     assert len(few) == 2
 
 
+def test_forest_depth_and_cost(spark):
+    """Depth grows beyond the sample's, and on clustered vectors few rows are visited for the recall."""
+    rng = np.random.default_rng(1)
+    centers = rng.standard_normal((400, 24)) * 3
+    vectors = centers[rng.integers(0, 400, 12_000)] + rng.standard_normal((12_000, 24)) * 0.3
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    points = df.select(df.embedding.alias("v"))
+    grown = forest.fit(points, 12_000, 24, sample=600, leaf=32)
+    assert grown.depth == 8 and grown.depth > math.log2(600 / forest.SPLIT_ROWS)
+    sizes = np.bincount(grown.leaves(forest.unit(vectors))[:, 0], minlength=256)
+    assert sizes.max() < 12 * 32
+    trees, visits = forest.tuned(points, grown, 12_000)
+    assert trees >= 2 and visits * 12_000 / 256 < 0.2 * 12_000
+    got = forest.nearest(df, lambda i: i % 50 == 0, sample=600, leaf=32).collect()
+    u = forest.unit(vectors)
+    hits = 0
+    for q in range(0, 12_000, 50):
+        s = u @ u[q]
+        s[q] = -2
+        hits += len(set(np.argsort(-s)[:5].tolist()) & {r.vec_id for r in got if r.query_id == q})
+    assert hits >= 0.9 * 5 * 240
+
+
 # --- near duplicates ---
 
 

@@ -88,6 +88,55 @@ def test_toxicity(spark, odd, none):
     assert len(none_labelled) == odd.count() and all(0 <= r.score <= 1 and r.predicted == 0 for r in none_labelled)
 
 
+def test_composition_is_all_paths():
+    """The composed machine against the five transducers run one by one over every string of up to five symbols."""
+    from itertools import product
+
+    for n in range(6):
+        for symbols in product("itTNR", repeat=n):
+            states, total, last = [""] * 5, 0.0, 0.0
+            for s in symbols:
+                steps = [t.step(q, s) for t, q in zip(toxicity.GRAMMAR, states)]
+                if s in "it":
+                    last = math.prod(x[1] for x in steps)
+                    total += last
+                else:
+                    total += max(x[2] for x in steps) * last
+                states = [x[0] for x in steps]
+            assert toxicity.clause_weight([(s, 1.0) for s in symbols])[0] == pytest.approx(total)
+    weight = lambda s: toxicity.clause_weight([(c, 1.0) for c in s])[0]
+    assert weight("Ti") > weight("i") > weight("Ri") > weight("Ni") > weight("NRi") and weight("TNi") > weight("Ni") and weight("t") < weight("i") < weight("iT")
+    assert len({a for (_, _), (a, _, _) in toxicity.MACHINE.arcs.items()}) > 20
+
+
+def test_short_words_and_null_ids(spark, odd):
+    """A word shorter than a stem is learned whole; null ids are not held out."""
+    docs = spark.createDataFrame([(i, "you ass now" if i % 2 else "the assembly met") for i in range(400)] + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    got = toxicity.query(docs, labels).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got if r.doc_id is not None) and [r.held_out for r in got if r.doc_id is None] == [False]
+
+
+def test_language_by_hand(spark):
+    """Sizes against plain zstandard calls, one text and one dictionary at a time."""
+    import zstandard
+
+    rows = [(i, f"{w} haus und garten {i}" if i % 2 else f"{w} house and garden {i}", "de" if i % 2 else "en") for i, w in enumerate(["alpha", "beta", "gamma", "delta"] * 10)]
+    found = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = ["the house and the garden", "das haus und der garten", "x" * 7001, "é" * 1999 + " house"]
+    want = []
+    for t in texts:
+        raw, sizes = t.lower().encode(), []
+        for d in found.dictionaries:
+            z = zstandard.ZstdCompressor(level=language.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes.append(sum(len(z.compress(raw[a : a + language.PIECE])) for a in range(0, len(raw), language.PIECE)))
+        want.append(sizes)
+    assert abs(language.encoded_sizes(texts, found.compressors()) - want).max() <= 8
+    best = {r.text: r.lang_pred for r in language.labelled(spark.createDataFrame([(t,) for t in texts], "text string"), found).collect()}
+    assert best[texts[0]] == "en" and best[texts[1]] == "de"
+    assert sorted(len(d.split(b"\n")) for d in found.dictionaries) == [20, 20]
+
+
 def test_grammar_weighs_clauses():
     a = toxicity.Grammar({"idiot": 2.0}).automaton()
     top = lambda t: toxicity.features(t, a)[1]
@@ -97,14 +146,26 @@ def test_grammar_weighs_clauses():
     assert toxicity.features("", a) == [1.0, 0, 0, 0, 0, 0]
 
 
-def test_rollup(spark, tmp_path, sf_dir, none):
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
-    got = rollup.query(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    found = con.execute(rollup.SQL)
-    at = [c[0] for c in found.description]
-    key = lambda r: tuple(map(str, r))
-    assert sorted((tuple(r[c] for c in at) for r in got.collect()), key=key) == sorted(found.fetchall(), key=key)
+def test_rollup_counts(spark, sf_dir, odd, none):
+    """The totals against the library's own counts."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    paths = [public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")]
+    library = [Tokenizer.from_file(p) for p in paths]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for df in (docs, odd):
+        want = {}
+        for r in df.collect():
+            v = 2 if r.doc_id is not None and r.doc_id % 3 == 0 else 1
+            n = len(library[v - 1].encode(r.text or "", add_special_tokens=False).ids)
+            d, t = want.get((r.source, r.lang, v), (0, 0))
+            want[r.source, r.lang, v] = (d + 1, t + n)
+        assert {tuple(x[:3]): tuple(x[3:]) for x in rollup.query(df, *paths).collect()} == want
+    assert rollup.query(none, *paths).collect() == []
+
+
+def test_rollup(spark, tmp_path):
     r = rollup.TokenRollup(spark, str(tmp_path / "r"))
     rows = lambda *x: spark.createDataFrame(x, "source string, lang string, tokenizer_version int, n_tokens long")
     assert r.totals().collect() == []
@@ -112,8 +173,13 @@ def test_rollup(spark, tmp_path, sf_dir, none):
     assert not r.commit("b1", rollup.inserts(rows(("s", "en", 1, 10))))
     assert r.commit("b2", rollup.revisions(rows(("s", "en", 1, 10)), rows(("s", "en", 2, 12))))
     assert r.commit("b3", rollup.deletes(rows((None, None, 1, 5)))) and r.commit("b4", rollup.inserts(rows(("t", "de", 1, 1)).limit(0)))
-    assert {tuple(x) for x in r.totals().collect()} == {("s", "en", 1, 1, 0), ("s", "en", 2, 1, 12)}
-    assert rollup.query(none).collect() == []
+    for _ in range(2):
+        assert {tuple(x) for x in r.totals().collect()} == {("s", "en", 1, 1, 0), ("s", "en", 2, 1, 12)}
+        r.compact()
+    assert not r.commit("b1", rollup.inserts(rows(("s", "en", 1, 10)))) and r.commit("b5", rollup.inserts(rows(("u", "fr", 1, 7))))
+    assert {tuple(x) for x in r.totals().collect()} == {("s", "en", 1, 1, 0), ("s", "en", 2, 1, 12), ("u", "fr", 1, 1, 7)}
+    assert len(r._names("deltas")) == 2
+    assert not r._put(["other"], "commits/b5") and r._lines("commits/b5") != ["other"]  # of two committers at once one wins
     with pytest.raises(ValueError):
         r.commit("../x", rollup.inserts(rows(("s", "en", 1, 1))))
 
