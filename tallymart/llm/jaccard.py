@@ -205,8 +205,7 @@ def _histogram(batches):
 
     cells = np.zeros(CELLS, dtype=np.uint32)
     for b in batches:
-        held = b.column("s")
-        flat = held.to_numpy().view(np.uint64) if pa.types.is_integer(held.type) else np.frombuffer(b"".join(held.to_pylist()), dtype=np.uint64)
+        flat = np.frombuffer(b"".join(b.column("s").to_pylist()), dtype=np.uint64)
         at, n = np.unique((flat % np.uint64(CELLS)).astype(np.uint32), return_counts=True)
         cells[at] += n.astype(np.uint32)
     if cells.any():
@@ -226,7 +225,7 @@ def _slice_sum(key, rows):
 
 
 def histogram(rows: DataFrame, column: str) -> np.ndarray:
-    """How often the columns of each cell occur in numbers or packed rows, in steps of an eighth of a doubling: CELLS bytes, whatever the size of the table."""
+    """How often the columns of each cell occur in packed rows, in steps of an eighth of a doubling: CELLS bytes, whatever the size of the table."""
     counts = rows.select(F.col(column).alias("s")).mapInArrow(_histogram, "slice int, width int, cells binary")
     cells = np.zeros((SLICES, CELLS // SLICES), dtype=np.uint8)
     for r in counts.groupBy("slice").applyInArrow(_slice_sum, "slice int, steps binary").collect():
@@ -326,19 +325,8 @@ class _Work:
         order = F.col("n") + F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / (1 << 20)
         pivots = column.groupBy("column", "range").agg(F.max_by("node", order).alias("a"), F.max("n").alias("na"), F.count("*").alias("members")).where("members > 1")
         pivots = self.put(pivots.drop("members"), "pivots")
-        # most columns are one row's alone: those whose cell no pivot's column has go no further
-        shared = self.spark.sparkContext.broadcast(histogram(pivots, "column") > 0)
-
-        def met(batches):
-            for b in batches:
-                flat, width = b.column("columns").flatten().to_numpy().view(np.uint64), np.diff(b.column("columns").offsets.to_numpy())
-                of = np.repeat(np.arange(len(width)), width)
-                good = np.flatnonzero(shared.value[(flat % np.uint64(CELLS)).astype(np.int64)])
-                of = pa.array(of[good])
-                yield pa.RecordBatch.from_arrays([b.column("node").take(of), b.column("n").take(of), b.column("ranges").take(of), pa.array(flat[good].view(np.int64))], ["node", "n", "ranges", "column"])
-
-        some = heads.select("node", "n", "ranges", "columns").mapInArrow(met, "node long, n long, ranges array<int>, column long").select("node", "n", F.explode("ranges").alias("range"), "column")
-        members = some.join(pivots, ["column", "range"]).where("node <> a").select("column", "range", "a", "na", F.col("node").alias("b"), "n")
+        # joined by shuffle at every size; a hot column is split by the planner
+        members = column.join(pivots.hint("merge"), ["column", "range"]).where("node <> a").select("column", "range", "a", "na", F.col("node").alias("b"), "n")
         members = self.put(members, "members")
         self.drop("pivots")
         # a row meets first the pivot that most of its columns have
