@@ -15,6 +15,12 @@ def distance_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column
     return 2 * EARTH_M * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
 
 
+def valid(lat: Column, lng: Column) -> Column:
+    """Finite, in range, and not the origin, which stands for no pin; false for null."""
+    fine = (F.abs(lat) <= 90) & (F.abs(lng) <= 180) & ~F.isnan(lat) & ~F.isnan(lng) & ~((lat == 0) & (lng == 0))
+    return F.coalesce(fine, F.lit(False))
+
+
 def cell(lat: Column, lng: Column, degrees: float) -> tuple[Column, Column]:
     return F.floor(lat / degrees).cast("long"), F.floor(lng / degrees).cast("long")
 

@@ -21,7 +21,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _all() -> None:
-    from tallymart.plans import match_queries, offer_queries, run_queries, text_queries  # noqa: F401  (they register themselves)
+    from tallymart.plans import identity_queries, match_queries, offer_queries, run_queries, stat_queries, text_queries  # noqa: F401  (they register themselves)
 
 
 def queries() -> dict:
