@@ -118,6 +118,36 @@ def usable(df: DataFrame, key: str, vector: str) -> tuple[DataFrame, int]:
     return rows.where(F.size("v") == dim), dim
 
 
+def _placed(held):
+    """Rows once for each tree, with the leaf so far."""
+
+    def rows(batches):
+        for b in batches:
+            x = _matrix(b.column("v"))
+            if len(x):
+                at = held.value.leaves(unit(x))
+                for t in range(at.shape[1]):
+                    yield pa.RecordBatch.from_arrays([pa.array([t] * len(x), pa.int32()), pa.array(at[:, t]), b.column("v")], ["t", "cell", "v"])
+
+    return rows
+
+
+def _below(begin: int, end: int, directions: np.ndarray):
+    """The splits of levels begin to end below one leaf, level after level, from its sampled rows."""
+
+    def splits(key, rows):
+        t, cell = key[0].as_py(), key[1].as_py()
+        x = unit(_matrix(rows.column("v")))
+        node, cuts = np.zeros(len(x), dtype=np.int64), []
+        for level in range(begin, end):
+            p = x @ directions[t, level]
+            cuts.append(_split(p, node, 1 << (level - begin)))
+            node = 2 * node + (p >= cuts[-1][node])
+        return pa.table({"t": pa.array([t], pa.int32()), "cell": pa.array([cell], pa.int64()), "cuts": pa.array([np.concatenate(cuts).tolist()], pa.list_(pa.float64()))})
+
+    return splits
+
+
 def fit(points: DataFrame, n: int, dim: int, sample: int = SAMPLE, trees: int = TREES, leaf: int = LEAF) -> Forest:
     """points: v. A forest whose leaves hold about `leaf` of the n rows."""
     spark = points.sparkSession
@@ -131,26 +161,7 @@ def fit(points: DataFrame, n: int, dim: int, sample: int = SAMPLE, trees: int =
         begin, want = forest.depth, max(SPLIT_ROWS * 2, sample // 8)
         end = min(depth, begin + max(1, int(math.log2(want / SPLIT_ROWS))))
         share = min(1.0, want * (1 << begin) / n)
-        held = spark.sparkContext.broadcast(forest)
-
-        def placed(batches, held=held):
-            for b in batches:
-                x = _matrix(b.column("v"))
-                if len(x):
-                    at = held.value.leaves(unit(x))
-                    for t in range(at.shape[1]):
-                        yield pa.RecordBatch.from_arrays([pa.array([t] * len(x), pa.int32()), pa.array(at[:, t]), b.column("v")], ["t", "cell", "v"])
-
-        def below(key, rows, begin=begin, end=end, directions=forest.directions):
-            t, cell = key[0].as_py(), key[1].as_py()
-            x = unit(_matrix(rows.column("v")))
-            node, cuts = np.zeros(len(x), dtype=np.int64), []
-            for level in range(begin, end):
-                p = x @ directions[t, level]
-                cuts.append(_split(p, node, 1 << (level - begin)))
-                node = 2 * node + (p >= cuts[-1][node])
-            return pa.table({"t": pa.array([t], pa.int32()), "cell": pa.array([cell], pa.int64()), "cuts": pa.array([np.concatenate(cuts).tolist()], pa.list_(pa.float64()))})
-
+        placed, below = _placed(spark.sparkContext.broadcast(forest)), _below(begin, end, forest.directions)
         some = points.where(F.pmod(F.xxhash64("v", F.lit(1)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("v")
         made = some.mapInArrow(placed, "t int, cell long, v array<double>").groupBy("t", "cell").applyInArrow(below, "t int, cell long, cuts array<double>").collect()
         grown = [np.zeros((trees, 1 << level)) for level in range(begin, end)]

@@ -106,12 +106,12 @@ def test_composition_is_all_paths():
             assert toxicity.clause_weight([(s, 1.0) for s in symbols])[0] == pytest.approx(total)
     weight = lambda s: toxicity.clause_weight([(c, 1.0) for c in s])[0]
     assert weight("Ti") > weight("i") > weight("Ri") > weight("Ni") > weight("NRi") and weight("TNi") > weight("Ni") and weight("t") < weight("i") < weight("iT")
-    assert len({a for (_, _), (a, _, _) in toxicity.MACHINE.arcs.items()}) > 20
+    assert len({a for (a, _) in toxicity.MACHINE.arcs}) == 20
 
 
 def test_short_words_and_null_ids(spark, odd):
     """A word shorter than a stem is learned whole; null ids are not held out."""
-    docs = spark.createDataFrame([(i, "you ass now" if i % 2 else "the assembly met") for i in range(400)] + [(None, "x")], "doc_id long, text string")
+    docs = spark.createDataFrame([(i, f"you ass now w{i}" if i % 2 else f"the assembly met w{i}") for i in range(400)] + [(None, "x")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
     got = toxicity.query(docs, labels).collect()
     assert all(r.predicted == r.doc_id % 2 for r in got if r.doc_id is not None) and [r.held_out for r in got if r.doc_id is None] == [False]
