@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,16 +27,27 @@ def cell(lat: Column, lng: Column, degrees: float) -> tuple[Column, Column]:
     return F.floor(lat / degrees).cast("long"), F.floor(lng / degrees).cast("long")
 
 
-def near_pairs(left, right, metres: float, degrees: float):
+def near_pairs(left, right, metres: float):
     """Pairs of rows (id, lat, lng) within `metres`, by an equi-join on cells: each left row visits its cell and the eight around.
 
-    `degrees` must cover `metres` at the latitudes in use."""
-    y, x = cell(F.col("lat"), F.col("lng"), degrees)
-    steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    around = left.select(F.col("id").alias("id1"), F.col("lat").alias("lat1"), F.col("lng").alias("lng1"), y.alias("y"), F.explode(F.transform(steps, lambda d: x + d)).alias("x"))
-    around = around.select("id1", "lat1", "lng1", "x", F.explode(F.transform(steps, lambda d: F.col("y") + d)).alias("y"))
-    cells = right.select(F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"), y.alias("y"), x.alias("x"))
-    pairs = around.join(cells, ["x", "y"]).withColumn("metres", distance_m(F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2")))
+    Cells are bands of latitude as high as `metres`, each cut into equal cells that are at least as wide there, around the
+    whole circle; so nothing is lost at any latitude, at the poles or at the date line. A null pin is near nothing."""
+    high = metres / EARTH_M * 180 / math.pi * 1.001
+    band = lambda lat: F.floor(lat / high).cast("long")
+
+    def around(y):  # cells of a band: none of them narrower than `metres` at its end nearer to a pole, or a band beyond
+        far = F.least(F.greatest(F.abs(y), F.abs(y + 1)) * high + high, F.lit(89.999))
+        return F.greatest(F.floor(360 / high * F.cos(F.radians(far))), F.lit(1)).cast("long")
+
+    place = lambda lng, n: F.pmod(F.floor((lng + 180) / 360 * n).cast("long"), n)
+    steps = F.array(*[F.lit(i).cast("long") for i in (-1, 0, 1)])
+    rows = left.select(F.col("id").alias("id1"), F.col("lat").alias("lat1"), F.col("lng").alias("lng1"), F.explode(F.transform(steps, lambda d: band(F.col("lat")) + d)).alias("y"))
+    n = around(F.col("y"))
+    cells = F.array_distinct(F.transform(steps, lambda d: F.pmod(place(F.col("lng1"), n) + d, n)))
+    rows = rows.select("id1", "lat1", "lng1", "y", F.explode(cells).alias("x"))
+    y = band(F.col("lat"))
+    there = right.select(F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"), y.alias("y"), place(F.col("lng"), around(y)).alias("x"))
+    pairs = rows.join(there, ["x", "y"]).withColumn("metres", distance_m(F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2")))
     return pairs.where(F.col("metres") <= metres).select("id1", "id2", "metres")
 
 

@@ -73,13 +73,13 @@ def price_tier(price: Column) -> Column:
 
 
 def canonical_url(c: Column) -> Column:
-    """Host without www and lower-case path, without query, fragment and trailing slash."""
+    """Of a page: host without www and lower-case path, without query, fragment and trailing slash. Listings go by marketplace.canonical_product_url."""
     bare = F.regexp_replace(F.regexp_replace(c, "[?#].*$", ""), "/+$", "")
     return F.lower(F.regexp_replace(bare, "^(https?://)(www\\.)?", "https://"))
 
 
 def storage_gb(c: Column) -> Column:
-    """T4: the largest capacity named, in GB."""
+    """The largest whole capacity named, in GB; variants.signature (T4) takes decimals and ends at a word's end."""
     amounts = F.transform(F.regexp_extract_all(F.lower(c), F.lit("([0-9]+) ?gb"), F.lit(1)), lambda x: x.cast("long"))
     tera = F.transform(F.regexp_extract_all(F.lower(c), F.lit("([0-9]+) ?tb"), F.lit(1)), lambda x: x.cast("long") * 1024)
     return F.array_max(F.concat(amounts, tera))

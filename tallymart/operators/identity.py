@@ -23,12 +23,12 @@ def unpinned_pairs(sources: DataFrame, known: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, [x.select("id1", "id2") for x in found]).distinct()
 
 
-def candidate_verdicts(sources: DataFrame, known: DataFrame, degrees: float = 0.006) -> DataFrame:
+def candidate_verdicts(sources: DataFrame, known: DataFrame) -> DataFrame:
     """E4/E5 (id, name, brand, city, platform, lat, lng): one row per candidate that is not ruled out.
 
     Pins farther apart than FAR_M exclude each other, so the join on cells meets every candidate of which both have pins;
     names are compared after it. The others meet by name and brand."""
-    pairs = near_pairs(sources, known, FAR_M, degrees)
+    pairs = near_pairs(sources, known, FAR_M)
     pairs = pairs.union(unpinned_pairs(sources, known).withColumn("metres", F.lit(None).cast("double")))
     s = sources.select(F.col("id").alias("id1"), F.col("name").alias("n1"), F.col("brand").alias("b1"), F.col("city").alias("c1"), F.col("platform").alias("p1"))
     k = known.select(F.col("id").alias("id2"), F.col("name").alias("n2"), F.col("brand").alias("b2"), F.col("city").alias("c2"), F.col("platform").alias("p2"))

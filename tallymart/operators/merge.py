@@ -21,16 +21,20 @@ def fill_only(stored: DataFrame, incoming: DataFrame, key: str, fill: list[str],
 
 
 def newer_wins(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """M3: an older observation changes nothing; a priceless one that says unavailable changes the stock alone."""
+    """M3, one row per key on either side: an older observation changes nothing, and one without a time is older than a stored
+    one that has a time; a stored one without a time gives way. A priceless observation says that the offer is unavailable:
+    it takes the stock of a stored offer alone, and makes no new one."""
     s, i = stored.alias("s"), incoming.alias("i")
     on = [F.col(f"s.{k}") == F.col(f"i.{k}") for k in keys]
-    both = F.col(f"s.{keys[0]}").isNotNull() & F.col(f"i.{keys[0]}").isNotNull()
-    take = F.col(f"s.{keys[0]}").isNull() | (both & (F.col("i.observed_at") >= F.col("s.observed_at")))
-    stock_only = both & take & F.col("i.price").isNull() & (F.col("i.in_stock") == False)  # noqa: E712
-    pick = lambda c: F.when(take & ~stock_only, F.col(f"i.{c}")).otherwise(F.col(f"s.{c}")).alias(c)
-    stock = F.when(take, F.col("i.in_stock")).otherwise(F.col("s.in_stock")).alias("in_stock")
-    seen = F.when(take, F.col("i.observed_at")).otherwise(F.col("s.observed_at")).alias("observed_at")
-    return s.join(i, on, "full_outer").select(*[F.coalesce(f"s.{k}", f"i.{k}").alias(k) for k in keys], pick("price"), stock, seen)
+    has_s, has_i = F.col(f"s.{keys[0]}").isNotNull(), F.col(f"i.{keys[0]}").isNotNull()
+    seen, came = F.col("s.observed_at"), F.col("i.observed_at")
+    older = has_s & has_i & seen.isNotNull() & F.coalesce(came < seen, F.lit(True))
+    keep = ~has_i | older
+    gone = F.col("i.price").isNull()
+    price = F.when(keep | gone, F.col("s.price")).otherwise(F.col("i.price")).alias("price")
+    stock = F.when(keep, F.col("s.in_stock")).when(gone, False).otherwise(F.col("i.in_stock")).alias("in_stock")
+    at = F.when(keep, seen).otherwise(F.coalesce(came, seen)).alias("observed_at")
+    return s.join(i, on, "full_outer").where(has_s | ~gone).select(*[F.coalesce(f"s.{k}", f"i.{k}").alias(k) for k in keys], price, stock, at)
 
 
 def field_diff(before: DataFrame, after: DataFrame, key: str, fields: list[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def failure_streaks(df: DataFrame, key: str, at: list[str], failed: Column) -> DataFrame:
@@ -14,10 +15,22 @@ def failure_streaks(df: DataFrame, key: str, at: list[str], failed: Column) -> D
     return runs.groupBy(key).agg(F.max("n").alias("longest"), F.max_by("n", "_island").alias("current"))
 
 
-def within_budget(df: DataFrame, day: str, order: list[str], cost: str, cap: float) -> DataFrame:
-    """The calls of each day that its budget covers, in order; spent is the cost up to and with the call."""
-    w = Window.partitionBy(day).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("spent", F.sum(cost).over(w)).withColumn("accepted", F.col("spent") <= cap)
+def within_budget(df: DataFrame, keys: list[str], order: list[str], cost: str, cap: int) -> DataFrame:
+    """Calls in order, each accepted if what is left of its budget covers it; a refused call consumes nothing. `spent` is
+    what the budget has given after the call. Each call depends on all before it, so one budget (a day's) is one group."""
+
+    def fold(rows):
+        rows = rows.sort_values(order, kind="stable")
+        used, spent, accepted = 0, [], []
+        for c in rows[cost]:
+            ok = used + c <= cap
+            used += c if ok else 0
+            spent.append(used)
+            accepted.append(ok)
+        return rows.assign(spent=spent, accepted=accepted)
+
+    schema = T.StructType([*df.schema.fields, T.StructField("spent", T.LongType()), T.StructField("accepted", T.BooleanType())])
+    return df.groupBy(*keys).applyInPandas(fold, schema)
 
 
 def status_rollup(df: DataFrame, key: str, status: str) -> DataFrame:

@@ -55,18 +55,22 @@ def cheapest_per_currency_with_ties(spark, sf):
 @register(
     "newer_wins_merge",
     f"""WITH {OFFERS_SQL}, half AS (SELECT *, line % 2 AS side FROM offers QUALIFY row_number() OVER (PARTITION BY product_id, retailer_id, line % 2 ORDER BY observed_at DESC, ord DESC, line DESC, price DESC) = 1),
- s AS (SELECT * FROM half WHERE side = 1), i AS (SELECT * REPLACE (CASE WHEN in_stock = false THEN NULL ELSE price END AS price) FROM half WHERE side = 0),
- j AS (SELECT coalesce(s.product_id, i.product_id) AS product_id, coalesce(s.retailer_id, i.retailer_id) AS retailer_id, s.price AS sp, i.price AS ip, s.in_stock AS ss, i.in_stock AS si, s.observed_at AS so, i.observed_at AS io,
-   s.product_id IS NULL OR coalesce(i.observed_at >= s.observed_at, false) AS take FROM s FULL JOIN i ON s.product_id = i.product_id AND s.retailer_id = i.retailer_id)
- SELECT product_id, retailer_id, CASE WHEN take AND NOT (so IS NOT NULL AND ip IS NULL AND coalesce(si = false, false)) THEN ip ELSE sp END AS price,
-   CASE WHEN take THEN si ELSE ss END AS in_stock, CASE WHEN take THEN io ELSE so END AS observed_at FROM j""",
+ s AS (SELECT product_id, retailer_id, price, in_stock, CASE WHEN product_id % 11 <> 0 THEN observed_at END AS seen FROM half WHERE side = 1),
+ i AS (SELECT product_id, retailer_id, CASE WHEN in_stock = false OR product_id % 7 = 0 THEN NULL ELSE price END AS price, in_stock, CASE WHEN product_id % 13 <> 0 THEN observed_at END AS seen FROM half WHERE side = 0),
+ both AS (SELECT s.product_id, s.retailer_id, s.price AS sp, i.price AS ip, s.in_stock AS ss, i.in_stock AS si, s.seen AS st, i.seen AS it FROM s JOIN i ON s.product_id = i.product_id AND s.retailer_id = i.retailer_id)
+ SELECT product_id, retailer_id, sp AS price, ss AS in_stock, st AS observed_at FROM both WHERE st IS NOT NULL AND (it IS NULL OR it < st)
+ UNION ALL SELECT product_id, retailer_id, coalesce(ip, sp), CASE WHEN ip IS NULL THEN false ELSE si END, coalesce(it, st) FROM both WHERE st IS NULL OR it >= st
+ UNION ALL SELECT product_id, retailer_id, price, in_stock, seen FROM s WHERE NOT EXISTS (SELECT 1 FROM i WHERE s.product_id = i.product_id AND s.retailer_id = i.retailer_id)
+ UNION ALL SELECT product_id, retailer_id, price, in_stock, seen FROM i WHERE price IS NOT NULL AND NOT EXISTS (SELECT 1 FROM s WHERE s.product_id = i.product_id AND s.retailer_id = i.retailer_id)""".replace("both AS", "matched AS").replace("FROM both", "FROM matched"),
 )
 def newer_wins_merge(spark, sf):
+    """M3. Some stored and some incoming rows have no time, and some incoming ones neither price nor stock."""
     o = offers(spark, sf).withColumn("side", F.col("line") % 2)
     half = merge.latest(o, ["product_id", "retailer_id", "side"], F.desc("observed_at"), F.desc("ord"), F.desc("line"), F.desc("price"))
-    stored = half.where("side = 1")
-    incoming = half.where("side = 0").withColumn("price", F.when(~(F.coalesce(F.col("in_stock"), F.lit(True)) == False), F.col("price")))  # noqa: E712
-    return merge.newer_wins(stored, incoming, ["product_id", "retailer_id"])
+    timed = lambda df, n: df.withColumn("observed_at", F.when(F.col("product_id") % n != 0, F.col("observed_at")))
+    told = F.coalesce(F.col("in_stock"), F.lit(True)) & (F.col("product_id") % 7 != 0)
+    incoming = half.where("side = 0").withColumn("price", F.when(told, F.col("price")))
+    return merge.newer_wins(timed(half.where("side = 1"), 11), timed(incoming, 13), ["product_id", "retailer_id"])
 
 
 @register(
@@ -129,11 +133,12 @@ def scd_active_history(spark, sf):
     return merge.history(o, "item", "at", "id").select("item", "id", "status", "superseded_at", "supersedes", "active")
 
 
-@register("mark_missing_inactive", "SELECT DISTINCT l_partkey AS product_id FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01' AND l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-06-01')")
+@register("mark_missing_inactive", "SELECT DISTINCT l_partkey AS product_id FROM lineitem WHERE l_quantity < 25 AND l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 44)")
 def mark_missing_inactive(spark, sf):
-    o = offers(spark, sf)
-    stored = o.where(F.col("observed_at") < F.lit("1997-01-01").cast("timestamp")).select("product_id").distinct()
-    return merge.missing_from(stored, o.where(F.col("observed_at") >= F.lit("1999-06-01").cast("timestamp")), "product_id")
+    """Products of one listing that the next one does not show."""
+    line = table(spark, sf, "lineitem")
+    stored = line.where("l_quantity < 25").select(F.col("l_partkey").alias("product_id")).distinct()
+    return merge.missing_from(stored, line.where("l_quantity >= 44").select(F.col("l_partkey").alias("product_id")), "product_id")
 
 
 @register(

@@ -52,8 +52,18 @@ def state(pages: DataFrame, path: str, key: str = "page_id", html: str = "html")
     return raw.select(key, F.posexplode(F.try_variant_get("v", path, "array<variant>")).alias("position", "row"))
 
 
+def robots_pattern(rule: Column) -> Column:
+    """A rule as a regular expression: it matches from the start, * stands for anything, a last $ for the end."""
+    ends = F.endswith(rule, F.lit("$"))
+    body = F.regexp_replace(F.when(ends, F.regexp_replace(rule, "\\$$", "")).otherwise(rule), "([.+?^${}()|\\[\\]\\\\])", "\\\\$1")
+    return F.concat(F.lit("^"), F.replace(body, F.lit("*"), F.lit(".*")), F.when(ends, "$").otherwise(""))
+
+
 def robots_allow(rules: DataFrame, urls: DataFrame) -> DataFrame:
-    """Rules (host, allow, prefix), urls (host, path): the longest matching prefix decides, allow wins ties, no rule allows."""
-    j = urls.join(rules, "host", "left").where(F.col("prefix").isNull() | F.startswith("path", "prefix"))
+    """Rules (host, allow, prefix), urls (host, path): the longest matching rule decides, allow wins ties, no rule allows.
+
+    A host's rules are few, so each of its addresses meets them all."""
+    some = urls.select("host", "path").distinct()
+    j = some.join(rules.where(F.col("prefix") != "").select("host", "allow", "prefix"), "host").where(F.regexp(F.col("path"), robots_pattern(F.col("prefix"))))
     decided = j.groupBy("host", "path").agg(F.max(F.struct(F.length("prefix").alias("n"), F.col("allow"))).alias("top"))
     return urls.join(decided, ["host", "path"], "left").select("host", "path", F.coalesce("top.allow", F.lit(True)).alias("allowed"))

@@ -67,7 +67,7 @@ def test_diff_reports_no_vanished_row(spark):
 
 def test_near_pairs(spark):
     pins = spark.createDataFrame([(1, 25.0, 55.0), (2, 25.0003, 55.0), (3, 25.1, 55.0)], "id long, lat double, lng double")
-    got = {(r.id1, r.id2) for r in geo.near_pairs(pins, pins, 75, 0.001).collect() if r.id1 < r.id2}
+    got = {(r.id1, r.id2) for r in geo.near_pairs(pins, pins, 75).collect() if r.id1 < r.id2}
     assert got == {(1, 2)}
 
 
