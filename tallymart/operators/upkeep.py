@@ -113,3 +113,43 @@ def request_issues(query: Column, locale: Column, group: Column, platforms: Colu
         "limit is out of range": ~limit.between(1, most),
     }
     return F.array_compact(F.array(*[F.when(bad, name) for name, bad in wrong.items()]))
+
+
+#: Names that a canonical item is also known by, at most.
+MAX_ALIASES = 20
+
+
+def canonical_items(items: DataFrame, stored: DataFrame, key) -> DataFrame:
+    """Canonical items (item, name, description, category, aliases, alias_keys, status) after a look at their seed items (item, name,
+    description, category; texts are structs of locales). `alias_keys` are the aliases under `key`. An item without one makes a new one (created). A stored one takes texts of locales that it lacks;
+    another name of its seed in a locale is kept as an alias, unless `key` of it is known already (enriched, else unchanged). Stored ones whose
+    seed is not among the items stay (kept). Blank texts count as missing."""
+    clean = lambda t: _texts(lambda x: F.when(F.trim(t[x]) != "", F.trim(t[x])))
+    fields = ("name", "description", "category")
+    j = stored.alias("s").join(items.select("item", *[clean(F.col(f)).alias(f) for f in fields], F.lit(True).alias("seen")).alias("i"), "item", "full")
+    s, i = (lambda f: F.col(f"s.{f}")), (lambda f: F.col(f"i.{f}"))
+    new = s("aliases").isNull()
+    gone = i("seen").isNull()
+    none = F.array().cast("array<string>")
+    texts = {f: _texts(lambda x, f=f: F.coalesce(s(f)[x], i(f)[x])) for f in fields}
+    keys = F.coalesce(s("alias_keys"), none)
+    known = F.concat(keys, F.array_compact(F.array(*[key(s("name")[x]) for x in LOCALES])))
+    other = [~new & s("name")[x].isNotNull() & (key(s("name")[x]) != key(i("name")[x])) & ~F.array_contains(known, key(i("name")[x])) for x in LOCALES]
+
+    def with_others(held: Column, value) -> Column:
+        return F.slice(F.array_distinct(F.concat(F.coalesce(held, none), F.array_compact(F.array(*[F.when(o, value(i("name")[x])) for o, x in zip(other, LOCALES)])))), 1, MAX_ALIASES)
+
+    aliases, alias_keys = with_others(s("aliases"), lambda n: n), with_others(keys, key)
+    merged = j.select("item", *[t.alias(f) for f, t in texts.items()], aliases.alias("aliases"), alias_keys.alias("alias_keys"), *[s(f).alias(f"_{f}") for f in (*fields, "aliases")], new.alias("_new"), gone.alias("_gone"))
+    same = F.lit(True)
+    for f in (*fields, "aliases"):
+        same = same & F.col(f).eqNullSafe(F.col(f"_{f}"))
+    status = F.when(F.col("_new"), "created").when(F.col("_gone"), "kept").when(same, "unchanged").otherwise("enriched")
+    return merged.select("item", *fields, "aliases", "alias_keys", status.alias("status"))
+
+
+def discovered(listings: DataFrame, likely: Column) -> tuple[DataFrame, DataFrame]:
+    """Candidates for import, and what is left out with its reason; `likely` tells a restaurant, a null one does not."""
+    good = F.coalesce(likely, F.lit(False))
+    marked = listings.withColumn("_good", good)
+    return marked.where("_good").drop("_good"), marked.where("NOT _good").drop("_good").withColumn("reason", F.lit("NOT_A_RESTAURANT"))
