@@ -3,7 +3,7 @@ it holds what a few shops show for one search, some dozens of rows. Queries are
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +13,7 @@ from tallymart.functions import rules, text, variants
 BUNDLED, REVIEWED, RATIO = 0.45, 0.3, variants.MAX_PRICE_RATIO
 FEATURES = ("tokens", "role", "type", "brand_word", "qualifiers", "storage_gb", "screen_inch", "models")
 PLACED = "query string, seq long, bundle long, reason string, similarity double, candidate long"
+SCHEMA = pa.schema([("query", pa.string()), ("seq", pa.int64()), ("bundle", pa.int64()), ("reason", pa.string()), ("similarity", pa.float64()), ("candidate", pa.int64())])
 
 
 def features(items: DataFrame) -> DataFrame:
@@ -26,7 +27,7 @@ def features(items: DataFrame) -> DataFrame:
 
 
 def _conflict(a: dict, b: dict) -> str | None:
-    differ = lambda f: pd.notna(a[f]) and pd.notna(b[f]) and a[f] != b[f]
+    differ = lambda f: a[f] is not None and b[f] is not None and a[f] != b[f]
     if a["role"] != b["role"]:
         return "role_mismatch"
     if differ("type"):
@@ -42,18 +43,18 @@ def _similarity(a: dict, b: dict) -> float:
     return len(x & y) / len(x | y) if x | y else 0.0
 
 
-def _placed(group: pd.DataFrame) -> pd.DataFrame:
-    """One query's listings in order: the bundle of each (its first listing; null if the listing was there already), and the near miss that made it open one."""
+def _placed(items: list[dict]) -> list[tuple]:
+    """One query's listings in order: seq, the bundle of each (its first listing; null if the listing was there already), and the near miss that made it open one."""
     bundles: list[dict] = []  # first seq, listing that gives the name, retailers, prices
     seen: set[tuple] = set()
     out = []
-    for item in group.sort_values("seq").to_dict("records"):
+    for item in items:
         listing = (item["retailer"], item["external_id"])
-        if pd.notna(item["external_id"]) and listing in seen:
-            out.append((item["query"], item["seq"], None, None, None, None))
+        if item["external_id"] is not None and listing in seen:
+            out.append((item["seq"], None, None, None, None))
             continue
         seen.add(listing)
-        price = item["price"] if pd.notna(item["price"]) and item["price"] > 0 else None
+        price = item["price"] if item["price"] is not None and item["price"] > 0 else None
         best, miss = (0.0, None), (0.0, None, None)
         for b in bundles:
             if item["retailer"] in b["retailers"]:
@@ -79,16 +80,25 @@ def _placed(group: pd.DataFrame) -> pd.DataFrame:
         b["retailers"].add(item["retailer"])
         if price and item["available"] is not False:
             b["prices"].append(price)
-        out.append((item["query"], item["seq"], b["first"], *reason))
-    return pd.DataFrame(out, columns=["query", "seq", "bundle", "reason", "similarity", "candidate"]).astype({"bundle": "Int64", "candidate": "Int64"})
+        out.append((item["seq"], b["first"], *reason))
+    return out
+
+
+def _all_placed(batches):
+    """Each row holds a query and its listings."""
+    for b in batches:
+        rows = [(q, *r) for q, items in zip(b.column("query").to_pylist(), b.column("items").to_pylist()) for r in _placed(items)]
+        columns = [list(c) for c in zip(*rows)] or [[] for _ in SCHEMA]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCHEMA)], schema=SCHEMA)
 
 
 def placed(items: DataFrame) -> DataFrame:
     """For every listing (query, seq, retailer, external_id, name, price, available) its bundle, and for one that opened a bundle
     after a near miss the reason, the similarity and the bundle that it nearly joined. `seq` is unique within a query. Listings without a name are left out."""
     named = features(items.where("name IS NOT NULL AND name <> ''"))
-    columns = named.select("query", F.col("seq").cast("long").alias("seq"), "retailer", "external_id", "name", F.col("price").cast("double").alias("price"), "available", *FEATURES)
-    return columns.groupBy("query").applyInPandas(_placed, PLACED)
+    listing = F.struct(F.col("seq").cast("long").alias("seq"), "retailer", "external_id", "name", F.col("price").cast("double").alias("price"), "available", *FEATURES)
+    queries = named.groupBy(F.col("query").cast("string").alias("query")).agg(F.array_sort(F.collect_list(listing)).alias("items"))
+    return queries.mapInArrow(_all_placed, PLACED)
 
 
 def bundled(items: DataFrame, places: DataFrame) -> DataFrame:

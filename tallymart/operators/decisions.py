@@ -149,3 +149,21 @@ def seed_mappings(canonical: DataFrame, items: DataFrame, mappings: DataFrame) -
     seeds = canonical.where("status = 'active'").select("target", "group_id", F.col("seed_item").alias("item"))
     new = seeds.join(items.select("item", "platform"), "item").join(mappings.where("active").select("item").distinct(), "item", "left_anti")
     return new.select("item", "platform", "group_id", "target", F.lit("MATCHED").alias("status"), F.lit("SEED").alias("method"), F.lit(1.0).alias("confidence"))
+
+
+def batch_plan(decided: DataFrame, active: DataFrame) -> DataFrame:
+    """What becomes of the matcher's decisions (item, platform, status, target), one an item: `outcome` and whether it is written.
+
+    active: the active item mappings (item, platform, status, decided_by, target). Decisions by others stay (kept_existing); equal ones are
+    unchanged, other ones updated. Of the new ones, those that would match one target twice are held; one whose target has a match on the
+    platform already is a clash; the rest are created."""
+    known = active.select("item", F.col("status").alias("_status"), F.col("target").alias("_target"), F.col("decided_by").alias("_by"))
+    taken = active.where("status = 'MATCHED'").select("target", "platform", F.lit(True).alias("_taken")).distinct()
+    fresh = decided.join(active.select("item"), "item", "left_anti").where("status = 'MATCHED'").groupBy("target").agg(F.count("*").alias("_n"))
+    d = decided.join(known, "item", "left").join(taken, ["target", "platform"], "left").join(fresh, "target", "left")
+    same = (F.col("_status") == F.col("status")) & F.col("_target").eqNullSafe(F.col("target"))
+    matched = F.col("status") == "MATCHED"
+    new = F.when(matched & (F.col("_n") > 1), "held").when(matched & F.coalesce("_taken", F.lit(False)), "clash").otherwise("created")
+    old = F.when(F.coalesce(F.col("_by") != "matcher", F.lit(True)), "kept_existing").when(same, "unchanged").otherwise("updated")
+    outcome = F.when(F.col("_status").isNull(), new).otherwise(old)
+    return d.select("item", "target", "status", outcome.alias("outcome"), (outcome == "created").alias("written"))

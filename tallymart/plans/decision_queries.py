@@ -160,3 +160,23 @@ def seed_mappings(spark, sf):
     items = table(spark, sf, "orders").select(c("o_orderkey").alias("item"), F.concat(F.lit("p"), c("o_orderkey") % 2).alias("platform")).distinct()
     mapped = items.select("item", (c("item") % 3 == 0).alias("active"))
     return decisions.seed_mappings(canonical, items, mapped).select("item", "platform", "group_id", "target")
+
+
+@register(
+    "match_batch_plan",
+    """WITH d AS (SELECT o_orderkey AS item, 'p' || o_orderkey % 4 AS platform, CASE WHEN o_orderkey % 3 = 0 THEN 'REVIEW' ELSE 'MATCHED' END AS status, o_custkey AS target FROM orders),
+ a AS (SELECT o_orderkey AS item, 'p' || o_orderkey % 4 AS platform, CASE WHEN o_orderkey % 4 = 0 THEN 'REVIEW' ELSE 'MATCHED' END AS status, CASE WHEN o_orderkey % 5 = 0 THEN 'manual' ELSE 'matcher' END AS who, CASE WHEN o_orderkey % 7 = 0 THEN o_custkey + 1 ELSE o_custkey END AS target FROM orders WHERE o_orderkey % 10 < 8),
+ j AS (SELECT d.*, a.item IS NULL AS fresh, a.status AS was, a.target AS had, a.who, count(*) FILTER (WHERE a.item IS NULL AND d.status = 'MATCHED') OVER (PARTITION BY d.target) AS n, EXISTS (SELECT 1 FROM a x WHERE x.status = 'MATCHED' AND x.target = d.target AND x.platform = d.platform) AS taken FROM d LEFT JOIN a USING (item)),
+ r AS (SELECT *, CASE WHEN NOT fresh THEN CASE WHEN who <> 'matcher' THEN 'kept_existing' WHEN was = status AND had = target THEN 'unchanged' ELSE 'updated' END WHEN status = 'MATCHED' AND n > 1 THEN 'held' WHEN status = 'MATCHED' AND taken THEN 'clash' ELSE 'created' END AS outcome FROM j)
+ SELECT item, target, status, outcome, outcome = 'created' AS written FROM r""",
+)
+def match_batch_plan(spark, sf):
+    """E19."""
+    k, n = c("o_orderkey"), c("o_custkey")
+    o = table(spark, sf, "orders")
+    platform = F.concat(F.lit("p"), k % 4).alias("platform")
+    decided = o.select(k.alias("item"), platform, F.when(k % 3 == 0, "REVIEW").otherwise("MATCHED").alias("status"), n.alias("target"))
+    active = o.where(k % 10 < 8).select(
+        k.alias("item"), platform, F.when(k % 4 == 0, "REVIEW").otherwise("MATCHED").alias("status"), F.when(k % 5 == 0, "manual").otherwise("matcher").alias("decided_by"), F.when(k % 7 == 0, n + 1).otherwise(n).alias("target"),
+    )
+    return decisions.batch_plan(decided, active)

@@ -44,6 +44,18 @@ def grocery_menu(spark, sf):
     return rows.select("page_id", "at", "id", "title", "slug", "price", "original_price", F.array_join("images", " ").alias("images"), "stock", "problem")
 
 
+@register(
+    "menu_promotions",
+    """SELECT p_partkey AS page_id, x.* FROM part, LATERAL (VALUES ('PERCENT_OFF_MENU', 'FullMenuPercentOff', p_size::DOUBLE, 50.0::DOUBLE, 20.0::DOUBLE, NULL), ('PERCENT_OFF_ITEMS', 'itemSpecificPercentOffV2', 25.0, NULL, NULL, '1 2'), ('OTHER', 'Mystery', NULL, NULL, NULL, NULL), ('FREE_DELIVERY', 'FreeDelivery', NULL, 30.5, NULL, NULL), ('BUY_ONE_GET_ONE', 'ItemBogo', NULL, NULL, NULL, '3')) x(kind, name, percentage, least_order, most_off, items) WHERE p_partkey % 4 <> 0""",
+)
+def menu_promotions(spark, sf):
+    """X15; each fourth page has no state."""
+    first = '{"typeName": "FullMenuPercentOff", "minimumOrderValue": {"fractional": 5000, "currency_code": "AED"}, "maxDiscount": {"fractional": 2000}, "percentageDiscount": '
+    before = '{"props": {"initialState": {"menuPage": {"menu": {"metas": {"root": {"restaurant": {"id": 1}, "offer": {"progressBar": {"offer": {"typeName": "FreeDelivery", "minimumOrderValue": {"fractional": 3050}}}, "offers": [{"typeName": "itemSpecificPercentOffV2", "percentageDiscount": 25, "itemIds": [1, "2"], "maxDiscount": {"fractional": 0}}, {"typeName": "Mystery"}, {"x": 1}, {"typeName": "Mystery"}, {"typeName": "ItemBogo", "itemIds": ["3"]}], "offer": ' + first
+    rows = grocery.menu_promotions(_pages(spark, sf, before, "}}}}}}}}}"))
+    return rows.select("page_id", "kind", "name", "percentage", "least_order", "most_off", F.array_join("items", " ").alias("items"))
+
+
 #: text, price, anchor, original price
 MENTIONED = [
     ('{"sku":"A1","regular_price":{"currency":"AED","value":120},"final_price":{"value":99.5}}', 99.5, "A1", 120.0),

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.rules import first_rule
+
 STATE = '(?is)<script[^>]*\\bid="__NEXT_DATA__"[^>]*>(.*?)</script>'
 ITEM = "id: string, title: string, name: string, slug: string, uid: string, sku: string, description: string, images: array<string>, image: string"
 LISTED = f"struct<itemsData: struct<pageCount: double, currentPage: double, items: array<struct<{ITEM}, price: string, originalPrice: string, stockAmount: double, inStock: boolean>>>>"
@@ -64,6 +66,25 @@ def menu_items(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
     )
 
 
+#: Kinds of promotions by the platform's name of them, the first that fits.
+PROMOTIONS = [("PERCENT_OFF_ITEMS", "^ItemSpecificPercentOff"), ("PERCENT_OFF_MENU", "^FullMenuPercentOff"), ("FREE_DELIVERY", "^FreeDelivery"), ("BUY_ONE_GET_ONE", "(buyoneget|bogo|multibuy)")]
+_MONEY = "struct<fractional: double, currency_code: string>"
+_OFFER = f"struct<typeName: string, percentageDiscount: double, minimumOrderValue: {_MONEY}, maxDiscount: {_MONEY}, itemIds: array<string>>"
+
+
+def menu_promotions(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """Promotions of a menu page: the shown one, the listed ones, then the one of the progress bar; the first of those of one rule (kind,
+    name, percentage, least order, largest discount). Amounts are in minor units; a zero means that there is no such limit."""
+    schema = f"struct<offer: struct<offer: {_OFFER}, offers: array<{_OFFER}>, progressBar: struct<offer: {_OFFER}>>>"
+    s = _state(pages, key, html, "$.props.initialState.menuPage.menu.metas.root", schema).select(key, "state.offer.*")
+    every = F.array_compact(F.concat(F.array("offer"), F.coalesce("offers", F.array().cast(f"array<{_OFFER}>")), F.array("progressBar.offer")))
+    o = s.select(key, F.posexplode(every).alias("at", "o")).where("o.typeName IS NOT NULL")
+    amount = lambda n: F.when(F.col(f"o.{n}.fractional") > 0, F.floor(F.col(f"o.{n}.fractional") + 0.5) / 100)
+    kind = first_rule(F.col("o.typeName"), PROMOTIONS, "OTHER")
+    rules = o.select(key, "at", kind.alias("kind"), F.col("o.typeName").alias("name"), F.col("o.percentageDiscount").alias("percentage"), amount("minimumOrderValue").alias("least_order"), amount("maxDiscount").alias("most_off"), F.col("o.itemIds").alias("items"))
+    return rules.groupBy(key, "kind", "name", "percentage", "least_order", "most_off").agg(F.min("at").alias("at"), F.min_by("items", "at").alias("items"))
+
+
 #: How far a product's own pair of prices may be from a mention of the product, in characters.
 REACH = 2500
 
