@@ -83,3 +83,21 @@ def small_batches(spark: SparkSession, size: str = "4m"):
         yield
     finally:
         spark.conf.set(key, was)
+
+
+#: A key of more than one part in so many of all rows is hot; there can be no more such keys than this.
+HOT_PARTS = 1000
+
+
+def looked_up(rows: DataFrame, key: str, found: DataFrame, how: str = "inner", total: int | None = None) -> DataFrame:
+    """rows with the columns of `found`, whose `key` is unique and whose `n` is the number of rows that hold it (or more).
+
+    Keys with over 1/HOT_PARTS of all rows are at most HOT_PARTS, as the counts add up to the rows, so these are broadcast and
+    their rows stay where they are; all others meet by shuffle, and none of them is large. rows should be a written table, as
+    it is read more than once. The column n is left out."""
+    share = (rows.count() if total is None else total) // HOT_PARTS
+    hot, rest = found.where(F.col("n") > share), found.where(F.col("n") <= share).drop("n")
+    if not hot.limit(1).count():
+        return rows.join(rest, key, how)
+    near = rows.join(F.broadcast(hot.drop("n")), key)
+    return near.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key, how))
