@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import audit, bpe, forest, jaccard, language, packing, quality, repeats, rollup, tokenfile, toxicity, trie
+from tallymart.llm import audit, bpe, convtrie, forest, jaccard, language, packing, quality, repeats, rollup, tokenfile, toxicity, trie
 from tallymart.llm.common import table
 
 
@@ -58,13 +58,17 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.query(table(spark, sf_dir, "conversations"))
+
+
 def op13_interval_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.query(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_elias_fano_lm, op2_packed_token_ids, op3_toxicity_grammar, op4_compression_language, op5_line_quality, op6_token_rollup, op7_projection_forest, op8_dominance_packing, op9_ngram_jaccard, op10_byte_bpe, op11_filter_audit, op13_interval_repeats)}
+    return {f.__name__: f for f in (op1_elias_fano_lm, op2_packed_token_ids, op3_toxicity_grammar, op4_compression_language, op5_line_quality, op6_token_rollup, op7_projection_forest, op8_dominance_packing, op9_ngram_jaccard, op10_byte_bpe, op11_filter_audit, op12_conversation_trie, op13_interval_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_quality": quality.SQL, "op11_filter_audit": audit.SQL}
+    return {"op5_line_quality": quality.SQL, "op11_filter_audit": audit.SQL, "op12_conversation_trie": convtrie.SQL}
