@@ -15,9 +15,12 @@ A byte goes if a string of WINDOW bytes that covers it starts anywhere else too,
    its occurrences, not only neighbours (`groups=True`). For the spans alone each occurrence is given where it finds a
    neighbour that reaches farther to the left than any did below. Both are maximal within their contexts of up to
    WINDOW + (WINDOW - GRAM) bytes; longer repeats are runs of spans.
-4. A gram with more than LOCAL different contexts is divided first: the strings around it have more than half of the rest
-   either to its right or to its left, so it goes on as two longer cores, and so on until ranges are small, the core occurs
-   once (dropped) or is itself WINDOW bytes long (then it repeats). Each level is an aggregate that combines before the shuffle.
+4. A gram with more than LOCAL different contexts is divided first: the strings around it start in one half of the possible
+   places or in the other, so it goes on as two longer cores, what all strings of a half share. A core that occurs once is
+   dropped; a hull, all that the strings of a half cover, that occurs again repeats as a whole, and one of its rows goes on
+   as a partner for others; ranges that got small are sorted. A row has about one open half at a level, at each end of a
+   repeat, and carries the bytes between core and hull alone, half as many each time. Each level is an aggregate that combines
+   before the shuffle.
 5. Spans go back to the text files; what is left is hashed there. No text is shuffled, only contexts at the ends of repeats.
 
 Hashes of contexts and cores have 128 bits. Null texts are empty; texts under WINDOW bytes keep everything. Each row is a
@@ -45,7 +48,7 @@ from tallymart.llm.tokenfile import file_system
 WINDOW, GRAM = 400, 200
 AROUND = WINDOW - GRAM
 #: Different contexts of one core that one task sorts.
-LOCAL = 512
+LOCAL = 256
 #: Bytes of text that one vectorised step hashes.
 BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -228,17 +231,17 @@ def _digested(folder: str):
     return rows
 
 
-_ITEM = "core binary, row long, pos int, alone boolean, lo int, hi int, before binary, after binary"
+_ITEM = "core binary, hull binary, row long, pos int, alone boolean, lo int, hi int, before binary, after binary"
 
 
 def _batch(held: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*held)) if held else [[]] * 8
-    kinds = (pa.binary(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    cols = list(zip(*held)) if held else [[]] * 9
+    kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_pydict({n.split()[0]: pa.array(c, t) for n, c, t in zip(_ITEM.split(", "), cols, kinds)})
 
 
 def _with_bytes(folder: str):
-    """Items with the bytes before and after their gram; the gram is the core."""
+    """Items with the bytes before and after their gram; the gram is the core, and no hull repeats."""
 
     def rows(batches):
         held: list[tuple] = []
@@ -247,7 +250,7 @@ def _with_bytes(folder: str):
                 continue
             for core, pos, alone in zip(*(items.column(c).to_pylist() for c in ("gram", "pos", "alone"))):
                 before, ctx = _context(raw, pos)
-                held.append((core, row, pos, alone, 0, 0, ctx[:before], ctx[before + GRAM :]))
+                held.append((core, None, row, pos, alone, 0, 0, ctx[:before], ctx[before + GRAM :]))
             if len(held) > 1000:
                 yield _batch(held)
                 held = []
@@ -257,14 +260,21 @@ def _with_bytes(folder: str):
 
 
 def _divided(batches):
-    """Each core as two: for strings that start at most `mid` bytes before the gram, and for those that start earlier."""
+    """Each item as two: strings that start at most `mid` bytes before the gram, and those that start earlier.
+
+    A core is `lo` bytes, the gram and `hi` bytes; before and after are what else the item's strings can reach."""
     for batch in batches:
         held = []
-        for core, row, pos, alone, lo, hi, before, after in zip(*(batch.column(n.split()[0]).to_pylist() for n in _ITEM.split(", "))):
+        for core, _, row, pos, alone, lo, hi, before, after in zip(*(batch.column(n.split()[0]).to_pylist() for n in _ITEM.split(", "))):
             mid = (lo + AROUND - hi) // 2
             for a, b in ((lo, AROUND - mid), (mid + 1, hi)):
-                if a <= len(before) and b <= len(after):
-                    held.append((xxhash.xxh3_128_digest(core + bytes((a, b)) + before[len(before) - a :] + b"|" + after[:b]), row, pos, alone, a, b, before, after))
+                left, right = a - lo, b - hi  # bytes that the core gains
+                if left > len(before) or right > len(after):
+                    continue
+                inner = xxhash.xxh3_128_digest(core + bytes((a, b)) + before[len(before) - left :] + b"|" + after[:right])
+                outer, beyond = before[max(0, len(before) - (AROUND - b - lo)) : len(before) - left], after[right : AROUND - a - hi]
+                if a + len(outer) + b + len(beyond) >= AROUND:
+                    held.append((inner, xxhash.xxh3_128_digest(inner + bytes((len(outer),)) + outer + beyond), row, pos, alone, a, b, outer, beyond))
         yield _batch(held)
 
 
@@ -380,11 +390,11 @@ def _grouped(whole: bool):
             if items.num_rows < 2:
                 continue
             before, after, row, pos, alone = (items.column(c).to_pylist() for c in ("before", "after", "row", "pos", "alone"))
-            core = items.column("core")[0].as_py()
-            for left, right, members in maximal_repeats(before, after, whole=whole):
+            core, lo, hi = (items.column(c)[0].as_py() for c in ("core", "lo", "hi"))
+            for left, right, members in maximal_repeats(before, after, AROUND - lo - hi, whole):
                 some = members[0]
                 grp = xxhash.xxh3_128_digest(core + bytes((left, right)) + before[some][len(before[some]) - left :] + b"|" + after[some][:right])
-                held += [(grp, row[m], pos[m] - left, left + GRAM + right) for m in members if whole or alone[m]]
+                held += [(grp, row[m], pos[m] - lo - left, lo + left + GRAM + right + hi) for m in members if whole or alone[m]]
             if len(held) > 5000:
                 yield given()
         yield given()
@@ -392,6 +402,11 @@ def _grouped(whole: bool):
     return rows
 
 
+def _open(rows: DataFrame, key: str, alone) -> DataFrame:
+    """Keys of more than one row, some of them still to be decided; n and d are the number of rows."""
+    return rows.groupBy(key).agg(F.count("*").alias("n"), F.max(alone).alias("some")).where("n > 1 AND some").select(key, "n", F.col("n").alias("d"))
+
+
 def _dealt(items: DataFrame, files: DataFrame, n: int) -> DataFrame:
     """items by the file of their row, in order, each file's name first."""
     both = files.unionByName(items, allowMissingColumns=True)
@@ -416,25 +431,16 @@ class Repeats:
             ctxs = written(_dealt(again, self.files, self.n_files).mapInArrow(_digested(at), "ctx binary, gram binary, row long, pos int, len int"), f"{self.folder}/contexts")
             one = F.min(F.struct("row", "pos"))
             kinds = written(ctxs.groupBy("ctx").agg(F.count("*").alias("copies"), one.alias("at"), F.min("gram").alias("gram")).select("copies", "at.*", "gram", "ctx"), f"{self.folder}/kinds")
-            several = written(kinds.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").withColumn("d", F.col("n")), f"{self.folder}/several")
+            several = written(_open(kinds, "gram", F.col("copies") == 1), f"{self.folder}/several")
             start = F.greatest(F.lit(0), F.col("pos") - AROUND)
             whole = looked_up(ctxs, "ctx", kinds.where("copies > 1").select("ctx", F.col("copies").alias("n")))
             parts = [whole.select(F.col("ctx").alias("grp"), "row", start.alias("start"), "len")]
             opened = looked_up(kinds, "gram", several).select("gram", "row", "pos", (F.col("copies") == 1).alias("alone"), "d")
-            wide, level = opened.where(F.col("d") > LOCAL), 0
+            wide = opened.where(F.col("d") > LOCAL)
             near = _dealt(opened.where(F.col("d") <= LOCAL).drop("d"), self.files, self.n_files).mapInArrow(_with_bytes(at), _ITEM)
             parts.append(self._local(near))
             if wide.limit(1).count():
-                items = written(_dealt(wide.drop("d"), self.files, self.n_files).mapInArrow(_with_bytes(at), _ITEM), f"{self.folder}/wide")
-                while items.limit(1).count():
-                    level += 1
-                    cores = written(items.mapInArrow(_divided, _ITEM), f"{self.folder}/cores-{level}")
-                    counts = written(cores.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").withColumn("d", F.col("n")), f"{self.folder}/counts-{level}")
-                    met = written(looked_up(cores, "core", counts), f"{self.folder}/met-{level}")
-                    full = F.col("lo") + F.col("hi") == AROUND
-                    parts.append(met.where(full).select(F.col("core").alias("grp"), "row", (F.col("pos") - F.col("lo")).alias("start"), F.lit(WINDOW).alias("len")))
-                    parts.append(self._local(met.where(~full & (F.col("d") <= LOCAL)).drop("d")))
-                    items = met.where(~full & (F.col("d") > LOCAL)).drop("d")
+                parts += self._divisions(_dealt(wide.drop("d"), self.files, self.n_files).mapInArrow(_with_bytes(at), _ITEM))
             spans = parts[0]
             for p in parts[1:]:
                 spans = spans.unionByName(p)
@@ -442,6 +448,32 @@ class Repeats:
         for name in ("grams", "contexts", "kinds", "several"):
             drop(spark, f"{self.folder}/{name}")
 
+    def _divisions(self, items: DataFrame) -> list[DataFrame]:
+        parts, level = [], 0
+        while True:
+            level += 1
+            put = lambda df, name: written(df, f"{self.folder}/{name}-{level}")  # noqa: B023, E731
+            halves = put(items.mapInArrow(_divided, _ITEM), "halves")
+            if level > 1:
+                drop(self.spark, f"{self.folder}/items-{level - 1}")
+            met = put(looked_up(halves, "core", put(_open(halves, "core", F.col("alone")), "cores")), "met")
+            drop(self.spark, f"{self.folder}/halves-{level}")
+            one = F.min(F.struct("row", "pos")).alias("one")
+            again = met.groupBy("hull").agg(F.count("*").alias("n"), one, F.max(F.col("lo") + F.col("hi") == AROUND).alias("last")).where("n > 1")
+            # for all occurrences of every group a row meets all partners down to single strings
+            again = put(again.where(F.col("last") | F.lit(not self.whole)).select("hull", "n", "one"), "hulls")
+            told = put(looked_up(met, "hull", again, "left"), "told")
+            drop(self.spark, f"{self.folder}/met-{level}")
+            size = F.col("lo") + F.length("before") + GRAM + F.length("after") + F.col("hi")
+            over = told.where("one IS NOT NULL")
+            parts.append(over.where(F.col("alone") | F.lit(self.whole)).select(F.col("hull").alias("grp"), "row", (F.col("pos") - F.col("lo") - F.length("before")).alias("start"), size.cast("int").alias("len")))
+            partners = over.where("row = one.row AND pos = one.pos").withColumn("alone", F.lit(False))
+            rest = told.where("one IS NULL").unionByName(partners).where(F.col("lo") + F.col("hi") < AROUND).drop("one")
+            parts.append(self._local(rest.where(F.col("d") <= LOCAL).drop("d")))
+            items = put(rest.where(F.col("d") > LOCAL).drop("d"), "items")
+            if not items.limit(1).count():
+                return parts
+
     def _local(self, items: DataFrame) -> DataFrame:
         return items.repartition("core").sortWithinPartitions("core", "row", "pos").mapInArrow(_grouped(self.whole), "grp binary, row long, start int, len int")
 
