@@ -15,12 +15,12 @@ A byte goes if a string of WINDOW bytes that covers it starts anywhere else too,
    its occurrences, not only neighbours (`groups=True`). For the spans alone each occurrence is given where it finds a
    neighbour that reaches farther to the left than any did below. Both are maximal within their contexts of up to
    WINDOW + (WINDOW - GRAM) bytes; longer repeats are runs of spans.
-4. A gram with more than LOCAL different contexts is divided first: the strings around it start in one half of the possible
-   places or in the other, so it goes on as two longer cores, what all strings of a half share. A core that occurs once is
-   dropped; a hull, all that the strings of a half cover, that occurs again repeats as a whole, and one of its rows goes on
-   as a partner for others; ranges that got small are sorted. A row has about one open half at a level, at each end of a
-   repeat, and carries the bytes between core and hull alone, half as many each time. Each level is an aggregate that combines
-   before the shuffle.
+4. A gram with more than LOCAL different contexts is divided first: the strings around it start in one of WAYS ranges of the
+   possible places, so it goes on as so many longer cores, what all strings of a range share. A core that occurs once is
+   dropped; a hull, all that the strings of a range cover, that occurs again repeats as a whole, and one of its rows goes on
+   as a partner for others; ranges of the suffix array that got small are sorted. A row has about one open range at a level,
+   at each end of a repeat, and carries the bytes between core and hull alone, ever fewer. Each level is an aggregate that
+   combines before the shuffle.
 5. Spans go back to the text files; what is left is hashed there. No text is shuffled, only contexts at the ends of repeats.
 
 Hashes of contexts and cores have 128 bits. Null texts are empty; texts under WINDOW bytes keep everything. Each row is a
@@ -49,6 +49,8 @@ WINDOW, GRAM = 400, 200
 AROUND = WINDOW - GRAM
 #: Different contexts of one core that one task sorts.
 LOCAL = 256
+#: Ranges into which a larger core is divided at a level.
+WAYS = 4
 #: Bytes of text that one vectorised step hashes.
 BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -260,14 +262,15 @@ def _with_bytes(folder: str):
 
 
 def _divided(batches):
-    """Each item as two: strings that start at most `mid` bytes before the gram, and those that start earlier.
+    """Each item as WAYS: ranges of how far before the gram its strings can start.
 
     A core is `lo` bytes, the gram and `hi` bytes; before and after are what else the item's strings can reach."""
     for batch in batches:
         held = []
         for core, _, row, pos, alone, lo, hi, before, after in zip(*(batch.column(n.split()[0]).to_pylist() for n in _ITEM.split(", "))):
-            mid = (lo + AROUND - hi) // 2
-            for a, b in ((lo, AROUND - mid), (mid + 1, hi)):
+            size = AROUND - hi - lo + 1
+            edges = [lo + size * i // min(WAYS, size) for i in range(min(WAYS, size) + 1)]
+            for a, b in zip(edges, (AROUND - e + 1 for e in edges[1:])):
                 left, right = a - lo, b - hi  # bytes that the core gains
                 if left > len(before) or right > len(after):
                     continue
