@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallymart.operators import bundle_merge
+from tallymart.operators import backfill, bundle_merge
 from tallymart.plans.catalog import register
-from tallymart.sources.tables import table
+from tallymart.sources.tables import branches, table
 
 c = F.col
 
@@ -45,3 +45,33 @@ def merged_bundles(spark, sf):
     )
     shown = F.transform("retailers", lambda o: F.concat(o["retailer"], F.lit("="), o["price"]))
     return bundle_merge.merged(bundles).select("seq", "name", "members", F.nullif(F.array_join(shown, " "), F.lit("")).alias("retailers"), F.nullif(F.array_join("tags", ","), F.lit("")).alias("tags"), F.size("images").alias("images"), "description", "review_count", "retailer_count", "lowest_price", "highest_price")
+
+
+def identity_inputs(spark, sf):
+    """Suppliers and customers as listings of two platforms: names, brands, addresses and areas by their keys, cities by nation; each fifth supplier is the group that it started."""
+
+    def listed(name, prefix, key, platform):
+        k = F.col(f"{prefix}_{key}")
+        place = branches(spark, sf, name, prefix).select(c("id").alias("key"), "lat", "lng", "nation")
+        at = lambda step: (c("key") % step).cast("string")
+        pinned = k % 3 != 0
+        return table(spark, sf, name).join(place, k == c("key")).select(
+            F.concat(F.lit(platform), c("key")).alias("id"), F.when(c("key") % 11 != 0, c("key") * 7919 % 1000).alias("created_at"), F.lit(platform).alias("platform"),
+            F.array(F.concat(F.lit("place "), at(37))).alias("names"), F.when(c("key") % 2 == 0, F.array(F.concat(F.lit("brand "), at(7)))).otherwise(F.array().cast("array<string>")).alias("brands"),
+            F.when(c("key") % 13 != 0, F.concat(F.lit("city "), (c("nation") % 5).cast("string"))).alias("city"), F.when(c("key") % 4 == 0, F.concat(F.lit("area "), at(6))).alias("area"), F.when(c("key") % 3 == 1, F.concat(at(10), F.lit(" road"))).alias("address"),
+            F.when(pinned, c("lat")).alias("lat"), F.when(pinned, c("lng")).alias("lng"),
+        )
+
+    suppliers = listed("supplier", "s", "suppkey", "t")
+    first = F.substring("id", 2, 20).cast("long") % 5 == 0
+    groups = suppliers.where(first).select(F.concat(F.lit("G"), "id").alias("group_id"), *backfill.SIGNALS)
+    mappings = suppliers.where(first).select("id", F.concat(F.lit("G"), "id").alias("group_id"), F.lit("MATCHED").alias("status"), "platform")
+    customers = listed("customer", "c", "custkey", "d")
+    rejected = customers.where(F.substring("id", 2, 20).cast("long") % 2 == 0).select("id", F.lit("Gt0").alias("group_id"))
+    return suppliers.unionByName(customers), groups, mappings, rejected
+
+
+@register("identity_backfill")
+def identity_backfill(spark, sf):
+    """E7. Without SQL, as each decision sees those before it; a test takes them one after the other."""
+    return backfill.plan(*identity_inputs(spark, sf))
