@@ -18,22 +18,18 @@ def variants(a: Column, b: Column) -> Column:
     return F.when(a.isNull() & b.isNull(), 1.0).when(a.isNull() | b.isNull(), 0.5).when(a == b, 1.0).otherwise(0.0)
 
 
-def candidates(items: DataFrame, canon: DataFrame, rarest: int | None = None) -> DataFrame:
-    """Pairs of one group that share any token. `rarest`: look only at so many of an item's tokens, the rarest in the group first."""
+def candidates(items: DataFrame, canon: DataFrame) -> DataFrame:
+    """Pairs of one group that share any token."""
     own = items.select(F.col("id").alias("item"), "grp", F.explode("tokens").alias("t"))
     other = canon.select(F.col("id").alias("canonical"), "grp", F.explode("tokens").alias("t"))
-    if rarest is not None:
-        known = other.groupBy("grp", "t").agg(F.count("*").alias("f"))
-        order = Window.partitionBy("item").orderBy("f", "t")
-        own = own.join(known, ["grp", "t"]).withColumn("at", F.row_number().over(order)).where(F.col("at") <= rarest).select("item", "grp", "t")
     return own.join(other, ["grp", "t"]).select("item", "canonical").distinct()
 
 
-def scores(items: DataFrame, canon: DataFrame, rarest: int | None = None) -> DataFrame:
+def scores(items: DataFrame, canon: DataFrame) -> DataFrame:
     """Item, canonical, confidence to three places, conflict."""
     a = items.select(F.col("id").alias("item"), F.col("tokens").alias("t1"), F.col("category").alias("c1"), F.col("size").alias("s1"))
     b = canon.select(F.col("id").alias("canonical"), F.col("tokens").alias("t2"), F.col("category").alias("c2"), F.col("size").alias("s2"))
-    j = candidates(items, canon, rarest).join(a, "item").join(b, "canonical")
+    j = candidates(items, canon).join(a, "item").join(b, "canonical")
     variant = variants(F.col("s1"), F.col("s2"))
     raw = (NAME * dice(F.col("t1"), F.col("t2")) + CATEGORY * (F.col("c1") == F.col("c2")).cast("double") + DESCRIPTION * variant) / (NAME + CATEGORY + DESCRIPTION)
     return j.select("item", "canonical", (F.floor(raw * 1000 + 0.5) / 1000).alias("confidence"), F.when(variant == 0, "SIZE_MISMATCH").alias("conflict"))

@@ -96,36 +96,19 @@ def snapshot_diff_actions(spark, sf):
     return a.join(b, "id", "left").select("id", action.alias("action"))
 
 
-@register(
-    "item_match_scores",
-    """WITH p AS (SELECT p_partkey AS id, p_brand || '/' || p_size AS grp, list_distinct(string_split(lower(p_name), ' ')) AS tokens, p_type AS category, CASE WHEN p_partkey % 4 > 0 THEN p_retailprice END AS size FROM part),
- a AS (SELECT * FROM p WHERE id % 2 = 0), b AS (SELECT * FROM p WHERE id % 2 = 1), bt AS (SELECT id, grp, unnest(tokens) AS t FROM b), f AS (SELECT grp, t, count(*) AS f FROM bt GROUP BY ALL),
- k AS (SELECT x.id AS item, grp, t FROM (SELECT id, grp, unnest(tokens) AS t FROM a) x JOIN f USING (grp, t) QUALIFY row_number() OVER (PARTITION BY x.id ORDER BY f, t) = 1),
- s AS (SELECT k.item, b.id AS canonical, CASE WHEN a.size IS NULL AND b.size IS NULL THEN 1.0 WHEN a.size IS NULL OR b.size IS NULL THEN 0.5 WHEN a.size = b.size THEN 1.0 ELSE 0.0 END AS v,
-   2 * len(list_intersect(a.tokens, b.tokens)) / (len(a.tokens) + len(b.tokens)) AS d, a.category = b.category AS c FROM k JOIN bt USING (grp, t) JOIN a ON a.id = k.item JOIN b ON b.id = bt.id),
- r AS (SELECT item, canonical, v, floor((0.5::DOUBLE * d + 0.1::DOUBLE * c::INT + 0.2::DOUBLE * v) / (0.5::DOUBLE + 0.1::DOUBLE + 0.2::DOUBLE) * 1000 + 0.5) / 1000 AS confidence FROM s),
- o AS (SELECT *, row_number() OVER w AS place, lead(confidence) OVER w AS nxt FROM r WINDOW w AS (PARTITION BY item ORDER BY confidence DESC, canonical))
- SELECT a.id AS item, canonical, confidence, CASE WHEN confidence >= 0.75 AND v > 0 AND (nxt IS NULL OR confidence - nxt >= 0.1) THEN 'MATCHED' WHEN confidence >= 0.5 THEN 'REVIEW' ELSE 'UNMATCHED' END AS status
- FROM a LEFT JOIN o ON a.id = o.item AND place = 1""",
-)
-def item_match_scores(spark, sf):
-    """Even parts against odd ones of their brand and size, by the rarest shared token alone, as its SQL has it."""
-    items, canon = _even_and_odd_parts(spark, sf)
-    return item_match.decide(items, item_match.scores(items, canon, rarest=1))
-
-
-@register(
-    "item_match_scores_all_tokens",
-    """WITH p AS (SELECT p_partkey AS id, p_brand || '/' || p_size AS grp, list_distinct(string_split(lower(p_name), ' ')) AS tokens, p_type AS category, CASE WHEN p_partkey % 4 > 0 THEN p_retailprice END AS size FROM part),
+_ITEM_MATCH = """WITH p AS (SELECT p_partkey AS id, p_brand || '/' || p_size AS grp, list_distinct(string_split(lower(p_name), ' ')) AS tokens, p_type AS category, CASE WHEN p_partkey % 4 > 0 THEN p_retailprice END AS size FROM part),
  a AS (SELECT * FROM p WHERE id % 2 = 0), b AS (SELECT * FROM p WHERE id % 2 = 1),
  s AS (SELECT a.id AS item, b.id AS canonical, CASE WHEN a.size IS NULL AND b.size IS NULL THEN 1.0 WHEN a.size IS NULL OR b.size IS NULL THEN 0.5 WHEN a.size = b.size THEN 1.0 ELSE 0.0 END AS v,
    2 * len(list_intersect(a.tokens, b.tokens)) / (len(a.tokens) + len(b.tokens)) AS d, a.category = b.category AS c FROM a JOIN b USING (grp) WHERE list_has_any(a.tokens, b.tokens)),
  r AS (SELECT item, canonical, v, floor((0.5::DOUBLE * d + 0.1::DOUBLE * c::INT + 0.2::DOUBLE * v) / (0.5::DOUBLE + 0.1::DOUBLE + 0.2::DOUBLE) * 1000 + 0.5) / 1000 AS confidence FROM s),
  o AS (SELECT *, row_number() OVER w AS place, lead(confidence) OVER w AS nxt FROM r WINDOW w AS (PARTITION BY item ORDER BY confidence DESC, canonical))
  SELECT a.id AS item, canonical, confidence, CASE WHEN confidence >= 0.75 AND v > 0 AND (nxt IS NULL OR confidence - nxt >= 0.1) THEN 'MATCHED' WHEN confidence >= 0.5 THEN 'REVIEW' ELSE 'UNMATCHED' END AS status
- FROM a LEFT JOIN o ON a.id = o.item AND place = 1""",
-)
-def item_match_scores_all_tokens(spark, sf):
+ FROM a LEFT JOIN o ON a.id = o.item AND place = 1"""
+
+
+@register("item_match_scores", _ITEM_MATCH)
+@register("item_match_scores_all_tokens", _ITEM_MATCH)
+def item_match_scores(spark, sf):
     """Even parts against all odd ones of their brand and size that share any token."""
     items, canon = _even_and_odd_parts(spark, sf)
     return item_match.decide(items, item_match.scores(items, canon))

@@ -73,33 +73,19 @@ def newer_wins_merge(spark, sf):
     return merge.newer_wins(timed(half.where("side = 1"), 11), timed(incoming, 13), ["product_id", "retailer_id"])
 
 
-@register(
-    "fill_only_merge",
-    """WITH s AS (SELECT p_partkey AS id, CASE WHEN p_size > 10 THEN p_name END AS name, p_brand AS brand, p_retailprice AS rating FROM part WHERE p_partkey % 3 <> 0),
- i AS (SELECT p_partkey AS id, 'incoming ' || p_name AS name, p_type AS brand, CASE WHEN p_size > 20 THEN CAST(p_size AS DOUBLE) END AS rating FROM part WHERE p_partkey % 2 = 0)
- SELECT coalesce(s.id, i.id) AS id, coalesce(s.name, i.name) AS name, coalesce(s.brand, i.brand) AS brand, coalesce(i.rating, s.rating) AS rating,
- CASE WHEN s.id IS NULL THEN 'created' WHEN i.id IS NULL THEN 'kept' ELSE 'updated' END AS action FROM s FULL JOIN i ON s.id = i.id""",
-)
-def fill_only_merge(spark, sf):
-    return _fill_only(spark, sf, "p_partkey % 2 = 0")
-
-
-@register(
-    "fill_only_merge_all_parts",
-    """WITH s AS (SELECT p_partkey AS id, CASE WHEN p_size > 10 THEN p_name END AS name, p_brand AS brand, p_retailprice AS rating FROM part WHERE p_partkey % 3 <> 0),
+#: Stored and incoming sides overlap in a third of the parts, and each part is on a side.
+_FILL_ONLY = """WITH s AS (SELECT p_partkey AS id, CASE WHEN p_size > 10 THEN p_name END AS name, p_brand AS brand, p_retailprice AS rating FROM part WHERE p_partkey % 3 <> 0),
  i AS (SELECT p_partkey AS id, 'incoming ' || p_name AS name, p_type AS brand, CASE WHEN p_size > 20 THEN CAST(p_size AS DOUBLE) END AS rating FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 2 = 0)
  SELECT coalesce(s.id, i.id) AS id, coalesce(s.name, i.name) AS name, coalesce(s.brand, i.brand) AS brand, coalesce(i.rating, s.rating) AS rating,
- CASE WHEN s.id IS NULL THEN 'created' WHEN i.id IS NULL THEN 'kept' ELSE 'updated' END AS action FROM s FULL JOIN i ON s.id = i.id""",
-)
-def fill_only_merge_all_parts(spark, sf):
-    """fill_only_merge with every part on a side: its own sides, as its SQL has them, leave out one part in six."""
-    return _fill_only(spark, sf, "p_partkey % 3 = 0 OR p_partkey % 2 = 0")
+ CASE WHEN s.id IS NULL THEN 'created' WHEN i.id IS NULL THEN 'kept' ELSE 'updated' END AS action FROM s FULL JOIN i ON s.id = i.id"""
 
 
-def _fill_only(spark, sf, comes):
+@register("fill_only_merge", _FILL_ONLY)
+@register("fill_only_merge_all_parts", _FILL_ONLY)
+def fill_only_merge(spark, sf):
     p = table(spark, sf, "part")
     stored = p.where("p_partkey % 3 <> 0").selectExpr("p_partkey AS id", "CASE WHEN p_size > 10 THEN p_name END AS name", "p_brand AS brand", "p_retailprice AS rating")
-    incoming = p.where(comes).selectExpr("p_partkey AS id", "'incoming ' || p_name AS name", "p_type AS brand", "CASE WHEN p_size > 20 THEN double(p_size) END AS rating")
+    incoming = p.where("p_partkey % 3 = 0 OR p_partkey % 2 = 0").selectExpr("p_partkey AS id", "'incoming ' || p_name AS name", "p_type AS brand", "CASE WHEN p_size > 20 THEN double(p_size) END AS rating")
     return merge.fill_only(stored, incoming, "id", ["name", "brand"], ["rating"])
 
 
