@@ -48,7 +48,7 @@ from tallymart.llm.tokenfile import file_system
 WINDOW, GRAM = 400, 200
 AROUND = WINDOW - GRAM
 #: Different contexts of one core that one task sorts.
-LOCAL = 256
+LOCAL = 2048
 #: Ranges into which a larger core is divided at a level.
 WAYS = 4
 #: Bytes of text that one vectorised step hashes.
