@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallymart.operators import backfill, bundle_merge
+from tallymart.operators.menu_store import MenuStore
 from tallymart.plans.catalog import register
 from tallymart.sources.tables import branches, table
 
@@ -75,3 +76,38 @@ def identity_inputs(spark, sf):
 def identity_backfill(spark, sf):
     """E7. Without SQL, as each decision sees those before it; a test takes them one after the other."""
     return backfill.plan(*identity_inputs(spark, sf))
+
+
+@register(
+    "menu_writes",
+    """WITH line AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p, l_linestatus AS status FROM lineitem),
+item AS (SELECT s, p, status, p % 23 <> 0 AS named FROM line),
+one AS (SELECT s, count(*) AS seen, count(*) FILTER (named) AS created, count(*) FILTER (NOT named) AS rejected FROM item WHERE status = 'F' GROUP BY s),
+two AS (SELECT o.s, count(*) AS seen, count(*) FILTER (named AND f.p IS NULL) AS created, count(*) FILTER (named AND f.p IS NOT NULL AND o.p % 3 = 0) AS updated, count(*) FILTER (named AND f.p IS NOT NULL AND o.p % 3 <> 0) AS unchanged,
+  count(*) FILTER (NOT named) AS rejected FROM (SELECT * FROM item WHERE status = 'O') o LEFT JOIN (SELECT s, p FROM item WHERE status = 'F') f ON o.s = f.s AND o.p = f.p GROUP BY o.s),
+gone AS (SELECT f.s, count(*) AS n FROM item f WHERE status = 'F' AND named AND NOT EXISTS (SELECT 1 FROM item o WHERE o.status = 'O' AND o.s = f.s AND o.p = f.p) GROUP BY f.s),
+runs AS (SELECT s_suppkey AS s, 'first' AS run_id, coalesce(seen, 0) AS seen, coalesce(created, 0) AS created, 0 AS updated, 0 AS unchanged, coalesce(rejected, 0) AS rejected, 0 AS previous, 0 AS gone FROM supplier LEFT JOIN one ON s = s_suppkey
+  UNION ALL SELECT s_suppkey, 'second', coalesce(two.seen, 0), coalesce(two.created, 0), coalesce(two.updated, 0), coalesce(two.unchanged, 0), coalesce(two.rejected, 0), coalesce(one.created, 0), coalesce(n, 0)
+  FROM supplier LEFT JOIN two ON two.s = s_suppkey LEFT JOIN one ON one.s = s_suppkey LEFT JOIN gone ON gone.s = s_suppkey),
+told AS (SELECT *, list_filter([CASE WHEN seen = 0 THEN 'NO_ITEMS' END, CASE WHEN seen > 0 AND rejected > seen * 0.1::DOUBLE THEN 'TOO_MANY_REJECTED_ITEMS' END, CASE WHEN previous > 0 AND seen < ceil(previous * 0.5) THEN 'SUSPICIOUS_ITEM_DROP' END], lambda x: x IS NOT NULL) AS reasons FROM runs)
+SELECT 's' || s AS restaurant, run_id, CAST(seen AS BIGINT) AS items_seen, CAST(created AS BIGINT) AS items_created, CAST(updated AS BIGINT) AS items_updated, CAST(unchanged AS BIGINT) AS items_unchanged, CAST(rejected AS BIGINT) AS items_rejected,
+  CAST(CASE WHEN len(reasons) = 0 THEN gone ELSE 0 END AS BIGINT) AS items_inactive, coalesce(array_to_string(reasons, ','), '') AS reasons FROM told""",
+)
+def menu_writes(spark, sf):
+    """suppliers' menus as of filled lines, then as of open ones: a third of the parts at another price, each 23rd without a name."""
+    place = F.concat(F.lit("s"), c("s_suppkey"))
+    s, none = table(spark, sf, "supplier"), lambda kind: F.lit(None).cast(kind)
+    lines = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_linestatus").distinct().join(table(spark, sf, "part"), c("l_partkey") == c("p_partkey"))
+    restaurants = s.select(place.alias("restaurant"), F.lit("d").alias("platform"), none("string").alias("platform_id"), c("s_name").alias("name"), none("string").alias("url"), F.lit("AED").alias("currency"), none("double").alias("lat"), none("double").alias("lng"))
+    categories = s.select(place.alias("restaurant"), F.lit("all").alias("source_key"), F.lit("anchor").alias("kind"), none("string").alias("platform_id"), F.lit("All").alias("name"), F.lit(0).alias("sort_order"))
+    store = MenuStore(spark, f"{bundle_merge.shared_folder(spark)}/menus", buckets=8)
+    for run_id, status, dearer, day in (("first", "F", 0, "2024-01-01"), ("second", "O", 1, "2024-01-02")):
+        p = c("l_partkey")
+        items = lines.where(c("l_linestatus") == status).select(
+            F.concat(F.lit("s"), c("l_suppkey")).alias("restaurant"), F.concat(F.lit("p"), p).alias("source_key"), F.lit("id").alias("kind"), p.cast("string").alias("platform_id"), F.lit("all").alias("category_key"), F.when(p % 23 != 0, c("p_name")).alias("name"), c("p_type").alias("description"),
+            (c("p_retailprice") + F.when(p % 3 == 0, dearer).otherwise(0)).alias("price"), none("double").alias("original_price"), F.lit("AED").alias("currency"), none("string").alias("image_url"), F.lit(True).alias("available"),
+        )
+        seen = items.groupBy("restaurant").agg(F.count("*").alias("items_seen"))
+        pages = restaurants.select("restaurant", F.lit(True).alias("complete")).join(seen, "restaurant", "left").select("restaurant", "complete", F.coalesce("items_seen", F.lit(0)).alias("items_seen"), F.lit(0).alias("items_rejected"))
+        store.write(restaurants, categories, items, pages, "en", run_id, day)
+    return store.read("runs").select("restaurant", "run_id", "items_seen", "items_created", "items_updated", "items_unchanged", "items_rejected", "items_inactive", F.array_join("inactive_reasons", ",").alias("reasons"))
