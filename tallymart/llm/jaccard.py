@@ -93,7 +93,7 @@ def first_columns(row: np.ndarray, cells: np.ndarray, percent: int = PERCENT) ->
 
 
 def ranges_of(size: int, percent: int = PERCENT) -> list[int]:
-    """Ranges of sizes, each half as wide again as the one below, in which a row meets others: its own, and the one below if linked rows can be there."""
+    """Ranges of sizes, each half as wide again as the one below, in which a row meets others: its own, and those below where linked rows can be (one at most from 67 % on)."""
     if bound(size, percent) == 0 and bound(size - 1, percent) == 0:
         return []  # links with equal rows alone
     at, top = 0, 1
@@ -101,7 +101,7 @@ def ranges_of(size: int, percent: int = PERCENT) -> list[int]:
     while top < size:
         tops.append(top)
         at, top = at + 1, top * 3 // 2 + 1
-    return [at] + ([at - 1] if tops and size * percent <= 100 * tops[-1] else [])
+    return [at] + [r for r in range(at - 1, -1, -1) if size * percent <= 100 * tops[r]]
 
 
 def products(pairs: list[tuple[int, int]], rows: list[np.ndarray]) -> np.ndarray:
@@ -479,14 +479,14 @@ def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     # a text is told by its key and hash; one that stands in several equal rows is thinned to one row
     marked = of_many.groupBy("doc_id", "h").agg(F.max((F.col("row") == F.col("best")).cast("int")).alias("stays"), F.count("*").alias("n"))
     marked = work.put(marked.where("stays = 0 OR n > 1"), "marked")
-    held = df.withColumn("_h", F.xxhash64(text))
+    held = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("r"), F.col(key).cast("long").alias("k"), F.xxhash64(text).alias("h"))
 
-    def at(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
-        keys = keys.select(F.col("doc_id").alias("_k"), F.col("h").alias("_h2"))
-        return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys, F.col(key).cast("long").eqNullSafe(F.col("_k")) & (F.col("_h") == F.col("_h2")), how)
+    def at(keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.select(F.col("doc_id").alias("marked_k"), F.col("h").alias("marked_h"))
+        return held.join(F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys, F.col("k").eqNullSafe(F.col("marked_k")) & (F.col("h") == F.col("marked_h")), how)
 
-    out = at(marked, "left_anti", held)
+    out = at(marked, "left_anti")
     repeated = marked.where("stays = 1")
     if repeated.limit(1).count():
-        out = out.unionByName(at(repeated, "left_semi", held).dropDuplicates([key, "_h"]))
-    return out.select(*df.columns)
+        out = out.unionByName(at(repeated, "left_semi").dropDuplicates(["k", "h"]))
+    return out.select("r.*")

@@ -42,9 +42,15 @@ def _windows(hashes: Column, window: int) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), at))
 
 
+#: Names of columns between steps; a caller's columns of these names stay.
+_STEPS = ("_ws", "_lines", "_hs", "_wins", "_pairs", "_good")
+
+
 def measured(df: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """df with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lost_words, clean_text."""
-    body = F.coalesce(F.col(text), F.lit(""))
+    own = {c: f"{c} of the caller" for c in df.columns if c in _STEPS}
+    df = df.withColumnsRenamed(own)
+    body = F.coalesce(F.col(own.get(text, text)), F.lit(""))
     df = df.withColumn("_ws", words(body)).withColumn("_lines", F.filter(F.split(body, "\n"), lambda x: x.rlike("[^\\x09-\\x0D\\x20]")))
     df = df.withColumn("_hs", F.transform("_ws", lambda w: F.xxhash64(w)))
     df = df.withColumn("_wins", _windows(F.col("_hs"), window))
@@ -83,7 +89,7 @@ def measured(df: DataFrame, text: str = "text", window: int = WINDOW) -> DataFra
             "lost_words": (F.size("_ws") - kept_words).cast("long"),
             "clean_text": F.array_join("_good", "\n"),
         }
-    ).drop("_ws", "_lines", "_hs", "_wins", "_pairs", "_good")
+    ).drop(*_STEPS).withColumnsRenamed({v: k for k, v in own.items()})
 
 
 def judged(df: DataFrame, text: str = "text") -> DataFrame:

@@ -6,8 +6,12 @@ that changed. Totals are the sum of all committed deltas, so a batch costs what
 
 A batch's sums are written to a folder of their own, and a commit file named by the batch's id is then put in place by one
 exclusive rename, which fails if the id was committed before: a batch counts wholly or not at all, and once. What a failed
-or late run wrote is in no commit file, is never read and goes with the next compaction, which adds up all committed
-deltas into one base and keeps the ids. A compaction runs when no commit does.
+or late run wrote is in no commit file and is never read.
+
+A compaction adds up the deltas committed so far into one base, and its base file names the ids that are in it, so commits
+that come meanwhile count beside it. Base files are numbered and put in place by an exclusive rename too: of two compactions
+at once one is dropped. Nothing is deleted then: readers may still hold what a base replaces. `sweep` deletes, after a grace
+time, what the newest base replaces and what no commit names.
 
 Null sources and languages are groups of their own; null counts are zero; repeated rows count each. An empty batch is
 committed and adds nothing. A null or empty text has no tokens.
@@ -119,14 +123,34 @@ class TokenRollup:
         paths = [f"{self.path}/deltas/{n}" for n in ([base] if base else []) + names]
         return _summed(self.spark.read.schema(SCHEMA).parquet(*paths)) if paths else self.spark.createDataFrame([], SCHEMA)
 
-    def compact(self) -> None:
-        """One base in place of all committed deltas. Their ids stay known."""
-        name, ids = uuid.uuid4().hex, self._names("commits")
-        self.totals().write.parquet(f"{self.path}/deltas/{name}")
-        self._put([name, *ids], f"bases/{len(self._names('bases')):08d}")
-        for old in self._names("deltas"):
-            if old != name:
-                self._fs.delete(self._at(f"{self.path}/deltas/{old}"), True)
+    def compact(self) -> bool:
+        """One base in place of all deltas committed so far; their ids stay known. False if another compaction came first, which then counts."""
+        number, (base, inside), ids = len(self._names("bases")), self._base(), self._names("commits")
+        names = [self._lines(f"commits/{i}")[0] for i in ids if i not in inside]
+        if not names:
+            return False
+        name = uuid.uuid4().hex
+        _summed(self.spark.read.schema(SCHEMA).parquet(*(f"{self.path}/deltas/{n}" for n in ([base] if base else []) + names))).write.parquet(f"{self.path}/deltas/{name}")
+        if self._put([name, *sorted(inside | set(ids))], f"bases/{number:08d}"):
+            return True
+        self._fs.delete(self._at(f"{self.path}/deltas/{name}"), True)
+        return False
+
+    def sweep(self, grace_seconds: float = 86_400) -> int:
+        """Deletes the sums that neither the newest base is nor a commit outside it names, if nobody has written to them for the grace time
+        and the newest base is as old as that; returns how many. The grace time must exceed what a commit, a compaction or a reader takes."""
+        now = self.spark._jvm.System.currentTimeMillis()
+        old = lambda name: now - self._fs.getFileStatus(self._at(f"{self.path}/{name}")).getModificationTime() >= 1000 * grace_seconds
+        bases = self._names("bases")
+        if bases and not old(f"bases/{bases[-1]}"):
+            return 0
+        found = self._names("deltas")  # before the commits, so a delta that is committed meanwhile is seen as such
+        base, inside = self._base()
+        counts = {base} | {self._lines(f"commits/{i}")[0] for i in self._names("commits") if i not in inside}
+        gone = [n for n in found if n not in counts and old(f"deltas/{n}")]
+        for n in gone:
+            self._fs.delete(self._at(f"{self.path}/deltas/{n}"), True)
+        return len(gone)
 
 
 def _checked(batch_id: str) -> str:

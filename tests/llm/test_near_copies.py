@@ -10,13 +10,13 @@ from tests.llm.test_models import words
 K, PERCENT = 5, 80
 
 
-def components(texts):
+def components(texts, k=K, percent=PERCENT):
     sets = {}
     for i, t in texts.items():
         ws = words(t)
-        sets[i] = {tuple(ws[j : j + K]) for j in range(max(1, len(ws) - K + 1))} if ws else set()
+        sets[i] = {tuple(ws[j : j + k]) for j in range(max(1, len(ws) - k + 1))} if ws else set()
     label = {i: i for i in texts}
-    links = [(a, b) for a in texts for b in texts if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= PERCENT * len(sets[a] | sets[b])]
+    links = [(a, b) for a in texts for b in texts if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     changed = True
     while changed:
         changed = False
@@ -55,3 +55,27 @@ def test_stage(spark, texts):
     want = components(texts)
     assert {r.doc_id: r.component_id for r in jaccard.joined(docs, k=K, percent=PERCENT).collect()} == want
     assert sorted(r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()) == sorted(set(want.values()))
+
+
+@pytest.mark.parametrize("percent", [30, 50, 60])
+def test_low_shares(spark, percent):
+    """Linked rows can be of very different sizes then."""
+    rng = np.random.default_rng(percent)
+    texts, at = {}, 0
+    for size in (3, 5, 8, 11, 18, 40, 90):
+        base = [f"b{size}-{i}" for i in range(size)]
+        for share in (percent - 4, percent, percent + 3):
+            longer = base + [f"t{at}-{i}" for i in range(size * 100 // share - size)]
+            mixed = base[: size * 2 // 3] + [f"m{at}-{i}" for i in range(rng.integers(0, size))]
+            for t in (base, longer, mixed):
+                texts[at] = " ".join(t)
+                at += 1
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.joined(docs, k=1, percent=percent).collect()} == components(texts, 1, percent)
+
+
+def test_columns_of_any_name_stay(spark):
+    texts = ["one two three four five six seven", "one two three four five six seven", "other words that nobody else has here"]
+    docs = spark.createDataFrame([(i, t, f"h{i}", i, "k") for i, t in enumerate(texts)], "doc_id long, text string, _h string, _h2 long, _k string")
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [(0, texts[0], "h0", 0, "k"), (2, texts[2], "h2", 2, "k")]

@@ -178,12 +178,53 @@ def test_rollup(spark, tmp_path):
         r.compact()
     assert not r.commit("b1", rollup.inserts(rows(("s", "en", 1, 10)))) and r.commit("b5", rollup.inserts(rows(("u", "fr", 1, 7))))
     assert {tuple(x) for x in r.totals().collect()} == {("s", "en", 1, 1, 0), ("s", "en", 2, 1, 12), ("u", "fr", 1, 1, 7)}
-    assert len(r._names("deltas")) == 2
+    assert r.sweep(3600) == 0 and r.sweep(0) == 4 and len(r._names("deltas")) == 2  # the base and b5
     assert not r._put(["other"], "commits/b5") and r._lines("commits/b5") != ["other"]  # of two committers at once one wins
     with pytest.raises(ValueError):
         r.commit("../x", rollup.inserts(rows(("s", "en", 1, 1))))
 
 
+def test_compaction_meets_others(spark, tmp_path):
+    rows = lambda n: rollup.inserts(spark.createDataFrame([("s", "en", 1, n)], "source string, lang string, tokenizer_version int, n_tokens long"))
+    totals = lambda r: [tuple(x) for x in r.totals().collect()]
+    path = str(tmp_path / "r")
+
+    class Slow(rollup.TokenRollup):
+        """Does something else after its base is written and before it is put in place."""
+
+        meanwhile = None
+
+        def _put(self, lines, final):
+            if self.meanwhile and final.startswith(self.where):
+                job, self.meanwhile = self.meanwhile, None
+                job()
+            return super()._put(lines, final)
+
+    def slow(where, job):
+        r = Slow(spark, path)
+        r.where, r.meanwhile = where, job
+        return r
+
+    plain = rollup.TokenRollup(spark, path)
+    plain.commit("b1", rows(1)), plain.commit("b2", rows(2))
+    held = plain.totals()  # a reader from before
+    assert not slow("bases", lambda: plain.compact()).compact()  # the other compaction came first
+    assert totals(plain) == [("s", "en", 1, 2, 3)] and [tuple(x) for x in held.collect()] == [("s", "en", 1, 2, 3)]
+    plain.commit("b3", rows(3))
+    assert slow("bases", lambda: plain.commit("b4", rows(4))).compact()  # a commit during a compaction
+    assert totals(plain) == [("s", "en", 1, 4, 10)] and [tuple(x) for x in held.collect()] == [("s", "en", 1, 2, 3)]
+    assert slow("commits", lambda: (plain.compact(), plain.sweep(3600))).commit("b5", rows(5))  # a compaction during a commit, its delta written but not named
+    assert totals(plain) == [("s", "en", 1, 5, 15)]
+    assert plain.compact() and plain.sweep(0) > 0 and not plain.compact()
+    assert totals(plain) == [("s", "en", 1, 5, 15)] and len(plain._names("deltas")) == 1
+
+
+def test_callers_columns_stay(spark):
+    df = spark.createDataFrame([(1, "A plain line of prose, with an end.", "a", "b")], "doc_id long, text string, _ws string, _good string")
+    got = quality.judged(df).first()
+    assert (got["_ws"], got["_good"], got.n_words) == ("a", "b", 8)
+
+
 def test_logistic_learns():
     import numpy as np
 
