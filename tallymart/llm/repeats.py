@@ -52,7 +52,7 @@ LOCAL = 2048
 #: Ranges into which a larger core is divided at a level.
 WAYS = 4
 #: Bytes of text that one vectorised step hashes.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _LETTERS = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ROW = 32  # bits of a row number below the part
