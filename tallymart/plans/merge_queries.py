@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallymart.operators import backfill, bundle_merge
+from tallymart.operators import backfill, bundle_merge, duplicate_listings
 from tallymart.operators.menu_store import MenuStore
 from tallymart.plans.catalog import register
 from tallymart.sources.tables import branches, table
@@ -111,3 +111,40 @@ def menu_writes(spark, sf):
         pages = restaurants.select("restaurant", F.lit(True).alias("complete")).join(seen, "restaurant", "left").select("restaurant", "complete", F.coalesce("items_seen", F.lit(0)).alias("items_seen"), F.lit(0).alias("items_rejected"))
         store.write(restaurants, categories, items, pages, "en", run_id, day)
     return store.read("runs").select("restaurant", "run_id", "items_seen", "items_created", "items_updated", "items_unchanged", "items_rejected", "items_inactive", F.array_join("inactive_reasons", ",").alias("reasons"))
+
+
+def duplicate_inputs(spark, sf):
+    """Suppliers and customers as listings of two platforms on one grid of pins, with menus by their keys; each third has a group of its own, each fifth shares one, others are in review."""
+
+    def side(name, prefix, key, platform, step):
+        k = F.col(f"{prefix}_{key}")
+        return table(spark, sf, name).select(
+            F.concat(F.lit(platform), k).alias("restaurant"), F.lit(platform).alias("platform"), (k % 17).cast("string").alias("brand"), F.array(F.concat(F.lit("b"), k % 29)).alias("brands"), F.when(k % 7 != 0, F.concat(F.lit("c"), k % 2)).alias("city"),
+            F.lit(None).cast("string").alias("area"), F.lit(None).cast("string").alias("address"), F.when(k % 11 != 0, 24 + (k % 23) * 0.003).alias("lat"), (54 + (k * step % 31) * 0.0004).alias("lng"),
+            F.transform(F.sequence(F.lit(1), (3 + k % 4).cast("int")), lambda i: F.concat(F.lit("d"), (k + i) % 8)).alias("dishes"),
+            F.when(k % 3 == 0, F.concat(F.lit(f"g{platform}"), k)).when(k % 5 == 0, "shared").otherwise(F.concat(F.lit("r"), k)).alias("grp"), F.when((k % 3 == 0) | (k % 5 == 0), "MATCHED").otherwise("REVIEW").alias("status"),
+        )
+
+    return side("supplier", "s", "suppkey", "d", 7).unionByName(side("customer", "c", "custkey", "t", 11))
+
+
+_SIDE = """SELECT '{p}' || k AS r, k % 17 AS brand, k % 29 AS brands, CASE WHEN k % 7 <> 0 THEN k % 2 END AS city, CASE WHEN k % 11 <> 0 THEN 24 + (k % 23) * 0.003::DOUBLE END AS lat, 54 + (k * {step} % 31) * 0.0004::DOUBLE AS lng,
+  list_transform(range(1, 4 + k % 4), lambda i: (k + i) % 8) AS dishes, CASE WHEN k % 3 = 0 THEN 'g{p}' || k WHEN k % 5 = 0 THEN 'shared' ELSE 'r' || k END AS grp, k % 3 = 0 AS matched, k % 3 = 0 OR k % 5 <> 0 AS alone FROM (SELECT {key} AS k FROM {table})"""
+
+
+@register(
+    "duplicate_listings",
+    f"""WITH d AS ({_SIDE.format(p="d", step=7, key="s_suppkey", table="supplier")}), t AS ({_SIDE.format(p="t", step=11, key="c_custkey", table="customer")}),
+j AS (SELECT d.r AS id1, t.r AS id2, d.matched AS m1, t.matched AS m2, d.grp AS g1, t.grp AS g2, floor(2 * 6371000.0::DOUBLE * asin(least(1.0::DOUBLE, sqrt(pow(sin(radians(t.lat - d.lat) / 2), 2) + cos(radians(d.lat)) * cos(radians(t.lat)) * pow(sin(radians(t.lng - d.lng) / 2), 2)))) + 0.5) AS metres,
+  len(list_intersect(d.dishes, t.dishes)) / least(len(list_distinct(d.dishes)), len(list_distinct(t.dishes))) AS overlap
+  FROM d JOIN t ON d.alone AND t.alone AND d.lat IS NOT NULL AND t.lat IS NOT NULL AND (d.brand = t.brand OR d.brands = t.brands) AND coalesce(d.city = t.city, true)),
+fit AS (SELECT *, count(*) OVER (PARTITION BY id1) AS n1, count(*) OVER (PARTITION BY id2) AS n2 FROM j WHERE metres <= 75 OR (metres <= 150 AND overlap >= 0.8))
+SELECT id1, id2, CAST(metres AS BIGINT) AS metres, floor(overlap * 100 + 0.5) / 100 AS overlap, CASE WHEN m2 THEN id2 ELSE id1 END AS anchor, CASE WHEN m1 OR m2 THEN 'merged' ELSE 'ANCHOR_NOT_MATCHED' END AS outcome,
+  CASE WHEN m2 THEN g2 WHEN m1 THEN g1 END AS joins, CASE WHEN m2 AND m1 THEN g1 END AS retired FROM fit WHERE n1 = 1 AND n2 = 1""",
+)
+def duplicate_listings_query(spark, sf):
+    """J8, E11."""
+    rows = duplicate_inputs(spark, sf)
+    lone = duplicate_listings.alone(rows.select("restaurant", "grp", "status"))
+    pairs = duplicate_listings.candidates(rows.drop("grp", "status").join(lone, "restaurant"), "d", "t")
+    return duplicate_listings.merges(duplicate_listings.unambiguous(pairs)).select("id1", "id2", "metres", "overlap", "anchor", "outcome", "joins", "retired")
