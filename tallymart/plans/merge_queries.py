@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallymart.operators import backfill, bundle_merge, duplicate_listings
+from tallymart.operators import backfill, batch_selection, bundle_merge, duplicate_listings
 from tallymart.operators.menu_store import MenuStore
 from tallymart.plans.catalog import register
 from tallymart.sources.tables import branches, table
@@ -148,3 +148,22 @@ def duplicate_listings_query(spark, sf):
     lone = duplicate_listings.alone(rows.select("restaurant", "grp", "status"))
     pairs = duplicate_listings.candidates(rows.drop("grp", "status").join(lone, "restaurant"), "d", "t")
     return duplicate_listings.merges(duplicate_listings.unambiguous(pairs)).select("id1", "id2", "metres", "overlap", "anchor", "outcome", "joins", "retired")
+
+
+def selection_inputs(spark, sf):
+    """Suppliers and customers as candidates of two platforms: brands and words of places by their keys, ratings by their balance."""
+
+    def side(name, prefix, key, platform):
+        k = F.col(f"{prefix}_{key}")
+        return table(spark, sf, name).select(
+            F.concat(F.lit(platform), F.lpad(k.cast("string"), 9, "0")).alias("id"), F.lit(platform).alias("platform"), F.when(k % 19 != 0, F.concat(F.lit("brand "), k % 37)).alias("brand"), F.array(F.concat(F.lit("area "), k % 11), F.concat(F.lit("area "), k % 5)).alias("areas"),
+            F.when(k % 4 != 0, F.floor(F.col(f"{prefix}_acctbal") / 100)).alias("rating_count"), F.when(k % 3 != 0, (k % 50) / 10).alias("rating"),
+        )
+
+    return side("supplier", "s", "suppkey", "d").unionByName(side("customer", "c", "custkey", "t"))
+
+
+@register("batch_selection")
+def batch_selection_query(spark, sf):
+    """J9, E26, W9. Without SQL, as each choice sees those before it; a test takes them one after the other."""
+    return batch_selection.selected(selection_inputs(spark, sf), {"d": 40, "t": 60}, ("d", "t"), controls=5)
