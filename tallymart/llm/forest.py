@@ -233,7 +233,6 @@ def nearest(df: DataFrame, is_query: Callable[[Column], Column], k: int = K, key
     held = spark.sparkContext.broadcast(forest)  # at most TREES times 2**MAX_DEPTH numbers
     leaves = 1 << forest.depth
     salts = max(1, math.ceil(n / leaves / BLOCK))
-    salts_q = max(1, math.ceil(asked.count() * visits / (trees * leaves) / BLOCK))
 
     def places(batches):
         for b in batches:
@@ -242,12 +241,15 @@ def nearest(df: DataFrame, is_query: Callable[[Column], Column], k: int = K, key
                 at = held.value.leaves(unit(x))[:, :trees] + np.arange(trees) * leaves
                 yield pa.RecordBatch.from_arrays([b.column("v"), b.column("ids"), pa.array(at.tolist(), pa.list_(pa.int64()))], ["v", "ids", "cells"])
 
-    def walks(batches):
-        for b in batches:
-            x = _matrix(b.column("v"))
-            if len(x):
-                found = [[t * leaves + f for (t, f), _ in zip(held.value.walk(u, trees), range(visits))] for u in unit(x)]
-                yield pa.RecordBatch.from_arrays([b.column("q"), b.column("v"), pa.array(found, pa.list_(pa.int64()))], ["q", "v", "cells"])
+    def walks(visits: int):
+        def rows(batches):
+            for b in batches:
+                x = _matrix(b.column("v"))
+                if len(x):
+                    found = [[t * leaves + f for (t, f), _ in zip(held.value.walk(u, trees), range(visits))] for u in unit(x)]
+                    yield pa.RecordBatch.from_arrays([b.column("q"), b.column("v"), pa.array(found, pa.list_(pa.int64()))], ["q", "v", "cells"])
+
+        return rows
 
     def product(left: pa.Table, right: pa.Table) -> pa.Table:
         x, y = _matrix(left.column("v")), _matrix(right.column("v"))
@@ -264,16 +266,32 @@ def nearest(df: DataFrame, is_query: Callable[[Column], Column], k: int = K, key
         return pa.table({"q": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
 
     salt = F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int")
-    index = points.mapInArrow(places, "v array<double>, ids array<long>, cells array<long>").select("v", "ids", F.explode("cells").alias("cell"), salt.alias("s"))
-    index = index.select("v", "ids", "cell", "s", F.explode(F.sequence(F.lit(0), F.lit(salts_q - 1))).alias("sq"))
-    visited = asked.mapInArrow(walks, "q long, v array<double>, cells array<long>").select("q", "v", F.explode("cells").alias("cell"))
-    visited = visited.select("q", "v", "cell", F.pmod(F.xxhash64("q"), F.lit(salts_q)).cast("int").alias("sq"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("s"))
-    by = ("cell", "s", "sq")
-    scored = visited.groupBy(*by).cogroup(index.groupBy(*by)).applyInArrow(product, "q long, vec_id long, score double")
-    best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    once = scored.groupBy("q", "vec_id").agg(F.max("score").alias("score"))
-    top = once.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1)
-    top = written(top.join(asked, "q").select("v", "vec_id", "score"), f"{folder}/top")
+    cells = points.mapInArrow(places, "v array<double>, ids array<long>, cells array<long>").select("v", "ids", F.explode("cells").alias("cell"), salt.alias("s"))
+
+    def search(asked: DataFrame, visits: int, name: str) -> DataFrame:
+        """v, vec_id and score of the nearest that the leaves visited first hold."""
+        salts_q = max(1, math.ceil(asked.count() * visits / (trees * leaves) / BLOCK))
+        index = cells.select("v", "ids", "cell", "s", F.explode(F.sequence(F.lit(0), F.lit(salts_q - 1))).alias("sq"))
+        visited = asked.mapInArrow(walks(visits), "q long, v array<double>, cells array<long>").select("q", "v", F.explode("cells").alias("cell"))
+        visited = visited.select("q", "v", "cell", F.pmod(F.xxhash64("q"), F.lit(salts_q)).cast("int").alias("sq"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("s"))
+        by = ("cell", "s", "sq")
+        scored = visited.groupBy(*by).cogroup(index.groupBy(*by)).applyInArrow(product, "q long, vec_id long, score double")
+        best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+        once = scored.groupBy("q", "vec_id").agg(F.max("score").alias("score"))
+        top = once.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1)
+        return written(top.join(asked, "q").select("q", "v", "vec_id", "score"), f"{folder}/{name}")
+
+    top = search(asked, visits, "top")
+    most = min(k + 1, points.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0])
+    while visits < trees * leaves:  # leaves can be empty: who found too few goes on
+        found = top.groupBy("q").agg(F.count("*").alias("n"))
+        short = asked.join(found, "q", "left").where(F.coalesce("n", F.lit(0)) < most).select("q", "v")
+        if not short.limit(1).count():
+            break
+        visits = min(trees * leaves, visits * 4)
+        again = written(short, f"{folder}/queries-{visits}")
+        top = top.join(again.select("q"), "q", "left_anti").unionByName(search(again, visits, f"top-{visits}"))
+    top = top.drop("q")
     each = wanted.select(F.col("id").alias("query_id"), "v").join(top, "v").where("vec_id != query_id")
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return each.select("query_id", F.row_number().over(final).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)

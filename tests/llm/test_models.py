@@ -124,6 +124,16 @@ def test_forest(spark):
     assert len(few) == 2
 
 
+def test_forest_goes_on_until_it_has_all(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    vectors = np.concatenate([rng.normal(size=(700, 8)), -50 + rng.normal(size=(3, 8))])  # three far from all others
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(forest, "tuned", lambda *a, **b: (1, 1))  # one leaf a query
+    got = forest.nearest(df, lambda i: i >= 690, sample=600, leaf=2).collect()
+    assert sorted((r.query_id, r.rank) for r in got) == [(q, r) for q in range(690, 703) for r in range(1, 6)]
+    assert all({r.vec_id for r in got if r.query_id == q} >= {700, 701, 702} - {q} for q in (700, 701, 702))
+
+
 def test_forest_depth_and_cost(spark):
     """Depth grows beyond the sample's, and on clustered vectors few rows are visited for the recall."""
     rng = np.random.default_rng(1)
