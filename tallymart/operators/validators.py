@@ -188,10 +188,13 @@ def amount(least: int | None = None, most: int | None = None, whole: bool = Fals
     return check
 
 
+def _why(problem: Column) -> Column:
+    return F.create_map(*(F.lit(s) for pair in TOKEN_PROBLEMS.items() for s in pair))[problem]
+
+
 def token(x: Column, p: Column) -> Column:
     problem = F.when(text(x).isNull(), "EMPTY").otherwise(tags.identity_problem(text(x)))
-    told = F.create_map(*(F.lit(s) for pair in TOKEN_PROBLEMS.items() for s in pair))[problem]
-    return issue(problem.isNotNull(), p, told)
+    return issue(problem.isNotNull(), p, _why(problem))
 
 
 def url(x: Column, p: Column) -> Column:
@@ -328,19 +331,16 @@ def times(*paths: str) -> tuple:
 
 
 def _segment(d: Column, kind_of: str, path: str) -> Column:
-    none = F.lit(None).cast("string")
     if kind_of == "position":
-        place = number(get(d, path))
-        return tags.identity_segment(none, none, F.when(place == F.floor(place), place).cast("int"))
-    return tags.identity_segment(text(get(d, path)), none, F.lit(None).cast("int")) if kind_of == "id" else tags.identity_segment(none, text(get(d, path)), F.lit(None).cast("int"))
+        return _at_place(number(get(d, path)))
+    return tags.identity_segment(text(get(d, path)), F.lit(None).cast("string"), F.lit(None).cast("int")) if kind_of == "id" else _at_anchor(text(get(d, path)))
 
 
 def _expected(entity: str, kind_of: str, path: str, built: Callable[[Column, Column], Column]) -> tuple:
     """The key has to be the one built of the identity; where that can be none, the issue says why."""
     key = lambda d: built(d, _segment(d, kind_of, path))
     value = lambda d: F.when(text(get(d, path)).isNull(), "EMPTY").otherwise(tags.identity_problem(text(get(d, path))))
-    told = F.create_map(*(F.lit(s) for pair in TOKEN_PROBLEMS.items() for s in pair))
-    why = (lambda d: F.lit(f"{entity} position must be an integer between 0 and 100000")) if kind_of == "position" else (lambda d: F.concat(F.lit(f"{entity} {kind_of} "), told[value(d)]))
+    why = (lambda d: F.lit(f"{entity} position must be an integer between 0 and 100000")) if kind_of == "position" else (lambda d: F.concat(F.lit(f"{entity} {kind_of} "), _why(value(d))))
     differs = lambda d: ~F.coalesce(text(get(d, "sourceKey")) == key(d), F.lit(False))
     message = lambda d: F.coalesce(F.concat(F.lit("does not match the identity fields (expected "), key(d), F.lit(")")), why(d))
     return (
@@ -405,7 +405,7 @@ CATEGORY = (
         *_expected("category", "id", "platformCategoryId", lambda d, s: tags.category_key(_restaurant_text(d), s)),
         *_expected("category", "position", "sortOrder", lambda d, s: tags.category_key(_restaurant_text(d), s)),
         Given("sourceKey", "must be an anchor category key under restaurantSourceKey", lambda d: says(get(d, "sourceKeyKind"), "anchor") & ~F.coalesce((_own(d)["kind"] == "anchor") & (
-            text(get(d, "sourceKey")) == tags.category_key(_restaurant_text(d), tags.identity_segment(F.lit(None).cast("string"), _own(d)["value"], F.lit(None).cast("int")))), F.lit(False))),
+            text(get(d, "sourceKey")) == tags.category_key(_restaurant_text(d), _at_anchor(_own(d)["value"]))), F.lit(False))),
     )),
     Field("name", _NAME), Field("isActive", required(boolean)), *_seen("firstSeenAt", "createdAt", "updatedAt", at="lastScrapedAtByLocale"),
 )
@@ -434,14 +434,22 @@ def _item_key(d: Column, category: Column, segment: Column) -> Column:
     return tags.item_key_of(_restaurant_text(d), category, segment)
 
 
-_NO_TEXT, _NO_PLACE = F.lit(None).cast("string"), F.lit(None).cast("int")
+def _at_anchor(value: Column) -> Column:
+    return tags.identity_segment(F.lit(None).cast("string"), value, F.lit(None).cast("int"))
+
+
+def _at_place(place: Column) -> Column:
+    none = F.lit(None).cast("string")
+    return tags.identity_segment(none, none, F.when(place == F.floor(place), place).cast("int"))
+
+
 ITEM = (
     Field("_id", optional(identifier)), Field("platform", platform), *_OF_RESTAURANT, Field("platformItemId", optional(token)), Field("sourceKeyKind", one_of(("id", "anchor", "position"))), Field("categoryId", optional(identifier)),
     When(lambda d: _parent(d).isNotNull(), (
         _id_wins("platformItemId"),
         *_expected("item", "id", "platformItemId", lambda d, s: _item_key(d, F.lit(""), s)),
         Given("sourceKey", "must be an anchor item key under restaurantSourceKey", lambda d: says(get(d, "sourceKeyKind"), "anchor") & ~F.coalesce((_own(d)["entity"] == "item") & (_own(d)["kind"] == "anchor") & (
-            text(get(d, "sourceKey")) == _item_key(d, F.lit(""), tags.identity_segment(_NO_TEXT, _own(d)["value"], _NO_PLACE))), F.lit(False))),
+            text(get(d, "sourceKey")) == _item_key(d, F.lit(""), _at_anchor(_own(d)["value"]))), F.lit(False))),
         When(lambda d: says(get(d, "sourceKeyKind"), "position"), (
             Given("categoryId", 'is required when sourceKeyKind is "position"', lambda d: missing(get(d, "categoryId"))),
             Given("sourceKey", "must be a position item key under a category of restaurantSourceKey", lambda d: ~_placed(d)),
@@ -465,8 +473,7 @@ def _placed(d: Column) -> Column:
 
 
 def _place_key(d: Column) -> Column:
-    place = _own(d)["value"].try_cast("double")
-    return _item_key(d, _category_of(d), tags.identity_segment(_NO_TEXT, _NO_TEXT, F.when(place == F.floor(place), place).cast("int")))
+    return _item_key(d, _category_of(d), _at_place(_own(d)["value"].try_cast("double")))
 
 
 _STATUS = amount(100, 599, whole=True)
