@@ -21,7 +21,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _all() -> None:
-    from tallymart.plans import decision_queries, evidence_queries, grocery_queries, identity_queries, match_queries, menu_page_queries, menu_queries, merge_queries, offer_queries, page_queries, product_page_queries, product_queries, run_queries, shop_page_queries, stat_queries, text_queries, upkeep_queries, validation_queries  # noqa: F401  (they register themselves)
+    from tallymart.plans import decision_queries, evidence_queries, grocery_queries, identity_queries, match_queries, menu_page_queries, menu_queries, merge_queries, offer_queries, page_queries, product_page_queries, product_queries, ranking_queries, run_queries, shop_page_queries, stat_queries, text_queries, upkeep_queries, validation_queries  # noqa: F401  (they register themselves)
 
 
 def queries() -> dict:
