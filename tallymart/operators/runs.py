@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,21 +17,26 @@ def failure_streaks(df: DataFrame, key: str, at: list[str], failed: Column) -> D
 
 
 def within_budget(df: DataFrame, keys: list[str], order: list[str], cost: str, cap: int) -> DataFrame:
-    """Calls in order, each accepted if what is left of its budget covers it; a refused call consumes nothing. `spent` is
-    what the budget has given after the call. Each call depends on all before it, so one budget (a day's) is one group."""
-
-    def fold(rows):
-        rows = rows.sort_values(order, kind="stable")
-        used, spent, accepted = 0, [], []
-        for c in rows[cost]:
-            ok = used + c <= cap
-            used += c if ok else 0
-            spent.append(used)
-            accepted.append(ok)
-        return rows.assign(spent=spent, accepted=accepted)
+    """Calls in order, each accepted if what is left of its budget covers it; a refused call consumes nothing, nor does one
+    without a cost. `spent` is what the budget has given after the call. Each call depends on all before it, so the calls of one
+    budget (a day's) pass one task in order; a task holds one batch of rows and where its budget stands, whatever a budget's length."""
+    def step(batches):
+        budget, used = None, 0
+        for batch in batches:
+            spent, accepted = [], []
+            for *now, c in zip(*(batch.column(k).to_pylist() for k in (*keys, cost))):
+                if budget is None or any(a != b and (a == a or b == b) for a, b in zip(now, budget)):
+                    budget, used = now, 0
+                ok = c is not None and used + c <= cap
+                used += c if ok else 0
+                spent.append(used)
+                accepted.append(ok)
+            columns = [*batch.columns, pa.array(spent, pa.int64()), pa.array(accepted, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "spent", "accepted"])
 
     schema = T.StructType([*df.schema.fields, T.StructField("spent", T.LongType()), T.StructField("accepted", T.BooleanType())])
-    return df.groupBy(*keys).applyInPandas(fold, schema)
+    in_order = df.repartition(*keys).sortWithinPartitions(*keys, *(F.asc_nulls_last(c) for c in order))
+    return in_order.mapInArrow(step, schema)
 
 
 def status_rollup(df: DataFrame, key: str, status: str) -> DataFrame:
