@@ -56,13 +56,13 @@ TOKEN_PROBLEMS = {
 # values
 
 
-def get(doc: Column, path: str) -> Column:
-    return F.try_variant_get(doc, f"$.{path}", "variant")
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of the value, which is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
 
 
-def kind(value: Column) -> Column:
-    """OBJECT, ARRAY, STRING, ...; VOID for a JSON null, null for nothing."""
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+def get(doc: Column, path: str) -> Column:
+    return F.try_variant_get(doc, f"$.{path}", "variant")
 
 
 def missing(value: Column) -> Column:
@@ -70,7 +70,8 @@ def missing(value: Column) -> Column:
 
 
 def _is(value: Column, *kinds: str) -> Column:
-    return F.coalesce(kind(value).isin(*kinds), F.lit(False))
+    """Whether the value is an OBJECT, ARRAY, STRING, ...; a JSON null is VOID. Never null."""
+    return F.coalesce(F.schema_of_variant(value).rlike(f"^(?:{'|'.join(kinds)})"), F.lit(False))
 
 
 def is_text(value: Column) -> Column:
@@ -99,12 +100,12 @@ def flag(value: Column) -> Column:
 
 
 def moment(value: Column) -> Column:
-    iso = F.when(text(value).rlike("^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}"), text(value).try_cast("timestamp"))
+    iso = bound(text(value), lambda t: F.when(t.rlike("^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}"), t.try_cast("timestamp")))
     return F.when(_is(value, "TIMESTAMP", "DATE"), F.try_variant_get(value, "$", "timestamp")).otherwise(iso)
 
 
 def object_id(value: Column) -> Column:
-    return F.when(text(value).rlike("(?i)^[0-9a-f]{24}$"), F.lower(text(value)))
+    return bound(text(value), lambda t: F.when(t.rlike("(?i)^[0-9a-f]{24}$"), F.lower(t)))
 
 
 def says(value: Column, *words: str) -> Column:
@@ -124,9 +125,9 @@ def several(*parts: Column) -> Column:
     return F.flatten(F.array(*parts)) if len(parts) > 1 else parts[0]
 
 
-def under(path: Column, name: str) -> Column:
-    """Path of a field; what is in the document itself has its bare name."""
-    return F.when(path == "", F.lit(name)).otherwise(F.concat(path, F.lit(f".{name}")))
+def under(path: Column | None, name: str) -> Column:
+    """Path of a field; what is in the document itself (no path) has its bare name."""
+    return F.lit(name) if path is None else F.concat(path, F.lit(f".{name}"))
 
 
 def elements(value: Column) -> Column:
@@ -164,28 +165,25 @@ _TRIM = "^[\\s\\x{00a0}\\x{feff}]+|[\\s\\x{00a0}\\x{feff}]+$"
 
 
 def plain(most: int = MOST_TEXT) -> Check:
-    def check(x: Column, p: Column) -> Column:
-        t = text(x)
-        bare = F.regexp_replace(t, _TRIM, "")
-        empty, loose, long = issue(bare == "", p, "must not be empty"), issue(t != bare, p, "must not have leading/trailing whitespace"), issue(F.length(t) > most, p, f"must be at most {most} characters")
-        return F.when(t.isNull(), issue(F.lit(True), p, "must be a string")).otherwise(several(empty, loose, long))
+    def told(t: Column, p: Column) -> Column:
+        odd = lambda bare: several(issue(bare == "", p, "must not be empty"), issue(t != bare, p, "must not have leading/trailing whitespace"), issue(F.length(t) > most, p, f"must be at most {most} characters"))
+        return F.when(t.isNull(), issue(F.lit(True), p, "must be a string")).otherwise(bound(F.regexp_replace(t, _TRIM, ""), odd))
 
-    return check
+    return lambda x, p: bound(text(x), lambda t: told(t, p))
 
 
 def short_text(most: int) -> Check:
-    return optional(must(lambda x: (F.regexp_replace(text(x), _TRIM, "") != "") & (F.length(text(x)) <= most), f"must be a non-empty string of at most {most} characters"))
+    return optional(must(lambda x: bound(text(x), lambda t: (F.regexp_replace(t, _TRIM, "") != "") & (F.length(t) <= most)), f"must be a non-empty string of at most {most} characters"))
 
 
 def amount(least: int | None = None, most: int | None = None, whole: bool = False) -> Check:
-    def check(x: Column, p: Column) -> Column:
-        n = number(x)
+    def told(n: Column, p: Column) -> Column:
         parts = [issue(n != F.floor(n), p, "must be an integer")] if whole else []
         parts += [issue(n < least, p, f"must be >= {least}")] if least is not None else []
         parts += [issue(n > most, p, f"must be <= {most}")] if most is not None else []
         return F.when(n.isNull(), issue(F.lit(True), p, "must be a finite number")).otherwise(several(*parts))
 
-    return check
+    return lambda x, p: bound(number(x), lambda n: told(n, p))
 
 
 def _why(problem: Column) -> Column:
@@ -193,12 +191,15 @@ def _why(problem: Column) -> Column:
 
 
 def token(x: Column, p: Column) -> Column:
-    problem = F.when(text(x).isNull(), "EMPTY").otherwise(tags.identity_problem(text(x)))
-    return issue(problem.isNotNull(), p, _why(problem))
+    problem = bound(text(x), lambda t: F.when(t.isNull(), "EMPTY").otherwise(tags.identity_problem(t)))
+    return bound(problem, lambda w: issue(w.isNotNull(), p, _why(w)))
 
 
 def url(x: Column, p: Column) -> Column:
-    t = text(x)
+    return bound(text(x), lambda t: _url(t, p))
+
+
+def _url(t: Column, p: Column) -> Column:
     web = t.rlike("(?i)^\\s*https?:")
     absolute = F.when(web, t.rlike("(?i)^\\s*https?:[/\\\\]*[^\\s/?#\\\\]+")).otherwise(t.rlike("(?i)^\\s*[a-z][a-z0-9+.-]*:"))
     owner = t.rlike("(?i)^\\s*[a-z][a-z0-9+.-]*:[/\\\\]*(?!:?@)[^/?#\\\\]*@")
@@ -216,9 +217,13 @@ def _strange(x: Column, p: Column) -> Column:
     return F.transform(other, lambda k: F.struct(F.concat(p, F.lit("."), k).alias("path"), F.lit("is not a supported locale (en, ar)").alias("message"))).cast(ISSUES)
 
 
+def _spoken_in(at: str, check: Check, x: Column, p: Column) -> Column:
+    return bound(get(x, at), lambda y: optional(check)(y, under(p, at)))
+
+
 def localized(check: Check = plain()) -> Check:
     def inside(x: Column, p: Column) -> Column:
-        there = [optional(check)(get(x, at), under(p, at)) for at in LOCALES]
+        there = [_spoken_in(at, check, x, p) for at in LOCALES]
         none = issue(missing(get(x, "en")) & missing(get(x, "ar")), p, "must contain at least one locale")
         return F.when(~is_object(x), issue(F.lit(True), p, "must be a LocalizedText object { en?, ar? }")).otherwise(several(_strange(x, p), none, *there))
 
@@ -227,7 +232,7 @@ def localized(check: Check = plain()) -> Check:
 
 def per_locale(check: Check) -> Check:
     def inside(x: Column, p: Column) -> Column:
-        there = [optional(check)(get(x, at), under(p, at)) for at in LOCALES]
+        there = [_spoken_in(at, check, x, p) for at in LOCALES]
         return F.when(~is_object(x), issue(F.lit(True), p, "must be an object { en?, ar? }")).otherwise(several(_strange(x, p), *there))
 
     return inside
@@ -255,8 +260,8 @@ class Field(NamedTuple):
     path: str
     check: Check
 
-    def issues(self, doc: Column, at: Column) -> Column:
-        return self.check(get(doc, self.path), under(at, self.path))
+    def issues(self, doc: Column, at: Column | None) -> Column:
+        return bound(get(doc, self.path), lambda x: self.check(x, under(at, self.path)))
 
 
 class Given(NamedTuple):
@@ -266,7 +271,7 @@ class Given(NamedTuple):
     message: str | Callable[[Column], Column]
     when: Callable[[Column], Column]
 
-    def issues(self, doc: Column, at: Column) -> Column:
+    def issues(self, doc: Column, at: Column | None) -> Column:
         return issue(self.when(doc), under(at, self.path), self.message if isinstance(self.message, str) else self.message(doc))
 
 
@@ -275,8 +280,10 @@ class Inside(NamedTuple):
     rules: tuple
     may_miss: bool = False
 
-    def issues(self, doc: Column, at: Column) -> Column:
-        x, p = get(doc, self.path), under(at, self.path)
+    def issues(self, doc: Column, at: Column | None) -> Column:
+        return bound(get(doc, self.path), lambda x: self._issues(x, under(at, self.path)))
+
+    def _issues(self, x: Column, p: Column) -> Column:
         found = F.when(is_object(x), issues_of(x, self.rules, p)).otherwise(issue(F.lit(True), p, "must be an object"))
         return F.when(missing(x), F.array().cast(ISSUES)).otherwise(found) if self.may_miss else found
 
@@ -288,9 +295,10 @@ class Each(NamedTuple):
     may_miss: bool = False
     may_be_empty: bool = True
 
-    def issues(self, doc: Column, at: Column) -> Column:
-        x, p = get(doc, self.path), under(at, self.path)
+    def issues(self, doc: Column, at: Column | None) -> Column:
+        return bound(get(doc, self.path), lambda x: self._issues(x, under(at, self.path)))
 
+    def _issues(self, x: Column, p: Column) -> Column:
         def one(e: Column, i: Column) -> Column:
             q = F.concat(p, F.lit("["), i, F.lit("]"))
             return F.when(is_object(e), issues_of(e, self.rules, q)).otherwise(issue(F.lit(True), q, "must be an object"))
@@ -306,11 +314,11 @@ class When(NamedTuple):
     when: Callable[[Column], Column]
     rules: tuple
 
-    def issues(self, doc: Column, at: Column) -> Column:
+    def issues(self, doc: Column, at: Column | None) -> Column:
         return F.when(F.coalesce(self.when(doc), F.lit(False)), issues_of(doc, self.rules, at)).otherwise(F.array().cast(ISSUES))
 
 
-def issues_of(doc: Column, rules: tuple, at: Column) -> Column:
+def issues_of(doc: Column, rules: tuple, at: Column | None) -> Column:
     return several(*(r.issues(doc, at) for r in rules))
 
 
@@ -353,14 +361,17 @@ def _id_wins(path: str) -> Given:
     return Given("sourceKeyKind", f'must be "id" when {path} is present', lambda d: there(path)(d) & ~says(get(d, "sourceKeyKind"), "id"))
 
 
+def _parsed(d: Column, path: str) -> Column:
+    return bound(text(get(d, path)), lambda t: tags.parsed_key(t, PLATFORMS))
+
+
 def _parent(d: Column) -> Column:
     """The parsed key of the restaurant; null if it is none."""
-    parsed = tags.parsed_key(text(get(d, "restaurantSourceKey")), PLATFORMS)
-    return F.when(parsed["entity"] == "restaurant", parsed)
+    return bound(_parsed(d, "restaurantSourceKey"), lambda k: F.when(k["entity"] == "restaurant", k))
 
 
 def _own(d: Column) -> Column:
-    return tags.parsed_key(text(get(d, "sourceKey")), PLATFORMS)
+    return _parsed(d, "sourceKey")
 
 
 def _restaurant_text(d: Column) -> Column:
@@ -563,7 +574,8 @@ KINDS = {
 
 def issues(doc: Column, rules: tuple) -> Column:
     """array<struct<path, message>> of a VARIANT document, empty if nothing is wrong."""
-    return F.when(is_object(doc), issues_of(doc, rules, F.lit(""))).otherwise(issue(F.lit(True), F.lit("$"), "must be an object"))
+    told = lambda d: F.when(is_object(d), issues_of(d, rules, None)).otherwise(issue(F.lit(True), F.lit("$"), "must be an object"))
+    return bound(doc, told)
 
 
 def validated(documents: DataFrame, rules: tuple, doc: str = "doc", out: str = "issues") -> DataFrame:

@@ -30,8 +30,13 @@ def _dated(*names):
     return [lit(_DAY).alias(n) for n in names]
 
 
+def _dealt(rows, key):
+    """Rows over all tasks: a small row makes a document whose rules take much longer than moving the row."""
+    return rows.repartition(key)
+
+
 def _document(rows, key, *fields):
-    return rows.select(key.alias("id"), F.parse_json(F.to_json(F.struct(*fields))).alias("doc"))
+    return _dealt(rows, key).select(key.alias("id"), F.parse_json(F.to_json(F.struct(*fields))).alias("doc"))
 
 
 @register(
@@ -83,7 +88,7 @@ def item_issues(spark, sf):
     )
     # deltas that look like numbers are numbers
     text = F.regexp_replace(F.to_json(fields), '"priceDelta":"([0-9.]+)"', '"priceDelta":$1')
-    return validators.issue_rows(table(spark, sf, "part").select(k.alias("id"), F.parse_json(text).alias("doc")), validators.ITEM, "id")
+    return validators.issue_rows(_dealt(table(spark, sf, "part"), k).select(k.alias("id"), F.parse_json(text).alias("doc")), validators.ITEM, "id")
 
 
 @register(
