@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallymart.functions.geo import distance_m, near_pairs, valid
 from tallymart.functions.item_text import areas_compatible
-from tallymart.operators.bundle_merge import shared_folder
+from tallymart.operators.files import shared_folder
 
 NEAR_M, FAR_M = 75, 500
 SIGNALS = ("names", "brands", "city", "area", "address", "lat", "lng")

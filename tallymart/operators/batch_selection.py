@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.operators.bundle_merge import shared_folder
+from tallymart.operators.files import shared_folder
 
 SELECTED = "id string, platform string, tier string, pair_key string"
 

@@ -9,26 +9,17 @@ their ends from pointer doubling, in as many steps as the logarithm of the longe
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.functions.marketplace import offer_key
 from tallymart.functions.text import name_key
+from tallymart.operators.files import shared_folder
 
 #: Rows of one key that one task puts in order; a key that more bundles have is taken in blocks of the bundles' numbers.
 BLOCK = 1 << 16
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder in spark.checkpoint.dir, which all executors reach."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def bundle_keys(name: Column, retailers: Column) -> Column:
     """The name's key, then each listing's: by the shop's id of it, else by its address. Listings with neither give none."""
     by_id = lambda r: F.when(r["external_id"] != "", F.concat_ws(":", r["retailer"], F.lit("id"), r["external_id"]))

@@ -72,4 +72,4 @@ def page_parts(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "html")
     found = product_pages.values(pages, rules)
     told = found.groupBy("page_id").agg(F.min_by("value", F.when(c("field") == "title", c("at"))).alias("title"), F.count_if(c("field") == "link").alias("links"))
-    return pages.select("page_id").join(told, "page_id", "left").select("page_id", product_pages.folded(c("title")).alias("title"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    return product_pages.beside(pages.select("page_id"), told, "page_id").select("page_id", product_pages.folded(c("title")).alias("title"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))

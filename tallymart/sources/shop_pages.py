@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.sources.menu_pages import STATE
-from tallymart.sources.product_pages import Rule, by_attribute, by_class, class_has, folded, trimmed, values
+from tallymart.sources.product_pages import Rule, beside, by_attribute, by_class, class_has, folded, trimmed, values
 
 # Where pages hold what, and words about stock and of texts that describe no product.
 BLOCK = '(?is)<script[^>]*\\btype=["\']?application/ld\\+json["\']?[^>]*>(.*?)</script>'
@@ -106,7 +106,7 @@ def carrefour(pages: DataFrame, key: str = "page_id", html: str = "html", url: s
     fine = (F.col("field") == "p") & (F.length(text) > LONG_PARAGRAPH) & ~F.lower(text).rlike(NO_DESCRIPTION)
     told_by = found.withColumn("value", F.when(F.col("field") == "h1", text).when(fine, text))
     tags = told_by.groupBy(key).agg(F.min_by("value", F.when(F.col("field") == "h1", F.col("at"))).alias("h1"), F.slice(_in_order(told_by, key, "p"), 1, PARAGRAPHS).alias("ps"))
-    rows = pages.select(key, F.col(html).alias("_html"), F.col(url).alias("_url"), F.get(products(F.col(html), lists=False), F.lit(0)).alias("_v")).join(tags, key, "left")
+    rows = beside(pages.select(key, F.col(html).alias("_html"), F.col(url).alias("_url"), F.get(products(F.col(html), lists=False), F.lit(0)).alias("_v")), tags, key)
     v, page = F.col("_v"), F.col("_html")
     offer = F.coalesce(F.get(F.try_variant_get(v, "$.offers", "array<variant>"), F.lit(0)), F.try_variant_get(v, "$.offers", "variant"))
     asked = leading_number(F.coalesce(F.try_variant_get(offer, "$.price", "string"), F.try_variant_get(offer, "$.lowPrice", "string")))
@@ -129,7 +129,7 @@ def sharaf(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFr
     """Attributes of tags tell price, rating and stock; stock as in `carrefour` where they do not."""
     found = values(pages, SHARAF, key, html)
     first = found.groupBy(key).agg(*(F.min_by("value", F.when(F.col("field") == f, F.col("at"))).alias(f) for f in ("name", "price", "currency", "about", "rating", "reviews", "stock")), F.array_distinct(_in_order(found, key, "image")).alias("images"))
-    rows = pages.select(key, F.col(html).alias("_html")).join(first, key, "left")
+    rows = beside(pages.select(key, F.col(html).alias("_html")), first, key)
     stock = F.coalesce(F.col("stock"), F.lit(""))
     said = F.when(F.contains(stock, F.lit("InStock")), True).when(F.contains(stock, F.lit("OutOfStock")), False).otherwise(~F.contains(F.lower("_html"), F.lit(OUT)))
     return _record(
@@ -147,7 +147,7 @@ JUMBO = [
 def jumbo(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """The last structured product, if it has a name and a price above zero; else all fields by tags, with nothing known about stock."""
     first = _firsts(values(pages, JUMBO, key, html), key, "title", "h1", "price", "image", "about")
-    rows = pages.select(key, F.try_element_at(products(F.col(html)), F.lit(-1)).alias("_v")).join(first, key, "left")
+    rows = beside(pages.select(key, F.try_element_at(products(F.col(html)), F.lit(-1)).alias("_v")), first, key)
     v = F.col("_v")
     price = leading_number(F.try_variant_get(v, "$.offers.price", "string"))
     whole = told(v, "$.name").isNotNull() & (price > 0)
@@ -179,7 +179,7 @@ def namshi(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFr
     state = F.try_parse_json(F.regexp_extract(html, STATE, 1))
     an_object = lambda path: F.when(F.schema_of_variant(F.try_variant_get(state, path, "variant")).startswith("OBJECT"), F.try_variant_get(state, path, "variant"))
     own = F.coalesce(*(an_object(f"$.props.pageProps.{p}") for p in ("product", "productDetails", "data.product")))
-    rows = pages.select(key, F.array_distinct(F.regexp_extract_all(html, F.lit(GALLERY), F.lit(1))).alias("_shown"), own.alias("_s"), F.try_element_at(products(F.col(html)), F.lit(-1)).alias("_v")).join(first, key, "left")
+    rows = beside(pages.select(key, F.array_distinct(F.regexp_extract_all(html, F.lit(GALLERY), F.lit(1))).alias("_shown"), own.alias("_s"), F.try_element_at(products(F.col(html)), F.lit(-1)).alias("_v")), first, key)
     s, v = F.col("_s"), F.col("_v")
     any_of = lambda block, *paths: F.coalesce(*(told(block, f"$.{p}") for p in paths))
     cut = lambda text: some(F.substring(text, 1, MOST_DESCRIPTION))
@@ -222,7 +222,9 @@ def mumzworld(pages: DataFrame, key: str = "page_id", html: str = "html") -> Dat
     every = found.where("field IN ('about', 'rating_text', 'reviews_text')").groupBy(key, "field", "precedence").agg(trimmed(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]), "")).alias("value")).where("value <> ''")
     texts = every.groupBy(key).agg(*(F.min_by("value", F.when(F.col("field") == f, F.col("precedence"))).alias(f) for f in ("about", "rating_text", "reviews_text")))
     seen = found.groupBy(key).agg(F.array_distinct(_in_order(found, key, "image")).alias("images"), F.bool_or(F.col("field") == "there").alias("there"), F.bool_or(F.col("field") == "gone").alias("gone"))
-    rows = pages.select(key, products(F.col(html)).alias("_vs")).join(one, key, "left").join(texts, key, "left").join(seen, key, "left")
+    rows = pages.select(key, products(F.col(html)).alias("_vs"))
+    for part in (one, texts, seen):
+        rows = beside(rows, part, key)
     first_of = lambda f: F.get(F.array_compact(F.transform("_vs", f)), F.lit(0))
     offer = lambda v: F.coalesce(F.get(F.try_variant_get(v, "$.offers", "array<variant>"), F.lit(0)), F.try_variant_get(v, "$.offers", "variant"))
     price = F.when(F.col("meta_price").isNotNull(), leading_number(F.col("meta_price"))).when(F.col("price").rlike("[\\d,]"), first_amount(F.col("price"))).otherwise(leading_number(first_of(lambda v: told(v, "$.offers.price"))))
