@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.functions.item_text import BIDI, THREE_PLACES, money, number_text
+from tallymart.operators.files import written
 
 STATE = '(?is)<script[^>]*\\bid="__NEXT_DATA__"[^>]*>(.*?)</script>'
 #: Where the state has what, the separator of header texts and what they look like, by language.
@@ -91,16 +92,21 @@ def _warning(scope: str, code: str, field, at=None, message=None) -> Column:
 
 
 class MenuPages:
-    """Tables of pages (key, html, locale: en or ar). Pages are few next to their rows, so each page's state is parsed once for
-    each table that is asked for."""
+    """Tables of pages (key, html, locale: en or ar). The states of the pages and the tables that others are made of are written
+    to the shared folder, so a page is made and searched once, and its state is parsed once for each table that is asked for.
+    Tables meet by sorted joins: their files are small next to their rows."""
 
     def __init__(self, pages: DataFrame, key: str = "page_id", html: str = "html", locale: str = "locale"):
         self.key = key
         lang = F.lower(F.regexp_extract(html, "(?is)<html[^>]*\\blang=[\"']?([A-Za-z]+)", 1))
         link = F.regexp_extract(html, "(?is)<link(?=[^>]*rel=[\"']?canonical)[^>]*href=[\"']([^\"']*)", 1)
-        rows = pages.select(key, F.col(locale).alias("locale"), F.nullif(lang, F.lit("")).alias("lang"), F.nullif(link, F.lit("")).alias("url"), F.nullif(clean(F.regexp_replace(F.regexp_extract(html, "(?is)<h1[^>]*>(.*?)</h1>", 1), "<[^>]*>", "")), F.lit("")).alias("h1"), F.try_parse_json(F.regexp_extract(html, STATE, 1)).alias("v"))
-        self.pages = rows.withColumn("root", F.try_variant_get("v", f"{MENU}.metas.root", "variant")).withColumn("has_menu", F.coalesce(F.try_variant_get("root", "$.items", LIST).isNotNull(), F.lit(False)))
-        self.menus = self.pages.where("has_menu")
+        rows = pages.select(key, F.col(locale).alias("locale"), F.nullif(lang, F.lit("")).alias("lang"), F.nullif(link, F.lit("")).alias("url"), F.nullif(clean(F.regexp_replace(F.regexp_extract(html, "(?is)<h1[^>]*>(.*?)</h1>", 1), "<[^>]*>", "")), F.lit("")).alias("h1"), F.regexp_extract(html, STATE, 1).alias("state"))
+        listed = F.try_variant_get(F.try_parse_json("state"), f"{MENU}.metas.root.items", LIST)
+        self.pages = written(rows.withColumn("has_menu", listed.isNotNull()))
+        self.menus = self.pages.where("has_menu").withColumn("v", F.try_parse_json("state")).withColumn("root", F.try_variant_get("v", f"{MENU}.metas.root", "variant"))
+
+    def _beside(self, rows: DataFrame, other: DataFrame, *by: str) -> DataFrame:
+        return rows.join(other.hint("merge"), [self.key, *by], "left")
 
     def _level(self, rows: DataFrame, source: str, path: str, *keep: str, at: str = "at", out: str = "v") -> DataFrame:
         return rows.select(self.key, *keep, F.posexplode(F.try_variant_get(source, path, LIST)).alias(at, out))
@@ -137,13 +143,14 @@ class MenuPages:
     @cached_property
     def _placed(self) -> DataFrame:
         """The restaurant's own place and what is wrong with it."""
-        rows = self.menus.select(self.key, number_at(F.col("root"), "$.customerLocation.lat").alias("c_lat"), number_at(F.col("root"), "$.customerLocation.lon").alias("c_lng")).join(self._pins, self.key, "left")
+        rows = self.menus.select(self.key, number_at(F.col("root"), "$.customerLocation.lat").alias("c_lat"), number_at(F.col("root"), "$.customerLocation.lon").alias("c_lng"))
+        rows = self._beside(rows, self._pins)
         one = F.get("places", F.lit(0))
         n = F.coalesce(F.size("places"), F.lit(0))
         customer = F.coalesce((one["lat"] == F.col("c_lat")) & (one["lng"] == F.col("c_lng")), F.lit(False))
         problem = F.when(n > 1, "AMBIGUOUS_COORDINATES").when((n == 1) & customer, "COORDINATES_MATCH_CUSTOMER_LOCATION")
         fine = (n == 1) & ~customer
-        return rows.select(self.key, F.when(fine, one["lat"]).alias("lat"), F.when(fine, one["lng"]).alias("lng"), problem.alias("pin_problem"), F.coalesce("n_bad", F.lit(0)).alias("n_bad"))
+        return written(rows.select(self.key, F.when(fine, one["lat"]).alias("lat"), F.when(fine, one["lng"]).alias("lng"), problem.alias("pin_problem"), F.coalesce("n_bad", F.lit(0)).alias("n_bad")))
 
     @cached_property
     def restaurants(self) -> DataFrame:
@@ -157,12 +164,12 @@ class MenuPages:
             *(text_at(r, at(f"location.address.{a}")).alias(b) for a, b in (("address1", "address"), ("neighborhood", "area"), ("city", "city"), ("country", "country"))),
             whole_at(r, at("location.cityId")).alias("city_id"), whole_at(r, at("location.zoneId")).alias("zone_id"), flag_at(r, at("menuDisabled")).alias("menu_disabled"),
         )
-        return rows.join(self._header, self.key, "left").join(self._placed.select(self.key, "lat", "lng"), self.key, "left")
+        return self._beside(self._beside(rows, self._header), self._placed.select(self.key, "lat", "lng"))
 
     @cached_property
     def _categories(self) -> DataFrame:
         rows = self._level(self.menus, "root", "$.categories")
-        return rows.select(self.key, "at", id_at(F.col("v"), "$.id").alias("category_id"), text_at(F.col("v"), "$.name").alias("name"))
+        return written(rows.select(self.key, "at", id_at(F.col("v"), "$.id").alias("category_id"), text_at(F.col("v"), "$.name").alias("name")))
 
     @cached_property
     def categories(self) -> DataFrame:
@@ -197,7 +204,7 @@ class MenuPages:
     @cached_property
     def options(self) -> DataFrame:
         """Options with a name, of the groups that count."""
-        return self._options(self._last_groups).where("name IS NOT NULL")
+        return written(self._options(self._last_groups).where("name IS NOT NULL"))
 
     @cached_property
     def _items(self) -> DataFrame:
@@ -214,10 +221,10 @@ class MenuPages:
         # of categories with equal ids the last counts
         known = self.categories.groupBy(self.key, "category_id").agg(F.max("sort_order").alias("category_index"), F.max_by("name", "sort_order").alias("category_name"))
         chosen = self.options.where("option_id IS NOT NULL").select(self.key, F.col("option_id").alias("item_id"), F.lit(True).alias("is_option")).distinct()
-        rows = rows.join(known, [self.key, "category_id"], "left").join(chosen, [self.key, "item_id"], "left")
+        rows = self._beside(self._beside(rows, known, "category_id"), chosen, "item_id")
         hidden = F.col("category_index").isNull() & F.coalesce("is_option", F.lit(False))
         problem = F.when(~F.col("is_object"), "INVALID_ITEM").when(hidden, "HIDDEN_OPTION").when(F.col("name").isNull(), "MISSING_NAME").when(F.col("listed").isNull(), "INVALID_PRICE")
-        return rows.withColumn("problem", problem)
+        return written(rows.withColumn("problem", problem))
 
     @cached_property
     def items(self) -> DataFrame:
@@ -234,7 +241,7 @@ class MenuPages:
     def item_modifiers(self) -> DataFrame:
         """Items and the groups that they name, in order; known is false where the page has no such group."""
         named = self.items.select(self.key, "source_index", F.posexplode("modifier_group_ids").alias("at", "group_id"))
-        return named.join(self.modifier_groups.select(self.key, "group_id", F.lit(True).alias("known")), [self.key, "group_id"], "left").select(self.key, "source_index", "at", "group_id", F.coalesce("known", F.lit(False)).alias("known"))
+        return self._beside(named, self.modifier_groups.select(self.key, "group_id", F.lit(True).alias("known")), "group_id").select(self.key, "source_index", "at", "group_id", F.coalesce("known", F.lit(False)).alias("known"))
 
     @cached_property
     def stats(self) -> DataFrame:
@@ -243,7 +250,7 @@ class MenuPages:
         counted = self._items.groupBy(self.key).agg(F.count("*").alias("items_seen"), n(F.col("problem").isNull()).alias("items_parsed"), n(F.col("problem").isNotNull() & (F.col("problem") != "HIDDEN_OPTION")).alias("items_rejected"), n(F.col("problem") == "HIDDEN_OPTION").alias("hidden_options"))
         groups = self.modifier_groups.groupBy(self.key).agg(F.count("*").alias("modifier_groups"))
         names = ("items_seen", "items_parsed", "items_rejected", "hidden_options", "modifier_groups")
-        return self.menus.select(self.key).join(counted, self.key, "left").join(groups, self.key, "left").select(self.key, *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in names))
+        return self._beside(self._beside(self.pages.where("has_menu").select(self.key), counted), groups).select(self.key, *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in names))
 
     @cached_property
     def warnings(self) -> DataFrame:
@@ -254,14 +261,14 @@ class MenuPages:
         w, c = _warning, F.col
         code = lambda test, *what: F.when(test, w(*what))
         names = self.restaurants.select(self.key, "restaurant_id", "name")
-        every = self.pages.select(self.key, "has_menu", "lang", "locale").join(names, self.key, "left")
+        every = self._beside(self.pages.select(self.key, "has_menu", "lang", "locale"), names)
         parsed = self.stats.select(self.key, "items_parsed")
         parts = [
             told(every, code(~c("has_menu"), "page", "NEXT_DATA_UNAVAILABLE", None)),
             told(every, code(c("lang").isin(*HEADER) & (c("lang") != c("locale")), "page", "LOCALE_MISMATCH", "html[lang]", None, c("lang"))),
             told(every, code(c("has_menu") & c("restaurant_id").isNull(), "restaurant", "MISSING_RESTAURANT_ID", "restaurant.id")),
             told(every, code(c("name").isNull(), "restaurant", "MISSING_RESTAURANT_NAME", "name")),
-            told(self.pages.select(self.key).join(parsed, self.key, "left"), code(F.coalesce("items_parsed", F.lit(0)) == 0, "page", "NO_ITEMS", None)),
+            told(self._beside(self.pages.select(self.key), parsed), code(F.coalesce("items_parsed", F.lit(0)) == 0, "page", "NO_ITEMS", None)),
             told(self._placed, code(c("pin_problem") == "AMBIGUOUS_COORDINATES", "restaurant", "AMBIGUOUS_COORDINATES", "map.pins")),
             told(self._placed, code(c("pin_problem") == "COORDINATES_MATCH_CUSTOMER_LOCATION", "restaurant", "COORDINATES_MATCH_CUSTOMER_LOCATION", "map.pins")),
             told(self._placed.where("n_bad > 0").select(self.key, F.explode(F.sequence(F.lit(1), c("n_bad").cast("int"))).alias("i")), w("restaurant", "INVALID_COORDINATES", "map.pins")),
