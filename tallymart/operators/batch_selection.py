@@ -3,7 +3,7 @@
 Taken one by one, most popular first: pairs of one brand and place on both platforms, then control pairs of one brand in different
 places (one a brand), then others, a few of each brand. The same choice without that order of work: pairs are a matching in which,
 round by round, every pair is taken that is the first one left for both of its ends; of the matching, the first pairs up to the
-smaller quota count, as a quota only ends a list. Controls are the first of each brand, the rest is a rank within brands; each
+smaller quota count, as a quota only ends a list, so pairs that must come after these are never made or are left out. Controls are the first of each brand, the rest is a rank within brands; each
 is cut where the quota ends. Equally popular candidates go by their id.
 """
 
@@ -29,9 +29,19 @@ def pairs(first: DataFrame, second: DataFrame) -> DataFrame:
     return shared.select("id1", "id2", "ord1", "ord2", "brand", F.concat_ws(":", "brand", "areas").alias("pair_key"))
 
 
-def matching(edges: DataFrame, folder: str) -> DataFrame:
-    """The edges that are taken one after the other by (ord1, ord2), each if neither end is taken yet."""
+def foremost(candidates: DataFrame, most: int) -> DataFrame:
+    """Candidates that the first `most` pairs can hold: the first ones of each brand and set of areas. Those behind them have the
+    same partners, and a candidate is passed over for good only if all of these are taken, so they come after `most` pairs."""
+    alike = Window.partitionBy("brand", F.array_sort(F.array_distinct("areas"))).orderBy("ord")
+    return candidates.withColumn("_n", F.row_number().over(alike)).where(F.col("_n") <= most).drop("_n")
+
+
+def matching(edges: DataFrame, folder: str, most: int | None = None) -> DataFrame:
+    """The edges that are taken one after the other by (ord1, ord2), each if neither end is taken yet; with `most` at least the
+    first so many of them. Once that many are taken, what comes after them cannot be among the first and is left out."""
     spark = edges.sparkSession
+    if most is not None and most <= 0:
+        return edges.limit(0)
 
     def put(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
@@ -44,7 +54,11 @@ def matching(edges: DataFrame, folder: str) -> DataFrame:
         best = {n: left.groupBy(f"id{n}").agg(F.min(at).alias(f"best{n}")) for n in (1, 2)}
         now = put(left.join(best[1], "id1").join(best[2], "id2").where((at == F.col("best1")) & (at == F.col("best2"))).select(*edges.columns), f"taken-{step}")
         taken = taken.unionByName(now)
-        left = put(left.join(now.select("id1"), "id1", "left_anti").join(now.select("id2"), "id2", "left_anti").select(*edges.columns), f"left-{step}")
+        rest = left.join(now.select("id1"), "id1", "left_anti").join(now.select("id2"), "id2", "left_anti").select(*edges.columns)
+        if most is not None and taken.count() >= most:
+            last = taken.select(at.alias("at")).orderBy("at").limit(most).agg(F.max("at").alias("last"))
+            rest = rest.crossJoin(F.broadcast(last)).where(at < F.col("last")).drop("last")
+        left = put(rest, f"left-{step}")
     return taken
 
 
@@ -72,7 +86,8 @@ def selected(candidates: DataFrame, quota: dict[str, int], platforms: tuple[str,
             left[p] -= n
         return n
 
-    both = put(matching(pairs(a, b), folder), "pairs", "ord1", "ord2", most=min(left.values()))
+    most = min(left.values())
+    both = put(matching(pairs(foremost(a, most), foremost(b, most)), folder, most), "pairs", "ord1", "ord2", most=most)
     spent(both)
     tried = both.select("brand").distinct()
     head = lambda df, n: df.join(tried, "brand", "left_anti").groupBy("brand").agg(F.min(F.struct("ord", "id")).alias("x")).select("brand", F.col("x.id").alias(f"id{n}"), F.col("x.ord").alias(f"ord{n}"))
