@@ -45,7 +45,7 @@ def identity_decisions(spark, sf):
         return table(spark, sf, name).select(k.alias("id"), *[c.alias(n) for n, c in cols.items()])
 
     sources = places("customer", "c", "custkey")
-    return identity.decide(sources, identity.candidate_verdicts(sources, places("supplier", "s", "suppkey")))
+    return identity.decisions(sources, places("supplier", "s", "suppkey"))
 
 
 @register(
