@@ -111,7 +111,7 @@ _ITEM_MATCH = """WITH p AS (SELECT p_partkey AS id, p_brand || '/' || p_size AS
 def item_match_scores(spark, sf):
     """Even parts against all odd ones of their brand and size that share any token."""
     items, canon = _even_and_odd_parts(spark, sf)
-    return item_match.decide(items, item_match.scores(items, canon))
+    return item_match.matched(items, canon)
 
 
 def _even_and_odd_parts(spark, sf):

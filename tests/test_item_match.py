@@ -18,3 +18,16 @@ def test_a_runner_up_without_the_rarest_token_takes_the_margin(spark):
     canon = spark.createDataFrame([(10, "g", ["a", "b", "c", "d", "rare"], "c", 1.0), (11, "g", ["a", "b", "c", "d"], "c", 1.0)], SCHEMA)
     got = item_match.decide(items, item_match.scores(items, canon)).first()
     assert (got.canonical, got.confidence, got.status) == (10, 1.0, "REVIEW")  # 0.931 is within the margin
+
+
+def test_classes_decide_like_rows(spark):
+    """Copies on both sides, sizes that differ and missing ones, ties and no partner."""
+    words = [["a", "b"], ["a", "c"], ["c", "b", None], ["d"], ["a", "b", "e", "f"], ["c", "c"]]
+    row = lambda i, s: (i, f"g{i % 2}" if i % 29 else None, words[i * s % 6], "xy"[i // 5 % 2] if i % 17 else None, float(i * s % 4) if i % 3 else None)
+    items = spark.createDataFrame([row(i, 7) for i in range(1, 100)], SCHEMA)
+    for canon in ([row(1000 + i, 5) for i in range(80)], [row(1000 + i, 5) for i in range(5)], []):
+        canon = spark.createDataFrame(canon, SCHEMA)
+        want = sorted(map(repr, item_match.decide(items, item_match.scores(items, canon)).collect()))
+        assert sorted(map(repr, item_match.matched(items, canon).collect())) == want
+    twin = spark.createDataFrame([(1, "g", ["a"], "c", 1.0)], SCHEMA), spark.createDataFrame([(10, "g", ["a"], "c", 1.0), (11, "g", ["a"], "c", 1.0)], SCHEMA)
+    assert tuple(item_match.matched(*twin).first()) == (1, 10, 1.0, "REVIEW")
