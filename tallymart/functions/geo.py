@@ -27,8 +27,10 @@ def cell(lat: Column, lng: Column, degrees: float) -> tuple[Column, Column]:
     return F.floor(lat / degrees).cast("long"), F.floor(lng / degrees).cast("long")
 
 
-def near_pairs(left, right, metres: float):
+def near_pairs(left, right, metres: float, keys: str | None = None, carry: tuple[str, ...] = ()):
     """Pairs of rows (id, lat, lng) within `metres`, by an equi-join on cells: each left row visits its cell and the eight around.
+    `keys`, an array column of both: only pairs that share an element, which meet by it too, each pair at the first one that both have.
+    `carry`: columns of both that go along, as structs s and t.
 
     Cells are bands of latitude as high as `metres`, each cut into equal cells that are at least as wide there, around the
     whole circle; so nothing is lost at any latitude, at the poles or at the date line. A null pin is near nothing."""
@@ -41,14 +43,20 @@ def near_pairs(left, right, metres: float):
 
     place = lambda lng, n: F.pmod(F.floor((lng + 180) / 360 * n).cast("long"), n)
     steps = F.array(*[F.lit(i).cast("long") for i in (-1, 0, 1)])
-    rows = left.select(F.col("id").alias("id1"), F.col("lat").alias("lat1"), F.col("lng").alias("lng1"), F.explode(F.transform(steps, lambda d: band(F.col("lat")) + d)).alias("y"))
+    own = lambda s, k: [*([F.array_distinct(F.array_compact(keys)).alias(k)] if keys else []), *([F.struct(*carry).alias(s)] if carry else [])]
+    kept = lambda s, k: [*([k, "key"] if keys else []), *([s] if carry else [])]
+    by_key = lambda df, k: df.withColumn("key", F.explode(k)) if keys else df
+    rows = left.select(F.col("id").alias("id1"), F.col("lat").alias("lat1"), F.col("lng").alias("lng1"), *own("s", "k1"), F.explode(F.transform(steps, lambda d: band(F.col("lat")) + d)).alias("y"))
     n = around(F.col("y"))
     cells = F.array_distinct(F.transform(steps, lambda d: F.pmod(place(F.col("lng1"), n) + d, n)))
-    rows = rows.select("id1", "lat1", "lng1", "y", F.explode(cells).alias("x"))
+    rows = by_key(rows, "k1").select("id1", "lat1", "lng1", "y", *kept("s", "k1"), F.explode(cells).alias("x"))
     y = band(F.col("lat"))
-    there = right.select(F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"), y.alias("y"), place(F.col("lng"), around(y)).alias("x"))
-    pairs = rows.join(there, ["x", "y"]).withColumn("metres", distance_m(F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2")))
-    return pairs.where(F.col("metres") <= metres).select("id1", "id2", "metres")
+    there = right.select(F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"), y.alias("y"), place(F.col("lng"), around(y)).alias("x"), *own("t", "k2"))
+    pairs = rows.join(by_key(there, "k2"), ["x", "y", *(["key"] if keys else [])])
+    if keys:
+        pairs = pairs.where(F.get(F.array_intersect("k1", "k2"), F.lit(0)) == F.col("key"))
+    pairs = pairs.withColumn("metres", distance_m(F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2")))
+    return pairs.where(F.col("metres") <= metres).select("id1", "id2", "metres", *(("s", "t") if carry else ()))
 
 
 BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"

@@ -1,7 +1,7 @@
 """Two listings of one branch on two platforms that were not joined, and what joining them changes.
 
 Listings are looked at while they are alone (in review, or the only matched one of their group). Pairs are found by pins within
-MENU_M, so no brand is paired with itself across a city; names, brands and the branch's evidence are compared after that, and menus last,
+MENU_M and a name or brand that both have, so no brand is paired with itself across a city; the branch's evidence is compared after that, and menus last,
 as the share of the smaller menu that both have. A listing with several partners is left to a person.
 """
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallymart.functions.geo import near_pairs, valid
 from tallymart.operators.backfill import branch_evidence
+from tallymart.operators.files import written
 
 MENU_M, LEAST_OVERLAP = 150, 0.8
 
@@ -34,22 +35,29 @@ def candidates(listings: DataFrame, first: str, second: str) -> DataFrame:
     listings: restaurant, platform, brand (a key of the name), brands, city, area, address, lat, lng, dishes (folded names), grp, matched."""
     pinned = listings.where(valid(F.col("lat"), F.col("lng")))
     side = lambda p: pinned.where(F.col("platform") == p)
-    pin = lambda df: df.select(F.col("restaurant").alias("id"), "lat", "lng")
-    pairs = near_pairs(pin(side(first)), pin(side(second)), MENU_M + 1)
-    told = F.struct("brand", "brands", "city", "area", "address", "lat", "lng", "dishes", "grp", "matched")
-    j = pairs.join(side(first).select(F.col("restaurant").alias("id1"), told.alias("s")), "id1").join(side(second).select(F.col("restaurant").alias("id2"), told.alias("t")), "id2")
+    tagged = lambda kind, x: F.concat(F.lit(kind), x.cast("string"))
+    brands = F.transform(F.coalesce("brands", F.array().cast("array<string>")), lambda x: tagged("b:", x))
+    keyed = lambda df: df.withColumns({"id": F.col("restaurant"), "keys": F.concat(F.array(tagged("n:", F.col("brand"))), brands)})
+    told = ("brand", "brands", "city", "area", "address", "lat", "lng", "dishes", "grp", "matched")
+    j = near_pairs(keyed(side(first)), keyed(side(second)), MENU_M + 1, "keys", told)
     e, metres = branch_evidence("s", "t"), F.floor(F.col("metres") + 0.5)
-    brand = F.coalesce(F.col("s.brand") == F.col("t.brand"), F.lit(False)) | F.coalesce(F.arrays_overlap("s.brands", "t.brands"), F.lit(False))
-    j = j.where(brand & ~(e["CITY_MISMATCH"] | e["AREA_MISMATCH"] | e["LOCATION_FAR"])).withColumn("overlap", overlap(F.col("s.dishes"), F.col("t.dishes")))
+    j = j.where(~(e["CITY_MISMATCH"] | e["AREA_MISMATCH"] | e["LOCATION_FAR"])).withColumn("overlap", overlap(F.col("s.dishes"), F.col("t.dishes")))
     j = j.where(e["LOCATION_NEAR"] | ((metres <= MENU_M) & (F.col("overlap") >= LEAST_OVERLAP)))
     return j.select("id1", "id2", metres.alias("metres"), (F.floor(F.col("overlap") * 100 + 0.5) / 100).alias("overlap"), F.col("s.grp").alias("grp1"), F.col("s.matched").alias("matched1"), F.col("t.grp").alias("grp2"), F.col("t.matched").alias("matched2"))
 
 
 def unambiguous(pairs: DataFrame) -> DataFrame:
     """Pairs of which neither side has another partner."""
-    for side in ("id1", "id2"):
-        pairs = pairs.join(pairs.groupBy(side).agg(F.count("*").alias("n")).where("n = 1").select(side), side)
-    return pairs
+    single = [pairs.groupBy(side).agg(F.count("*").alias("n")).where("n = 1").select(side) for side in ("id1", "id2")]
+    return pairs.join(single[0], "id1").join(single[1], "id2")
+
+
+def lone_pairs(listings: DataFrame, first: str, second: str) -> DataFrame:
+    """`unambiguous` of `candidates`, without a list of all pairs: the partners of each listing are counted where pairs are found, and only
+    listings with exactly one are paired once more. A pair of two such listings is the only one of both."""
+    ends = candidates(listings, first, second).select(F.explode(F.array("id1", "id2")).alias("restaurant"))
+    single = written(ends.groupBy("restaurant").agg(F.count("*").alias("n")).where("n = 1").select("restaurant"))
+    return candidates(listings.join(single, "restaurant", "left_semi"), first, second)
 
 
 def merges(pairs: DataFrame) -> DataFrame:

@@ -146,8 +146,8 @@ def duplicate_listings_query(spark, sf):
     """J8, E11."""
     rows = duplicate_inputs(spark, sf)
     lone = duplicate_listings.alone(rows.select("restaurant", "grp", "status"))
-    pairs = duplicate_listings.candidates(rows.drop("grp", "status").join(lone, "restaurant"), "d", "t")
-    return duplicate_listings.merges(duplicate_listings.unambiguous(pairs)).select("id1", "id2", "metres", "overlap", "anchor", "outcome", "joins", "retired")
+    pairs = duplicate_listings.lone_pairs(rows.drop("grp", "status").join(lone, "restaurant"), "d", "t")
+    return duplicate_listings.merges(pairs).select("id1", "id2", "metres", "overlap", "anchor", "outcome", "joins", "retired")
 
 
 def selection_inputs(spark, sf):

@@ -38,3 +38,16 @@ def test_pairs_and_merges(spark):
 def test_nothing(spark):
     none = spark.createDataFrame([], LISTING + ", grp string, matched boolean")
     assert dup.merges(dup.unambiguous(dup.candidates(none, "d", "t"))).collect() == []
+
+
+def test_a_partner_that_is_ambiguous_itself_still_counts(spark):
+    """t1 has two partners, one of which has another one too: no pair of the three is certain."""
+    m = 1 / 111_195
+    rows = [listing("d1", 25.0), listing("t1", 25 + 60 * m), listing("d2", 25 + 120 * m), listing("t2", 25 + 180 * m), listing("d3", 26.0, brand="p", brands=["q", "q", None]), listing("t3", 26.0, brand="p", brands=["q"])]
+    listings = spark.createDataFrame(rows, LISTING).selectExpr("*", "restaurant AS grp", "true AS matched")
+    pairs = dup.candidates(listings, "d", "t")
+    assert sorted((r.id1, r.id2) for r in pairs.collect()) == [("d1", "t1"), ("d2", "t1"), ("d2", "t2"), ("d3", "t3")]
+    assert [(r.id1, r.id2) for r in dup.unambiguous(pairs).collect()] == [("d3", "t3")]
+    assert [(r.id1, r.id2) for r in dup.lone_pairs(listings, "d", "t").collect()] == [("d3", "t3")]
+    plan = dup.lone_pairs(listings, "d", "t").groupBy("id1").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "id2#" not in plan.split("Join")[0].split("Aggregate")[0]
