@@ -69,9 +69,14 @@ def merged_modifiers(stored: Column, incoming: Column, locale: str) -> Column:
 
 def nearby_branches(sources: DataFrame, cards: DataFrame, most: int | None = None, cell: int = 7) -> DataFrame:
     """For each source (source, geohash, brand) the cards (card, geohash, brand, place) of its brand in its cell of `cell` digits;
-    `most` keeps the first ones of each source by place. Sources without any are left out. A listing is read once for a cell, not once for a source."""
+    `most` keeps the first ones of each source by place. Sources without any are left out. A listing is read once for a cell, not once for a source.
+    With `most`, a cell and brand's first cards are found before sources meet them, as they are the same for all its sources."""
     at = F.substring("geohash", 1, cell).alias("cell")
-    found = sources.where("brand <> ''").select("source", "brand", at).join(cards.select("card", "brand", "place", at), ["cell", "brand"])
+    shown = cards.select("card", "brand", "place", at)
+    if most is not None:
+        first = Window.partitionBy("cell", "brand").orderBy("place", "card")
+        shown = shown.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= most).drop("_n")
+    found = sources.where("brand <> ''").select("source", "brand", at).join(shown, ["cell", "brand"])
     if most is not None:
         w = Window.partitionBy("source").orderBy("place", "card")
         found = found.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most)
