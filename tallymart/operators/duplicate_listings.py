@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.geo import near_pairs, valid
-from tallymart.operators.backfill import branch_evidence
+from tallymart.functions.item_text import areas_compatible
+from tallymart.operators.backfill import NEAR_M
 from tallymart.operators.files import written
 
 MENU_M, LEAST_OVERLAP = 150, 0.8
@@ -38,11 +39,14 @@ def candidates(listings: DataFrame, first: str, second: str) -> DataFrame:
     tagged = lambda kind, x: F.concat(F.lit(kind), x.cast("string"))
     brands = F.transform(F.coalesce("brands", F.array().cast("array<string>")), lambda x: tagged("b:", x))
     keyed = lambda df: df.withColumns({"id": F.col("restaurant"), "keys": F.concat(F.array(tagged("n:", F.col("brand"))), brands)})
-    told = ("brand", "brands", "city", "area", "address", "lat", "lng", "dishes", "grp", "matched")
-    j = near_pairs(keyed(side(first)), keyed(side(second)), MENU_M + 1, "keys", told)
-    e, metres = branch_evidence("s", "t"), F.floor(F.col("metres") + 0.5)
-    j = j.where(~(e["CITY_MISMATCH"] | e["AREA_MISMATCH"] | e["LOCATION_FAR"])).withColumn("overlap", overlap(F.col("s.dishes"), F.col("t.dishes")))
-    j = j.where(e["LOCATION_NEAR"] | ((metres <= MENU_M) & (F.col("overlap") >= LEAST_OVERLAP)))
+    told = ("city", "area", "dishes", "grp", "matched")
+    # evidence of a pair within MENU_M: its distance is known here, so cities and areas are what can still contradict
+    plain = lambda df: keyed(df).withColumns({c: F.nullif(F.col(c), F.lit("")) for c in ("city", "area")})
+    j = near_pairs(plain(side(first)), plain(side(second)), MENU_M + 1, "keys", told)
+    metres = F.floor(F.col("metres") + 0.5)
+    near, share = metres <= NEAR_M, overlap(F.col("s.dishes"), F.col("t.dishes"))
+    j = j.where(F.coalesce(F.col("s.city") == F.col("t.city"), F.lit(True)))
+    j = j.where(near | ((metres <= MENU_M) & F.coalesce(areas_compatible(F.col("s.area"), F.col("t.area")), F.lit(True)) & (share >= LEAST_OVERLAP))).withColumn("overlap", share)
     return j.select("id1", "id2", metres.alias("metres"), (F.floor(F.col("overlap") * 100 + 0.5) / 100).alias("overlap"), F.col("s.grp").alias("grp1"), F.col("s.matched").alias("matched1"), F.col("t.grp").alias("grp2"), F.col("t.matched").alias("matched2"))
 
 
