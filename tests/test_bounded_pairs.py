@@ -2,7 +2,9 @@
 
 import itertools
 
-from tallymart.operators import menu_search, upkeep
+from pyspark.sql import functions as F
+
+from tallymart.operators import decisions, menu_search, upkeep
 
 
 def _plan(df):
@@ -31,3 +33,25 @@ def test_group_candidates_without_a_list_of_pairs(spark, monkeypatch):
     got = menu_search.group_candidates(s, g)
     assert sorted(tuple(r) for r in got.collect()) == sorted((a[0], b[0]) for a in sources for b in groups if meets(a, b))
     assert "Aggregate [id1" not in _plan(got)
+
+
+def test_search_works_out_items_once(spark):
+    """Keys that a UDF makes are not made again for each of the joins."""
+    items = spark.createDataFrame([(i, f"rice {i}") for i in range(30)], "id long, name string").withColumn("key", F.udf(str.lower, "string")("name"))
+    split = F.split("key", " ")
+    items = items.select("id", F.array("key").alias("names"), F.array().cast("array<string>").alias("aliases"), split.alias("keywords"), split.alias("name_tokens"), F.col("key").alias("display"))
+    got = menu_search.ranked(items, menu_search.normalized_queries(spark.createDataFrame([(1, "rice 7"), (2, "ric")], "qid int, query string")), 3)
+    assert "udf" not in _plan(got).lower() and "Python" not in _plan(got)
+    assert sorted((r.qid, r.place, r.id, r.tier, r.truncated) for r in got.collect()) == [(1, 1, 7, 1, True), (1, 2, 0, 4, True), (1, 3, 1, 4, True), (2, 1, 0, 4, True), (2, 2, 1, 4, True), (2, 3, 2, 4, True)]
+
+
+def test_namesakes_are_not_paired_with_reviews(spark):
+    schema = "target long, group_id long, status string, name_en string, name_ar string, category_en string, category_ar string, portion string"
+    canon = [(i, i % 2, "active" if i % 9 else "retired", f"n{i % 13}" if i % 4 else None, f"a{i % 17}" if i % 3 else None, "c", "d", None) for i in range(40)]
+    reviews = [(i, i % 2, "matcher", i % 45, ["AMBIGUOUS_CANDIDATES"], f"n{i % 13}" if i % 5 else None, f"a{i % 17}" if i % 7 else None, "c", "d", None) for i in range(120)]
+    r = spark.createDataFrame(reviews, "item long, group_id long, decided_by string, target long, conflicts array<string>, name_en string, name_ar string, category_en string, category_ar string, portion string")
+    got = decisions.approval_skips(r, spark.createDataFrame(canon, schema), unique_twins=True)
+    twins = lambda x: {c[0] for c in canon if c[2] == "active" and c[1] == x[1] and (x[5] is not None and c[3] == x[5] or x[6] is not None and c[4] == x[6])}
+    assert {y.item: y.waived for y in got.collect()} == {x[0]: twins(x) == {x[3]} for x in reviews}
+    joins = [line for line in _plan(got).splitlines() if "Join" in line]
+    assert len(joins) == 3 and all("LeftOuter" in line for line in joins)  # an inner join would list the namesakes of each review
