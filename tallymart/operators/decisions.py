@@ -117,7 +117,7 @@ def decision_refusals(entries: DataFrame, active: DataFrame, canonical: DataFram
 def approval_skips(reviews: DataFrame, canonical: DataFrame, unique_twins: bool = False) -> DataFrame:
     """Why an item's review may not be approved by rule, in order, and whether AMBIGUOUS_CANDIDATES was waived.
 
-    reviews (item, group_id, decided_by, target, conflicts, name_en, name_ar, category_en, category_ar, portion); canonical (target,
+    reviews (unique item, group_id, decided_by, target, conflicts, name_en, name_ar, category_en, category_ar, portion); canonical (target,
     group_id, status, and the same texts). Texts are item keys already. A unique twin is the only active item of its group
     that shares a name with the source; with `unique_twins` its ambiguity is no conflict."""
     texts = ("name_en", "name_ar", "category_en", "category_ar", "portion")
@@ -125,9 +125,11 @@ def approval_skips(reviews: DataFrame, canonical: DataFrame, unique_twins: bool
     r = reviews.join(c, "target", "left")
     if unique_twins:
         live = canonical.where("status = 'active'")
-        shares = [reviews.select("item", "group_id", n).join(live.select("group_id", n, F.col("target").alias("_twin")), ["group_id", n]).select("item", "_twin") for n in ("name_en", "name_ar")]
-        twins = shares[0].union(shares[1]).groupBy("item").agg(F.min("_twin").alias("_first"), F.max("_twin").alias("_last"))
-        r = r.join(twins, "item", "left")
+        # the first and the last item of each name tell whether there is another one, so namesakes are not paired with reviews
+        for n in ("name_en", "name_ar"):
+            named = live.where(F.col(n).isNotNull()).groupBy("group_id", n).agg(F.min("target").alias(f"_first_{n}"), F.max("target").alias(f"_last_{n}"))
+            r = r.join(named, ["group_id", n], "left")
+        r = r.withColumns({"_first": F.least("_first_name_en", "_first_name_ar"), "_last": F.greatest("_last_name_en", "_last_name_ar")})
         only = F.size(F.filter("conflicts", lambda x: x != "AMBIGUOUS_CANDIDATES")) == 0
         waived = F.coalesce((F.size("conflicts") > 0) & only & (F.col("_first") == F.col("target")) & (F.col("_last") == F.col("target")), F.lit(False))
     else:
