@@ -9,7 +9,8 @@ alone depend on order, and both are settled in rounds over all rows at once:
   (group, platform), each round decides the first.
 
 A group keeps the evidence of the listing that started it, as in a dry run. Pairs that were rejected never come up again. Candidates
-are found by pins within FAR_M, or, where a pin is missing, by a name or brand and city; the latter meet all listings of their block.
+are found by pins within FAR_M and a name or brand, or, where a pin is missing, by a name or brand and city; the latter meet all groups of
+their block. Listings that fit a stored group start none, so listings meet one another only where they fit no stored one.
 """
 
 from __future__ import annotations
@@ -55,15 +56,25 @@ def judged(pairs: DataFrame, s: str = "s", t: str = "t") -> DataFrame:
     return rows.withColumn("strong", F.col("_how").isNotNull()).withColumn("method", told["col1"]).withColumn("confidence", told["col2"]).drop("_fits", "_how", "_weak")
 
 
-def _candidates(sources: DataFrame, targets: DataFrame) -> DataFrame:
-    """id1, id2 of pairs that could fit: every pair does so by pins, or by a key in a city that does not differ."""
+def _edges(sources: DataFrame, targets: DataFrame) -> DataFrame:
+    """The pairs that fit, judged (id1, id2, ord, ord2, platform, strong, method, confidence), of sources (id, ord, platform, signals) with
+    targets (id, ord2, signals) that are stored (no ord2) or come before. Every pair that could fit does so by pins and a key, or by a key in
+    a city that does not differ; it is met once, at the first key that both have, and judged there."""
     pin = valid(F.col("lat"), F.col("lng"))
-    keyed = lambda df, i: df.select(F.col("id").alias(i), F.nullif(F.col("city"), F.lit("")).alias("city"), pin.alias("pinned"), F.explode(F.array_distinct(F.concat(F.transform(F.coalesce("names", F.array().cast("array<string>")), lambda x: F.concat(F.lit("n:"), x)), F.transform(F.coalesce("brands", F.array().cast("array<string>")), lambda x: F.concat(F.lit("b:"), x))))).alias("key"))
-    s, t = keyed(sources, "id1"), keyed(targets, "id2")
-    found = [near_pairs(sources.where(pin), targets.where(pin), FAR_M + 1).select("id1", "id2")]
+    tagged = lambda c, kind: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda x: F.concat(F.lit(kind), x))
+    keys = F.array_distinct(F.array_compact(F.concat(tagged("names", "n:"), tagged("brands", "b:"))))
+    carry = (*SIGNALS, "ord", "platform", "ord2")
+    both = [df.withColumns({"keys": keys, "pinned": pin, **{c: F.lit(None).cast(other.schema[c].dataType) for c in ("platform", "ord2") if c not in df.columns}}) for df, other in ((sources, targets), (targets, sources))]
+    both[1] = both[1].withColumn("ord", F.lit(None).cast(sources.schema["ord"].dataType))
+    found = [near_pairs(both[0].where("pinned"), both[1].where("pinned"), FAR_M + 1, "keys", carry).select("id1", "id2", "s", "t")]
+    keyed = lambda df, n, i: df.select(F.col("id").alias(f"id{n}"), F.nullif(F.col("city"), F.lit("")).alias("city"), "pinned", F.col("keys").alias(f"k{n}"), F.struct(*carry).alias(i), F.explode("keys").alias("key"))
+    s, t = keyed(both[0], 1, "s"), keyed(both[1], 2, "t")
+    once = F.get(F.array_intersect("k1", "k2"), F.lit(0)) == F.col("key")
     for a, b in ((s.where("NOT pinned"), t), (s.where("pinned"), t.where("NOT pinned"))):
-        found += [x.select("id1", "id2") for x in (a.join(b, ["key", "city"]), a.where("city IS NULL").join(b, "key"), a.where("city IS NOT NULL").join(b.where("city IS NULL"), "key"))]
-    return reduce(DataFrame.union, found).distinct()
+        for x in (a.join(b, ["key", "city"]), a.where("city IS NULL").drop("city").join(b, "key"), a.where("city IS NOT NULL").join(b.where("city IS NULL").drop("city"), "key")):
+            found.append(x.where(once).select("id1", "id2", "s", "t"))
+    pairs = [x.where("t.ord2 IS NULL OR t.ord2 < s.ord") for x in found]
+    return reduce(DataFrame.union, [judged(x).select("id1", "id2", "s.ord", "t.ord2", "s.platform", "strong", "method", "confidence") for x in pairs])
 
 
 def plan(listings: DataFrame, groups: DataFrame, mappings: DataFrame, rejected: DataFrame, folder: str | None = None) -> DataFrame:
@@ -87,14 +98,14 @@ def plan(listings: DataFrame, groups: DataFrame, mappings: DataFrame, rejected:
     order = F.struct(F.col("created_at").isNotNull(), F.col("created_at"), F.col("id"))
     rows = put(open_.select(F.concat(F.lit("r:"), "id").alias("id"), order.alias("ord"), "platform", *SIGNALS), "rows")
     known = put(pins(groups).select(F.concat(F.lit("g:"), "group_id").alias("id"), *SIGNALS), "known")
-    targets = known.unionByName(rows.select("id", *SIGNALS))
-    s = rows.select(F.col("id").alias("id1"), "ord", "platform", F.struct(*SIGNALS).alias("s"))
-    t = known.select("id", F.lit(None).cast(rows.schema["ord"].dataType).alias("ord2"), F.struct(*SIGNALS).alias("t")).unionByName(rows.select("id", F.col("ord").alias("ord2"), F.struct(*SIGNALS).alias("t"))).withColumnRenamed("id", "id2")
-    pairs = _candidates(rows, targets).join(s, "id1").join(t, "id2").where("ord2 IS NULL OR ord2 < ord")
     gone = rejected.select(F.concat(F.lit("r:"), "id").alias("id1"), F.concat(F.lit("g:"), "group_id").alias("id2"))
-    edges = put(judged(pairs).join(gone, ["id1", "id2"], "left_anti").select("id1", "id2", "ord", "ord2", "platform", "strong", "method", "confidence"), "edges")
-    starts = put(_starters(rows, edges, put), "starts")
-    fit = edges.join(starts.select(F.col("id").alias("id2"), F.lit(True).alias("starts")), "id2", "left").where("ord2 IS NULL OR starts").drop("starts")
+    ordered = rows.select("id", F.col("ord").alias("ord2"), *SIGNALS)
+    stored = put(_edges(rows, known.withColumn("ord2", F.lit(None).cast(rows.schema["ord"].dataType))).join(gone, ["id1", "id2"], "left_anti"), "edges")
+    # only listings that fit no stored group can start one, so these alone meet each other; all meet those that do
+    open_rows = put(rows.where(_located()).join(stored.select(F.col("id1").alias("id")).distinct(), "id", "left_anti"), "open")
+    among = put(_edges(open_rows, ordered.join(open_rows.select("id"), "id", "left_semi")).select("id1", "id2"), "among")
+    starts = put(_starters(open_rows, among, put), "starts")
+    fit = stored.unionByName(_edges(rows, ordered.join(starts, "id", "left_semi")))
     # what starts a group has no fit; its own platform is taken from the beginning
     taken = held.where("status = 'MATCHED'").select(F.concat(F.lit("g:"), "group_id").alias("id2"), "platform").unionByName(starts.join(rows.select("id", "platform"), "id").select(F.col("id").alias("id2"), "platform")).distinct()
     fit = put(fit.join(taken.withColumn("taken", F.lit(True)), ["id2", "platform"], "left").withColumn("taken", F.coalesce("taken", F.lit(False))), "fit")
@@ -114,11 +125,9 @@ def _located() -> Column:
     return F.nullif(F.col("address"), F.lit("")).isNotNull() | F.nullif(F.col("area"), F.lit("")).isNotNull() | F.col("lat").isNotNull()
 
 
-def _starters(rows: DataFrame, edges: DataFrame, put) -> DataFrame:
-    """id of the listings that become groups."""
-    fits_stored = edges.where("ord2 IS NULL").select(F.col("id1").alias("id")).distinct()
-    state = put(rows.select("id", _located().alias("located")).join(fits_stored.withColumn("stored", F.lit(True)), "id", "left").select("id", F.when(F.col("stored") | ~F.col("located"), False).alias("starts")), "state-0")
-    among = edges.where("ord2 IS NOT NULL").select("id1", "id2")
+def _starters(rows: DataFrame, among: DataFrame, put) -> DataFrame:
+    """id of the listings that become groups, of those that can; among: id1 fits the earlier id2."""
+    state = put(rows.select("id", F.lit(None).cast("boolean").alias("starts")), "state-0")
     step = 0
     while True:
         step += 1

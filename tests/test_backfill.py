@@ -128,3 +128,15 @@ def test_query(spark, sf_dir):
 
 def test_no_listings(spark):
     assert planned(spark, [], [], [], set()) == {}
+
+
+def test_listings_that_fit_a_stored_group_do_not_meet_one_another(spark, tmp_path):
+    at = {"names": ["a"], "brands": ["x"], "city": "c", "area": None, "address": None, "lat": None, "lng": None}
+    rows = [(f"{i:02d}", i, "t", *({**at, "area": "z"} if i % 2 else {**at, "names": ["n"], "brands": [], "address": "1 road"}).values()) for i in range(20)]
+    listings = spark.createDataFrame(rows, f"id string, created_at long, platform string, {SIGNALS}")
+    groups = spark.createDataFrame([("G", *at.values())], f"group_id string, {SIGNALS}")
+    none = spark.createDataFrame([], "id string, group_id string, status string, platform string")
+    got = {r.id: r.outcome for r in backfill.plan(listings, groups, none, none.select("id", "group_id"), f"file://{tmp_path}/work").collect()}
+    assert got["00"] == "GROUP_CREATED" and {got[f"{i:02d}"] for i in range(1, 20)} == {"REVIEW"}
+    met = spark.read.parquet(f"file://{tmp_path}/work/among")
+    assert {(int(r.id1[2:]) % 2, int(r.id2[2:]) % 2) for r in met.collect()} == {(0, 0)} and met.count() == 45
