@@ -95,7 +95,9 @@ def _all_placed(batches):
 def placed(items: DataFrame) -> DataFrame:
     """For every listing (query, seq, retailer, external_id, name, price, available) its bundle, and for one that opened a bundle
     after a near miss the reason, the similarity and the bundle that it nearly joined. `seq` is unique within a query. Listings without a name are left out."""
-    named = features(items.where("name IS NOT NULL AND name <> ''"))
+    rows = items.where("name IS NOT NULL AND name <> ''")
+    # searches show the same products, so what a name says is worked out once for each name
+    named = rows.join(features(rows.select("name").distinct()), "name")
     listing = F.struct(F.col("seq").cast("long").alias("seq"), "retailer", "external_id", "name", F.col("price").cast("double").alias("price"), "available", *FEATURES)
     queries = named.groupBy(F.col("query").cast("string").alias("query")).agg(F.array_sort(F.collect_list(listing)).alias("items"))
     return queries.mapInArrow(_all_placed, PLACED)

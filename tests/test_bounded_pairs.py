@@ -4,7 +4,7 @@ import itertools
 
 from pyspark.sql import functions as F
 
-from tallymart.operators import decisions, menu_search, upkeep
+from tallymart.operators import bundles, decisions, menu_search, upkeep
 
 
 def _plan(df):
@@ -55,3 +55,10 @@ def test_namesakes_are_not_paired_with_reviews(spark):
     assert {y.item: y.waived for y in got.collect()} == {x[0]: twins(x) == {x[3]} for x in reviews}
     joins = [line for line in _plan(got).splitlines() if "Join" in line]
     assert len(joins) == 3 and all("LeftOuter" in line for line in joins)  # an inner join would list the namesakes of each review
+
+
+def test_names_of_listings_are_read_once_for_all_searches(spark):
+    rows = [(f"q{q}", i, r, None, n, 10.0, True) for q in range(3) for i, (r, n) in enumerate([("A", "Samsung Galaxy S24 Black"), ("B", "Samsung Galaxy S24"), ("A", ""), ("C", None), ("C", "Lego City")])]
+    got = bundles.placed(spark.createDataFrame(rows, "query string, seq long, retailer string, external_id string, name string, price double, available boolean"))
+    assert sorted((r.query, r.seq, r.bundle) for r in got.collect()) == [(f"q{q}", i, b) for q in range(3) for i, b in ((0, 0), (1, 0), (4, 4))]
+    assert "Aggregate [name" in _plan(got)
