@@ -14,8 +14,9 @@
 4. Links give components. Where a column's rows still lie in several, the other pairs between components are met too. In a
    column of few rows they are listed. In a larger one rows are written as differences from the pivot: two rows that link
    share an element of them, by the same bound on the differences (the few pairs so close to the pivot that they need not
-   are listed apart). These groups are met by pivots again; only what is then still apart is counted pair by pair. So no
-   link between components is lost, while pairs inside one component are never listed.
+   are listed apart). These groups are met by pivots again; only what is then still apart is counted pair by pair, and of
+   these pairs only those that places of the shared element, sizes and parities of the differences allow. So no link
+   between components is lost, while pairs inside one component are never listed.
 
 A large group of copies costs one class. A hot column is aggregated before it is shuffled and its join is split by the
 adaptive planner. Documents without words (null, empty or blank text) have the empty set and link with nothing. A row with
@@ -29,7 +30,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.common import drop, shared_dir, small_batches, text_steps, written
@@ -41,6 +42,8 @@ BROADCAST_IDS = 500_000
 CELLS, SLICES = 1 << 22, 64
 #: Rows of a column, besides its pivot, whose pairs are listed: at most so many for each row; larger groups go by differences.
 LISTED = 8
+#: 64-bit words of a difference's parities, which tell most pairs that differ too much before they are made.
+PARITIES = [f"p{i}" for i in range(4)]
 _P = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0x27D4EB2F165667C5), np.uint64(0x85EBCA77C2B2AE63)]
 
 
@@ -176,11 +179,30 @@ def _products(percent: int):
     return rows
 
 
+def parities(diff: np.ndarray) -> np.ndarray:
+    """Of the elements by bucket whether they are odd in number. Two differences have at least as many elements apart as their parities have bits."""
+    bits = np.bincount((diff & np.uint64(64 * len(PARITIES) - 1)).astype(np.int64), minlength=64 * len(PARITIES)) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _differences(batches):
-    """The columns in which a row and its pivot's row differ."""
+    """The columns in which a row and its pivot's row differ, and their parities."""
     for b in batches:
-        diffs = [np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True).tobytes() for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist())]
-        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), b.column("n"), pa.array([len(d) // 8 for d in diffs], pa.int64()), pa.array(diffs, pa.binary())], ["a", "b", "n", "far", "diff"])
+        diffs = [np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True) for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist())]
+        odd = np.array([parities(d) for d in diffs], dtype=np.int64).reshape(-1, len(PARITIES)).T
+        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), b.column("n"), pa.array([len(d) for d in diffs], pa.int64()), pa.array([d.tobytes() for d in diffs], pa.binary()), *(pa.array(x, pa.int64()) for x in odd)], ["a", "b", "n", "far", "diff", *PARITIES])
+
+
+def may_be_near(element: bool) -> Column:
+    """Whether two members of a pivot's group, the second's columns marked by a 2, can differ in as few columns as linked rows do.
+
+    At the first element that both have, those before it are in one difference alone, and of those after it at least as many as
+    one side has more."""
+    c, room = F.col, F.least("room", "room2")
+    near = sum((F.bit_count(c(p).bitwiseXOR(c(f"{p}2"))) for p in PARITIES), F.lit(0)) <= room
+    if element:
+        near = near & (c("at") + c("at2") + F.abs((c("far") - c("at")) - (c("far2") - c("at2"))) <= room)
+    return near
 
 
 def _difference_products(percent: int):
@@ -396,7 +418,7 @@ class _Work:
             return self.put(self.label_of(self.label_of(large, "a", "of_a", labels), "b", "label", labels), name)
 
         rest = placed(labels, "rest")
-        diffs = self.put(self.with_rows(large, "large").select("a", "b", "n", "sa", "sb").mapInArrow(_differences, "a long, b long, n long, far long, diff binary").join(self.few(rest), ["a", "b"]), "diffs")
+        diffs = self.put(self.with_rows(large, "large").select("a", "b", "n", "sa", "sb").mapInArrow(_differences, "a long, b long, n long, far long, diff binary, " + ", ".join(f"{p} long" for p in PARITIES)).join(self.few(rest), ["a", "b"]), "diffs")
         held = self.spark.sparkContext.broadcast(histogram(diffs, "diff"))
 
         def first(batches):
@@ -408,12 +430,12 @@ class _Work:
                     d = np.frombuffer(raw, np.uint64)
                     often = cells[(d % np.uint64(CELLS)).astype(np.int64)]
                     out.append(d[np.lexsort((d, often))[: bound(n, percent) + 1]].view(np.int64))
-                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("a", "b", "n", "far", "label")), pa.array(out, pa.list_(pa.int64()))], ["a", "b", "n", "far", "label", "elements"])
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("a", "b", "n", "far", "label", *PARITIES)), pa.array(out, pa.list_(pa.int64()))], ["a", "b", "n", "far", "label", *PARITIES, "elements"])
 
         room = F.floor(F.col("n") * (100 - percent) / percent)
-        heads = diffs.mapInArrow(first, "a long, b long, n long, far long, label long, elements array<long>")
-        element = heads.select("a", "b", "far", "label", room.alias("room"), F.posexplode("elements").alias("at", "e"))
-        element = self.put(element.select("a", "e", "b", "far", "label", (F.col("at") <= F.floor(F.col("room") / 2)).alias("short")), "elements")
+        heads = diffs.mapInArrow(first, "a long, b long, n long, far long, label long, " + ", ".join(f"{p} long" for p in PARITIES) + ", elements array<long>")
+        element = heads.select("a", "b", "far", "label", room.alias("room"), *PARITIES, F.posexplode("elements").alias("at", "e"))
+        element = self.put(element, "elements")
         # elements that only one component has join nothing
         top = F.min(F.struct("far", "b", "label"))
         group = element.groupBy("a", "e").agg(F.min("label").alias("x"), F.max("label").alias("y"), top.alias("top")).where("x < y")
@@ -431,17 +453,18 @@ class _Work:
         sizes = element.groupBy("a", "e", "label").agg(F.count("*").alias("members"))
         main = sizes.groupBy("a", "e").agg(F.max_by("label", F.struct("members", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").drop("labels")
         element = self.put(element.join(main, ["a", "e"]), "open")
-        x = element.where("short").select("a", "e", F.col("b").alias("x"), "far", "label", F.col("main"))
-        y = element.select("a", "e", F.col("b").alias("y"), F.col("far").alias("far2"), F.col("label").alias("label2"), (F.col("label") == F.col("main")).alias("in_main"))
+        second = [F.col(c).alias(f"{c}2") for c in ("far", "label", "room", *PARITIES)]
+        x = element.where(F.col("at") <= F.floor(F.col("room") / 2)).select("a", "e", F.col("b").alias("x"), "at", "far", "label", "room", *PARITIES, "main")
+        y = element.select("a", "e", F.col("b").alias("y"), F.col("at").alias("at2"), *second, (F.col("label") == F.col("main")).alias("in_main"))
         pair = ("a", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        outside = x.where("label <> main").join(y, ["a", "e"]).where("label <> label2 AND far <= far2").select(*pair)
-        inside = x.where("label = main").join(y.where("NOT in_main"), ["a", "e"]).where("far <= far2").select(*pair)
+        outside = x.where("label <> main").join(y, ["a", "e"]).where(F.expr("label <> label2 AND far <= far2") & may_be_near(True)).select(*pair)
+        inside = x.where("label = main").join(y.where("NOT in_main"), ["a", "e"]).where((F.col("far") <= F.col("far2")) & may_be_near(True)).select(*pair)
         # pairs so close to the pivot that their differences need share nothing
-        with_labels = diffs.select("a", "b", "far", room.alias("room")).join(self.few(rest), ["a", "b"])
-        near = with_labels.where("label <> of_a AND far <= room").select("a", F.col("b").alias("x"), "label", (F.col("room") - F.col("far")).alias("room"))
-        most = near.groupBy("a").agg(F.max("room").alias("most"))
-        around = with_labels.join(most, "a").where("far <= most").select("a", F.col("b").alias("y"), F.col("far").alias("far2"), F.col("label").alias("label2"))
-        close = near.join(around, "a").where("label <> label2 AND far2 <= room").select(*pair)
+        with_labels = diffs.select("a", "b", "far", room.alias("room"), *PARITIES).join(self.few(rest), ["a", "b"])
+        near = with_labels.where("label <> of_a AND far <= room").select("a", F.col("b").alias("x"), "label", "room", (F.col("room") - F.col("far")).alias("left"), *PARITIES)
+        most = near.groupBy("a").agg(F.max("left").alias("most"))
+        around = with_labels.join(most, "a").where("far <= most").select("a", F.col("b").alias("y"), *second)
+        close = near.join(around, "a").where(F.expr("label <> label2 AND far2 <= left") & may_be_near(False)).select(*pair)
         across = self.counted(diffs, outside.union(inside).union(close), "across")
         if across.limit(1).count():
             labels = components(links.union(across), f"{self.folder}/last-components")

@@ -79,3 +79,34 @@ def test_columns_of_any_name_stay(spark):
     docs = spark.createDataFrame([(i, t, f"h{i}", i, "k") for i, t in enumerate(texts)], "doc_id long, text string, _h string, _h2 long, _k string")
     got = corpus_pipeline.one_of_each_group(spark, docs, "")
     assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [(0, texts[0], "h0", 0, "k"), (2, texts[2], "h2", 2, "k")]
+
+
+def test_pairs_of_a_large_group(spark, monkeypatch):
+    """Rows of one group that share an element of their differences are pairs only if they can link: the joins made 1,958 pairs of these 500 rows."""
+    rng = np.random.default_rng(5)
+    base, made, rows = [f"w{i}" for i in range(60)], [], 500
+    texts = {0: " ".join(base)}
+    for i in range(1, rows):
+        t = [*base]
+        for at in rng.choice(len(t), 2 + i % 4, replace=False):
+            t[at] = f"x{rng.integers(0, 12)}"
+        texts[i] = " ".join(t)
+    plain = jaccard._Work.counted
+
+    def counted(self, diffs, pairs, name):
+        made.append((name, pairs.count()))
+        return plain(self, diffs, pairs, name)
+
+    monkeypatch.setattr(jaccard._Work, "counted", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.joined(docs, k=K, percent=PERCENT).collect()} == components(texts)
+    assert dict(made)["across"] <= rows, made
+
+
+def test_parities_are_a_lower_bound():
+    rng = np.random.default_rng(6)
+    for size in (0, 1, 40, 300):
+        a, b = (np.unique(rng.integers(0, 1 << 62, size, dtype=np.uint64)) for _ in range(2))
+        b = np.unique(np.concatenate([a[: size // 2], b]))
+        odd = sum(bin((int(x) ^ int(y)) & (1 << 64) - 1).count("1") for x, y in zip(jaccard.parities(a), jaccard.parities(b)))
+        assert odd <= len(np.setxor1d(a, b)) and (size == 0 or odd > 0)
