@@ -12,12 +12,11 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymart.operators.files import Folder
-from tallymart.operators.menu_search import inactive_marking, stronger_identities
-from tallymart.operators.upsert import issues
+from tallymart.operators.menu_search import inactive_marking
 
 #: Buckets of restaurants. A batch rewrites those that it touches.
 BUCKETS = 64
@@ -37,10 +36,15 @@ def _columns(schema: str) -> list[str]:
     return [x.split()[0] for x in schema.split(", ")]
 
 
+def _none(spark: SparkSession, table: str) -> DataFrame:
+    """No rows, without a Python worker to make them."""
+    return spark.range(0).where("false").select(*(F.lit(None).cast(x.split(maxsplit=1)[1]).alias(x.split()[0]) for x in SCHEMAS[table].split(", ")))
+
+
 def rules(table: str) -> dict[str, Column]:
     """What a merged record must fulfil."""
     c = F.col
-    named = F.size(F.filter(F.map_values("name"), lambda t: F.trim(t) != "")) > 0
+    named = F.trim(F.concat_ws("", F.map_values("name"))) != ""
     if table == "restaurants":
         return {"restaurant": c("restaurant") != "", "name": named, "currency": c("currency").isNull() | c("currency").rlike("^[A-Z]{3}$"), "lat": c("lat").isNull() | (F.abs("lat") <= 90), "lng": c("lng").isNull() | (F.abs("lng") <= 180)}
     keyed = {"source_key": c("source_key") != "", "kind": c("kind").isin("id", "anchor", "position"), "platform_id": (c("kind") == "id") == c("platform_id").isNotNull(), "name": named}
@@ -50,42 +54,61 @@ def rules(table: str) -> dict[str, Column]:
     return keyed | {"category_key": (c("kind") != "position") | c("category_key").isNotNull(), "price": price, "original_price": c("original_price").isNull() | ((c("original_price") >= c("price")) & (c("original_price") <= MOST_PRICE)), "currency": c("currency").isNull() | c("currency").rlike("^[A-Z]{3}$")}
 
 
-def merged(table: str, stored: DataFrame, incoming: DataFrame, locale: str, now: Column) -> DataFrame:
-    """Stored and incoming records as they are to be, with status (created, updated, unchanged, kept) and code (why refused; then the stored values stay).
+def merged(table: str, stored: DataFrame | None, incoming: DataFrame, locale: str, now: Column, good: DataFrame | None = None) -> DataFrame:
+    """Stored and incoming records as they are to be, with status (created, updated, unchanged, kept), code (why refused; then the stored values
+    stay), seen (whether the page shows the record) and was_active.
 
     incoming has the table's columns but `active` and the times; localized ones are texts of `locale`. It may have `at`, the order of
     records, and `clear`, names of fields that the page shows to be gone. A null leaves what is stored. A record is found by its
     platform_id if it has one, else by its source_key. Of records with one key the first counts, the others are refused, as is one
-    that would take another record's key."""
+    that would take another record's key. With good, records of restaurants that it lacks are refused, and keys of another kind where
+    active records have ids (M13).
+
+    stored is None where nothing is stored yet, so nothing is looked up.
+    Stored records, incoming ones and good restaurants are dealt by restaurant once, in one table; all that is looked up is a window of it."""
     key = "restaurant" if table == "restaurants" else "source_key"
     columns, texts = _columns(SCHEMAS[table]), LOCALIZED[table]
+    own = [c for c in columns if c not in OBSERVED]
     i = incoming
     i = i if "at" in i.columns else i.withColumn("at", F.lit(0))
     i = i if "clear" in i.columns else i.withColumn("clear", F.array().cast("array<string>"))
+    keys = ("restaurant",) if table == "restaurants" else ("restaurant", "source_key", "platform_id")
+    empty, stored = stored is None, _none(incoming.sparkSession, table) if stored is None else stored
+    every = stored.select(*keys, F.lit(0).alias("tag"), F.struct(*columns).alias("s"))
+    every = every.unionByName(i.select(*keys, F.lit(1).alias("tag"), F.struct(*own, "at", "clear").alias("g")), allowMissingColumns=True)
+    if good is not None:
+        every = every.unionByName(good.select("restaurant", F.lit(-1).alias("tag")), allowMissingColumns=True)
+    every = every.repartition("restaurant")
+    is_stored, came = F.col("tag") == 0, F.col("tag") == 1
+    by = lambda *c: Window.partitionBy("restaurant", *c)
+    no = F.lit(False)
     if table == "restaurants":
-        i = i.withColumn("target", F.col(key))
+        every = every.withColumns({"refused": F.lit(None).cast("string"), "owned": no, "target": F.col("restaurant"), "shown": F.lit(True)})
     else:
-        by_id = stored.where("platform_id IS NOT NULL").groupBy("restaurant", "platform_id").agg(F.min("source_key").alias("found"))
-        by_key = stored.select("restaurant", "source_key", F.lit(True).alias("there"))
-        i = i.join(by_id, ["restaurant", "platform_id"], "left").join(by_key, ["restaurant", "source_key"], "left")
-        owned = F.coalesce("there", F.lit(False)) & ~F.coalesce(F.col("found") == F.col("source_key"), F.lit(False)) & F.col("platform_id").isNotNull()
-        i = i.withColumn("target", F.when(F.col("platform_id").isNotNull(), F.coalesce("found", "source_key")).otherwise(F.col("source_key"))).withColumn("owned", owned)
+        found = F.min(F.when(is_stored, F.col("source_key"))).over(by("platform_id"))
+        known, ids = F.max(F.col("tag") == -1).over(by()), F.max(is_stored & F.col("s.active") & (F.col("s.kind") == "id")).over(by())
+        every = every.withColumns({"found": F.lit(None).cast("string") if empty else F.when(F.col("platform_id").isNotNull(), found), "known": known if good is not None else F.lit(True), "ids": no if empty or good is None else ids}).where("tag >= 0")
+        every = every.withColumns({"there": no, "shown": no} if empty else {"there": F.max(is_stored).over(by("source_key")), "shown": F.max(came).over(by("source_key"))})
+        owned = F.col("there") & ~F.coalesce(F.col("found") == F.col("source_key"), no) & F.col("platform_id").isNotNull()
+        weak = F.coalesce("ids", no) & ~F.coalesce(F.col("g.kind") == "id", no)
+        refused = F.when(came & ~F.col("known"), "UNKNOWN_RESTAURANT").when(came & weak, "IDENTITY_DOWNGRADE")
+        every = every.withColumns({"refused": refused, "owned": came & owned})
+        every = every.withColumn("target", F.when(is_stored, F.col("source_key")).when(F.col("refused").isNull(), F.coalesce("found", "source_key")))
     # of several records for one target the first counts; a key of another record is refused unless nothing tells that record apart
-    s = stored.select(*(F.col(c).alias(f"s_{c}") for c in columns))
-    scope = ["restaurant"] if key == "restaurant" else ["restaurant", "target"]
-    order = F.struct("at", F.xxhash64(*(c for c in columns if c not in OBSERVED)))
-    first = i.groupBy(*scope).agg(F.min(order).alias("first"))
-    i = i.join(first, scope).withColumn("again", order != F.col("first"))
-    i = i.select("*", F.lit(True).alias("came"))
-    j = s.join(i, (F.col("s_restaurant") == F.col("restaurant")) & (F.col(f"s_{key}") == F.col("target")), "full_outer")
-    old, new = F.col(f"s_{key}").isNotNull(), F.coalesce("came", F.lit(False))
-    cleared = lambda c: F.coalesce(F.array_contains("clear", c), F.lit(False))
+    every = every.where("target IS NOT NULL OR refused IS NOT NULL").withColumns({"order": F.xxhash64(*(F.col(f"g.{c}") for c in own)), "w": F.when(is_stored, F.struct("s", "shown"))})
+    line = by("target").orderBy("tag", "g.at", "order")
+    every = every.withColumns({"place": F.row_number().over(line), "next": F.lead("tag").over(line), "w": F.first("w", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, 0))})
+    j = every.where("tag = 1 OR next IS NULL").withColumns({"old": F.col("w").isNotNull(), "new": came})
+    j = j.withColumn("again", F.col("refused").isNull() & came & (F.col("place") > F.when(F.col("old"), 2).otherwise(1)))
+    j = j.select("old", "new", "again", "owned", "refused", F.col("w.shown").alias("s_shown"), "g.clear", *(F.col(f"w.s.{c}").alias(f"s_{c}") for c in columns), *(F.col(f"g.{c}").alias(c) for c in own))
+    new = F.col("new")
+    cleared = lambda c: F.coalesce(F.array_contains("clear", c), no)
 
     def value(c: str) -> Column:
         was, got = F.col(f"s_{c}"), F.col(c) if c not in OBSERVED else None
         if c in texts:
             was = F.coalesce(was, F.create_map().cast(_TEXTS))
-            others = F.map_filter(was, lambda k, _: k != locale)
+            others = F.when(F.map_contains_key(was, locale), F.map_filter(was, lambda k, _: k != locale)).otherwise(was)
             put = F.when(F.trim(got) != "", F.map_concat(others, F.create_map(F.lit(locale), got)))
             return F.when(new & cleared(c), others).when(new, F.coalesce(put, was)).otherwise(was).alias(c)
         if c == "active":
@@ -98,25 +121,27 @@ def merged(table: str, stored: DataFrame, incoming: DataFrame, locale: str, now:
             return F.when(new, F.coalesce(got, was)).otherwise(was).alias(c)
         return F.when(new & cleared(c), None).when(new, F.coalesce(got, was)).otherwise(was).alias(c)
 
-    rows = j.select(*(value(c) for c in columns), old.alias("old"), new.alias("new"), F.coalesce("again", F.lit(False)).alias("again"), (F.coalesce("owned", F.lit(False)) if "owned" in i.columns else F.lit(False)).alias("owned"), *(f"s_{c}" for c in columns))
-    told = F.when(F.col("new"), F.array_join(issues(rules(table)), ","))
-    code = F.when(F.col("new") & (F.col("again") | F.col("owned")), "DUPLICATE_KEY").when(told != "", F.concat(F.lit("VALIDATION_FAILED: "), told))
-    sorted_map = lambda c: F.array_sort(F.map_entries(c))
+    rows = j.select(*(value(c) for c in columns), "old", "new", "again", "owned", "refused", "s_shown", F.col(key).isNotNull().alias("named"), *(f"s_{c}" for c in columns))
+    told = F.when(new, F.concat_ws(",", *(F.when(~F.coalesce(ok, no), name) for name, ok in rules(table).items())))
+    code = F.when(F.col("refused").isNotNull(), F.col("refused")).when(new & (F.col("again") | F.col("owned")), "DUPLICATE_KEY").when(told != "", F.concat(F.lit("VALIDATION_FAILED: "), told))
     same = F.lit(True)
     for c in columns:
         if c not in ("first_seen", "last_seen"):
-            same = same & (sorted_map(c).eqNullSafe(sorted_map(f"s_{c}")) if c in texts else F.col(c).eqNullSafe(F.col(f"s_{c}")))
-    status = F.when(~F.col("new"), "kept").when(~F.col("old"), "created").when(same, "unchanged").otherwise("updated")
+            # other locales' texts stay as they are
+            same = same & (F.col(c)[locale].eqNullSafe(F.col(f"s_{c}")[locale]) if c in texts else F.col(c).eqNullSafe(F.col(f"s_{c}")))
+    status = F.when(~new, "kept").when(~F.col("old"), "created").when(same, "unchanged").otherwise("updated")
     rows = rows.withColumn("code", code).withColumn("status", F.when(F.col("code").isNull(), status))
     back = [F.when(F.col("code").isNotNull(), F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) for c in columns]
     shown = [F.col(key).alias("shown_key"), F.col("restaurant").alias("shown_restaurant")]
+    seen = (F.col("code").isNull() & new & F.col("named")) | F.coalesce("s_shown", no)
     # a refused repetition must not bring its stored record a second time
-    return rows.select(*back, *shown, "status", "code", (F.col("old") & ~(F.col("again"))).alias("old"))
+    once = F.col("old") & ~F.col("again")
+    return rows.select(*back, *shown, "status", "code", once.alias("old"), seen.alias("seen"), (once & F.coalesce("s_active", no)).alias("was_active"))
 
 
-def kept(rows: DataFrame, table: str) -> DataFrame:
+def kept(rows: DataFrame, table: str, *more: str) -> DataFrame:
     """The records to be stored."""
-    return rows.where("code IS NULL OR old").select(*_columns(SCHEMAS[table]))
+    return rows.where("code IS NULL OR old").select(*_columns(SCHEMAS[table]), *more)
 
 
 class Conflict(Exception):
@@ -137,7 +162,7 @@ class MenuStore:
 
     def _rows(self, state: dict, table: str, buckets: set[int] | None = None) -> DataFrame:
         paths = sorted({p for b, found in state[table].items() if buckets is None or int(b) in buckets for p in found})
-        return self.spark.read.schema(SCHEMAS[table]).parquet(*(f"{self.path}/{p}" for p in paths)) if paths else self.spark.createDataFrame([], SCHEMAS[table])
+        return self.spark.read.schema(SCHEMAS[table]).parquet(*(f"{self.path}/{p}" for p in paths)) if paths else _none(self.spark, table)
 
     def read(self, table: str) -> DataFrame:
         return self._rows(self._state()[1], table)
@@ -168,48 +193,31 @@ class MenuStore:
             return self.spark.read.parquet(f"{self.path}/{folder}/{name}")
 
         touched = {r.b for r in restaurants.select(self._bucket().alias("b")).where("b IS NOT NULL").distinct().collect()}  # BUCKETS at most
-        stored = {t: self._rows(state, t, touched) for t in ("restaurants", "categories", "items")}
+        stored = {t: self._rows(state, t, touched) if any(state[t].get(str(b)) for b in touched) else None for t in ("restaurants", "categories", "items")}
         rows = {"restaurants": put(merged("restaurants", stored["restaurants"], restaurants, locale, at), "work-restaurants")}
         good = rows["restaurants"].where("code IS NULL AND status <> 'kept'").select("restaurant").distinct()
-        refused, weak = [], {}
         for t, came in (("categories", categories), ("items", items)):
-            unknown = came.join(good, "restaurant", "left_anti").select("restaurant", F.lit(t).alias("entity"), "source_key", F.lit("UNKNOWN_RESTAURANT").alias("code"))
-            strong = stronger_identities(came.join(good, "restaurant"), stored[t], "restaurant")
-            weak[t] = strong.where("NOT accepted").select("restaurant", F.lit(t).alias("entity"), "source_key", F.lit("IDENTITY_DOWNGRADE").alias("code"))
-            refused += [unknown, weak[t]]
-            rows[t] = put(merged(t, stored[t], strong.where("accepted").drop("accepted"), locale, at), f"work-{t}")
-        for t in rows:
-            refused.append(rows[t].where("code IS NOT NULL").select(F.col("shown_restaurant").alias("restaurant"), F.lit(t).alias("entity"), F.col("shown_key").alias("source_key"), "code"))
-        rejects = refused[0]
-        for x in refused[1:]:
-            rejects = rejects.union(x)
+            rows[t] = put(merged(t, stored[t], came, locale, at, good), f"work-{t}")
+        rejects = None
+        for t, df in rows.items():
+            refused = df.where("code IS NOT NULL").select(F.col("shown_restaurant").alias("restaurant"), F.lit(t).alias("entity"), F.col("shown_key").alias("source_key"), "code")
+            rejects = refused if rejects is None else rejects.union(refused)
         rejects = put(rejects, "rejects")
-        counts = self._counts(rows, rejects, good, pages)
-        previous = stored["items"].where("active").groupBy("restaurant").agg(F.count("*").alias("previous"))
-        downgraded = weak["categories"].union(weak["items"]).select("restaurant").distinct().withColumn("downgrade", F.lit(True))
-        judged = counts.join(previous, "restaurant", "left").join(downgraded, "restaurant", "left").join(pages.select("restaurant", "complete"), "restaurant", "left")
-        judged = judged.select("*", F.col("items_seen").alias("seen"), F.col("items_rejected").alias("rejected"), F.lit(deactivate).alias("allowed"))
-        judged = inactive_marking(judged.fillna({"previous": 0, "downgrade": False, "complete": False}))
-        decided = put(judged.select("restaurant", *counts.columns[1:], F.col("applied").alias("inactive_applied"), F.col("reasons").alias("inactive_reasons")), "work-decided")
-        gone = decided.where("inactive_applied").select("restaurant")
-        written = {"restaurants": kept(rows["restaurants"], "restaurants")}
-        lost = {}
-        for t, came in (("categories", categories), ("items", items)):
-            # everything on the page counts as seen, refused records too
-            seen = came.select("restaurant", "source_key").distinct().withColumn("seen", F.lit(True))
-            marked = kept(rows[t], t).join(seen, ["restaurant", "source_key"], "left").join(gone.withColumn("gone", F.lit(True)), "restaurant", "left")
-            out = F.col("active") & F.coalesce("gone", F.lit(False)) & F.col("seen").isNull()
-            marked = put(marked.withColumn("out", F.coalesce(out, F.lit(False))).withColumn("active", F.col("active") & ~F.col("out")).drop("seen", "gone"), f"work-marked-{t}")
-            lost[t] = marked.where("out").groupBy("restaurant").agg(F.count("*").alias(f"{t}_inactive"))
-            written[t] = marked.select(*_columns(SCHEMAS[t]))
-        run = decided.drop("categories_inactive", "items_inactive")
-        for t in lost:
-            run = run.join(lost[t], "restaurant", "left")
-        run = run.fillna(0, ["categories_inactive", "items_inactive"]).withColumns({"run_id": F.lit(run_id), "locale": F.lit(locale), "at": at})
-        written["runs"] = run.select(*(F.col(c.split()[0]).cast(c.split(maxsplit=1)[1]) for c in RUN.split(", ")))
+        judged = self._counts(rows, good, pages).withColumn("allowed", F.lit(deactivate))
+        judged = inactive_marking(judged.withColumnsRenamed({"items_seen": "seen", "items_rejected": "rejected"})).withColumnsRenamed({"seen": "items_seen", "rejected": "items_rejected", "applied": "inactive_applied", "reasons": "inactive_reasons"})
+        for t in ("categories", "items"):
+            judged = judged.withColumn(f"{t}_inactive", F.when(F.col("inactive_applied"), F.col(f"{t}_unseen")).otherwise(0))
+        run = judged.withColumns({"run_id": F.lit(run_id), "locale": F.lit(locale), "at": at})
+        decided = put(run.select(*(F.col(c.split()[0]).cast(c.split(maxsplit=1)[1]) for c in RUN.split(", "))), "work-decided")
+        gone = decided.where("inactive_applied").select("restaurant", F.lit(True).alias("gone"))
+        written = {"restaurants": kept(rows["restaurants"], "restaurants"), "runs": decided}
+        for t in ("categories", "items"):
+            marked = kept(rows[t], t, "seen").join(gone, "restaurant", "left")
+            written[t] = marked.withColumn("active", F.col("active") & (F.col("seen") | F.col("gone").isNull())).select(*_columns(SCHEMAS[t]))
         after = {t: dict(state[t]) for t in SCHEMAS}
         for t, df in written.items():
-            df.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/{folder}/{t}")
+            # a large bucket is written by several tasks
+            df.withColumn("bucket", self._bucket()).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.path}/{folder}/{t}")
             has = {int(n.removeprefix("bucket=")) for n in Folder(self.spark, f"{self.path}/{folder}/{t}").names() if n.startswith("bucket=")}
             for b in touched:
                 own = [f"{folder}/{t}/bucket={b}"] if b in has else []
@@ -227,11 +235,16 @@ class MenuStore:
         return out
 
     @staticmethod
-    def _counts(rows: dict, rejects: DataFrame, good: DataFrame, pages: DataFrame) -> DataFrame:
+    def _counts(rows: dict, good: DataFrame, pages: DataFrame) -> DataFrame:
+        """The counts of each good restaurant, with previous, categories_unseen and items_unseen (active records that its page lacks), downgrade and complete."""
         n = lambda test: F.sum(F.when(test, 1).otherwise(0))
-        out = good
+        fine, out = F.col("code").isNull(), good
         for t, df in rows.items():
-            out = out.join(df.where("code IS NULL").groupBy("restaurant").agg(*(n(F.col("status") == s).alias(f"{t}_{s}") for s in ("created", "updated", "unchanged"))), "restaurant", "left")
-        bad = rejects.groupBy("restaurant").agg(n(F.col("entity") == "categories").alias("categories_rejected"), n(F.col("entity") == "items").alias("bad_items"))
-        out = out.join(bad, "restaurant", "left").join(pages.select("restaurant", "items_seen", F.col("items_rejected").alias("unread")), "restaurant", "left").fillna(0)
-        return out.select("restaurant", *(F.col(c) if c in out.columns else F.lit(0).alias(c) for c in COUNTS if c != "items_rejected"), (F.col("bad_items") + F.col("unread")).alias("items_rejected"))
+            told = {f"{t}_{s}": n(fine & (F.col("status") == s)) for s in ("created", "updated", "unchanged")}
+            if t != "restaurants":
+                # everything on the page counts as seen, refused records too
+                told |= {f"{t}_bad": n(~fine), f"{t}_weak": n(F.col("code") == "IDENTITY_DOWNGRADE"), f"{t}_previous": n(F.col("was_active")), f"{t}_unseen": n((fine | F.col("old")) & F.col("active") & ~F.col("seen"))}
+            told = df.groupBy(F.col("shown_restaurant").alias("restaurant")).agg(*(x.alias(name) for name, x in told.items()))
+            out = out.join(told, "restaurant", "left")
+        out = out.join(pages.select("restaurant", "complete", "items_seen", F.col("items_rejected").alias("unread")), "restaurant", "left").fillna(0).fillna(False, ["complete"])
+        return out.withColumns({"categories_rejected": F.col("categories_bad"), "items_rejected": F.col("items_bad") + F.col("unread"), "previous": F.col("items_previous"), "downgrade": F.col("categories_weak") + F.col("items_weak") > 0})

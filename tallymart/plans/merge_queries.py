@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallymart.operators import backfill, batch_selection, bundle_merge, duplicate_listings
+from tallymart.operators.files import written
 from tallymart.operators.menu_store import MenuStore
 from tallymart.plans.catalog import register
 from tallymart.sources.tables import branches, table
@@ -97,7 +98,9 @@ def menu_writes(spark, sf):
     """suppliers' menus as of filled lines, then as of open ones: a third of the parts at another price, each 23rd without a name."""
     place = F.concat(F.lit("s"), c("s_suppkey"))
     s, none = table(spark, sf, "supplier"), lambda kind: F.lit(None).cast(kind)
-    lines = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_linestatus").distinct().join(table(spark, sf, "part"), c("l_partkey") == c("p_partkey"))
+    # dealt by part once, for the distinct lines and their parts; written, as both menus and their counts are read from it
+    lines = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_linestatus").repartition("l_partkey").distinct()
+    lines = written(lines.join(table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_retailprice"), c("l_partkey") == c("p_partkey")))
     restaurants = s.select(place.alias("restaurant"), F.lit("d").alias("platform"), none("string").alias("platform_id"), c("s_name").alias("name"), none("string").alias("url"), F.lit("AED").alias("currency"), none("double").alias("lat"), none("double").alias("lng"))
     categories = s.select(place.alias("restaurant"), F.lit("all").alias("source_key"), F.lit("anchor").alias("kind"), none("string").alias("platform_id"), F.lit("All").alias("name"), F.lit(0).alias("sort_order"))
     store = MenuStore(spark, f"{bundle_merge.shared_folder(spark)}/menus", buckets=8)
