@@ -27,7 +27,8 @@ shown AS (SELECT * FROM judged WHERE problem IS NULL) """
 
 def pages(spark, sf):
     s, p = c("l_suppkey"), c("l_partkey")
-    sold = table(spark, sf, "lineitem").select(s, p).distinct().join(table(spark, sf, "part"), c("l_partkey") == c("p_partkey"))
+    # dealt by part once, for the distinct lines and their parts, and by supplier once, as plain columns
+    sold = table(spark, sf, "lineitem").select(s, p).repartition(p).distinct().join(table(spark, sf, "part"), c("l_partkey") == c("p_partkey")).repartition(s)
     code = F.when(s % 2 == 0, "AED").otherwise("KWD")
     money = lambda x, of=code: F.struct(x.cast("long").alias("fractional"), of.alias("code"))
     name = F.when(p % 17 == 0, "  ").otherwise(F.concat(F.lit(" "), F.replace(c("p_name"), F.lit(" "), F.lit("  "))))
@@ -40,11 +41,11 @@ def pages(spark, sf):
     option = F.struct(p.cast("string").alias("id"), name.alias("name"), money(c("p_size") * 50).alias("price"))
     options = sold.where("p_size <= 3").groupBy(s, "p_type").agg(F.sort_array(F.collect_list(F.struct(p.alias("k"), option.alias("o")))).alias("o"))
     groups = options.groupBy(s).agg(F.sort_array(F.collect_list(F.struct(c("p_type").alias("id"), c("p_type").alias("name"), F.lit(1).alias("minSelection"), c("o.o").alias("modifierOptions")))).alias("modifierGroups"))
-    brands = sold.where("p_size > 3").groupBy(s).agg(F.array_sort(F.collect_set("p_brand")).alias("brands"))
-    items = sold.groupBy(s).agg(F.sort_array(F.collect_list(F.struct(p.alias("k"), item.alias("i")))).alias("i"))
+    brands = F.array_sort(F.collect_set(F.when(c("p_size") > 3, c("p_brand"))))
+    items = sold.groupBy(s).agg(F.sort_array(F.collect_list(F.struct(p.alias("k"), item.alias("i")))).alias("i"), F.when(F.count_if(c("p_size") > 3) > 0, brands).alias("brands"))
     place = branches(spark, sf, "supplier", "s").select(c("id").alias("s_suppkey"), "lat", "lng")
     rows = table(spark, sf, "supplier").join(place, "s_suppkey").join(table(spark, sf, "nation"), c("s_nationkey") == c("n_nationkey"))
-    for part in (items, brands, groups):
+    for part in (items, groups):
         rows = rows.join(part, c("s_suppkey") == c("l_suppkey"), "left").drop("l_suppkey")
     k = c("s_suppkey")
     line = lambda *texts: F.struct(F.array(*(F.struct(F.lit("UISpanText").alias("typeName"), t.alias("text")) for t in texts)).alias("spans"))

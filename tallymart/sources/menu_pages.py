@@ -8,6 +8,7 @@ state gives a warning and no rows; the rendered page is not read instead.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,9 +17,12 @@ from pyspark.sql import functions as F
 from tallymart.functions.item_text import BIDI, THREE_PLACES, money, number_text
 from tallymart.operators.files import written
 
-STATE = '(?is)<script[^>]*\\bid="__NEXT_DATA__"[^>]*>(.*?)</script>'
+STATE_TAG = '(?is)<script[^>]*\\bid="__NEXT_DATA__"[^>]*>'
+STATE = f"{STATE_TAG}(.*?)</script>"
+#: Texts that are not clean: marks of direction, white space at an end, in a row or other than a blank.
+ODD = f"{BIDI}|[\\t\\n\\x0B\\f\\r]|  |^ | $"
 #: Where the state has what, the separator of header texts and what they look like, by language.
-MENU = "$.props.initialState.menuPage.menu"
+MENU, ROOT = "$.props.initialState.menuPage.menu", "$.metas.root"
 MAP_LAYOUT = "layout-list-map"
 SEPARATOR = "·"
 RATING_COUNT, RATING = "^\\((\\d[\\d,]*)(\\+)?\\)$", "^(\\d(?:[.,]\\d+)?)(?:\\s|$)"
@@ -29,14 +33,38 @@ HEADER = {
 LIST, TEXTS = "array<variant>", "array<string>"
 
 
+NUMBERS = ("BIGINT", "DOUBLE", "FLOAT")
+
+
 def kind(v: Column, path: str) -> Column:
-    """Type of what stands at the path; null if nothing does."""
-    return F.regexp_extract(F.schema_of_variant(F.try_variant_get(v, path, "variant")), "^[A-Z]+", 0)
+    """Type of what stands at the path, in full; null if nothing does. For values, not for large objects, whose types are long."""
+    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+
+
+def _is_number(of: Column) -> Column:
+    return of.isin(*NUMBERS) | F.startswith(of, F.lit("DECIMAL"))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of the value, which is worked out once, however often it is used. It also keeps Spark from fusing all columns of a
+    row into one method, which could be larger than the JVM compiles."""
+    return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
 
 
 def clean(text: Column) -> Column:
     """Without marks of direction, white space folded; null if nothing is left."""
-    return F.nullif(F.trim(F.regexp_replace(F.regexp_replace(text, BIDI, ""), "\\s+", " ")), F.lit(""))
+    folded = lambda t: F.trim(F.regexp_replace(F.regexp_replace(t, BIDI, ""), "\\s+", " "))
+    return bound(text, lambda t: F.when(t.rlike(ODD), bound(folded(t), lambda s: F.nullif(s, F.lit("")))).otherwise(F.nullif(t, F.lit(""))))
+
+
+def state_text(html: Column) -> Column:
+    """What STATE finds in a page, or an empty text, at the speed of a search for plain text where no other end tag is inside."""
+
+    def after(rest: Column) -> Column:
+        return bound(F.substring_index(rest, "</script>", 1), lambda t: F.when(F.contains(rest, F.lit("</script>")) & ~F.contains(t, F.lit("</")), t).otherwise(F.regexp_extract(html, STATE, 1)))
+
+    found = lambda tag: F.when(tag == "", "").otherwise(bound(F.substr(html, F.instr(html, tag) + F.length(tag)), after))
+    return bound(F.regexp_extract(html, STATE_TAG, 0), found)
 
 
 def text_at(v: Column, path: str) -> Column:
@@ -44,7 +72,7 @@ def text_at(v: Column, path: str) -> Column:
 
 
 def number_at(v: Column, path: str) -> Column:
-    return F.when(kind(v, path).isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), F.try_variant_get(v, path, "double"))
+    return F.when(_is_number(kind(v, path)), F.try_variant_get(v, path, "double"))
 
 
 def whole_at(v: Column, path: str) -> Column:
@@ -58,8 +86,9 @@ def flag_at(v: Column, path: str) -> Column:
 
 def id_at(v: Column, path: str) -> Column:
     """A number, or a text without white space inside; of a page's numbers only whole ones are expected."""
-    text = F.regexp_replace(F.try_variant_get(v, path, "string"), "^\\s+|\\s+$", "")
-    return F.when(kind(v, path).isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT") | ((kind(v, path) == "STRING") & ~text.rlike("^$|\\s")), text)
+    of, text = kind(v, path), F.try_variant_get(v, path, "string")
+    bare = F.regexp_replace(text, "^\\s+|\\s+$", "")
+    return F.when(_is_number(of) | ((of == "STRING") & text.rlike("^\\S+\\z")), text).when((of == "STRING") & ~bare.rlike("^$|\\s"), bare)
 
 
 def ids_at(v: Column, path: str) -> Column:
@@ -76,14 +105,12 @@ def money_at(v: Column, path: str) -> Column:
 
 def image_url(template: Column) -> Column:
     """An address without its query; null if it is not of the web."""
-    base = F.regexp_extract(template, "^([^?]*)", 1)
-    return F.when(base.rlike("(?i)^https?://[^/\\s]+"), base)
+    return bound(F.substring_index(template, "?", 1), lambda base: F.when(base.rlike("(?i)^https?://[^/\\s]+"), base))
 
 
 def image_anchor(url: Column) -> Column:
     """The address's path: the same picture in every language."""
-    path = F.regexp_extract(url, "^(?i)https?://[^/]+/+(.*)$", 1)
-    return F.when((path != "") & ~path.rlike("\\s"), path)
+    return bound(F.regexp_extract(url, "^(?i)https?://[^/]+/+(.*)$", 1), lambda path: F.when((path != "") & ~path.rlike("\\s"), path))
 
 
 def _warning(scope: str, code: str, field, at=None, message=None) -> Column:
@@ -92,18 +119,21 @@ def _warning(scope: str, code: str, field, at=None, message=None) -> Column:
 
 
 class MenuPages:
-    """Tables of pages (key, html, locale: en or ar). The states of the pages and the tables that others are made of are written
-    to the shared folder, so a page is made and searched once, and its state is parsed once for each table that is asked for.
-    Tables meet by sorted joins: their files are small next to their rows."""
+    """Tables of pages (key, html, locale: en or ar). The menus of the pages are written to the shared folder as VARIANT, so a page is
+    made, searched and parsed once, and a table that is asked for takes from them what its columns need and no more. Tables meet by
+    sorted joins: their files are small next to their rows. Items meet categories and options in the rows of their page, which are
+    dealt once."""
 
     def __init__(self, pages: DataFrame, key: str = "page_id", html: str = "html", locale: str = "locale"):
         self.key = key
         lang = F.lower(F.regexp_extract(html, "(?is)<html[^>]*\\blang=[\"']?([A-Za-z]+)", 1))
         link = F.regexp_extract(html, "(?is)<link(?=[^>]*rel=[\"']?canonical)[^>]*href=[\"']([^\"']*)", 1)
-        rows = pages.select(key, F.col(locale).alias("locale"), F.nullif(lang, F.lit("")).alias("lang"), F.nullif(link, F.lit("")).alias("url"), F.nullif(clean(F.regexp_replace(F.regexp_extract(html, "(?is)<h1[^>]*>(.*?)</h1>", 1), "<[^>]*>", "")), F.lit("")).alias("h1"), F.regexp_extract(html, STATE, 1).alias("state"))
-        listed = F.try_variant_get(F.try_parse_json("state"), f"{MENU}.metas.root.items", LIST)
-        self.pages = written(rows.withColumn("has_menu", listed.isNotNull()))
-        self.menus = self.pages.where("has_menu").withColumn("v", F.try_parse_json("state")).withColumn("root", F.try_variant_get("v", f"{MENU}.metas.root", "variant"))
+        state = F.try_parse_json(state_text(F.col(html)))
+        rows = pages.select(key, F.col(locale).alias("locale"), F.nullif(lang, F.lit("")).alias("lang"), F.nullif(link, F.lit("")).alias("url"), F.nullif(clean(F.regexp_replace(F.regexp_extract(html, "(?is)<h1[^>]*>(.*?)</h1>", 1), "<[^>]*>", "")), F.lit("")).alias("h1"), F.try_variant_get(state, MENU, "variant").alias("v"))
+        items = lambda at: F.try_variant_get("v", f"{ROOT}.items{at}", "variant")
+        listed = items("[0]").isNotNull() | F.startswith(F.schema_of_variant(items("")), F.lit("ARRAY"))  # an empty list has no first item
+        self.pages = written(rows.withColumn("has_menu", F.coalesce(listed, F.lit(False))), shredded=False)
+        self.menus = self.pages.where("has_menu")
 
     def _beside(self, rows: DataFrame, other: DataFrame, *by: str) -> DataFrame:
         return rows.join(other.hint("merge"), [self.key, *by], "left")
@@ -116,7 +146,7 @@ class MenuPages:
         """cuisines, rating and the like, from lines of texts: a line with an amount or a count of ratings informs, others name cuisines."""
         spans = lambda line: F.coalesce(F.try_variant_get(line, "$.spans", LIST), F.array().cast(LIST))
         shown = lambda line: F.filter(F.array_compact(F.transform(spans(line), lambda s: F.when(F.try_variant_get(s, "$.typeName", "string") == "UISpanText", text_at(s, "$.text")))), lambda t: t != SEPARATOR)
-        lines = self.menus.select(self.key, "locale", F.transform(F.try_variant_get("v", f"{MENU}.header.headerTags.lines", LIST), shown).alias("lines"))
+        lines = self.menus.select(self.key, "locale", F.transform(F.try_variant_get("v", "$.header.headerTags.lines", LIST), shown).alias("lines"))
         informs = lambda ts: F.exists(ts, lambda t: t.rlike(RATING_COUNT) | money(t).isNotNull())
         paired = lambda ts: F.transform(ts, lambda t, i: F.struct(t.alias("text"), F.when(i > 0, F.get(ts, i - 1)).alias("before"), money(t).amount.alias("amount"), t.rlike(RATING_COUNT).alias("count")))
         split = lines.select(self.key, "locale", F.flatten(F.filter("lines", lambda ts: ~informs(ts))).alias("cuisines"), F.flatten(F.transform(F.filter("lines", informs), paired)).alias("told"))
@@ -132,7 +162,7 @@ class MenuPages:
     @cached_property
     def _pins(self) -> DataFrame:
         """n_pins, n_bad, places (distinct good ones) of the map in the page's information; the customer's own place is no source."""
-        groups = self._level(self.menus, "v", f"{MENU}.layoutGroups", out="g")
+        groups = self._level(self.menus, "v", "$.layoutGroups", out="g")
         layouts = self._level(groups, "g", "$.layouts", out="l").where(F.try_variant_get("l", "$.actionId", "string") == MAP_LAYOUT)
         pins = self._level(self._level(layouts, "l", "$.blocks", out="b"), "b", "$.map.pins", out="p")
         lat, lng = number_at(F.col("p"), "$.lat"), number_at(F.col("p"), "$.lon")
@@ -143,7 +173,7 @@ class MenuPages:
     @cached_property
     def _placed(self) -> DataFrame:
         """The restaurant's own place and what is wrong with it."""
-        rows = self.menus.select(self.key, number_at(F.col("root"), "$.customerLocation.lat").alias("c_lat"), number_at(F.col("root"), "$.customerLocation.lon").alias("c_lng"))
+        rows = self.menus.select(self.key, number_at(F.col("v"), f"{ROOT}.customerLocation.lat").alias("c_lat"), number_at(F.col("v"), f"{ROOT}.customerLocation.lon").alias("c_lng"))
         rows = self._beside(rows, self._pins)
         one = F.get("places", F.lit(0))
         n = F.coalesce(F.size("places"), F.lit(0))
@@ -153,23 +183,27 @@ class MenuPages:
         return written(rows.select(self.key, F.when(fine, one["lat"]).alias("lat"), F.when(fine, one["lng"]).alias("lng"), problem.alias("pin_problem"), F.coalesce("n_bad", F.lit(0)).alias("n_bad")))
 
     @cached_property
-    def restaurants(self) -> DataFrame:
-        r = F.col("root")
-        at = lambda path: f"$.restaurant.{path}"
+    def _named(self) -> DataFrame:
+        """What the state says about the restaurant itself."""
+        r = F.col("v")
+        at = lambda path: f"{ROOT}.restaurant.{path}"
         code = F.try_variant_get(r, at("currencyCode"), "string")
-        image = image_url(text_at(F.col("v"), f"{MENU}.header.image.url"))
-        rows = self.menus.select(
+        image = image_url(text_at(r, "$.header.image.url"))
+        return self.menus.select(
             self.key, id_at(r, at("id")).alias("restaurant_id"), id_at(r, at("drnId")).alias("drn_id"), id_at(r, at("uname")).alias("slug"), F.coalesce(text_at(r, at("name")), "h1").alias("name"), "url",
             F.when(code.rlike("^[A-Z]{3}$"), code).alias("currency"), image.alias("image_url"), image_anchor(image).alias("image_anchor"),
             *(text_at(r, at(f"location.address.{a}")).alias(b) for a, b in (("address1", "address"), ("neighborhood", "area"), ("city", "city"), ("country", "country"))),
             whole_at(r, at("location.cityId")).alias("city_id"), whole_at(r, at("location.zoneId")).alias("zone_id"), flag_at(r, at("menuDisabled")).alias("menu_disabled"),
         )
-        return self._beside(self._beside(rows, self._header), self._placed.select(self.key, "lat", "lng"))
+
+    @cached_property
+    def restaurants(self) -> DataFrame:
+        return self._beside(self._beside(self._named, self._header), self._placed.select(self.key, "lat", "lng"))
 
     @cached_property
     def _categories(self) -> DataFrame:
-        rows = self._level(self.menus, "root", "$.categories")
-        return written(rows.select(self.key, "at", id_at(F.col("v"), "$.id").alias("category_id"), text_at(F.col("v"), "$.name").alias("name")))
+        rows = self._level(self.menus, "v", f"{ROOT}.categories")
+        return rows.select(self.key, "at", id_at(F.col("v"), "$.id").alias("category_id"), text_at(F.col("v"), "$.name").alias("name"))
 
     @cached_property
     def categories(self) -> DataFrame:
@@ -179,7 +213,7 @@ class MenuPages:
 
     @cached_property
     def _groups(self) -> DataFrame:
-        rows = self._level(self.menus, "root", "$.modifierGroups")
+        rows = self._level(self.menus, "v", f"{ROOT}.modifierGroups")
         v = F.col("v")
         return rows.select(self.key, "at", id_at(v, "$.id").alias("group_id"), id_at(v, "$.drnId").alias("drn_id"), text_at(v, "$.name").alias("name"), whole_at(v, "$.minSelection").alias("min_selections"), whole_at(v, "$.maxSelection").alias("max_selections"), flag_at(v, "$.multiselect").alias("multiselect"), "v")
 
@@ -204,27 +238,30 @@ class MenuPages:
     @cached_property
     def options(self) -> DataFrame:
         """Options with a name, of the groups that count."""
-        return written(self._options(self._last_groups).where("name IS NOT NULL"))
+        return self._options(self._last_groups).where("name IS NOT NULL")
 
     @cached_property
     def _items(self) -> DataFrame:
         """All items with what they refer to: category_index, and hidden if an item stands for an option alone."""
-        rows = self._level(self.menus, "root", "$.items", at="source_index")
-        v = F.col("v")
-        list_price, cut = money_at(v, "$.price"), money_at(v, "$.priceDiscounted")
-        image = image_url(text_at(v, "$.image.url"))
+        rows = self._level(self.menus, "v", f"{ROOT}.items", at="source_index")
+        v, c = F.col("v"), F.col
+        cut = F.try_variant_get(v, "$.priceDiscounted", "variant")
         rows = rows.select(
-            self.key, "source_index", F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")).alias("is_object"), id_at(v, "$.id").alias("item_id"), id_at(v, "$.drnId").alias("drn_id"), id_at(v, "$.categoryId").alias("category_id"), text_at(v, "$.name").alias("name"), text_at(v, "$.description").alias("description"),
-            list_price.alias("listed"), cut.alias("cut"), F.coalesce(kind(v, "$.priceDiscounted") != "VOID", F.lit(False)).alias("has_cut"), image.alias("image_url"), image_anchor(image).alias("image_anchor"),
+            self.key, "source_index", F.try_variant_get(v, "$", "struct<>").isNotNull().alias("is_object"), id_at(v, "$.id").alias("item_id"), id_at(v, "$.drnId").alias("drn_id"), id_at(v, "$.categoryId").alias("category_id"), text_at(v, "$.name").alias("name"), text_at(v, "$.description").alias("description"),
+            money_at(v, "$.price").alias("listed"), money_at(v, "$.priceDiscounted").alias("cut"), (cut.isNotNull() & ~F.is_variant_null(cut)).alias("has_cut"), image_url(text_at(v, "$.image.url")).alias("image_url"),
             flag_at(v, "$.available").alias("available"), flag_at(v, "$.popular").alias("popular"), ids_at(v, "$.modifierGroupIds").alias("modifier_group_ids"),
         )
-        # of categories with equal ids the last counts
-        known = self.categories.groupBy(self.key, "category_id").agg(F.max("sort_order").alias("category_index"), F.max_by("name", "sort_order").alias("category_name"))
-        chosen = self.options.where("option_id IS NOT NULL").select(self.key, F.col("option_id").alias("item_id"), F.lit(True).alias("is_option")).distinct()
-        rows = self._beside(self._beside(rows, known, "category_id"), chosen, "item_id")
-        hidden = F.col("category_index").isNull() & F.coalesce("is_option", F.lit(False))
-        problem = F.when(~F.col("is_object"), "INVALID_ITEM").when(hidden, "HIDDEN_OPTION").when(F.col("name").isNull(), "MISSING_NAME").when(F.col("listed").isNull(), "INVALID_PRICE")
-        return written(rows.withColumn("problem", problem))
+        rows = rows.withColumn("image_anchor", image_anchor(c("image_url")))
+        # a page's items, categories and options stand together: of categories with equal ids the last counts
+        known = self.categories.select(self.key, "category_id", F.struct("sort_order", "name").alias("_category"))
+        chosen = self.options.where("option_id IS NOT NULL").select(self.key, c("option_id").alias("item_id"), F.lit(True).alias("_option"))
+        every = rows.unionByName(known, allowMissingColumns=True).unionByName(chosen, allowMissingColumns=True).repartition(self.key)
+        of = lambda x, by: F.max(x).over(Window.partitionBy(self.key, by))
+        every = every.withColumn("_category", of("_category", "category_id")).withColumn("_option", of("_option", "item_id")).where("source_index IS NOT NULL")
+        rows = every.select("*", c("_category.sort_order").alias("category_index"), c("_category.name").alias("category_name"))
+        hidden = c("category_index").isNull() & F.coalesce("_option", F.lit(False))
+        problem = F.when(~c("is_object"), "INVALID_ITEM").when(hidden, "HIDDEN_OPTION").when(c("name").isNull(), "MISSING_NAME").when(c("listed").isNull(), "INVALID_PRICE")
+        return rows.withColumn("problem", problem).drop("_category", "_option")
 
     @cached_property
     def items(self) -> DataFrame:
@@ -260,9 +297,20 @@ class MenuPages:
 
         w, c = _warning, F.col
         code = lambda test, *what: F.when(test, w(*what))
-        names = self.restaurants.select(self.key, "restaurant_id", "name")
-        every = self._beside(self.pages.select(self.key, "has_menu", "lang", "locale"), names)
-        parsed = self.stats.select(self.key, "items_parsed")
+        every = self._beside(self.pages.select(self.key, "has_menu", "lang", "locale"), self._named.select(self.key, "restaurant_id", "name"))
+        price = c("has_cut") & ~F.coalesce(c("cut.currency") == c("listed.currency"), F.lit(False))
+        # what the warnings need of the items, whose tables are long
+        items = written(self._items.select(
+            self.key, "source_index", "problem", F.when(c("problem").isNull(), price).alias("odd_cut"), F.when(c("problem").isNull() & c("category_index").isNull(), c("category_id")).alias("unknown"), F.when(c("problem").isNull(), c("modifier_group_ids")).alias("named"),
+        ))
+        parsed = items.groupBy(self.key).agg(F.count_if(c("problem").isNull()).alias("items_parsed"))
+        at = c("source_index")
+        of_item = [
+            code(c("problem") == "INVALID_ITEM", "item", "INVALID_ITEM", "item", at), code(c("problem") == "MISSING_NAME", "item", "MISSING_NAME", "name", at), code(c("problem") == "INVALID_PRICE", "item", "INVALID_PRICE", "price", at),
+            code(c("odd_cut"), "item", "INVALID_DISCOUNT_PRICE", "priceDiscounted", at), code(c("unknown").isNotNull(), "item", "UNKNOWN_CATEGORY", "categoryId", at, c("unknown")),
+        ]
+        named = items.select(self.key, "source_index", F.explode("named").alias("group_id"))
+        missing = named.join(self.modifier_groups.select(self.key, "group_id").hint("merge"), [self.key, "group_id"], "left_anti")
         parts = [
             told(every, code(~c("has_menu"), "page", "NEXT_DATA_UNAVAILABLE", None)),
             told(every, code(c("lang").isin(*HEADER) & (c("lang") != c("locale")), "page", "LOCALE_MISMATCH", "html[lang]", None, c("lang"))),
@@ -275,12 +323,8 @@ class MenuPages:
             told(self._categories, code(c("category_id").isNull() | c("name").isNull(), "category", "INVALID_CATEGORY", F.when(c("category_id").isNull(), "id").otherwise("name"), c("at"))),
             told(self._groups, code(c("group_id").isNull() | c("name").isNull(), "page", "INVALID_MODIFIER_GROUP", "modifierGroups", c("at"))),
             told(self._options(self._groups.where("group_id IS NOT NULL AND name IS NOT NULL")), code(c("name").isNull(), "page", "INVALID_MODIFIER_OPTION", F.concat(F.lit("modifierGroups."), "group_id"), c("position"))),
-            told(self._items.where("problem = 'INVALID_ITEM'"), w("item", "INVALID_ITEM", "item", c("source_index"))),
-            told(self._items.where("problem = 'MISSING_NAME'"), w("item", "MISSING_NAME", "name", c("source_index"))),
-            told(self._items.where("problem = 'INVALID_PRICE'"), w("item", "INVALID_PRICE", "price", c("source_index"))),
-            told(self._items.where("problem IS NULL"), code(c("has_cut") & ~F.coalesce(c("cut.currency") == c("listed.currency"), F.lit(False)), "item", "INVALID_DISCOUNT_PRICE", "priceDiscounted", c("source_index"))),
-            told(self._items.where("problem IS NULL"), code(c("category_id").isNotNull() & c("category_index").isNull(), "item", "UNKNOWN_CATEGORY", "categoryId", c("source_index"), c("category_id"))),
-            told(self.item_modifiers, code(~c("known"), "item", "MISSING_MODIFIER_GROUP", "modifierGroupIds", c("source_index"), c("group_id"))),
+            told(items.select("*", F.explode(F.array_compact(F.array(*of_item))).alias("_w")), c("_w")),
+            told(missing, w("item", "MISSING_MODIFIER_GROUP", "modifierGroupIds", at, c("group_id"))),
         ]
         out = parts[0]
         for p in parts[1:]:
