@@ -12,6 +12,7 @@ alphabetical order, as VARIANT keeps no other. A document that is null or no obj
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -56,55 +57,135 @@ TOKEN_PROBLEMS = {
 # values
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+class Facts:
+    """What rules ask of a document column, as columns in stages that build on one another: each is worked out once for a document, outside
+    of lambdas, which Spark interprets. What is inside lists is not here, but worked out where a list's elements are."""
+
+    def __init__(self, documents: DataFrame, doc: str):
+        self.doc, self._taken, self.stages, self._names = F.col(doc), set(documents.columns), [{}, {}, {}, {}], {}
+
+    def put(self, stage: int, what: str, column: Callable[[], Column]) -> Column:
+        name = self._names.get(what)
+        if name is None:
+            n = len(self._names)
+            while f"_fact_{n}" in self._taken:
+                n += len(self._names) + 1
+            name = self._names[what] = f"_fact_{n}"
+            self._taken.add(name)
+            self.stages[stage][name] = column()
+        found = F.col(name)
+        found.is_fact = True
+        return found
+
+    def on(self, documents: DataFrame, out: str, found: Column) -> DataFrame:
+        # a lambda in each stage: else Spark fuses the stages into one method that is larger than the JVM compiles (8,000 bytes)
+        for stage in self.stages:
+            first = next(iter(stage), None)
+            documents = documents.withColumns(stage | {first: bound(stage[first], lambda x: x)}) if stage else documents
+        return documents.withColumn(out, found).drop(*self._names.values())
+
+
+class Fact:
+    """The value at a path of the documents; in place of a VARIANT column in the functions below."""
+
+    def __init__(self, facts: Facts, path: str = ""):
+        self.facts, self.path = facts, path
+
+    def at(self, path: str) -> Fact:
+        return Fact(self.facts, f"{self.path}.{path}" if self.path else path)
+
+    def _put(self, stage: int, what: str, column: Callable[[], Column]) -> Column:
+        return self.facts.put(stage, f"{what} {self.path}", column)
+
+    def variant(self) -> Column:
+        return self._put(0, "variant", lambda: F.try_variant_get(self.facts.doc, f"$.{self.path}", "variant")) if self.path else self.facts.doc
+
+    def kind(self) -> Column:
+        return self._put(1, "kind", lambda: F.schema_of_variant(self.variant()))
+
+    def cast(self, kind: str) -> Column:
+        return self._put(1, kind, lambda: F.try_variant_get(self.variant(), "$", kind))
+
+    def derived(self, stage: int, what: str, column: Callable[[Fact], Column]) -> Column:
+        return self._put(stage, what, lambda: column(self))
+
+
+def bound(value: Column | Fact, use: Callable[[Column], Column]) -> Column:
     """What `use` makes of the value, which is computed once, however often it is used."""
+    if isinstance(value, Fact) or "is_fact" in vars(value):
+        return use(value)
     return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
 
 
-def get(doc: Column, path: str) -> Column:
-    return F.try_variant_get(doc, f"$.{path}", "variant")
+def variant(value: Column | Fact) -> Column:
+    return value.variant() if isinstance(value, Fact) else value
+
 
+def get(doc: Column | Fact, path: str) -> Column | Fact:
+    return doc.at(path) if isinstance(doc, Fact) else F.try_variant_get(doc, f"$.{path}", "variant")
 
-def missing(value: Column) -> Column:
-    return value.isNull()
 
+def missing(value: Column | Fact) -> Column:
+    return variant(value).isNull()
 
-def _is(value: Column, *kinds: str) -> Column:
-    """Whether the value is an OBJECT, ARRAY, STRING, ...; a JSON null is VOID. Never null."""
+
+def _is(value: Column | Fact, *kinds: str) -> Column:
+    """Whether the value is an ARRAY, STRING, ...; a JSON null is VOID. Never null."""
+    if isinstance(value, Fact):
+        return F.coalesce(reduce(Column.__or__, (F.startswith(value.kind(), F.lit(k)) for k in kinds)), F.lit(False))
     return F.coalesce(F.schema_of_variant(value).rlike(f"^(?:{'|'.join(kinds)})"), F.lit(False))
 
 
-def is_text(value: Column) -> Column:
+def is_text(value: Column | Fact) -> Column:
     return _is(value, "STRING")
 
 
-def is_number(value: Column) -> Column:
+def is_number(value: Column | Fact) -> Column:
     return _is(value, "BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
 
 
-def is_object(value: Column) -> Column:
-    return _is(value, "OBJECT")
+def is_object(value: Column | Fact) -> Column:
+    """Without its type in full, which names all its fields."""
+    return (value.cast("struct<>") if isinstance(value, Fact) else F.try_variant_get(value, "$", "struct<>")).isNotNull()
+
+
+def is_list(value: Column | Fact) -> Column:
+    return value.cast("array<variant>").isNotNull() if isinstance(value, Fact) else _is(value, "ARRAY")
 
 
-def text(value: Column) -> Column:
+def _derived(stage: int, what: str):
+    """Decorator: of a Fact, the function's column is one of the stage."""
+
+    def put(fn):
+        return lambda value: value.derived(stage, what, fn) if isinstance(value, Fact) else fn(value)
+
+    return put
+
+
+@_derived(2, "text")
+def text(value: Column | Fact) -> Column:
     """The text of a value that is one, else null."""
-    return F.when(is_text(value), F.try_variant_get(value, "$", "string"))
+    return F.when(is_text(value), F.try_variant_get(variant(value), "$", "string"))
 
 
-def number(value: Column) -> Column:
-    return F.when(is_number(value), F.try_variant_get(value, "$", "double"))
+@_derived(2, "number")
+def number(value: Column | Fact) -> Column:
+    return F.when(is_number(value), F.try_variant_get(variant(value), "$", "double"))
 
 
-def flag(value: Column) -> Column:
-    return F.when(_is(value, "BOOLEAN"), F.try_variant_get(value, "$", "boolean"))
+@_derived(2, "flag")
+def flag(value: Column | Fact) -> Column:
+    return F.when(_is(value, "BOOLEAN"), F.try_variant_get(variant(value), "$", "boolean"))
 
 
-def moment(value: Column) -> Column:
+@_derived(3, "moment")
+def moment(value: Column | Fact) -> Column:
     iso = bound(text(value), lambda t: F.when(t.rlike("^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}"), t.try_cast("timestamp")))
-    return F.when(_is(value, "TIMESTAMP", "DATE"), F.try_variant_get(value, "$", "timestamp")).otherwise(iso)
+    return F.when(_is(value, "TIMESTAMP", "DATE"), F.try_variant_get(variant(value), "$", "timestamp")).otherwise(iso)
 
 
-def object_id(value: Column) -> Column:
+@_derived(3, "object id")
+def object_id(value: Column | Fact) -> Column:
     return bound(text(value), lambda t: F.when(t.rlike("(?i)^[0-9a-f]{24}$"), F.lower(t)))
 
 
@@ -131,11 +212,11 @@ def under(path: Column | None, name: str) -> Column:
 
 
 def elements(value: Column) -> Column:
-    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
+    return F.coalesce(value.cast("array<variant>") if isinstance(value, Fact) else F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
 
 
 def keys(value: Column) -> Column:
-    return F.coalesce(F.array_sort(F.json_object_keys(F.to_json(value))), F.array().cast("array<string>"))
+    return F.coalesce(F.array_sort(F.json_object_keys(F.to_json(variant(value)))), F.array().cast("array<string>"))
 
 
 def must(test: Callable[[Column], Column], message: str) -> Check:
@@ -240,12 +321,12 @@ def per_locale(check: Check) -> Check:
 
 def texts(x: Column, p: Column) -> Column:
     each = F.flatten(F.transform(elements(x), lambda e, i: plain(200)(e, F.concat(p, F.lit("["), i, F.lit("]")))))
-    return F.when(_is(x, "ARRAY"), each).otherwise(issue(F.lit(True), p, "must be an array of strings"))
+    return F.when(is_list(x), each).otherwise(issue(F.lit(True), p, "must be an array of strings"))
 
 
 def list_of(test: Callable[[Column], Column], message: str) -> Check:
     """One issue for the list, whatever the number of elements that fail."""
-    return must(lambda x: _is(x, "ARRAY") & F.forall(elements(x), lambda e: F.coalesce(test(e), F.lit(False))), message)
+    return must(lambda x: is_list(x) & F.forall(elements(x), lambda e: F.coalesce(test(e), F.lit(False))), message)
 
 
 words = list_of(lambda e: text(e) != "", "must be an array of non-empty strings")
@@ -303,7 +384,7 @@ class Each(NamedTuple):
             q = F.concat(p, F.lit("["), i, F.lit("]"))
             return F.when(is_object(e), issues_of(e, self.rules, q)).otherwise(issue(F.lit(True), q, "must be an object"))
 
-        bad = ~_is(x, "ARRAY") if self.may_be_empty else ~_is(x, "ARRAY") | (F.size(elements(x)) == 0)
+        bad = ~is_list(x) if self.may_be_empty else ~is_list(x) | (F.size(elements(x)) == 0)
         found = F.when(bad, issue(F.lit(True), p, self.wrong)).otherwise(F.flatten(F.transform(elements(x), one)))
         return F.when(missing(x), F.array().cast(ISSUES)).otherwise(found) if self.may_miss else found
 
@@ -495,7 +576,7 @@ RUN = (
     When(lambda d: ~says(get(d, "status"), "running"), (Field("finishedAt", required(date)), Given("finishedAt", "must not be earlier than startedAt", lambda d: moment(get(d, "finishedAt")) < moment(get(d, "startedAt"))))),
     Field("durationMs", optional(amount(0, whole=True))), Inside("counts", tuple(Field(f, required(amount(0, whole=True))) for f in COUNTS)),
     Given("errors", f"must contain at most {MOST_ERRORS} entries", lambda d: F.size(elements(get(d, "errors"))) > MOST_ERRORS),
-    Given("errors", "must contain at least one entry for a failed run", lambda d: says(get(d, "status"), "failed") & _is(get(d, "errors"), "ARRAY") & (F.size(elements(get(d, "errors"))) == 0)),
+    Given("errors", "must contain at least one entry for a failed run", lambda d: says(get(d, "status"), "failed") & is_list(get(d, "errors")) & (F.size(elements(get(d, "errors"))) == 0)),
     Each("errors", (Field("stage", plain(100)), Field("code", plain(100)), Field("message", plain(MOST_MESSAGE)), Given("message", "must not contain secret query parameters", lambda d: text(get(d, "message")).rlike(SECRET)))),
     Inside("fetch", (
         Field("statusCode", optional(_STATUS)), Field("initialStatusCode", optional(_STATUS)), Field("finalUrl", optional(platform_url)), Field("requestCost", optional(amount(0))), Field("remainingCredits", optional(amount(0))),
@@ -519,7 +600,7 @@ GROUP = (
 
 def _needed(path: str, status: str = "matchStatus") -> Given:
     """An id that only an unmatched mapping goes without."""
-    told = lambda d: F.concat(F.lit("is required when "), F.coalesce(F.try_variant_get(get(d, status), "$", "string"), F.when(missing(get(d, status)), "undefined").otherwise("null")))
+    told = lambda d: F.concat(F.lit("is required when "), F.coalesce(F.try_variant_get(variant(get(d, status)), "$", "string"), F.when(missing(get(d, status)), "undefined").otherwise("null")))
     return Given(path, told, lambda d: ~says(get(d, status), "UNMATCHED") & object_id(get(d, path)).isNull())
 
 
@@ -572,17 +653,23 @@ KINDS = {
 }
 
 
+def _told(doc: Column | Fact, rules: tuple) -> Column:
+    return F.when(is_object(doc), issues_of(doc, rules, None)).otherwise(issue(F.lit(True), F.lit("$"), "must be an object"))
+
+
 def issues(doc: Column, rules: tuple) -> Column:
     """array<struct<path, message>> of a VARIANT document, empty if nothing is wrong."""
-    told = lambda d: F.when(is_object(d), issues_of(d, rules, None)).otherwise(issue(F.lit(True), F.lit("$"), "must be an object"))
-    return bound(doc, told)
+    return bound(doc, lambda d: _told(d, rules))
 
 
 def validated(documents: DataFrame, rules: tuple, doc: str = "doc", out: str = "issues") -> DataFrame:
     """The rows with their issues; other columns pass through, one of the name `out` is replaced."""
-    return documents.withColumn(out, issues(F.col(doc), rules))
+    facts = Facts(documents, doc)
+    return facts.on(documents, out, _told(Fact(facts), rules))
 
 
 def issue_rows(documents: DataFrame, rules: tuple, key: str, doc: str = "doc") -> DataFrame:
     """key, at (place among the document's issues), path, message: a row for each issue, none for a document without."""
-    return documents.select(F.col(key), F.posexplode(issues(F.col(doc), rules)).alias("at", "_issue")).select(key, "at", "_issue.path", "_issue.message")
+    # outer: a filter that Spark infers for the explode would be pushed below the facts and repeat all of them
+    rows = validated(documents.select(key, doc), rules, doc, "_issues").select(F.col(key), F.posexplode_outer("_issues").alias("at", "_issue"))
+    return rows.where("_issue IS NOT NULL").select(key, "at", "_issue.path", "_issue.message")
