@@ -96,11 +96,19 @@ def ids_at(v: Column, path: str) -> Column:
     return F.array_compact(F.transform(listed, lambda x: id_at(x, "$")))
 
 
-def money_at(v: Column, path: str) -> Column:
+def money_parts(v: Column, path: str) -> tuple[Column, Column]:
+    """Number and code of an amount in the smallest units, where they have the expected types."""
+    return number_at(v, f"{path}.fractional"), F.when(kind(v, f"{path}.code") == "STRING", F.try_variant_get(v, f"{path}.code", "string"))
+
+
+def money_of(number: Column, code: Column) -> Column:
     """amount and currency of an amount in the smallest units; null if it is none."""
-    cents, code = whole_at(v, f"{path}.fractional"), F.try_variant_get(v, f"{path}.code", "string")
-    fine = (cents >= 0) & (kind(v, f"{path}.code") == "STRING") & code.rlike("^[A-Z]{3}$")
-    return F.when(fine, F.struct((cents / F.when(code.isin(*THREE_PLACES), 1000.0).otherwise(100.0)).alias("amount"), code.alias("currency")))
+    cents = F.when(number == F.floor(number), number.cast("long"))
+    return F.when((cents >= 0) & code.rlike("^[A-Z]{3}$"), F.struct((cents / F.when(code.isin(*THREE_PLACES), 1000.0).otherwise(100.0)).alias("amount"), code.alias("currency")))
+
+
+def money_at(v: Column, path: str) -> Column:
+    return money_of(*money_parts(v, path))
 
 
 def image_url(template: Column) -> Column:
@@ -248,10 +256,12 @@ class MenuPages:
         cut = F.try_variant_get(v, "$.priceDiscounted", "variant")
         rows = rows.select(
             self.key, "source_index", F.try_variant_get(v, "$", "struct<>").isNotNull().alias("is_object"), id_at(v, "$.id").alias("item_id"), id_at(v, "$.drnId").alias("drn_id"), id_at(v, "$.categoryId").alias("category_id"), text_at(v, "$.name").alias("name"), text_at(v, "$.description").alias("description"),
-            money_at(v, "$.price").alias("listed"), money_at(v, "$.priceDiscounted").alias("cut"), (cut.isNotNull() & ~F.is_variant_null(cut)).alias("has_cut"), image_url(text_at(v, "$.image.url")).alias("image_url"),
+            *(x.alias(f"_{name}_{part}") for name, path in (("listed", "$.price"), ("cut", "$.priceDiscounted")) for part, x in zip(("number", "code"), money_parts(v, path), strict=True)), (cut.isNotNull() & ~F.is_variant_null(cut)).alias("has_cut"), image_url(text_at(v, "$.image.url")).alias("image_url"),
             flag_at(v, "$.available").alias("available"), flag_at(v, "$.popular").alias("popular"), ids_at(v, "$.modifierGroupIds").alias("modifier_group_ids"),
         )
-        rows = rows.withColumn("image_anchor", image_anchor(c("image_url")))
+        # what several columns are made of is taken from the value once
+        rows = rows.withColumns({"image_anchor": image_anchor(c("image_url")), **{name: money_of(c(f"_{name}_number"), c(f"_{name}_code")) for name in ("listed", "cut")}})
+        rows = rows.drop(*(f"_{name}_{part}" for name in ("listed", "cut") for part in ("number", "code")))
         # a page's items, categories and options stand together: of categories with equal ids the last counts
         known = self.categories.select(self.key, "category_id", F.struct("sort_order", "name").alias("_category"))
         chosen = self.options.where("option_id IS NOT NULL").select(self.key, c("option_id").alias("item_id"), F.lit(True).alias("_option"))
